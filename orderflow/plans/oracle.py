@@ -46,9 +46,9 @@ VIEWS: dict[str, str] = {
              FROM lineitem GROUP BY l_orderkey) li
     ON o.o_orderkey = li.l_orderkey)""",
     "msg": """msg AS (
-  SELECT *, epoch_ms(ts) AS msg_ms,
-         row_number() OVER (PARTITION BY shard, epoch_ms(ts) ORDER BY o_orderkey) - 1 AS msg_seq,
-         epoch_ms(ts) || '-' || (row_number() OVER (PARTITION BY shard, epoch_ms(ts) ORDER BY o_orderkey) - 1) AS msg_id,
+  SELECT *, (epoch_us(ts) // 1000) AS msg_ms,
+         row_number() OVER (PARTITION BY shard, (epoch_us(ts) // 1000) ORDER BY o_orderkey) - 1 AS msg_seq,
+         (epoch_us(ts) // 1000) || '-' || (row_number() OVER (PARTITION BY shard, (epoch_us(ts) // 1000) ORDER BY o_orderkey) - 1) AS msg_id,
          CAST(to_json({'order_id': order_id, 'customer_id': customer_id,
                   'amount': CAST(amount AS DOUBLE), 'items': items}) AS VARCHAR) AS data
   FROM ord)""",
