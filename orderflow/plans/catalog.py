@@ -695,3 +695,108 @@ GROUP BY shard, session_no"""))
 def q_ack_ttl_sessions(spark, sf):
     s = windows.live_acks(tb.acks_view(spark, sf), F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"), 1800)
     return s.select("shard", "session_no", "started", "last_write", "acks", "expires_at", "live")
+
+
+# ---------------------------------------------------------------- T-07
+_FLUSH_N, _FLUSH_I = 3, 3600
+
+
+@register("ack_flush_batches", with_views(["ack"], f"""
+, a AS (SELECT shard, epoch_us(ack_ts) AS us,
+               row_number() OVER (PARTITION BY shard ORDER BY epoch_us(ack_ts), order_id) AS rn FROM ack),
+r AS (
+  SELECT shard, CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS us,
+         FALSE AS tflush, CAST(NULL AS BIGINT) AS t_us, CAST(NULL AS BIGINT) AS t_size,
+         CAST(NULL AS BIGINT) AS t_first, CAST(NULL AS BIGINT) AS t_last,
+         FALSE AS rflush, CAST(NULL AS VARCHAR) AS rreason, CAST(NULL AS BIGINT) AS rsize,
+         CAST(NULL AS BIGINT) AS rfirst,
+         CAST(0 AS BIGINT) AS c, min(us) AS l, CAST(NULL AS BIGINT) AS bf, CAST(NULL AS BIGINT) AS bl
+  FROM a GROUP BY shard
+  UNION ALL
+  SELECT shard, rn, us, tflush, t_us, t_size, t_first, t_last,
+         rflush, rreason, rsize, rfirst,
+         CASE WHEN rflush THEN 0 ELSE c2 END, CASE WHEN rflush THEN us ELSE l1 END, bf1, us
+  FROM (SELECT *, (c2 >= {_FLUSH_N} OR us - l1 >= {_FLUSH_I * 1000000}) AS rflush,
+               CASE WHEN c2 >= {_FLUSH_N} THEN 'count' ELSE 'time' END AS rreason, c2 AS rsize, bf1 AS rfirst
+        FROM (SELECT a.shard, a.rn, a.us,
+                     (r.c > 0 AND a.us > r.l + {_FLUSH_I * 1000000}) AS tflush,
+                     r.l + {_FLUSH_I * 1000000} AS t_us, r.c AS t_size, r.bf AS t_first, r.bl AS t_last,
+                     CASE WHEN r.c > 0 AND a.us > r.l + {_FLUSH_I * 1000000} THEN 0 ELSE r.c END + 1 AS c2,
+                     CASE WHEN r.c > 0 AND a.us > r.l + {_FLUSH_I * 1000000} THEN r.l + {_FLUSH_I * 1000000} ELSE r.l END AS l1,
+                     CASE WHEN (r.c > 0 AND a.us > r.l + {_FLUSH_I * 1000000}) OR r.c = 0 THEN a.us ELSE r.bf END AS bf1
+              FROM r JOIN a ON a.shard = r.shard AND a.rn = r.rn + 1) s1) s2),
+fl AS (
+  SELECT shard, t_us AS flush_us, 'timer' AS reason, t_size AS size, t_first AS first_us, t_last AS last_us
+  FROM r WHERE tflush
+  UNION ALL SELECT shard, us, rreason, rsize, rfirst, us FROM r WHERE rflush
+  UNION ALL SELECT r.shard, r.l + {_FLUSH_I * 1000000}, 'timer', r.c, r.bf, r.bl
+  FROM r JOIN (SELECT shard, max(rn) AS mx FROM a GROUP BY shard) m ON r.shard = m.shard AND r.rn = m.mx
+  WHERE r.c > 0)
+SELECT shard, make_timestamp(flush_us) AS flush_ts, reason, size,
+       make_timestamp(first_us) AS first_ts, make_timestamp(last_us) AS last_ts
+FROM fl""").replace("WITH ", "WITH RECURSIVE ", 1).replace("\n, a AS", ",\na AS"))
+def q_ack_flush_batches(spark, sf):
+    from orderflow.operators.state import count_or_time_batches
+    return count_or_time_batches(tb.acks_view(spark, sf), "shard", "ack_ts", "order_id",
+                                 max_rows=_FLUSH_N, interval_s=_FLUSH_I)
+
+
+# ---------------------------------------------------------------- T-09 / F-10
+_BREAKER_SQL = """
+, o AS (SELECT name, event_id, ok, epoch_us(ts) AS us,
+               row_number() OVER (PARTITION BY name ORDER BY epoch_us(ts), event_id) AS rn FROM outcome),
+r AS (
+  SELECT name, CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS us, CAST(NULL AS BIGINT) AS event_id,
+         CAST(NULL AS BOOLEAN) AS ok, CAST(NULL AS VARCHAR) AS state_before, CAST(NULL AS BOOLEAN) AS allowed,
+         'closed' AS state_after, CAST(0 AS BIGINT) AS failures, CAST(NULL AS BIGINT) AS opened_us
+  FROM o GROUP BY name
+  UNION ALL
+  SELECT name, rn, us, event_id, ok, seen, seen <> 'open',
+         CASE WHEN seen = 'open' THEN 'open' WHEN ok THEN 'closed'
+              WHEN seen = 'half_open' OR f + 1 >= 3 THEN 'open' ELSE seen END,
+         CASE WHEN seen = 'open' THEN f WHEN ok THEN 0 ELSE f + 1 END,
+         CASE WHEN seen = 'open' THEN op WHEN ok THEN NULL
+              WHEN seen = 'half_open' OR f + 1 >= 3 THEN us ELSE op END
+  FROM (SELECT o.name, o.rn, o.us, o.event_id, o.ok, r.failures AS f, r.opened_us AS op,
+               CASE WHEN r.state_after = 'open' AND o.us - r.opened_us >= 30000000 THEN 'half_open'
+                    ELSE r.state_after END AS seen
+        FROM r JOIN o ON o.name = r.name AND o.rn = r.rn + 1) s)"""
+
+
+def _breaker_sql(body: str) -> str:
+    return with_views(["outcome"], _BREAKER_SQL + body).replace("WITH ", "WITH RECURSIVE ", 1) \
+        .replace("\n, o AS", ",\no AS")
+
+
+@register("breaker_timeline", _breaker_sql("""
+SELECT name, make_timestamp(us) AS ts, event_id, ok, state_before, allowed, state_after, failures,
+       make_timestamp(opened_us) AS opened_ts,
+       CASE state_after WHEN 'closed' THEN 0 WHEN 'half_open' THEN 1 WHEN 'open' THEN 2 ELSE 0 END AS state_code
+FROM r WHERE rn > 0"""))
+def q_breaker_timeline(spark, sf):
+    from orderflow.operators.state import breaker_timeline
+    tl = breaker_timeline(tb.outcomes_view(spark, sf), threshold=3, recovery_s=30)
+    return tl.withColumn("state_code", codec.state_code("state_after"))
+
+
+# ---------------------------------------------------------------- A-13
+@register("breaker_health", _breaker_sql("""
+, last AS (SELECT name, arg_max(state_after, (us, event_id)) AS st, arg_max(opened_us, (us, event_id)) AS op
+           FROM r WHERE rn > 0 GROUP BY name),
+eff AS (SELECT name, CASE WHEN st = 'open' AND op + 30000000 <= (SELECT max(epoch_us(ts)) FROM outcome)
+                          THEN 'half_open' ELSE st END AS state FROM last)
+SELECT CASE WHEN bool_and(state <> 'open') THEN 'ok' ELSE 'degraded' END AS status,
+       string_agg(name || '=' || state, ',' ORDER BY name) AS breakers,
+       count(*) FILTER (WHERE state = 'open') AS n_open
+FROM eff""").replace("\n, last AS", ",\nlast AS"))
+def q_breaker_health(spark, sf):
+    from orderflow.operators.state import breaker_states, breaker_timeline
+    o = tb.outcomes_view(spark, sf)
+    tl = breaker_timeline(o, threshold=3, recovery_s=30)
+    as_of = o.agg(F.max("ts").alias("as_of"))
+    states = breaker_states(tl, as_of, recovery_s=30)
+    h = agg.health(states)
+    pairs = F.array_sort(F.transform(F.map_entries("circuit_breakers"),
+                                     lambda e: F.concat(e["key"], F.lit("="), e["value"])))
+    return h.select("status", F.array_join(pairs, ",").alias("breakers"),
+                    F.size(F.filter(F.map_values("circuit_breakers"), lambda v: v == "open")).alias("n_open"))
