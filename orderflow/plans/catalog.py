@@ -800,3 +800,91 @@ def q_breaker_health(spark, sf):
                                      lambda e: F.concat(e["key"], F.lit("="), e["value"])))
     return h.select("status", F.array_join(pairs, ",").alias("breakers"),
                     F.size(F.filter(F.map_values("circuit_breakers"), lambda v: v == "open")).alias("n_open"))
+
+
+# ---------------------------------------------------------------- T-10 (batch twin)
+@register("await_acks", """
+WITH p AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'),
+a AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'view'),
+nxt AS (
+  SELECT p.event_id, min(a.ts) AS first_ts
+  FROM p JOIN a ON a.user_id = p.user_id AND a.ts >= p.ts GROUP BY p.event_id)
+SELECT p.event_id, p.user_id, p.ts,
+       CASE WHEN epoch_us(n.first_ts) - epoch_us(p.ts) <= 3600000000 THEN n.first_ts END AS match_ts,
+       CASE WHEN epoch_us(n.first_ts) - epoch_us(p.ts) <= 3600000000
+            THEN round((epoch_us(n.first_ts) - epoch_us(p.ts)) / 1e6, 6) END AS latency_s,
+       coalesce(epoch_us(n.first_ts) - epoch_us(p.ts) <= 3600000000, FALSE) AS matched
+FROM p LEFT JOIN nxt n ON p.event_id = n.event_id""")
+def q_await_acks(spark, sf):
+    e = tb.read_table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
+    p = e.filter(F.col("event_type") == "purchase").drop("event_type")
+    a = e.filter(F.col("event_type") == "view").drop("event_type")
+    m = joins.next_match(p, a, "user_id", "ts", "ts", "event_id", "event_id", within_s=3600)
+    return m.select("event_id", "user_id", "ts", "match_ts", F.round("latency_s", 6).alias("latency_s"),
+                    "matched")
+
+
+# ---------------------------------------------------------------- S-01 / S-03 / U-01
+@register("union_shards", with_views(["msg"], """
+SELECT shard, count(*) AS messages, min(msg_ms) AS first_ms, max(msg_ms) AS last_ms FROM msg GROUP BY shard"""))
+def q_union_shards(spark, sf):
+    from orderflow.session import scratch_path
+    from orderflow.sources.messages import union_shard_logs, write_messages
+    path = scratch_path(spark, "shard-logs")
+    write_messages(tb.messages_view(spark, sf), path)
+    u = union_shard_logs(spark, path, list(range(N)))
+    ms = codec.msg_id_millis("msg_id")
+    return u.groupBy("shard").agg(F.count(F.lit(1)).alias("messages"), F.min(ms).alias("first_ms"),
+                                  F.max(ms).alias("last_ms"))
+
+
+# ---------------------------------------------------------------- S-04 / S-07
+@register("ledger_shard_slice", with_views(["decoded"], """
+SELECT order_id, customer_id, TRY_CAST(amount AS DECIMAL(12,2)) AS amount, msg_id FROM good WHERE shard = 2"""))
+def q_ledger_shard_slice(spark, sf):
+    from orderflow.session import scratch_path
+    from orderflow.sources.ledger import read_ledger, sink_ledger
+    good, _ = validate.split_malformed(tb.malformed_messages_view(spark, sf))
+    path = scratch_path(spark, "ledger")
+    sink_ledger(validate.to_ledger(good), path)
+    return read_ledger(spark, path).filter(F.col("shard") == 2).select("order_id", "customer_id", "amount", "msg_id")
+
+
+# ---------------------------------------------------------------- T-01 / T-02 / T-03
+@register("streaming_ingest", with_views(["decoded"], """
+SELECT order_id, customer_id, TRY_CAST(amount AS DECIMAL(12,2)) AS amount,
+       array_to_string(items, '|') AS items_text, msg_id, shard
+FROM good"""))
+def q_streaming_ingest(spark, sf):
+    from orderflow.session import scratch_path
+    from orderflow.sources.messages import write_messages
+    from orderflow.streaming.ingest import IngestPaths, start_ingest
+    root = scratch_path(spark, "ingest")
+    write_messages(tb.malformed_messages_view(spark, sf), f"{root}/source")
+    paths = IngestPaths(f"{root}/source", f"{root}/ledger", f"{root}/acks", f"{root}/quarantine",
+                        f"{root}/checkpoint")
+    start_ingest(spark, paths).awaitTermination()
+    led = spark.read.parquet(paths.ledger)
+    return led.select("order_id", "customer_id", "amount", _items_text().alias("items_text"), "msg_id", "shard")
+
+
+# ---------------------------------------------------------------- T-04
+@register("dedup_stream", with_views(["ord"], """
+SELECT DISTINCT order_id, shard, customer_id FROM ord"""))
+def q_dedup_stream(spark, sf):
+    from orderflow.session import scratch_path
+    from orderflow.sources.messages import read_messages, write_messages
+    from orderflow.streaming.stream_ops import dedup_stream
+    root = scratch_path(spark, "dedup")
+    m = tb.messages_view(spark, sf)
+    write_messages(m, f"{root}/source")
+    resend = m.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 SECOND"))
+    write_messages(resend, f"{root}/source")
+    src = read_messages(spark, f"{root}/source", streaming=True).withColumn("ets", F.col("ts").cast("timestamp"))
+    d = dedup_stream(src, ["shard", "data"], "ets", "1 day")
+    q = (d.select("shard", "data").writeStream.format("parquet").option("path", f"{root}/out")
+         .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    out = spark.read.parquet(f"{root}/out")
+    dec = validate.decode_orders(out)
+    return dec.select("order_id", "shard", "customer_id")

@@ -1,0 +1,134 @@
+"""Stream forms of the per-key state machines (T-07, T-09) with
+``applyInPandasWithState``.
+
+Rows of a micro-batch arrive unordered and a later batch may still bring
+rows older than some already seen, so rows are held in the group state
+until the watermark passes them and are then fed to the step function in
+``(ts, tiebreak)`` order - the same functions the batch forms use, so a
+stream and its batch twin give the same rows. State per key is the machine
+state plus the rows still inside the watermark delay (bounded by
+delay x rate). Event-time timeouts wake a key up when the watermark moves
+past its held rows or its idle-flush deadline, without new data.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
+
+from orderflow.operators.state import (BreakerState, FlushState, breaker_step, flush_step)
+
+
+def _held_and_new(pending: tuple, pdfs, cols: list[str]) -> pd.DataFrame:
+    frames = [pd.DataFrame({c: list(v) for c, v in zip(cols, pending)})] if pending and len(pending[0]) else []
+    for pdf in pdfs:
+        if len(pdf):
+            frames.append(pdf[cols])
+    if not frames:
+        return pd.DataFrame({c: [] for c in cols})
+    return pd.concat(frames, ignore_index=True).sort_values(cols[:2], kind="mergesort")
+
+
+def _watermark_us(gs) -> int:
+    wm = gs.getCurrentWatermarkMs()
+    return -(2 ** 62) if wm is None or wm <= 0 else int(wm) * 1000
+
+
+def breaker_stream(outcomes: DataFrame, delay: str, threshold: int = 3, recovery_s: float = 30.0,
+                   key: str = "name", ts: str = "ts", tiebreak: str = "event_id", ok: str = "ok") -> DataFrame:
+    """T-09 on a stream: one output row per call once the watermark passes it."""
+    recovery_us = int(round(recovery_s * 1_000_000))
+    tcol = F.col(ts).cast("timestamp")
+    src = (outcomes.withColumn("__ts", tcol).withWatermark("__ts", delay)
+           .select(F.col(key), "__ts", F.unix_micros("__ts").alias("__us"),
+                   F.col(tiebreak).cast("long").alias("__tb"), F.col(ok).alias("__ok")))
+    cols = ["__us", "__tb", "__ok"]
+    out_schema = (f"{key} string, us long, event_id long, ok boolean, state_before string, "
+                  "allowed boolean, state_after string, failures long, opened_us long")
+    state_schema = ("state string, failures long, opened_us long, "
+                    "p_us array<long>, p_tb array<long>, p_ok array<boolean>")
+
+    def fn(k, pdfs, gs):
+        if gs.exists:
+            s, fails, opened, p_us, p_tb, p_ok = gs.get
+            st = BreakerState(s, int(fails), None if opened is None or pd.isna(opened) else int(opened))
+            pending = (p_us, p_tb, p_ok)
+        else:
+            st, pending = BreakerState(), None
+        rows = _held_and_new(pending, pdfs, cols)
+        wm = _watermark_us(gs)
+        ready = rows[rows["__us"] < wm]
+        hold = rows[rows["__us"] >= wm]
+        out = []
+        for t, tb, good in zip(ready["__us"].to_numpy(), ready["__tb"].to_numpy(), ready["__ok"].to_numpy()):
+            seen, allowed = breaker_step(st, int(t), bool(good), threshold, recovery_us)
+            out.append((k[0], int(t), int(tb), bool(good), seen, allowed, st.state, st.failures, st.opened_us))
+        gs.update((st.state, st.failures, st.opened_us,
+                   [int(x) for x in hold["__us"]], [int(x) for x in hold["__tb"]],
+                   [bool(x) for x in hold["__ok"]]))
+        if len(hold):
+            gs.setTimeoutTimestamp(int(hold["__us"].min()) // 1000)
+        res = pd.DataFrame(out, columns=["k", "us", "event_id", "ok", "state_before", "allowed",
+                                         "state_after", "failures", "opened_us"])
+        res["opened_us"] = res["opened_us"].astype("Int64")
+        yield res.rename(columns={"k": key})
+
+    return src.groupBy(key).applyInPandasWithState(
+        fn, out_schema, state_schema, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def flush_stream(df: DataFrame, delay: str, key: str, ts: str, tiebreak: str,
+                 max_rows: int = 500, interval_s: float = 5.0, flush_first: bool = False) -> DataFrame:
+    """T-07 on a stream: flushes are emitted when decided; the idle timer is an
+    event-time timeout at ``last_flush + interval``."""
+    interval_us = int(round(interval_s * 1_000_000))
+    src = (df.withColumn("__ts", F.col(ts).cast("timestamp")).withWatermark("__ts", delay)
+           .select(F.col(key), "__ts", F.unix_micros("__ts").alias("__us"),
+                   F.col(tiebreak).cast("string").alias("__tb")))
+    cols = ["__us", "__tb"]
+    key_type = df.schema[key].dataType.simpleString()
+    out_schema = (f"{key} {key_type}, flush_us long, reason string, size long, "
+                  "first_us long, last_us long")
+    state_schema = ("started boolean, count long, last_flush long, first_us long, last_us long, "
+                    "p_us array<long>, p_tb array<string>")
+
+    def fn(k, pdfs, gs):
+        if gs.exists:
+            started, cnt, lf, fu, lu, p_us, p_tb = gs.get
+            opt = (lambda v: None if v is None or pd.isna(v) else int(v))
+            st = FlushState(int(cnt), opt(lf), opt(fu), opt(lu))
+            pending = (p_us, p_tb)
+        else:
+            started, st, pending = False, FlushState(), None
+        rows = _held_and_new(pending, pdfs, cols)
+        wm = _watermark_us(gs)
+        ready = rows[rows["__us"] < wm]
+        hold = rows[rows["__us"] >= wm]
+        out: list = []
+        for t in ready["__us"].to_numpy():
+            if not started:
+                st.last_flush = None if flush_first else int(t)
+                started = True
+            flush_step(st, int(t), max_rows, interval_us, out)
+        if st.count > 0 and st.last_flush is not None and st.last_flush + interval_us < wm:
+            when = st.last_flush + interval_us
+            out.append((when, "timer", st.count, st.first_us, st.last_us))
+            st.count, st.last_flush = 0, when
+        gs.update((started, st.count, st.last_flush, st.first_us, st.last_us,
+                   [int(x) for x in hold["__us"]], [str(x) for x in hold["__tb"]]))
+        wake = []
+        if len(hold):
+            wake.append(int(hold["__us"].min()))
+        if st.count > 0 and st.last_flush is not None:
+            wake.append(st.last_flush + interval_us)
+        if wake:
+            gs.setTimeoutTimestamp(int(np.ceil(min(wake) / 1000)))
+        res = pd.DataFrame([(k[0], *o) for o in out],
+                           columns=[key, "flush_us", "reason", "size", "first_us", "last_us"])
+        yield res
+
+    return src.groupBy(key).applyInPandasWithState(
+        fn, out_schema, state_schema, "append", GroupStateTimeout.EventTimeTimeout)
