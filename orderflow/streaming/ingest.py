@@ -109,8 +109,8 @@ def run_with_restart(start_fn, max_restarts: int = 3, pause_s: float = 1.0) -> S
     error is re-raised once ``max_restarts`` is used up."""
     attempt = 0
     while True:
-        q = start_fn()
         try:
+            q = start_fn()
             q.awaitTermination()
             return q
         except Exception as e:  # noqa: BLE001 - StreamingQueryException and friends

@@ -36,5 +36,5 @@ def await_acks(produced: DataFrame, acks: DataFrame, key: str, within_s: int,
     a = acks.withWatermark(a_ts, watermark) if watermark else acks
     a = a.withColumnRenamed(key, "__ack_key")
     cond = ((F.col(key) == F.col("__ack_key")) & (F.col(a_ts) >= F.col(p_ts)) &
-            (F.col(a_ts) <= F.col(p_ts) + F.make_dt_interval(secs=F.lit(within_s))))
+            (F.col(a_ts) <= F.col(p_ts) + F.expr(f"INTERVAL {int(within_s)} SECONDS")))
     return p.join(a, cond, "left_outer").drop("__ack_key")

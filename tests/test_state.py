@@ -1,0 +1,88 @@
+"""Breaker, flush buffer and retry rules (cases 13-16, 20-23) and their batch forms."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from orderflow.operators.aggregates import retry_rollup
+from orderflow.operators.state import (BreakerState, FlushState, breaker_state_at, breaker_step,
+                                       breaker_timeline, count_or_time_batches, flush_idle, flush_step)
+
+S = 1_000_000
+
+
+def test_breaker_failures_then_success_stays_closed():
+    st = BreakerState()
+    for t, ok in [(1, False), (2, False), (3, True), (4, False)]:
+        breaker_step(st, t * S, ok, 3, 30 * S)
+    assert st.state == "closed" and st.failures == 1
+
+
+def test_breaker_opens_then_half_open_after_recovery():
+    st = BreakerState()
+    for t in (0, 0, 0):
+        breaker_step(st, t, False, 3, 30 * S)
+    assert st.state == "open"
+    assert breaker_state_at(st, 15 * S, 30 * S) == "open"
+    assert breaker_state_at(st, 31 * S, 30 * S) == "half_open"
+    seen, allowed = breaker_step(st, 15 * S, True, 3, 30 * S)
+    assert (seen, allowed, st.state) == ("open", False, "open")
+
+
+def test_half_open_probe_decides():
+    for ok, after in [(True, "closed"), (False, "open")]:
+        st = BreakerState()
+        for _ in range(3):
+            breaker_step(st, 0, False, 3, 30 * S)
+        seen, allowed = breaker_step(st, 31 * S, ok, 3, 30 * S)
+        assert seen == "half_open" and allowed and st.state == after
+
+
+def test_flush_rules():
+    out = []
+    st = FlushState(last_flush=0)
+    flush_step(st, 1, 1, 5 * S, out)
+    assert out and out[0][1] == "count" and st.count == 0          # batch size 1: at once
+    out, st = [], FlushState(last_flush=0)
+    flush_step(st, 6 * S, 500, 5 * S, out)
+    assert out[0][1] == "time" and out[0][2] == 1                   # interval elapsed
+    out, st = [], FlushState(last_flush=0)
+    flush_step(st, 1 * S, 500, 5 * S, out)
+    assert out == [] and st.count == 1                              # below both thresholds
+    out, st = [], FlushState(last_flush=0)
+    for t in (1, 2, 3):
+        flush_step(st, t * S, 500, 5 * S, out)
+    flush_idle(st, 5 * S, out)
+    assert out == [(5 * S, "timer", 3, 1 * S, 3 * S)]               # idle timer flushes residue
+
+
+def _ts(s):
+    return dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+
+
+def test_breaker_timeline_batch_form(spark):
+    rows = [("db", _ts(t), i, ok) for i, (t, ok) in enumerate(
+        [(0, False), (1, False), (2, False), (10, True), (40, True), (41, False)])]
+    df = spark.createDataFrame(rows, "name string, ts timestamp_ntz, event_id long, ok boolean")
+    got = [(r.state_before, r.allowed, r.state_after) for r in
+           breaker_timeline(df, 3, 30).orderBy("event_id").collect()]
+    assert got == [("closed", True, "closed"), ("closed", True, "closed"), ("closed", True, "open"),
+                   ("open", False, "open"), ("half_open", True, "closed"), ("closed", True, "closed")]
+
+
+def test_flush_batches_batch_form_segments(spark):
+    # two bursts far apart: second starts a new segment; residue flushed by the timer
+    ts = [0, 1, 2, 3, 100, 101]
+    df = spark.createDataFrame([(0, _ts(t), f"o{i}") for i, t in enumerate(ts)],
+                               "shard int, ts timestamp_ntz, oid string")
+    got = [(r.reason, r.size) for r in
+           count_or_time_batches(df, "shard", "ts", "oid", max_rows=3, interval_s=10).orderBy("flush_ts").collect()]
+    assert got == [("count", 3), ("timer", 1), ("time", 1), ("timer", 1)]
+
+
+def test_retry_waits_and_exhaustion(spark):
+    df = spark.createDataFrame([(1, a, False) for a in (1, 2, 3)] + [(2, 1, False), (2, 2, True)],
+                               "op_id long, attempt int, ok boolean")
+    r = {x.op_id: x for x in retry_rollup(df).collect()}
+    assert r[1].exhausted and not r[1].recovered and r[1].waited_s == 3.0 and r[1].attempts == 3
+    assert r[2].recovered and r[2].waited_s == 1.0
