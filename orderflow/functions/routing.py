@@ -26,15 +26,35 @@ def sha1_shard(col, n: int) -> Column:
     """
     if not 1 <= n < 2 ** 31:
         raise ValueError("n must be in [1, 2^31)")
-    h = F.sha1(_col(col).cast("binary"))
-    step = pow(2, 32, n)
+    return shard_of_sha1_hex(F.sha1(_col(col).cast("binary")), n)
+
+
+def shard_of_sha1_hex(h, n: int) -> Column:
+    """The 40-hex-digit SHA-1 text read as an integer, modulo ``n``.
+
+    For a power of two only the last 8 digits matter. Otherwise the digits
+    are taken as 15 + 15 + 10 (60, 60, 40 bits) and reduced with Horner's
+    rule modulo ``n``; with ``n < 2^31`` every step stays below 2^63.
+    """
+    h = _col(h)
+    nl = F.lit(n).cast("long")
+    if n & (n - 1) == 0:
+        return F.pmod(F.conv(F.substring(h, 33, 8), 16, 10).cast("long"), nl).cast("int")
     acc = F.lit(0).cast("long")
-    for i in range(5):
-        word = F.conv(F.substring(h, 1 + 8 * i, 8), 16, 10).cast("long")
-        acc = F.pmod(acc * F.lit(step) + word, F.lit(n).cast("long"))
+    start = 1
+    for width in (15, 15, 10):
+        word = F.conv(F.substring(h, start, width), 16, 10).cast("long")
+        acc = F.pmod(acc * F.lit(pow(2, 4 * width, n)) + word, nl)
+        start += width
     return acc.cast("int")
 
 
+def add_sha1_shard(df, id_col: str, n: int, out: str = "shard"):
+    """``df`` plus ``out = sha1_shard(id_col, n)``, hashing each id once."""
+    return (df.withColumn("__sha1", F.sha1(F.col(id_col).cast("binary")))
+            .withColumn(out, shard_of_sha1_hex("__sha1", n)).drop("__sha1"))
+
+
 def java_string_hash(col) -> Column:
     """JVM ``String.hashCode`` (signed 32-bit) over UTF-16 code units."""
     units = F.regexp_extract_all(F.hex(F.encode(_col(col), "UTF-16BE")), F.lit("(.{4})"), 1)

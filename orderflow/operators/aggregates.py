@@ -18,10 +18,16 @@ from orderflow.schemas import (PRODUCER_BUCKETS, RETRY_BACKOFF, RETRY_DELAY_S, R
                                LAG_ALERT)
 
 
-def ack_rollup(status: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """A-01: ``total, acked, pending, pct_complete`` over distinct order ids."""
+def ack_rollup(status: DataFrame, by: list[str] | None = None, distinct: bool = False) -> DataFrame:
+    """A-01: ``total, acked, pending, pct_complete`` over distinct order ids.
+
+    :func:`orderflow.operators.joins.ack_status` already yields one row per
+    (request, order); pass ``distinct=True`` for inputs that may repeat.
+    """
     by = by or []
-    d = status.select(*by, "order_id", "status").distinct()
+    d = status.select(*by, "order_id", "status")
+    if distinct:
+        d = d.distinct()
     acked = F.count_if(F.col("status") == "acked")
     g = d.groupBy(*by) if by else d.groupBy()
     return (g.agg(F.count(F.lit(1)).alias("total"), acked.alias("acked"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.functions.routing import sha1_shard
+from orderflow.functions.routing import add_sha1_shard
 from orderflow.operators.aggregates import exact_quantiles
 from orderflow.operators.util import ts_micros
 
@@ -25,8 +25,7 @@ def _acked_keys(acks: DataFrame) -> DataFrame:
 
 def ack_status(requests: DataFrame, acks: DataFrame, n_shards: int) -> DataFrame:
     """J-01: each requested ``(request_id, order_id)`` -> ``acked`` / ``pending``."""
-    req = requests.select("request_id", "order_id").distinct() \
-        .withColumn("shard", sha1_shard("order_id", n_shards))
+    req = add_sha1_shard(requests.select("request_id", "order_id").distinct(), "order_id", n_shards)
     marks = _acked_keys(acks).withColumn("__hit", F.lit(True))
     return (req.join(marks, KEY, "left")
             .select("request_id", "order_id", "shard",

@@ -18,6 +18,10 @@ limit:
 5. rows of a partition's first group add the carry of the partitions before.
 
 Everything but step 3 runs in the JVM; step 3 is vectorised pandas.
+
+:func:`ordered_scan` counts group sizes first and sends only groups above
+``orderflow.scan.maxGroupRows`` (default 2M rows) through that path; the
+rest use an ordinary window, which is cheaper when every group fits a task.
 """
 
 from __future__ import annotations
@@ -107,10 +111,36 @@ def _local_scan(keys, sums, lags, int_lags):
     return run
 
 
+# Groups up to this many rows are small enough for one task to sort (plain
+# window); bigger ("hot") groups take the distributed scan. Session conf
+# ``orderflow.scan.maxGroupRows`` overrides it.
+DEFAULT_MAX_GROUP_ROWS = 2_000_000
+
+
+def _result_types(df: DataFrame, sums: dict, lags: dict) -> tuple[dict, dict]:
+    probe = df.select(*[_c(e).alias(f"s_{n}") for n, e in sums.items()],
+                      *[_c(e).alias(f"l_{n}") for n, e in lags.items()]).schema
+    frac = (T.FloatType, T.DoubleType, T.DecimalType)
+    ints = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    st = {n: ("double" if isinstance(probe[f"s_{n}"].dataType, frac) else "long") for n in sums}
+    lt = {n: ("long" if isinstance(probe[f"l_{n}"].dataType, ints) else "double") for n in lags}
+    return st, lt
+
+
+def window_scan(df: DataFrame, keys: list[str], order: list, sums: dict, lags: dict) -> DataFrame:
+    """The same results with plain window functions (for groups of bounded size)."""
+    st, lt = _result_types(df, sums, lags)
+    w = Window.partitionBy(*keys).orderBy(*[_c(o) for o in order])
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return df.select("*", *[F.sum(_c(e)).over(run).cast(st[n]).alias(n) for n, e in sums.items()],
+                     *[F.lag(_c(e)).over(w).cast(lt[n]).alias(n) for n, e in lags.items()])
+
+
 def ordered_scan(df: DataFrame, keys: list[str], order: list, *,
                  sums: dict[str, Column] | None = None,
                  lags: dict[str, Column] | None = None,
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None,
+                 max_group_rows: int | None = None) -> DataFrame:
     """Add inclusive running sums and previous-row values inside ``keys`` groups.
 
     ``order`` columns (Column sort orders allowed, e.g. ``F.col('ts').desc()``)
@@ -118,10 +148,43 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list, *,
     a numeric expression (``F.lit(1)`` gives ``row_number``); ``lags`` maps an
     output name to a numeric / timestamp-as-long expression whose previous
     row value is returned (NULL on a group's first row).
+
+    Group sizes are counted first (a map-side-combined aggregate). Rows of
+    groups with at most ``max_group_rows`` rows use a plain window; rows of
+    bigger groups use :func:`distributed_scan`. Both are exact, so the split
+    only decides who does the work. The hot-key list is at most
+    ``rows / max_group_rows`` long, so broadcasting it is bounded.
     """
     sums = dict(sums or {})
     lags = dict(lags or {})
     spark = df.sparkSession
+    limit = max_group_rows or int(spark.conf.get("orderflow.scan.maxGroupRows", str(DEFAULT_MAX_GROUP_ROWS)))
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__gn"))
+    hot = reliable_checkpoint(sizes.filter(F.col("__gn") > limit)
+                              .select(*[F.col(k).alias(f"__hk{i}") for i, k in enumerate(keys)],
+                                      F.lit(True).alias("__hot")))
+    if hot.isEmpty():
+        return window_scan(df, keys, order, sums, lags)
+    cond = None
+    for i, k in enumerate(keys):
+        c = F.col(k).eqNullSafe(F.col(f"__hk{i}"))
+        cond = c if cond is None else cond & c
+    tagged = df.join(F.broadcast(hot), cond, "left").select(*df.columns, "__hot")
+    cold_rows = tagged.filter(F.col("__hot").isNull()).drop("__hot")
+    hot_rows = tagged.filter(F.col("__hot")).drop("__hot")
+    return (window_scan(cold_rows, keys, order, sums, lags)
+            .unionByName(distributed_scan(hot_rows, keys, order, sums=sums, lags=lags,
+                                          num_partitions=num_partitions)))
+
+
+def distributed_scan(df: DataFrame, keys: list[str], order: list, *,
+                     sums: dict[str, Column] | None = None,
+                     lags: dict[str, Column] | None = None,
+                     num_partitions: int | None = None) -> DataFrame:
+    """The range-partitioned scan of the module docstring (any group size)."""
+    sums = dict(sums or {})
+    lags = dict(lags or {})
+    spark = df.sparkSession
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     src_names = {}
     extra = []

@@ -42,7 +42,7 @@ def _items_text(col="items"):
 SELECT shard, count(*) AS rows, CAST(sum(amount) / count(*) AS DECIMAL(10,2)) AS avg_amount
 FROM ord GROUP BY shard ORDER BY shard"""))
 def q_audit_by_shard(spark, sf):
-    return agg.audit_by_shard(tb.orders_view(spark, sf))
+    return agg.audit_by_shard(tb.orders_view(spark, sf, with_items=False))
 
 
 # ---------------------------------------------------------------- F-01
@@ -51,7 +51,7 @@ SELECT order_id, shard AS shard_4, {duck_sha1_shard('order_id', 7)} AS shard_7,
        {duck_sha1_shard('order_id', 1000)} AS shard_1000
 FROM ord"""))
 def q_shard_routing(spark, sf):
-    o = tb.orders_view(spark, sf)
+    o = tb.orders_view(spark, sf, with_items=False)
     return o.select("order_id", F.col("shard").alias("shard_4"),
                     routing.sha1_shard("order_id", 7).alias("shard_7"),
                     routing.sha1_shard("order_id", 1000).alias("shard_1000"))
@@ -64,7 +64,7 @@ SELECT order_id, CAST({duck_java_hash('order_id')} AS BIGINT) AS java_hash,
        {duck_java_shard('order_id', 7)} AS java_shard_7
 FROM ord"""))
 def q_java_routing(spark, sf):
-    o = tb.orders_view(spark, sf)
+    o = tb.orders_view(spark, sf, with_items=False)
     return o.select("order_id", routing.java_string_hash("order_id").alias("java_hash"),
                     routing.java_shard("order_id", 4).alias("java_shard_4"),
                     routing.java_shard("order_id", 7).alias("java_shard_7"))
@@ -76,7 +76,7 @@ SELECT order_id, 'orders:stream:' || shard AS stream_key, 'orders:acks:' || shar
        CAST(regexp_extract('orders:stream:' || shard, ':(\\d+)$', 1) AS INTEGER) AS parsed_shard
 FROM ord"""))
 def q_stream_keys(spark, sf):
-    o = tb.orders_view(spark, sf)
+    o = tb.orders_view(spark, sf, with_items=False)
     sk = routing.stream_key("shard")
     return o.select("order_id", sk.alias("stream_key"),
                     routing.stream_key("shard", routing.ACK_BASE).alias("ack_key"),
@@ -170,7 +170,7 @@ def q_ledger_rows(spark, sf):
 @register("find_order", with_views(["ord"], """
 SELECT order_id, customer_id, amount, shard FROM ord WHERE order_id = 'ORD-7'"""))
 def q_find_order(spark, sf):
-    o = tb.orders_view(spark, sf)
+    o = tb.orders_view(spark, sf, with_items=False)
     return validate.find_order(o, "ORD-7", N).select("order_id", "customer_id", "amount", "shard")
 
 
@@ -178,7 +178,7 @@ def q_find_order(spark, sf):
 @register("count_prefix", with_views(["ord"], """
 SELECT count(*) AS n FROM ord WHERE order_id LIKE 'ORD-1%'"""))
 def q_count_prefix(spark, sf):
-    return validate.count_prefix(tb.orders_view(spark, sf), "ORD-1")
+    return validate.count_prefix(tb.orders_view(spark, sf, with_items=False), "ORD-1")
 
 
 # ---------------------------------------------------------------- P-09
@@ -233,7 +233,7 @@ def q_ack_rollup_by_request(spark, sf):
 
 
 def _all_status(spark, sf):
-    o = tb.orders_view(spark, sf).select(F.lit("all").alias("request_id"), "order_id")
+    o = tb.orders_view(spark, sf, with_items=False).select(F.lit("all").alias("request_id"), "order_id")
     return joins.ack_status(o, tb.acks_view(spark, sf), N)
 
 
@@ -253,14 +253,14 @@ def q_ack_rollup(spark, sf):
 SELECT order_id, shard FROM ord o
 WHERE EXISTS (SELECT 1 FROM ack a WHERE a.shard = o.shard AND a.order_id = o.order_id)"""))
 def q_acked_orders(spark, sf):
-    return joins.acked(tb.orders_view(spark, sf), tb.acks_view(spark, sf)).select("order_id", "shard")
+    return joins.acked(tb.orders_view(spark, sf, with_items=False), tb.acks_view(spark, sf)).select("order_id", "shard")
 
 
 @register("pending_orders", with_views(["ord", "ack"], """
 SELECT order_id, shard FROM ord o
 WHERE NOT EXISTS (SELECT 1 FROM ack a WHERE a.shard = o.shard AND a.order_id = o.order_id)"""))
 def q_pending_orders(spark, sf):
-    return joins.pending(tb.orders_view(spark, sf), tb.acks_view(spark, sf)).select("order_id", "shard")
+    return joins.pending(tb.orders_view(spark, sf, with_items=False), tb.acks_view(spark, sf)).select("order_id", "shard")
 
 
 # ---------------------------------------------------------------- J-04
@@ -285,7 +285,7 @@ WHERE rn = 1
                   AND l.shard = b.shard AND l.order_id = b.order_id)"""))
 def q_insert_new(spark, sf):
     batch = _replayed_batch(spark, sf)
-    ledger = tb.orders_view(spark, sf).filter(F.col("ts") < F.lit("1998-01-01").cast("timestamp_ntz"))
+    ledger = tb.orders_view(spark, sf, with_items=False).filter(F.col("ts") < F.lit("1998-01-01").cast("timestamp_ntz"))
     return joins.insert_new(batch, ledger).select("order_id", "shard", "msg_id")
 
 
@@ -308,7 +308,7 @@ def q_reconcile(spark, sf):
     ledger = (good.select("order_id")
               .unionByName(good.filter(F.year("ts") == 1996).select("order_id"))
               .unionByName(tb.acks_view(spark, sf).select("order_id")))
-    r = joins.reconcile(tb.orders_view(spark, sf).select("order_id"), ledger)
+    r = joins.reconcile(tb.orders_view(spark, sf, with_items=False).select("order_id"), ledger)
     return r.groupBy("state").agg(F.count(F.lit(1)).alias("keys"),
                                   F.sum("submitted").alias("submitted_rows"),
                                   F.sum("stored").alias("stored_rows"))
@@ -419,7 +419,7 @@ FROM (SELECT s.shard, coalesce(c.rows, 0) AS rows, sum(coalesce(c.rows, 0)) OVER
       FROM (SELECT CAST(range AS INTEGER) AS shard FROM range(4)) s
       LEFT JOIN (SELECT shard, count(*) AS rows FROM ord GROUP BY shard) c ON s.shard = c.shard)"""))
 def q_shard_balance(spark, sf):
-    return agg.shard_balance(tb.orders_view(spark, sf), N)
+    return agg.shard_balance(tb.orders_view(spark, sf, with_items=False), N)
 
 
 @register("shards_per_customer", with_views(["ord"], """
@@ -427,7 +427,7 @@ SELECT n_shards, count(*) AS customers FROM (
   SELECT customer_id, count(DISTINCT shard) AS n_shards FROM ord GROUP BY customer_id)
 GROUP BY n_shards"""))
 def q_shards_per_customer(spark, sf):
-    s = agg.shards_per_key(tb.orders_view(spark, sf), "customer_id")
+    s = agg.shards_per_key(tb.orders_view(spark, sf, with_items=False), "customer_id")
     return s.groupBy("n_shards").agg(F.count(F.lit(1)).alias("customers"))
 
 
@@ -469,7 +469,7 @@ LEFT JOIN (SELECT shard, count(*) AS lag FROM ord o
            WHERE NOT EXISTS (SELECT 1 FROM ack a WHERE a.shard = o.shard AND a.order_id = o.order_id)
            GROUP BY shard) c ON s.shard = c.shard"""))
 def q_shard_lag(spark, sf):
-    p = joins.pending(tb.orders_view(spark, sf), tb.acks_view(spark, sf))
+    p = joins.pending(tb.orders_view(spark, sf, with_items=False), tb.acks_view(spark, sf))
     return agg.lag_per_shard(p, N, threshold=1000)
 
 
@@ -507,7 +507,7 @@ FROM (SELECT r.round, coalesce(h.new_acked, 0) AS new_acked,
              (SELECT count(DISTINCT order_id) FROM ord) AS n_sub
       FROM allr r LEFT JOIN hits h ON r.round = h.round)""".replace("\n, firsts", ",\nfirsts")))
 def q_ack_progress(spark, sf):
-    return windows.ack_progress(tb.acks_view(spark, sf), tb.orders_view(spark, sf), 86400)
+    return windows.ack_progress(tb.acks_view(spark, sf), tb.orders_view(spark, sf, with_items=False), 86400)
 
 
 # ---------------------------------------------------------------- W-05
@@ -571,7 +571,7 @@ FROM (SELECT o.shard, (epoch_us(a.ack_ts) - epoch_us(o.ts)) / 1e6 AS latency_s
       ON o.shard = a.shard AND o.order_id = a.order_id)
 GROUP BY shard"""))
 def q_ack_latency(spark, sf):
-    q = joins.ack_latency_quantiles(tb.orders_view(spark, sf), tb.acks_view(spark, sf))
+    q = joins.ack_latency_quantiles(tb.orders_view(spark, sf, with_items=False), tb.acks_view(spark, sf))
     return q.select("shard", "n", *[F.round(c, 3).alias(c) for c in ("p50", "p90", "p99")])
 
 
@@ -588,7 +588,7 @@ SELECT shard, rank, order_id, ts FROM (
   FROM ord o WHERE NOT EXISTS (SELECT 1 FROM ack a WHERE a.shard = o.shard AND a.order_id = o.order_id))
 WHERE rank <= 10"""))
 def q_oldest_pending(spark, sf):
-    p = joins.pending(tb.orders_view(spark, sf), tb.acks_view(spark, sf))
+    p = joins.pending(tb.orders_view(spark, sf, with_items=False), tb.acks_view(spark, sf))
     return ordering.oldest_per_group(p, 10, ["shard"], ["ts", "o_orderkey"]).select("shard", "rank", "order_id", "ts")
 
 

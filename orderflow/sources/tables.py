@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.functions.codec import encode_order_json
-from orderflow.functions.routing import sha1_shard
+from orderflow.functions.routing import add_sha1_shard
 from orderflow.schemas import EVENT_TYPE, NUM_SHARDS
 
 def _epoch_ntz() -> F.Column:
@@ -20,7 +20,23 @@ def _epoch_ntz() -> F.Column:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table. Column pruning and filters still reach the Parquet scan."""
+    return balance_small_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def balance_small_scan(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    A file with one row group is one task, so the per-row work before the
+    first shuffle (hashing, JSON) would use one core. Only then is a
+    round-robin repartition added; a large table already has enough splits
+    and is left alone. Filters and column pruning are pushed below it.
+    """
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 def ntz_millis(col) -> F.Column:
@@ -57,19 +73,28 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .alias("items")))
 
 
-def orders_view(spark: SparkSession, sf_dir: str, n_shards: int = NUM_SHARDS) -> DataFrame:
-    """ORDER records with event time and shard (``ord``)."""
+def orders_view(spark: SparkSession, sf_dir: str, n_shards: int = NUM_SHARDS,
+                with_items: bool = True) -> DataFrame:
+    """ORDER records with event time and shard (``ord``).
+
+    ``with_items=False`` leaves out the item arrays (and so the line-item
+    aggregation and join) for consumers that never read them.
+    """
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    items = order_items(spark, sf_dir)
     order_id = F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string"))
-    return (o.join(items, o.o_orderkey == items.l_orderkey, "left")
+    if with_items:
+        items = order_items(spark, sf_dir)
+        o = o.join(items, o.o_orderkey == items.l_orderkey, "left")
+    else:
+        o = o.withColumn("items", F.lit(None).cast("array<string>"))
+    return (o
             .select(order_id.alias("order_id"),
                     F.concat(F.lit("CUST-"), F.col("o_custkey").cast("string")).alias("customer_id"),
                     F.col("o_totalprice").cast("decimal(12,2)").alias("amount"),
                     F.coalesce(F.col("items"), F.array().cast("array<string>")).alias("items"),
                     F.col("o_orderdate").alias("ts"),
-                    F.col("o_orderkey"),
-                    sha1_shard(order_id, n_shards).alias("shard")))
+                    F.col("o_orderkey"))
+            .transform(lambda d: add_sha1_shard(d, "order_id", n_shards)))
 
 
 def messages_view(spark: SparkSession, sf_dir: str, n_shards: int = NUM_SHARDS) -> DataFrame:
@@ -115,18 +140,18 @@ def acks_view(spark: SparkSession, sf_dir: str, n_shards: int = NUM_SHARDS) -> D
     """ACK marks ``(shard, order_id, ack_ts)``: one per successful event."""
     e = read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
     oid = F.concat(F.lit("ORD-"), F.col("event_id").cast("string"))
-    return (e.filter(F.col("event_type") != "error")
-            .select(sha1_shard(oid, n_shards).alias("shard"), oid.alias("order_id"),
-                    F.col("ts").alias("ack_ts")))
+    return add_sha1_shard(e.filter(F.col("event_type") != "error")
+                          .select(oid.alias("order_id"), F.col("ts").alias("ack_ts")),
+                          "order_id", n_shards).select("shard", "order_id", "ack_ts")
 
 
 def ack_log_view(spark: SparkSession, sf_dir: str, n_shards: int = NUM_SHARDS) -> DataFrame:
     """Repeated ack writes (one per user event): the same order is acked many times."""
     e = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     oid = F.concat(F.lit("ORD-"), (F.col("user_id") + 1).cast("string"))
-    return (e.filter(F.col("event_type") != "error")
-            .select(sha1_shard(oid, n_shards).alias("shard"), oid.alias("order_id"),
-                    F.col("ts").alias("ack_ts"), F.col("event_id")))
+    return add_sha1_shard(e.filter(F.col("event_type") != "error")
+                          .select(oid.alias("order_id"), F.col("ts").alias("ack_ts"), F.col("event_id")),
+                          "order_id", n_shards).select("shard", "order_id", "ack_ts", "event_id")
 
 
 def malformed_messages_view(spark: SparkSession, sf_dir: str) -> DataFrame:

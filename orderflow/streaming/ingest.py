@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from orderflow.operators.validate import order_errors, split_malformed, to_ledger
+from orderflow.operators.validate import decode_orders, to_ledger
 from orderflow.schemas import LEDGER_COLUMNS
 from orderflow.sources.messages import read_messages
 
@@ -48,10 +48,13 @@ def process_batch(batch: DataFrame, batch_id: int, paths: IngestPaths, first_win
     if batch.isEmpty():
         return {"batch_id": batch_id, "received": 0, "inserted": 0, "skipped": 0}
     spark = batch.sparkSession
-    stamped = batch.withColumn("__created_at", F.current_timestamp())
-    stamped.persist(StorageLevel.MEMORY_AND_DISK)
+    # Decode once per batch; the ledger, quarantine and counts all read this.
+    decoded = decode_orders(batch.withColumn("__created_at", F.current_timestamp()))
+    decoded.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        good, bad = split_malformed(stamped)
+        valid = F.size("errors") == 0
+        good = decoded.filter(valid)
+        bad = decoded.filter(~valid).withColumn("reason", F.array_join("errors", ";"))
         ledger = to_ledger(good, F.col("__created_at")).withColumn("batch_id", F.lit(batch_id).cast("long"))
         if first_wins:
             try:
@@ -71,14 +74,14 @@ def process_batch(batch: DataFrame, batch_id: int, paths: IngestPaths, first_win
         quarantine = bad.select("shard", "msg_id", "data", "reason",
                                 F.lit(batch_id).cast("long").alias("batch_id"))
         _overwrite_batch(quarantine, paths.quarantine, ["batch_id"])
-        counts = stamped.agg(F.count(F.lit(1)).alias("received"),
-                             F.count_if(F.size(order_errors("data")) == 0).alias("inserted")).first()
+        counts = decoded.agg(F.count(F.lit(1)).alias("received"),
+                             F.count_if(valid).alias("inserted")).first()
         res = {"batch_id": batch_id, "received": counts["received"], "inserted": counts["inserted"],
                "skipped": counts["received"] - counts["inserted"]}
         log.info("inserted batch=%d rows=%d skipped=%d", batch_id, res["inserted"], res["skipped"])
         return res
     finally:
-        stamped.unpersist()
+        decoded.unpersist()
 
 
 def start_ingest(spark: SparkSession, paths: IngestPaths, shards: list[int] | None = None,
@@ -91,9 +94,8 @@ def start_ingest(spark: SparkSession, paths: IngestPaths, shards: list[int] | No
     src = read_messages(spark, paths.source, streaming=True, max_files_per_trigger=max_files_per_trigger)
     if shards is not None:
         src = src.filter(F.col("shard").isin(list(shards)))
-    valid = F.size(order_errors("data")) == 0
     observed = src.observe("ingest", F.count(F.lit(1)).alias("received"),
-                           F.count_if(valid).alias("inserted"), F.count_if(~valid).alias("skipped"))
+                           F.min("ts").alias("min_ts"), F.max("ts").alias("max_ts"))
     w = (observed.writeStream
          .foreachBatch(lambda df, bid: process_batch(df, bid, paths, first_wins))
          .option("checkpointLocation", paths.checkpoint)

@@ -14,7 +14,7 @@ def test_scan_matches_window_with_hot_key(spark):
              float(random.random())) for i in range(3000)]
     df = spark.createDataFrame(rows, "k int, v int, id long, x double")
     got = ordered_scan(df, ["k"], ["v", "id"], sums={"rn": F.lit(1), "sx": F.col("x")},
-                       lags={"pv": F.col("v")}, num_partitions=6)
+                       lags={"pv": F.col("v")}, num_partitions=6, max_group_rows=400)
     w = Window.partitionBy("k").orderBy("v", "id")
     ref = df.select("id", F.row_number().over(w).alias("rn_r"),
                     F.sum("x").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("sx_r"),
@@ -27,5 +27,15 @@ def test_scan_matches_window_with_hot_key(spark):
 
 def test_scan_descending_order(spark):
     df = spark.createDataFrame([(0, i) for i in range(100)], "k int, v int")
-    got = ordered_scan(df, ["k"], [F.col("v").desc()], sums={"age": F.lit(1)}, num_partitions=5)
+    got = ordered_scan(df, ["k"], [F.col("v").desc()], sums={"age": F.lit(1)}, num_partitions=5,
+                       max_group_rows=10)
     assert {(r.v, r.age) for r in got.collect()} == {(i, 100 - i) for i in range(100)}
+
+
+def test_distributed_scan_alone_matches_window(spark):
+    from orderflow.operators.scan import distributed_scan, window_scan
+    df = spark.createDataFrame([(i % 3, i // 7, i) for i in range(2000)], "k int, v int, id long")
+    a = distributed_scan(df, ["k"], ["v", "id"], sums={"rn": F.lit(1)}, lags={"p": F.col("id")},
+                         num_partitions=9)
+    b = window_scan(df, ["k"], ["v", "id"], {"rn": F.lit(1)}, {"p": F.col("id")})
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
