@@ -106,7 +106,7 @@ def test_shard_groups_run_independently(spark, source, tmp):
 
 def _stream_with_sentinel(spark, df, tmp, key, sentinel_keys, ts="ts"):
     """Write ``df`` then a late sentinel row per key, read both as a stream."""
-    df.write.parquet(f"{tmp}/in/part=0")
+    df.coalesce(1).write.parquet(f"{tmp}/in/part=0")   # one file: one batch before the sentinel
     far = df.agg(F.max(ts).alias("m")).first().m
     sent = spark.createDataFrame([(k,) for k in sentinel_keys], f"{key} string") \
         .crossJoin(df.drop(key).limit(1)).withColumn(ts, F.lit(far) + F.expr("INTERVAL 30 DAYS"))
