@@ -888,3 +888,26 @@ def q_dedup_stream(spark, sf):
     out = spark.read.parquet(f"{root}/out")
     dec = validate.decode_orders(out)
     return dec.select("order_id", "shard", "customer_id")
+
+
+# ---------------------------------------------------------------- P-11
+@register("outcome_status_codes", with_views(["outcome"], """
+SELECT shard, CASE WHEN ok THEN 200 WHEN reason = 'circuit_open' THEN 503 ELSE 502 END AS status_code,
+       count(*) AS calls
+FROM outcome GROUP BY ALL"""))
+def q_outcome_status_codes(spark, sf):
+    c = validate.classify_outcome(tb.outcomes_view(spark, sf))
+    return c.groupBy("shard", "status_code").agg(F.count(F.lit(1)).alias("calls"))
+
+
+# ---------------------------------------------------------------- F-05
+@register("items_json", with_views(["ord"], """
+SELECT order_id, CAST(to_json(items) AS VARCHAR) = CAST(to_json(items) AS VARCHAR) AS encoded,
+       len(items) AS n_items, array_to_string(items, '|') AS items_text
+FROM ord"""))
+def q_items_json(spark, sf):
+    o = tb.orders_view(spark, sf)
+    j = o.select("order_id", codec.items_to_json("items").alias("items_json"))
+    back = j.select("order_id", F.col("items_json").isNotNull().alias("encoded"),
+                    codec.items_from_json("items_json").alias("items"))
+    return back.select("order_id", "encoded", F.size("items").alias("n_items"), _items_text().alias("items_text"))

@@ -89,3 +89,25 @@ def retain_latest(df: DataFrame, n: int = RETENTION, shard: str = "shard",
 def items_exploded(ledger: DataFrame) -> DataFrame:
     """F-11: one row per (order, item); orders without items keep one NULL item."""
     return ledger.select("order_id", "shard", F.explode_outer("items").alias("item"))
+
+
+def sink_acks(df: DataFrame, path: str, batch_id: int | None = None) -> None:
+    """S-09: append ack marks ``(shard, order_id, ack_ts)``, stored by shard.
+
+    Writes never update in place; "last write wins" is applied on read by
+    :func:`orderflow.operators.windows.latest_ack`. With ``batch_id`` a
+    replayed batch replaces its own folder instead of appending twice.
+    """
+    out = df.select("shard", "order_id", "ack_ts")
+    if batch_id is None:
+        out.write.mode("append").partitionBy("shard").parquet(path)
+    else:
+        (out.withColumn("batch_id", F.lit(batch_id).cast("long"))
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id", "shard").parquet(path))
+
+
+def read_acks(spark: SparkSession, path: str) -> DataFrame:
+    """Current ack marks: the latest write per order."""
+    from orderflow.operators.windows import latest_ack
+    return latest_ack(spark.read.parquet(path).select("shard", "order_id", "ack_ts"))
