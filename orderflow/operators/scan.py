@@ -162,9 +162,15 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list, *,
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__gn"))
     hot = reliable_checkpoint(sizes.filter(F.col("__gn") > limit)
                               .select(*[F.col(k).alias(f"__hk{i}") for i, k in enumerate(keys)],
-                                      F.lit(True).alias("__hot")))
-    if hot.isEmpty():
+                                      F.lit(True).alias("__hot"), "__gn"))
+    hot_rows = hot.agg(F.sum("__gn")).first()[0]
+    if not hot_rows:
         return window_scan(df, keys, order, sums, lags)
+    if num_partitions is None:
+        per_part = int(spark.conf.get("orderflow.scan.rowsPerPartition", "1000000"))
+        num_partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                             -(-int(hot_rows) // per_part))
+    hot = hot.drop("__gn")
     cond = None
     for i, k in enumerate(keys):
         c = F.col(k).eqNullSafe(F.col(f"__hk{i}"))

@@ -25,3 +25,15 @@ def ts_micros(df: DataFrame, col: str):
     if isinstance(df.schema[col].dataType, T.TimestampNTZType):
         return ntz_micros(col)
     return F.unix_micros(F.col(col))
+
+
+def keep_if(df: DataFrame, cond) -> DataFrame:
+    """``df.filter(cond)`` for a costly derived condition, evaluated where it stands.
+
+    A plain filter is pushed below the projections that compute its inputs,
+    and each reference is then recomputed (a JSON decode several times per
+    row). An explode of a zero- or one-element array keeps rows the same way
+    but is evaluated on the already projected columns.
+    """
+    keep = F.explode(F.when(cond, F.array(F.lit(1))).otherwise(F.array().cast("array<int>")))
+    return df.withColumn("__keep", keep).drop("__keep")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from orderflow.functions.codec import encode_order_json, to_money
 from orderflow.functions.routing import sha1_shard
+from orderflow.operators.util import keep_if
 from orderflow.schemas import EVENT_TYPE, ACK_MAX_IDS
 
 # Accepted JSON types per field (as reported by schema_of_variant).
@@ -111,8 +112,8 @@ def split_malformed(df: DataFrame, data: str = "data") -> tuple[DataFrame, DataF
     """P-03: (good decoded rows, bad rows with ``reason``). One decode, two filters;
     a bad row never fails the batch."""
     d = decode_orders(df, data)
-    good = d.filter(F.size("errors") == 0).drop("errors")
-    bad = (d.filter(F.size("errors") > 0)
+    good = keep_if(d, F.size("errors") == 0).drop("errors")
+    bad = (keep_if(d, F.size("errors") > 0)
            .select(*[c for c in df.columns], F.array_join("errors", ";").alias("reason")))
     return good, bad
 

@@ -91,11 +91,13 @@ def ack_progress(acks: DataFrame, submitted: DataFrame, interval_s: int,
                   .groupBy("round").agg(F.count(F.lit(1)).alias("new_acked")))
     all_rounds = (rounds_hit.agg(F.max("round").alias("mx"))
                   .select(F.explode(F.sequence(F.lit(0).cast("long"), F.col("mx"))).alias("round")))
-    from pyspark.sql import Window
-    w = Window.orderBy("round").rowsBetween(Window.unboundedPreceding, 0)
-    curve = (all_rounds.join(rounds_hit, "round", "left")
-             .select("round", F.coalesce("new_acked", F.lit(0)).cast("long").alias("new_acked"))
-             .withColumn("acked_total", F.sum("new_acked").over(w).cast("long")))
+    # One row per round: few unless the span is huge, and then the ordered
+    # scan spreads the running total over many tasks.
+    curve = ordered_scan(
+        all_rounds.join(rounds_hit, "round", "left")
+        .select(F.lit(0).alias("__all"), "round",
+                F.coalesce("new_acked", F.lit(0)).cast("long").alias("new_acked")),
+        ["__all"], ["round"], sums={"acked_total": F.col("new_acked")}).drop("__all")
     from orderflow.functions.codec import pct
     return (with_scalars(curve, n_sub)
             .select("round", "new_acked", "acked_total",
