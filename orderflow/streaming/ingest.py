@@ -41,18 +41,24 @@ def _overwrite_batch(df: DataFrame, path: str, partition_by: list[str]) -> None:
 
 
 def process_batch(batch: DataFrame, batch_id: int, paths: IngestPaths, first_wins: bool = False) -> dict:
-    """One micro-batch: ledger first, then acks for exactly the stored rows.
+    """One micro-batch: ledger first, then acks for exactly the rows it stored.
 
-    Returns counts (received, inserted, skipped). An empty batch writes nothing.
+    Acks are written only after the ledger write returned, from the same
+    persisted rows. Returns counts (received, inserted, skipped). An empty
+    batch writes nothing.
     """
-    if batch.isEmpty():
-        return {"batch_id": batch_id, "received": 0, "inserted": 0, "skipped": 0}
     spark = batch.sparkSession
-    # Decode once per batch; the ledger, quarantine and counts all read this.
+    # Decode once per batch; the counts, ledger, acks and quarantine all read it.
     decoded = decode_orders(batch.withColumn("__created_at", F.current_timestamp()))
     decoded.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         valid = F.size("errors") == 0
+        counts = decoded.agg(F.count(F.lit(1)).alias("received"),
+                             F.count_if(valid).alias("inserted")).first()
+        res = {"batch_id": batch_id, "received": counts["received"], "inserted": counts["inserted"],
+               "skipped": counts["received"] - counts["inserted"]}
+        if counts["received"] == 0:
+            return res
         good = decoded.filter(valid)
         bad = decoded.filter(~valid).withColumn("reason", F.array_join("errors", ";"))
         ledger = to_ledger(good, F.col("__created_at")).withColumn("batch_id", F.lit(batch_id).cast("long"))
@@ -67,17 +73,11 @@ def process_batch(batch: DataFrame, batch_id: int, paths: IngestPaths, first_win
         ledger = ledger.select(*LEDGER_COLUMNS, "batch_id")
         # Durable write first; an exception here leaves the batch un-acked.
         _overwrite_batch(ledger, paths.ledger, ["batch_id", "shard"])
-        stored_now = spark.read.parquet(paths.ledger).filter(F.col("batch_id") == batch_id)
-        acks = stored_now.select("shard", "order_id", F.col("created_at").alias("ack_ts"),
-                                 F.lit(batch_id).cast("long").alias("batch_id"))
+        acks = ledger.select("shard", "order_id", F.col("created_at").alias("ack_ts"), "batch_id")
         _overwrite_batch(acks, paths.acks, ["batch_id"])
         quarantine = bad.select("shard", "msg_id", "data", "reason",
                                 F.lit(batch_id).cast("long").alias("batch_id"))
         _overwrite_batch(quarantine, paths.quarantine, ["batch_id"])
-        counts = decoded.agg(F.count(F.lit(1)).alias("received"),
-                             F.count_if(valid).alias("inserted")).first()
-        res = {"batch_id": batch_id, "received": counts["received"], "inserted": counts["inserted"],
-               "skipped": counts["received"] - counts["inserted"]}
         log.info("inserted batch=%d rows=%d skipped=%d", batch_id, res["inserted"], res["skipped"])
         return res
     finally:
