@@ -162,3 +162,15 @@ def test_await_acks_stream_join_matches_batch(spark, tmp):
                                                               F.col("ts").alias("ack_ts")),
                       "user_id", 3600).filter("ack_id is not null").select("event_id", "ack_id")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_crash_after_ledger_write_before_commit(spark, source, tmp):
+    """Batch 0 reached the ledger but its offsets were never committed: the
+    restarted query replays batch 0 and the ledger still has one row per order."""
+    p = paths_under(tmp)
+    p.source = f"{source}/source"
+    process_batch(read_messages(spark, p.source), 0, p)          # written, not committed
+    start_ingest(spark, p).awaitTermination()                     # fresh checkpoint: replays batch 0
+    led = spark.read.parquet(p.ledger)
+    good, _ = split_malformed(tb.malformed_messages_view(spark, SF))
+    assert led.count() == good.count() == led.select("order_id").distinct().count()
