@@ -160,26 +160,25 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list, *,
     spark = df.sparkSession
     limit = max_group_rows or int(spark.conf.get("orderflow.scan.maxGroupRows", str(DEFAULT_MAX_GROUP_ROWS)))
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__gn"))
-    hot = reliable_checkpoint(sizes.filter(F.col("__gn") > limit)
-                              .select(*[F.col(k).alias(f"__hk{i}") for i, k in enumerate(keys)],
-                                      F.lit(True).alias("__hot"), "__gn"))
-    hot_rows = hot.agg(F.sum("__gn")).first()[0]
+    hot_sizes = sizes.filter(F.col("__gn") > limit)
+    hot_rows = hot_sizes.agg(F.sum("__gn")).first()[0]
     if not hot_rows:
         return window_scan(df, keys, order, sums, lags)
+    hot = reliable_checkpoint(hot_sizes.select(*[F.col(k).alias(f"__hk{i}") for i, k in enumerate(keys)],
+                                               F.lit(True).alias("__hot")))
     if num_partitions is None:
         per_part = int(spark.conf.get("orderflow.scan.rowsPerPartition", "1000000"))
         num_partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                              -(-int(hot_rows) // per_part))
-    hot = hot.drop("__gn")
     cond = None
     for i, k in enumerate(keys):
         c = F.col(k).eqNullSafe(F.col(f"__hk{i}"))
         cond = c if cond is None else cond & c
     tagged = df.join(F.broadcast(hot), cond, "left").select(*df.columns, "__hot")
     cold_rows = tagged.filter(F.col("__hot").isNull()).drop("__hot")
-    hot_rows = tagged.filter(F.col("__hot")).drop("__hot")
+    hot_part = tagged.filter(F.col("__hot")).drop("__hot")
     return (window_scan(cold_rows, keys, order, sums, lags)
-            .unionByName(distributed_scan(hot_rows, keys, order, sums=sums, lags=lags,
+            .unionByName(distributed_scan(hot_part, keys, order, sums=sums, lags=lags,
                                           num_partitions=num_partitions)))
 
 
