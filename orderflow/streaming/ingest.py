@@ -35,9 +35,18 @@ class IngestPaths:
     checkpoint: str
 
 
-def _overwrite_batch(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*partition_by).parquet(path))
+def _overwrite_batch(df: DataFrame, path: str, batch_id: int, partition_by: list[str]) -> None:
+    """Replace the ``batch_id=<n>`` folder of this batch (and nothing else).
+
+    The batch id is a constant of the micro-batch, so its folder is written
+    directly (an overwrite of one path) instead of through dynamic partition
+    overwrite; readers of ``path`` still see ``batch_id`` as a partition column.
+    """
+    rest = [c for c in partition_by if c != "batch_id"]
+    w = df.drop("batch_id").write.mode("overwrite")
+    if rest:
+        w = w.partitionBy(*rest)
+    w.parquet(f"{path.rstrip('/')}/batch_id={int(batch_id)}")
 
 
 def process_batch(batch: DataFrame, batch_id: int, paths: IngestPaths, first_wins: bool = False) -> dict:
@@ -72,12 +81,12 @@ def process_batch(batch: DataFrame, batch_id: int, paths: IngestPaths, first_win
                     raise
         ledger = ledger.select(*LEDGER_COLUMNS, "batch_id")
         # Durable write first; an exception here leaves the batch un-acked.
-        _overwrite_batch(ledger, paths.ledger, ["batch_id", "shard"])
+        _overwrite_batch(ledger, paths.ledger, batch_id, ["batch_id", "shard"])
         acks = ledger.select("shard", "order_id", F.col("created_at").alias("ack_ts"), "batch_id")
-        _overwrite_batch(acks, paths.acks, ["batch_id"])
+        _overwrite_batch(acks, paths.acks, batch_id, ["batch_id"])
         quarantine = bad.select("shard", "msg_id", "data", "reason",
                                 F.lit(batch_id).cast("long").alias("batch_id"))
-        _overwrite_batch(quarantine, paths.quarantine, ["batch_id"])
+        _overwrite_batch(quarantine, paths.quarantine, batch_id, ["batch_id"])
         log.info("inserted batch=%d rows=%d skipped=%d", batch_id, res["inserted"], res["skipped"])
         return res
     finally:
