@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def throughput(df: DataFrame, size: str, slide: str | None = None, by: list[str] | None = None,
@@ -14,12 +15,20 @@ def throughput(df: DataFrame, size: str, slide: str | None = None, by: list[str]
     append mode and their state dropped.
     """
     by = ["shard"] if by is None else by
-    src = df.withWatermark(ts, watermark) if watermark else df
+    ntz = isinstance(df.schema[ts].dataType, T.TimestampNTZType)
+    src = df
+    if watermark:
+        # Watermarks need TIMESTAMP; the window bounds are turned back afterwards.
+        if ntz:
+            src = src.withColumn(ts, F.col(ts).cast("timestamp"))
+        src = src.withWatermark(ts, watermark)
     win = F.window(ts, size, slide) if slide else F.window(ts, size)
+    start, end = F.col("w.start"), F.col("w.end")
+    if watermark and ntz:
+        start, end = start.cast("timestamp_ntz"), end.cast("timestamp_ntz")
     return (src.groupBy(*by, win.alias("w"))
             .agg(F.count(F.lit(1)).alias("calls"), F.count_if(F.col("ok")).alias("ok_calls"))
-            .select(*by, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                    "calls", "ok_calls"))
+            .select(*by, start.alias("window_start"), end.alias("window_end"), "calls", "ok_calls"))
 
 
 def dedup_stream(df: DataFrame, key: list[str], ts: str, delay: str) -> DataFrame:

@@ -79,3 +79,13 @@ def test_retention_keeps_newest_per_shard(spark):
     kept = retain_latest(m, 10)
     counts = {r.shard: r["count"] for r in kept.groupBy("shard").count().collect()}
     assert set(counts.values()) == {10}
+
+
+def test_log_lines_file_round_trip(spark, tmp):
+    from orderflow.sources.logs import read_logs, write_logs
+    recs = tb.log_records_view(spark, SF).select("ts", "level", "logger", "msg")
+    write_logs(recs, f"{tmp}/logs")
+    back = read_logs(spark, f"{tmp}/logs")
+    want = recs.withColumn("ts", F.date_trunc("second", "ts"))
+    assert back.count() == recs.count()
+    assert back.select("ts", "level", "logger", "msg").exceptAll(want).count() == 0
