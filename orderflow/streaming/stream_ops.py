@@ -31,9 +31,16 @@ def throughput(df: DataFrame, size: str, slide: str | None = None, by: list[str]
             .select(*by, start.alias("window_start"), end.alias("window_end"), "calls", "ok_calls"))
 
 
+def _event_time(df: DataFrame, ts: str) -> DataFrame:
+    # Watermarks need TIMESTAMP; NTZ event times are read as session-zone wall clock.
+    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        return df.withColumn(ts, F.col(ts).cast("timestamp"))
+    return df
+
+
 def dedup_stream(df: DataFrame, key: list[str], ts: str, delay: str) -> DataFrame:
     """T-04: drop repeated keys, keeping state only for ``delay`` past the watermark."""
-    return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(key)
+    return _event_time(df, ts).withWatermark(ts, delay).dropDuplicatesWithinWatermark(key)
 
 
 def await_acks(produced: DataFrame, acks: DataFrame, key: str, within_s: int,
@@ -41,8 +48,8 @@ def await_acks(produced: DataFrame, acks: DataFrame, key: str, within_s: int,
     """T-10: each produced row with the acks that came within ``within_s`` after it
     (left outer: unmatched rows kept with NULLs). Streams need ``watermark``.
     """
-    p = produced.withWatermark(p_ts, watermark) if watermark else produced
-    a = acks.withWatermark(a_ts, watermark) if watermark else acks
+    p = _event_time(produced, p_ts).withWatermark(p_ts, watermark) if watermark else produced
+    a = _event_time(acks, a_ts).withWatermark(a_ts, watermark) if watermark else acks
     a = a.withColumnRenamed(key, "__ack_key")
     cond = ((F.col(key) == F.col("__ack_key")) & (F.col(a_ts) >= F.col(p_ts)) &
             (F.col(a_ts) <= F.col(p_ts) + F.expr(f"INTERVAL {int(within_s)} SECONDS")))
