@@ -49,12 +49,13 @@ def _same(a: pd.Series, b: pd.Series) -> np.ndarray:
     return eq | both_null
 
 
-def _local_scan(keys, sums, lags, int_lags):
-    """Per-partition running sums / lags; rows arrive sorted by (keys, order)."""
+def _local_scan(keys, sums, maxes, lags, int_outs):
+    """Per-partition running sums / maxes / lags; rows arrive sorted by (keys, order)."""
 
     def run(batches):
         carry_key = None
         carry_sum = {}
+        carry_max = {}
         carry_lag = {}
         first_done = False
         held = None
@@ -82,9 +83,15 @@ def _local_scan(keys, sums, lags, int_lags):
                 if cont.any():
                     cs = cs.where(~cont, cs + carry_sum[out])
                 pdf[out] = cs
+            for out, src in maxes.items():
+                v = pdf[src].astype("float64")
+                cm = v.groupby(gid).cummax().groupby(gid).ffill()
+                if cont.any() and carry_max[out] is not None:
+                    cm = cm.where(~cont, np.fmax(cm, carry_max[out]))
+                pdf[out] = cm.round().astype("Int64") if out in int_outs else cm.astype("Float64")
             for out, src in lags.items():
                 s = pdf[src]
-                vals = s.shift(1).astype("Float64") if out not in int_lags else s.shift(1).astype("Int64")
+                vals = s.shift(1).astype("Float64") if out not in int_outs else s.shift(1).astype("Int64")
                 vals = vals.mask(pd.Series(new), pd.NA)
                 if cont[0]:
                     vals.iloc[0] = carry_lag[out] if carry_lag[out] is not None else pd.NA
@@ -98,6 +105,9 @@ def _local_scan(keys, sums, lags, int_lags):
             carry_key = tuple(pdf[k].iloc[last] for k in keys)
             for out in sums:
                 carry_sum[out] = pdf[out].iloc[last]
+            for out in maxes:
+                val = pdf[out].iloc[last]
+                carry_max[out] = None if pd.isna(val) else float(val)
             for out, src in lags.items():
                 val = pdf[src].iloc[last]
                 carry_lag[out] = None if pd.isna(val) else val
@@ -117,28 +127,36 @@ def _local_scan(keys, sums, lags, int_lags):
 DEFAULT_MAX_GROUP_ROWS = 2_000_000
 
 
-def _result_types(df: DataFrame, sums: dict, lags: dict) -> tuple[dict, dict]:
+_INTS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _result_types(df: DataFrame, sums: dict, maxes: dict, lags: dict) -> dict:
     probe = df.select(*[_c(e).alias(f"s_{n}") for n, e in sums.items()],
+                      *[_c(e).alias(f"m_{n}") for n, e in maxes.items()],
                       *[_c(e).alias(f"l_{n}") for n, e in lags.items()]).schema
-    frac = (T.FloatType, T.DoubleType, T.DecimalType)
-    ints = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-    st = {n: ("double" if isinstance(probe[f"s_{n}"].dataType, frac) else "long") for n in sums}
-    lt = {n: ("long" if isinstance(probe[f"l_{n}"].dataType, ints) else "double") for n in lags}
-    return st, lt
+    out = {}
+    for p, group in (("s", sums), ("m", maxes), ("l", lags)):
+        for n in group:
+            out[n] = "long" if isinstance(probe[f"{p}_{n}"].dataType, _INTS) else "double"
+    return out
 
 
-def window_scan(df: DataFrame, keys: list[str], order: list, sums: dict, lags: dict) -> DataFrame:
+def window_scan(df: DataFrame, keys: list[str], order: list, sums: dict, lags: dict,
+                maxes: dict | None = None) -> DataFrame:
     """The same results with plain window functions (for groups of bounded size)."""
-    st, lt = _result_types(df, sums, lags)
+    maxes = maxes or {}
+    rt = _result_types(df, sums, maxes, lags)
     w = Window.partitionBy(*keys).orderBy(*[_c(o) for o in order])
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.select("*", *[F.sum(_c(e)).over(run).cast(st[n]).alias(n) for n, e in sums.items()],
-                     *[F.lag(_c(e)).over(w).cast(lt[n]).alias(n) for n, e in lags.items()])
+    return df.select("*", *[F.sum(_c(e)).over(run).cast(rt[n]).alias(n) for n, e in sums.items()],
+                     *[F.max(_c(e)).over(run).cast(rt[n]).alias(n) for n, e in maxes.items()],
+                     *[F.lag(_c(e)).over(w).cast(rt[n]).alias(n) for n, e in lags.items()])
 
 
 def ordered_scan(df: DataFrame, keys: list[str], order: list, *,
                  sums: dict[str, Column] | None = None,
                  lags: dict[str, Column] | None = None,
+                 maxes: dict[str, Column] | None = None,
                  num_partitions: int | None = None,
                  max_group_rows: int | None = None) -> DataFrame:
     """Add inclusive running sums and previous-row values inside ``keys`` groups.
@@ -147,7 +165,8 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list, *,
     must make the order total inside a group. ``sums`` maps an output name to
     a numeric expression (``F.lit(1)`` gives ``row_number``); ``lags`` maps an
     output name to a numeric / timestamp-as-long expression whose previous
-    row value is returned (NULL on a group's first row).
+    row value is returned (NULL on a group's first row); ``maxes`` gives the
+    running maximum (NULLs skipped).
 
     Group sizes are counted first (a map-side-combined aggregate). Rows of
     groups with at most ``max_group_rows`` rows use a plain window; rows of
@@ -157,13 +176,14 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list, *,
     """
     sums = dict(sums or {})
     lags = dict(lags or {})
+    maxes = dict(maxes or {})
     spark = df.sparkSession
     limit = max_group_rows or int(spark.conf.get("orderflow.scan.maxGroupRows", str(DEFAULT_MAX_GROUP_ROWS)))
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__gn"))
     hot_sizes = sizes.filter(F.col("__gn") > limit)
     hot_rows = hot_sizes.agg(F.sum("__gn")).first()[0]
     if not hot_rows:
-        return window_scan(df, keys, order, sums, lags)
+        return window_scan(df, keys, order, sums, lags, maxes)
     hot = reliable_checkpoint(hot_sizes.select(*[F.col(k).alias(f"__hk{i}") for i, k in enumerate(keys)],
                                                F.lit(True).alias("__hot")))
     if num_partitions is None:
@@ -177,18 +197,21 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list, *,
     tagged = df.join(F.broadcast(hot), cond, "left").select(*df.columns, "__hot")
     cold_rows = tagged.filter(F.col("__hot").isNull()).drop("__hot")
     hot_part = tagged.filter(F.col("__hot")).drop("__hot")
-    return (window_scan(cold_rows, keys, order, sums, lags)
-            .unionByName(distributed_scan(hot_part, keys, order, sums=sums, lags=lags,
+    return (window_scan(cold_rows, keys, order, sums, lags, maxes)
+            .unionByName(distributed_scan(hot_part, keys, order, sums=sums, lags=lags, maxes=maxes,
                                           num_partitions=num_partitions)))
 
 
 def distributed_scan(df: DataFrame, keys: list[str], order: list, *,
                      sums: dict[str, Column] | None = None,
                      lags: dict[str, Column] | None = None,
+                     maxes: dict[str, Column] | None = None,
                      num_partitions: int | None = None) -> DataFrame:
     """The range-partitioned scan of the module docstring (any group size)."""
     sums = dict(sums or {})
     lags = dict(lags or {})
+    maxes = dict(maxes or {})
+    rt = _result_types(df, sums, maxes, lags)
     spark = df.sparkSession
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     src_names = {}
@@ -196,6 +219,10 @@ def distributed_scan(df: DataFrame, keys: list[str], order: list, *,
     for out, expr in sums.items():
         src_names[out] = f"__sum_src_{out}"
         extra.append(_c(expr).alias(src_names[out]))
+    max_src = {}
+    for out, expr in maxes.items():
+        max_src[out] = f"__max_src_{out}"
+        extra.append(_c(expr).alias(max_src[out]))
     lag_src = {}
     for out, expr in lags.items():
         lag_src[out] = f"__lag_src_{out}"
@@ -207,30 +234,21 @@ def distributed_scan(df: DataFrame, keys: list[str], order: list, *,
     staged = staged.withColumn(_PID, F.spark_partition_id())
 
     schema = staged.schema
-    int_lags = set()
+    int_outs = {n for n, t in rt.items() if t == "long"}
     fields = list(schema.fields)
-    for out in sums:
-        t = schema[src_names[out]].dataType
-        rt = T.DoubleType() if isinstance(t, (T.FloatType, T.DoubleType, T.DecimalType)) else T.LongType()
-        fields.append(T.StructField(out, rt, True))
-    for out in lags:
-        t = schema[lag_src[out]].dataType
-        if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-            int_lags.add(out)
-            fields.append(T.StructField(out, T.LongType(), True))
-        else:
-            fields.append(T.StructField(out, T.DoubleType(), True))
+    for out in [*sums, *maxes, *lags]:
+        fields.append(T.StructField(out, T.LongType() if out in int_outs else T.DoubleType(), True))
     fields += [T.StructField(_FIRST, T.BooleanType()), T.StructField(_LAST, T.BooleanType())]
     out_schema = T.StructType(fields)
     local = staged.mapInPandas(
-        _local_scan(keys, src_names, lag_src, int_lags), schema=out_schema)
+        _local_scan(keys, src_names, max_src, lag_src, int_outs), schema=out_schema)
 
     key_struct = F.struct(*[F.col(k) for k in keys])
     last_vals = F.struct(
         key_struct.alias("lk"),
         *[F.col(o).alias(f"ls_{o}") for o in sums],
-        *[F.col(lag_src[o]).cast("double" if o not in int_lags else "long").alias(f"lv_{o}")
-          for o in lags])
+        *[F.col(o).alias(f"lm_{o}") for o in maxes],
+        *[F.col(lag_src[o]).cast(rt[o]).alias(f"lv_{o}") for o in lags])
     # One row per non-empty partition: bounded by the partition count.
     summary = (local.filter(F.col(_FIRST) | F.col(_LAST))
                .groupBy(_PID)
@@ -240,12 +258,14 @@ def distributed_scan(df: DataFrame, keys: list[str], order: list, *,
     w_all = Window.orderBy(_PID)
     w_run = Window.partitionBy("lk").orderBy(_PID).rowsBetween(Window.unboundedPreceding, 0)
     summary = summary.select(
-        "*", *[F.sum(f"ls_{o}").over(w_run).alias(f"cum_{o}") for o in sums])
+        "*", *[F.sum(f"ls_{o}").over(w_run).alias(f"cum_{o}") for o in sums],
+        *[F.max(f"lm_{o}").over(w_run).alias(f"cmax_{o}") for o in maxes])
     prev_lk = F.lag("lk").over(w_all)
     continues = F.coalesce(prev_lk.eqNullSafe(F.col("fk")), F.lit(False))
     fix = summary.select(
         F.col(_PID), F.col("fk"), continues.alias("__cont"),
         *[F.lag(f"cum_{o}").over(w_all).alias(f"off_{o}") for o in sums],
+        *[F.lag(f"cmax_{o}").over(w_all).alias(f"moff_{o}") for o in maxes],
         *[F.lag(f"lv_{o}").over(w_all).alias(f"pv_{o}") for o in lags])
 
     joined = local.join(F.broadcast(fix), _PID, "left")
@@ -253,6 +273,9 @@ def distributed_scan(df: DataFrame, keys: list[str], order: list, *,
     outs = []
     for o in sums:
         outs.append((F.col(o) + F.when(in_first_group, F.col(f"off_{o}")).otherwise(0)).alias(o))
+    for o in maxes:
+        outs.append(F.when(in_first_group, F.greatest(F.col(o), F.col(f"moff_{o}")))
+                    .otherwise(F.col(o)).cast(rt[o]).alias(o))
     for o in lags:
         outs.append(F.when(F.col(_FIRST) & in_first_group, F.col(f"pv_{o}"))
                     .otherwise(F.col(o)).alias(o))

@@ -14,14 +14,18 @@ def test_scan_matches_window_with_hot_key(spark):
              float(random.random())) for i in range(3000)]
     df = spark.createDataFrame(rows, "k int, v int, id long, x double")
     got = ordered_scan(df, ["k"], ["v", "id"], sums={"rn": F.lit(1), "sx": F.col("x")},
-                       lags={"pv": F.col("v")}, num_partitions=6, max_group_rows=400)
+                       lags={"pv": F.col("v")}, num_partitions=6, max_group_rows=400,
+                       maxes={"mx": F.when(F.col("id") % 3 == 0, F.col("id"))})
     w = Window.partitionBy("k").orderBy("v", "id")
     ref = df.select("id", F.row_number().over(w).alias("rn_r"),
                     F.sum("x").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("sx_r"),
-                    F.lag("v").over(w).alias("pv_r"))
+                    F.lag("v").over(w).alias("pv_r"),
+                    F.max(F.when(F.col("id") % 3 == 0, F.col("id"))).over(
+                        w.rowsBetween(Window.unboundedPreceding, 0)).alias("mx_r"))
     j = got.join(ref, "id")
     bad = j.filter((F.col("rn") != F.col("rn_r")) | (F.abs(F.col("sx") - F.col("sx_r")) > 1e-9) |
-                   ~F.col("pv").eqNullSafe(F.col("pv_r").cast("long")))
+                   ~F.col("pv").eqNullSafe(F.col("pv_r").cast("long")) |
+                   ~F.col("mx").eqNullSafe(F.col("mx_r")))
     assert got.count() == 3000 and bad.count() == 0
 
 
