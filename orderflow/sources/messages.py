@@ -68,3 +68,32 @@ def from_position(df: DataFrame, start: str, msg_id: str = "msg_id") -> DataFram
     m = msg_id_millis(msg_id)
     _, s = parse_msg_id(msg_id)
     return df.filter((m > ms) | ((m == ms) & (s > seq)))
+
+
+def read_messages_kafka(spark: SparkSession, servers: str, topic: str,
+                        starting: str = "latest", max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """S-01 / S-02 on Kafka: one topic keyed by ``order_id``, one Kafka partition
+    per shard. ``starting`` is ``latest`` (``$``), ``earliest`` (``0-0``) or a
+    JSON offsets spec. Needs the spark-sql-kafka package on the classpath (not
+    part of this environment, so only the batch/file forms are tested here)."""
+    r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+         .option("subscribe", topic).option("startingOffsets", starting))
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    env = T.StructType([T.StructField("type", T.StringType()), T.StructField("data", T.StringType()),
+                        T.StructField("timestamp", T.StringType())])
+    k = r.load()
+    return k.select(
+        F.col("partition").alias("shard"),
+        F.concat(F.unix_millis(F.col("timestamp")).cast("string"), F.lit("-"),
+                 F.col("offset").cast("string")).alias("msg_id"),
+        F.from_json(F.col("value").cast("string"), env).alias("e"),
+        F.col("timestamp").cast("timestamp_ntz").alias("ts")).select("shard", "msg_id", "e.*", "ts")
+
+
+def write_messages_kafka(df: DataFrame, servers: str, topic: str, checkpoint: str):
+    """S-03 on Kafka: key = order_id, partition = shard, value = the envelope JSON."""
+    out = df.select(F.col("order_id").alias("key"), F.col("shard").alias("partition"),
+                    F.to_json(F.struct("type", "data", "timestamp")).alias("value"))
+    return (out.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
+            .option("topic", topic).option("checkpointLocation", checkpoint).start())
