@@ -13,21 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderflow.operators.scan import ordered_scan
-from orderflow.operators.util import with_scalars
-from orderflow.sources.tables import ntz_micros, ntz_millis
+from orderflow.operators.util import ts_micros, with_scalars
+from orderflow.sources.tables import ntz_millis
 
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def ts_micros(df: DataFrame, col: str) -> Column:
-    """Epoch micros of a timestamp column of either flavour."""
-    if isinstance(df.schema[col].dataType, T.TimestampNTZType):
-        return ntz_micros(col)
-    return F.unix_micros(F.col(col))
-
-
 def ts_millis(df: DataFrame, col: str) -> Column:
     if isinstance(df.schema[col].dataType, T.TimestampNTZType):
         return ntz_millis(col)

@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from orderflow.operators.aggregates import retry_rollup
 from orderflow.operators.state import (BreakerState, FlushState, breaker_state_at, breaker_step,
