@@ -190,9 +190,11 @@ def shard_balance(df: DataFrame, n_shards: int, tolerance: float = 0.4) -> DataF
         (F.col("__min") > 0).alias("all_shards_used"))
 
 
-def shards_per_key(df: DataFrame, key: str, shard: str = "shard") -> DataFrame:
-    """A-12: distinct shards per key (two-phase distinct aggregation)."""
-    return df.groupBy(key).agg(F.count_distinct(shard).alias("n_shards"))
+def shards_per_key(df: DataFrame, key: str, shard: str = "shard", approx: bool = False) -> DataFrame:
+    """A-12: distinct shards per key (two-phase distinct aggregation); with
+    ``approx`` a HyperLogLog sketch per key instead."""
+    n = F.approx_count_distinct(shard) if approx else F.count_distinct(shard)
+    return df.groupBy(key).agg(n.alias("n_shards"))
 
 
 def health(states: DataFrame, name: str = "name", state: str = "state") -> DataFrame:
