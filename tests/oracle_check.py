@@ -84,7 +84,11 @@ def main(argv):
     names = argv[2:]
     import __spark_entry__ as E
     from orderflow.session import build_session
-    spark = build_session("local[8]", shuffle_partitions=8)
+    import os
+    conf = {}
+    if os.environ.get("ORDERFLOW_MAX_GROUP_ROWS"):   # force the distributed scan path
+        conf["orderflow.scan.maxGroupRows"] = os.environ["ORDERFLOW_MAX_GROUP_ROWS"]
+    spark = build_session("local[8]", shuffle_partitions=8, conf=conf)
     con = duck(sf_dir)
     qs, sql = E.queries(), E.oracle_sql()
     bad = 0
