@@ -54,3 +54,18 @@ def await_acks(produced: DataFrame, acks: DataFrame, key: str, within_s: int,
     cond = ((F.col(key) == F.col("__ack_key")) & (F.col(a_ts) >= F.col(p_ts)) &
             (F.col(a_ts) <= F.col(p_ts) + F.expr(f"INTERVAL {int(within_s)} SECONDS")))
     return p.join(a, cond, "left_outer").drop("__ack_key")
+
+
+def ack_sessions_stream(acks: DataFrame, ttl_s: int, watermark: str, shard: str = "shard",
+                        ts: str = "ack_ts") -> DataFrame:
+    """T-08 on a stream: one row per ack-hash lifetime of a shard, emitted once the
+    watermark passes its expiry (``session_window`` with a gap of the TTL)."""
+    src = _event_time(acks, ts).withWatermark(ts, watermark)
+    ntz = isinstance(acks.schema[ts].dataType, T.TimestampNTZType)
+    s = (src.groupBy(shard, F.session_window(ts, f"{int(ttl_s)} seconds").alias("s"))
+         .agg(F.count(F.lit(1)).alias("acks"), F.max(ts).alias("last_write")))
+    cols = [F.col("s.start"), F.col("last_write"), F.col("s.end")]
+    if ntz:
+        cols = [c.cast("timestamp_ntz") for c in cols]
+    return s.select(shard, cols[0].alias("started"), cols[1].alias("last_write"),
+                    cols[2].alias("expires_at"), "acks")

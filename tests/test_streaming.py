@@ -206,3 +206,17 @@ def test_throughput_stream_equals_batch(spark, tmp):
     got = spark.sql("select * from tput_out").filter(F.col("window_start") <= F.lit(last))
     want = throughput(o.withColumn("shard", F.col("shard").cast("string")), "1 hour", "30 minutes")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_ack_sessions_stream_equals_batch(spark, tmp):
+    from orderflow.operators.windows import ack_sessions
+    from orderflow.streaming.stream_ops import ack_sessions_stream
+    a = tb.acks_view(spark, SF).select(F.col("shard").cast("string").alias("shard"), "order_id", "ack_ts")
+    src = _stream_with_sentinel(spark, a, tmp, "shard", ["0", "1", "2", "3"], ts="ack_ts")
+    q = (ack_sessions_stream(src, 1800, "1 hour").writeStream.outputMode("append").format("memory")
+         .queryName("sess_out").trigger(availableNow=True).start())
+    q.awaitTermination()
+    last = a.agg(F.max("ack_ts")).first()[0]
+    got = spark.sql("select * from sess_out").filter(F.col("started") <= F.lit(last))
+    want = ack_sessions(a, 1800).select("shard", "started", "last_write", "expires_at", "acks")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
