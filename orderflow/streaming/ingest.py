@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import logging
 import time
+from datetime import datetime, timezone
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -58,7 +59,14 @@ def process_batch(batch: DataFrame, batch_id: int, paths: IngestPaths, first_win
     """
     spark = batch.sparkSession
     # Decode once per batch; the counts, ledger, acks and quarantine all read it.
-    decoded = decode_orders(batch.withColumn("__created_at", F.current_timestamp()))
+    # One stamp per micro-batch, fixed on the driver: a recomputed partition
+    # (lost executor, evicted cache) gets the same created_at / ack_ts.
+    stamp = F.lit(datetime.now(timezone.utc))
+    decoded = decode_orders(batch.withColumn("__created_at", stamp))
+    # Keep only what the writes need; the raw payload only for rejected rows.
+    decoded = decoded.select(
+        "shard", "msg_id", "order_id", "customer_id", "amount", "items", "errors", "__created_at",
+        F.when(F.size("errors") > 0, F.col("data")).alias("data"))
     decoded.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         valid = F.size("errors") == 0
