@@ -2,7 +2,7 @@
 
 source (shard logs) -> decode -> split good / malformed -> ledger write
 -> ack write -> offset commit. The offset commit after ``foreachBatch``
-returns plays the part of XACK: a batch whose ledger write fails raises,
+returns is the acknowledgement to the log: a batch whose ledger write fails raises,
 so nothing of it is acked or committed and the whole batch is replayed on
 restart (at-least-once). Replays overwrite their own ``batch_id`` folder,
 so the ledger and ack tables end up as if each batch ran once.
