@@ -181,3 +181,24 @@ def log_records_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(F.col("ts"), F.col("event_id"),
                     F.when(F.col("ok"), F.lit("INFO")).otherwise(F.lit("ERROR")).alias("level"),
                     F.lit("consumer").alias("logger"), msg.alias("msg"))
+
+
+VIEWS = {
+    "ord": lambda s, d: orders_view(s, d),
+    "msg": lambda s, d: messages_view(s, d),
+    "bad_msg": lambda s, d: malformed_messages_view(s, d),
+    "outcome": lambda s, d: outcomes_view(s, d),
+    "attempt": lambda s, d: attempts_view(s, d),
+    "ack": lambda s, d: acks_view(s, d),
+    "ack_log": lambda s, d: ack_log_view(s, d),
+    "logrec": lambda s, d: log_records_view(s, d),
+}
+
+
+def register_views(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> list[str]:
+    """Expose the pipeline records as temp views for ``spark.sql`` users."""
+    done = []
+    for name in names or list(VIEWS):
+        VIEWS[name](spark, sf_dir).createOrReplaceTempView(name)
+        done.append(name)
+    return done

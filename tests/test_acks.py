@@ -43,3 +43,11 @@ def test_posted_order_not_pending_once_acked(spark):
     orders = spark.createDataFrame([("ORD-IT-1",)], "order_id string").withColumn("shard", sha1_shard("order_id", 4))
     assert pending(orders, acks(spark, ["ORD-IT-1"])).count() == 0
     assert pending(orders, acks(spark, [])).count() == 1
+
+
+def test_views_for_sql_users(spark):
+    from orderflow.sources.tables import register_views
+    register_views(spark, "/root/testdata/sf0.001", ["ord", "ack"])
+    r = spark.sql("""SELECT count(*) AS n FROM ord o
+                     LEFT ANTI JOIN ack a ON o.shard = a.shard AND o.order_id = a.order_id""").first()
+    assert r.n > 0
