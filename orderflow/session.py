@@ -16,6 +16,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Shard-partitioned writes open one file per shard per task instead of
+    # sorting each task's rows by shard first.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
 
