@@ -266,7 +266,8 @@ def q_pending_orders(spark, sf):
 # ---------------------------------------------------------------- J-04
 def _replayed_batch(spark, sf):
     """Every message twice: the original and a re-send one second later."""
-    m = tb.messages_view(spark, sf).withColumn("msg_ms", windows.ts_millis(tb.messages_view(spark, sf), "ts"))
+    m = tb.messages_view(spark, sf)
+    m = m.withColumn("msg_ms", windows.ts_millis(m, "ts"))
     m = m.select("order_id", "shard", "msg_id", "msg_ms", "msg_seq")
     resend = m.select("order_id", "shard",
                       F.concat((F.col("msg_ms") + 1000).cast("string"), F.lit("-"), F.col("msg_seq").cast("string")).alias("msg_id"),
