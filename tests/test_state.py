@@ -85,3 +85,11 @@ def test_retry_waits_and_exhaustion(spark):
     r = {x.op_id: x for x in retry_rollup(df).collect()}
     assert r[1].exhausted and not r[1].recovered and r[1].waited_s == 3.0 and r[1].attempts == 3
     assert r[2].recovered and r[2].waited_s == 1.0
+
+
+def test_flush_first_flushes_the_first_row(spark):
+    df = spark.createDataFrame([(0, _ts(t), f"o{i}") for i, t in enumerate([0, 1, 2])],
+                               "shard int, ts timestamp_ntz, oid string")
+    got = [(r.reason, r.size) for r in count_or_time_batches(
+        df, "shard", "ts", "oid", max_rows=500, interval_s=10, flush_first=True).orderBy("flush_ts").collect()]
+    assert got == [("time", 1), ("timer", 2)]
