@@ -53,6 +53,11 @@ def _overwrite_batch(df: DataFrame, path: str, batch_id: int, partition_by: list
 def process_batch(batch: DataFrame, batch_id: int, paths: IngestPaths, first_wins: bool = False) -> dict:
     """One micro-batch: ledger first, then acks for exactly the rows it stored.
 
+    ``first_wins`` drops orders already stored by earlier batches (the
+    documented ``ON CONFLICT DO NOTHING``); it reads the stored keys, so on a
+    large ledger prefer deduplicating the stream itself with bounded state
+    (:func:`orderflow.streaming.stream_ops.dedup_stream`) before this sink.
+
     Acks are written only after the ledger write returned, from the same
     persisted rows. Returns counts (received, inserted, skipped). An empty
     batch writes nothing.
