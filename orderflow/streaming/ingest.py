@@ -108,14 +108,25 @@ def process_batch(batch: DataFrame, batch_id: int, paths: IngestPaths, first_win
 
 def start_ingest(spark: SparkSession, paths: IngestPaths, shards: list[int] | None = None,
                  trigger: dict | None = None, max_files_per_trigger: int | None = None,
-                 first_wins: bool = False, name: str | None = None) -> StreamingQuery:
+                 first_wins: bool = False, name: str | None = None,
+                 dedup_within: str | None = None) -> StreamingQuery:
     """T-01: start the ingest stream. ``shards`` restricts it to some shards (T-12:
     one query and checkpoint per shard group, so one failing group leaves the
     others running). ``trigger`` defaults to ``availableNow``; use
-    ``{"processingTime": "2 seconds"}`` for the reference's poll cadence."""
+    ``{"processingTime": "2 seconds"}`` for the reference's poll cadence.
+    ``dedup_within`` (e.g. ``"1 hour"``) drops re-sent orders in the stream."""
     src = read_messages(spark, paths.source, streaming=True, max_files_per_trigger=max_files_per_trigger)
     if shards is not None:
         src = src.filter(F.col("shard").isin(list(shards)))
+    if dedup_within:
+        # Re-sent orders (same shard and order id) within the delay are dropped
+        # with bounded state (T-04) before they reach the ledger.
+        from orderflow.streaming.stream_ops import dedup_stream
+        cols = src.columns
+        # Messages without a readable id are keyed by their message id instead.
+        oid = F.coalesce(F.get_json_object("data", "$.order_id"), F.concat(F.lit("msg:"), F.col("msg_id")))
+        src = (dedup_stream(src.withColumn("__oid", oid), ["shard", "__oid"], "ts", dedup_within)
+               .withColumn("ts", F.col("ts").cast("timestamp_ntz")).select(*cols))
     observed = src.observe("ingest", F.count(F.lit(1)).alias("received"),
                            F.min("ts").alias("min_ts"), F.max("ts").alias("max_ts"))
     w = (observed.writeStream

@@ -220,3 +220,15 @@ def test_ack_sessions_stream_equals_batch(spark, tmp):
     got = spark.sql("select * from sess_out").filter(F.col("started") <= F.lit(last))
     want = ack_sessions(a, 1800).select("shard", "started", "last_write", "expires_at", "acks")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_ingest_drops_resent_orders(spark, tmp):
+    m = tb.malformed_messages_view(spark, SF)
+    write_messages(m, f"{tmp}/source")
+    write_messages(m, f"{tmp}/source")                   # every message sent twice
+    p = paths_under(tmp)
+    start_ingest(spark, p, dedup_within="1 day").awaitTermination()
+    led = spark.read.parquet(p.ledger)
+    good, bad = split_malformed(m)
+    assert led.count() == good.count() == led.select("order_id").distinct().count()
+    assert spark.read.parquet(p.quarantine).count() == bad.count()
