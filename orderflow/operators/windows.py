@@ -55,9 +55,24 @@ def poll_batches(df: DataFrame, size: int = 500, shard: str = "shard",
 
 def latest_ack(acks: DataFrame, key: str = "order_id", ts: str = "ack_ts",
                tiebreak: str | None = None) -> DataFrame:
-    """W-03 / S-09 read side: last write wins per order (map-side partial ``max_by``)."""
-    order_val = F.struct(F.col(ts), F.col(tiebreak)) if tiebreak else F.col(ts)
+    """W-03 / S-09 read side: last write wins per order, aggregated map-side.
+
+    The "latest" order is one fixed-width number (epoch micros, scaled and
+    plus a numeric tiebreak with |tiebreak| < 5e17), so each column is a ``max_by`` on primitive
+    buffers and Spark can use hash aggregation instead of sorting.
+    """
+    from orderflow.operators.util import ts_micros
     others = [c for c in acks.columns if c != key]
+    numeric_tb = tiebreak is None or isinstance(acks.schema[tiebreak].dataType, T.IntegralType)
+    if numeric_tb:
+        us = ts_micros(acks, ts).cast("decimal(38,0)")
+        ordv = us if tiebreak is None else us * F.lit(10 ** 18).cast("decimal(38,0)") + F.col(tiebreak)
+        work = acks.withColumn("__ord", ordv)
+        return (work.groupBy(key)
+                .agg(*[F.max_by(c, "__ord").alias(c) for c in others],
+                     F.count(F.lit(1)).alias("n_writes"))
+                .select(key, *others, "n_writes"))
+    order_val = F.struct(F.col(ts), F.col(tiebreak))
     return (acks.groupBy(key)
             .agg(F.max_by(F.struct(*[F.col(c) for c in others]), order_val).alias("__last"),
                  F.count(F.lit(1)).alias("n_writes"))
