@@ -46,7 +46,7 @@ VIEWS: dict[str, str] = {
              FROM lineitem GROUP BY l_orderkey) li
     ON o.o_orderkey = li.l_orderkey)""",
     "msg": """msg AS (
-  SELECT *, (epoch_us(ts) // 1000) AS msg_ms,
+  SELECT *, 'order_created' AS type, (epoch_us(ts) // 1000) AS msg_ms,
          row_number() OVER (PARTITION BY shard, (epoch_us(ts) // 1000) ORDER BY o_orderkey) - 1 AS msg_seq,
          (epoch_us(ts) // 1000) || '-' || (row_number() OVER (PARTITION BY shard, (epoch_us(ts) // 1000) ORDER BY o_orderkey) - 1) AS msg_id,
          CAST(to_json({'order_id': order_id, 'customer_id': customer_id,
