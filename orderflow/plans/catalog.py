@@ -292,7 +292,8 @@ def q_insert_new(spark, sf):
 
 # ---------------------------------------------------------------- J-05
 @register("reconcile", with_views(["decoded", "ack"], """
-SELECT state, count(*) AS keys, sum(submitted) AS submitted_rows, sum(stored) AS stored_rows FROM (
+SELECT state, count(*) AS keys, CAST(sum(submitted) AS BIGINT) AS submitted_rows,
+       CAST(sum(stored) AS BIGINT) AS stored_rows FROM (
   SELECT coalesce(s.order_id, l.order_id) AS order_id, coalesce(s.n, 0) AS submitted, coalesce(l.n, 0) AS stored,
          CASE WHEN coalesce(s.n, 0) = 0 THEN 'extra' WHEN coalesce(l.n, 0) = 0 THEN 'missing'
               WHEN l.n > 1 THEN 'duplicate' ELSE 'ok' END AS state
@@ -385,7 +386,7 @@ h2 AS (
          coalesce(lag(bucket_count) OVER (PARTITION BY shard ORDER BY bucket), 0) AS prev_c,
          max(CASE WHEN le <> 'inf'::DOUBLE THEN le END) OVER (PARTITION BY shard) AS max_finite
   FROM hist),
-qs AS (SELECT unnest([0.5, 0.9, 0.99]) AS q)
+qs AS (SELECT unnest([0.5, 0.9, 0.99]::DOUBLE[]) AS q)
 SELECT shard, q, round(CASE WHEN le = 'inf'::DOUBLE THEN max_finite
                   ELSE prev_le + (le - prev_le) * (hist_count * q - prev_c) / (bucket_count - prev_c) END, 9) AS value
 FROM h2, qs
@@ -416,7 +417,7 @@ def q_latency_quantiles(spark, sf):
 SELECT shard, rows, total, round(rows / total, 6) AS share,
        rows >= total / 4.0 * 0.6 AND rows <= total / 4.0 * 1.4 AS within_tolerance,
        min(rows) OVER () > 0 AS all_shards_used
-FROM (SELECT s.shard, coalesce(c.rows, 0) AS rows, sum(coalesce(c.rows, 0)) OVER () AS total
+FROM (SELECT s.shard, coalesce(c.rows, 0) AS rows, CAST(sum(coalesce(c.rows, 0)) OVER () AS BIGINT) AS total
       FROM (SELECT CAST(range AS INTEGER) AS shard FROM range(4)) s
       LEFT JOIN (SELECT shard, count(*) AS rows FROM ord GROUP BY shard) c ON s.shard = c.shard)"""))
 def q_shard_balance(spark, sf):
@@ -504,7 +505,7 @@ allr AS (SELECT unnest(range(0, (SELECT max(round) FROM hits) + 1)) AS round)
 SELECT round, new_acked, acked_total, n_sub - acked_total AS pending,
        CASE WHEN n_sub = 0 THEN 0.0 ELSE round(acked_total * 100.0 / n_sub, 2) END AS pct_complete
 FROM (SELECT r.round, coalesce(h.new_acked, 0) AS new_acked,
-             sum(coalesce(h.new_acked, 0)) OVER (ORDER BY r.round) AS acked_total,
+             CAST(sum(coalesce(h.new_acked, 0)) OVER (ORDER BY r.round) AS BIGINT) AS acked_total,
              (SELECT count(DISTINCT order_id) FROM ord) AS n_sub
       FROM allr r LEFT JOIN hits h ON r.round = h.round)""".replace("\n, firsts", ",\nfirsts")))
 def q_ack_progress(spark, sf):
@@ -541,7 +542,7 @@ def q_counter_rate(spark, sf):
 @register("failure_streaks", with_views(["outcome"], """
 SELECT name, streak_id, count(*) AS failures, min(ts) AS started, max(ts) AS ended,
        count(*) >= 3 AS reaches_threshold
-FROM (SELECT *, sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (PARTITION BY name ORDER BY ts, event_id) AS streak_id
+FROM (SELECT *, CAST(sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (PARTITION BY name ORDER BY ts, event_id) AS BIGINT) AS streak_id
       FROM outcome)
 WHERE NOT ok GROUP BY name, streak_id"""))
 def q_failure_streaks(spark, sf):
@@ -585,7 +586,7 @@ def q_first_errors(spark, sf):
 
 @register("oldest_pending", with_views(["ord", "ack"], """
 SELECT shard, rank, order_id, ts FROM (
-  SELECT shard, order_id, ts, row_number() OVER (PARTITION BY shard ORDER BY ts, o_orderkey) AS rank
+  SELECT shard, order_id, ts, CAST(row_number() OVER (PARTITION BY shard ORDER BY ts, o_orderkey) AS INTEGER) AS rank
   FROM ord o WHERE NOT EXISTS (SELECT 1 FROM ack a WHERE a.shard = o.shard AND a.order_id = o.order_id))
 WHERE rank <= 10"""))
 def q_oldest_pending(spark, sf):
@@ -688,7 +689,7 @@ def q_throughput(spark, sf):
 SELECT shard, session_no, min(ack_ts) AS started, max(ack_ts) AS last_write, count(*) AS acks,
        max(ack_ts) + INTERVAL 1800 SECOND AS expires_at,
        min(ack_ts) <= TIMESTAMP '2024-01-15 00:00:00' AND max(ack_ts) + INTERVAL 1800 SECOND > TIMESTAMP '2024-01-15 00:00:00' AS live
-FROM (SELECT *, sum(fresh) OVER (PARTITION BY shard ORDER BY epoch_us(ack_ts), order_id) AS session_no
+FROM (SELECT *, CAST(sum(fresh) OVER (PARTITION BY shard ORDER BY epoch_us(ack_ts), order_id) AS BIGINT) AS session_no
       FROM (SELECT *, CASE WHEN prev IS NULL OR epoch_us(ack_ts) - prev >= 1800000000 THEN 1 ELSE 0 END AS fresh
             FROM (SELECT *, lag(epoch_us(ack_ts)) OVER (PARTITION BY shard ORDER BY epoch_us(ack_ts), order_id) AS prev
                   FROM ack)))
@@ -788,7 +789,7 @@ eff AS (SELECT name, CASE WHEN st = 'open' AND op + 30000000 <= (SELECT max(epoc
                           THEN 'half_open' ELSE st END AS state FROM last)
 SELECT CASE WHEN bool_and(state <> 'open') THEN 'ok' ELSE 'degraded' END AS status,
        string_agg(name || '=' || state, ',' ORDER BY name) AS breakers,
-       count(*) FILTER (WHERE state = 'open') AS n_open
+       CAST(count(*) FILTER (WHERE state = 'open') AS INTEGER) AS n_open
 FROM eff""").replace("\n, last AS", ",\nlast AS"))
 def q_breaker_health(spark, sf):
     from orderflow.operators.state import breaker_states, breaker_timeline

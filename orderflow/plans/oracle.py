@@ -111,7 +111,7 @@ good AS (
          array_to_string(list_transform(items, lambda i: replace(i, 'PART-', 'ORD-')), ' , ') || ' , ,' AS ids
   FROM ord),
 parsed AS (
-  SELECT request_id, id_list, len(id_list) AS n_ids,
+  SELECT request_id, id_list, CAST(len(id_list) AS INTEGER) AS n_ids,
          CASE WHEN len(id_list) = 0 THEN 'ids param required'
               WHEN len(id_list) > 5 THEN 'max 5 ids per request' END AS error
   FROM (SELECT request_id,
