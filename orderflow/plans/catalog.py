@@ -117,7 +117,7 @@ SELECT msg_id, shard,
        CASE WHEN len(errors) = 0 THEN json_extract_string(j, '$.order_id') END AS order_id,
        CASE WHEN len(errors) = 0 THEN json_extract_string(j, '$.customer_id') END AS customer_id,
        CASE WHEN len(errors) = 0 THEN CAST(json_extract(j, '$.amount') AS DOUBLE) END AS amount,
-       CASE WHEN len(errors) = 0 THEN len(CAST(json_extract(j, '$.items') AS VARCHAR[])) END AS n_items,
+       CASE WHEN len(errors) = 0 THEN CAST(len(CAST(json_extract(j, '$.items') AS VARCHAR[])) AS INTEGER) END AS n_items,
        CASE WHEN len(errors) = 0 THEN array_to_string(CAST(json_extract(j, '$.items') AS VARCHAR[]), '|') END AS items_text,
        array_to_string(errors, ';') AS errors
 FROM decoded"""))
@@ -905,7 +905,7 @@ def q_outcome_status_codes(spark, sf):
 # ---------------------------------------------------------------- F-05
 @register("items_json", with_views(["ord"], """
 SELECT order_id, to_json(items) IS NOT NULL AS encoded,
-       len(items) AS n_items, array_to_string(items, '|') AS items_text
+       CAST(len(items) AS INTEGER) AS n_items, array_to_string(items, '|') AS items_text
 FROM ord"""))
 def q_items_json(spark, sf):
     o = tb.orders_view(spark, sf)

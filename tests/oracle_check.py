@@ -46,6 +46,21 @@ def canon(cols, rows):
     return [cols[i] for i in order], sorted(out, key=repr)
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "tinyint": "TINYINT"}
+
+
+def type_mismatches(df, rel):
+    duck_types = dict(zip(rel.columns, [str(t).replace(" ", "") for t in rel.types]))
+    bad = []
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        want = t.upper().replace(" ", "") if t.startswith("decimal") else SPARK_TO_DUCK.get(t, t.upper())
+        if duck_types.get(f.name) != want:
+            bad.append((f.name, t, duck_types.get(f.name)))
+    return bad
+
+
 def duck(sf_dir):
     import duckdb
     con = duckdb.connect()
@@ -67,9 +82,12 @@ def compare(spark, con, name, fn, sql, sf_dir):
     d_rows = rel.fetchall()
     sc, sr = canon(s_cols, s_rows)
     dc, dr = canon(d_cols, d_rows)
-    ok = sc == dc and sr == dr
+    types = type_mismatches(df, rel)
+    ok = sc == dc and sr == dr and not types
     res = {"name": name, "ok": ok, "rows": len(s_rows), "oracle_rows": len(d_rows),
            "spark_s": round(t1 - t0, 2)}
+    if types:
+        res["types"] = types
     if not ok:
         res["cols"] = (sc, dc) if sc != dc else None
         diff_s = [r for r in sr if r not in set(dr)][:3]
