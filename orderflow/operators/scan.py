@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderflow.session import reliable_checkpoint
+from orderflow.session import reliable_checkpoint, ship_package
 
 _PID = "__scan_pid"
 _FIRST = "__scan_first"
@@ -240,6 +240,7 @@ def distributed_scan(df: DataFrame, keys: list[str], order: list, *,
         fields.append(T.StructField(out, T.LongType() if out in int_outs else T.DoubleType(), True))
     fields += [T.StructField(_FIRST, T.BooleanType()), T.StructField(_LAST, T.BooleanType())]
     out_schema = T.StructType(fields)
+    ship_package(spark)
     local = staged.mapInPandas(
         _local_scan(keys, src_names, max_src, lag_src, int_outs), schema=out_schema)
 

@@ -76,3 +76,35 @@ def reliable_checkpoint(df):
     """Materialise ``df`` in the shared checkpoint folder (never a local checkpoint)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``orderflow`` importable in Python workers (as ``--py-files`` would).
+
+    Operators that run Python inside tasks (the ordered scan's Arrow pass, the
+    state machines) pickle functions of this package by reference, so the
+    executors need the package itself; it is zipped once per SparkContext and
+    distributed with ``addPyFile``.
+    """
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    import orderflow
+    pkg = os.path.dirname(os.path.abspath(orderflow.__file__))
+    fd, path = tempfile.mkstemp(prefix="orderflow-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w") as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)

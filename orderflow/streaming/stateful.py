@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from orderflow.operators.state import (BreakerState, FlushState, breaker_step, flush_step)
+from orderflow.session import ship_package
 
 
 def _held_and_new(pending: tuple, pdfs, cols: list[str]) -> pd.DataFrame:
@@ -76,6 +77,7 @@ def breaker_stream(outcomes: DataFrame, delay: str, threshold: int = 3, recovery
         res["opened_us"] = res["opened_us"].astype("Int64")
         yield res.rename(columns={"k": key})
 
+    ship_package(src.sparkSession)
     return src.groupBy(key).applyInPandasWithState(
         fn, out_schema, state_schema, "append", GroupStateTimeout.EventTimeTimeout)
 
@@ -130,5 +132,6 @@ def flush_stream(df: DataFrame, delay: str, key: str, ts: str, tiebreak: str,
                            columns=[key, "flush_us", "reason", "size", "first_us", "last_us"])
         yield res
 
+    ship_package(src.sparkSession)
     return src.groupBy(key).applyInPandasWithState(
         fn, out_schema, state_schema, "append", GroupStateTimeout.EventTimeTimeout)
