@@ -68,7 +68,7 @@ class RecentCache:
     the values of a list of new words.
     """
 
-    def __init__(self, fill: Callable[[list], list], limit: int = 250_000):
+    def __init__(self, fill: Callable[[list], list], limit: int = 200_000):
         self.fill, self.limit = fill, limit
         self.young: dict = {}
         self.old: dict = {}

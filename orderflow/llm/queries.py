@@ -3,11 +3,30 @@
 from __future__ import annotations
 
 from orderflow.llm import oracle
+from orderflow.llm.bpe import bpe_digests
 from orderflow.llm.common import table
+from orderflow.llm.packing import pack
 from orderflow.llm.sharding import shard_documents
+from orderflow.llm.token_counts import count_tokens
 from orderflow.llm.warc import warc_round_trip
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's vocabulary file; the same on every executor."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op4_packing(spark, sf_dir):
+    """All documents packed into sequences of 2048 tokens, mixed by source."""
+    return pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), keep_ids=False)
+
+
+def op5_bpe(spark, sf_dir):
+    """Every whole text encoded and decoded; digests of ids and text."""
+    return bpe_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 def op8_sharding(spark, sf_dir):
     """All documents into 40 shards of near equal bytes, equal texts together."""
     return shard_documents(table(spark, sf_dir, "documents"))
@@ -19,5 +38,10 @@ def op10_warc(spark, sf_dir):
         .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op8_sharding, op10_warc)}
+def op9_token_counts(spark, sf_dir):
+    """Unigram token count of every whole text."""
+    return count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in (op4_packing, op5_bpe, op8_sharding, op9_token_counts, op10_warc)}
 ORACLE = {"op10_warc": oracle.WARC}
