@@ -9,6 +9,7 @@ from orderflow.llm.packing import pack
 from orderflow.llm.quality_classifier import classify_quality
 from orderflow.llm.sharding import shard_documents
 from orderflow.llm.token_counts import count_tokens
+from orderflow.llm.toxicity import classify_toxicity
 from orderflow.llm.warc import warc_round_trip
 
 
@@ -33,6 +34,11 @@ def op6_quality(spark, sf_dir):
     return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), cut=0.3)
 
 
+def op7_toxicity(spark, sf_dir):
+    """Toxicity score of every whole text; label 1 is predicted from 0.5."""
+    return classify_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), cut=0.5)
+
+
 def op8_sharding(spark, sf_dir):
     """All documents into 40 shards of near equal bytes, equal texts together."""
     return shard_documents(table(spark, sf_dir, "documents"))
@@ -49,5 +55,5 @@ def op9_token_counts(spark, sf_dir):
     return count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op4_packing, op5_bpe, op6_quality, op8_sharding, op9_token_counts, op10_warc)}
+QUERIES = {f.__name__: f for f in (op4_packing, op5_bpe, op6_quality, op7_toxicity, op8_sharding, op9_token_counts, op10_warc)}
 ORACLE = {"op10_warc": oracle.WARC}
