@@ -147,7 +147,8 @@ class Machine:
 
 
 def _landmarks(docs: list[tuple[int, list[list[str]]]], most: int) -> tuple[list[str], int]:
-    """Words far more frequent in toxic documents than in clean ones, then common clean words; how many the former are."""
+    """Words far more frequent in toxic documents than in clean ones, then clean words like them and
+    common clean words; how many the first are."""
     clean: dict[str, int] = {}
     toxic: dict[str, list[int]] = {}
     for k, (y, parts) in enumerate(docs):
@@ -171,12 +172,21 @@ def _landmarks(docs: list[tuple[int, list[list[str]]]], most: int) -> tuple[list
             for k in toxic[w]:
                 seen[k] = seen.get(k, 0) + 1
     ranked = first + rest
-    common = sorted(clean, key=lambda w: (-clean[w], w))[:most // 8]
-    ranked = ranked[:most - len(common)]
-    return [*ranked, *common], len(ranked)
-
-
-def fit(sample: list[tuple[int, str]], landmarks: int = 160, rounds: int = 4, ridge: float = 1e-3,
+    eighth = most // 8
+    ranked = ranked[:most - 3 * eighth]
+    common = sorted(clean, key=lambda w: (-clean[w], w))[:eighth]
+    # clean words most like the toxic ones
+    pull: dict[str, float] = {}
+    for w in ranked:
+        for u, v in _unit(subsequences(w)).items():
+            pull[u] = max(v, pull.get(u, 0.0))
+    known = sorted(clean)
+    like = dict(zip(known, Machine(pull, 0.0, 1.0, 0.0).words(known)))
+    alike = sorted(known, key=lambda w: (-like[w] * min(1.0, 0.5 + 0.1 * clean[w]), w))[:2 * eighth]
+    return list(dict.fromkeys([*ranked, *alike, *common])), len(ranked)
+
+
+def fit(sample: list[tuple[int, str]], landmarks: int = 192, rounds: int = 5, ridge: float = 1e-3,
         steps: int = 100, clean_rows: int = 20_000) -> Machine:
     """Train on (label, text) rows; without rows of both labels the score is the share of label 1.
 
@@ -234,7 +244,7 @@ def fit(sample: list[tuple[int, str]], landmarks: int = 160, rounds: int = 4, ri
     for _ in range(rounds):
         ranked = toxic_rows[np.lexsort((-margin[toxic_rows], owner[toxic_rows]))]
         positive = ranked[np.r_[True, owner[ranked][1:] != owner[ranked][:-1]]] if len(ranked) else ranked
-        hard = clean_all[np.argsort(-margin[clean_all], kind="stable")][:clean_rows // 4]
+        hard = clean_all[np.argsort(-margin[clean_all], kind="stable")][:clean_rows // 2]
         negative = np.unique(np.r_[0, hard, order[:clean_rows - len(hard)]])
         use = np.r_[positive, negative]
         y = np.r_[np.ones(len(positive)), -np.ones(len(negative))].astype(np.float32)
@@ -271,7 +281,7 @@ def _calibrate(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     return float(a), float(b)
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_label: int = 2000) -> Machine:
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_label: int = 2500) -> Machine:
     """Fit on labelled rows outside the held-out fold.
 
     ``per_label`` bounds the rows of either label (in the order of their id's
@@ -334,6 +344,6 @@ def score(docs: DataFrame, machine: Machine, cut: float = 0.5) -> DataFrame:
         .mapInArrow(_score(sent, cut), "doc_id long, held_out boolean, score double, predicted int")
 
 
-def classify_toxicity(docs: DataFrame, labels: DataFrame, cut: float = 0.5, per_label: int = 2000) -> DataFrame:
+def classify_toxicity(docs: DataFrame, labels: DataFrame, cut: float = 0.5, per_label: int = 2500) -> DataFrame:
     """Train on ``labels`` and score ``docs``; see :func:`train` and :func:`score`."""
     return score(docs, train(docs, labels, "toxic", per_label), cut)
