@@ -15,3 +15,25 @@ SELECT p.page_id, p.payload_bytes::BIGINT AS payload_bytes, sym.digest AS payloa
        CASE WHEN p.page_id = best.original THEN NULL ELSE best.original END AS refers_to
 FROM p JOIN best USING (hex) JOIN sym USING (hex)
 """
+
+JACCARD = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+g AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+  FROM w),
+e AS (SELECT doc_id, len(s) AS n, unnest(s) AS s FROM g),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c
+  FROM e a JOIN e b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM p WHERE 100 * c >= 90 * (na + nb - c)),
+reach(doc_id, r) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT reach.doc_id, link.b FROM reach JOIN link ON reach.r = link.a)
+SELECT g.doc_id, len(g.s)::BIGINT AS n_shingles, min(r)::BIGINT AS component_id
+FROM g JOIN reach USING (doc_id) GROUP BY g.doc_id, g.s
+"""

@@ -5,8 +5,10 @@ from __future__ import annotations
 from orderflow.llm import oracle
 from orderflow.llm.bpe import bpe_digests
 from orderflow.llm.common import table
+from orderflow.llm.near_dup import jaccard_components
 from orderflow.llm.packing import pack
 from orderflow.llm.quality_classifier import classify_quality
+from orderflow.llm.quality_rules import apply_rules
 from orderflow.llm.sharding import shard_documents
 from orderflow.llm.token_counts import count_tokens
 from orderflow.llm.toxicity import classify_toxicity
@@ -19,6 +21,16 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_ngram_jaccard(spark, sf_dir):
+    """Components of all documents under 3-word shingle similarity of 0.9 or more."""
+    return jaccard_components(table(spark, sf_dir, "documents"), 3, 90, 100)
+
+
+def op3_quality_rules(spark, sf_dir):
+    """Measures and verdicts of all documents; thresholds calibrated on the labels."""
+    return apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("failed_rules")
+
+
 def op4_packing(spark, sf_dir):
     """All documents packed into sequences of 2048 tokens, mixed by source."""
     return pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), keep_ids=False)
@@ -55,5 +67,5 @@ def op9_token_counts(spark, sf_dir):
     return count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op4_packing, op5_bpe, op6_quality, op7_toxicity, op8_sharding, op9_token_counts, op10_warc)}
-ORACLE = {"op10_warc": oracle.WARC}
+QUERIES = {f.__name__: f for f in (op2_ngram_jaccard, op3_quality_rules, op4_packing, op5_bpe, op6_quality, op7_toxicity, op8_sharding, op9_token_counts, op10_warc)}
+ORACLE = {"op2_ngram_jaccard": oracle.JACCARD, "op10_warc": oracle.WARC}
