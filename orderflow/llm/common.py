@@ -60,33 +60,44 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 <<
             yield batch.slice(start)
 
 
-class RecentCache:
+class RecentCache(dict):
     """word -> value for the words met lately, in bounded memory.
 
-    Two generations: when the young one is full it becomes the old one, and
-    words still in use are taken over at their next look-up. ``fill`` computes
-    the values of a list of new words.
+    Two generations: when this one is full it becomes the old one, and words
+    still in use are taken over at their next look-up. ``fill`` computes the
+    values of a list of new words. Look up one by one with ``cache[word]``, or
+    announce the words of a batch with :meth:`of`.
     """
 
     def __init__(self, fill: Callable[[list], list], limit: int = 200_000):
+        super().__init__()
         self.fill, self.limit = fill, limit
-        self.young: dict = {}
         self.old: dict = {}
 
+    def __missing__(self, word):
+        value = self.old.get(word)
+        if value is None:
+            value = self.fill([word])[0]
+        self[word] = value
+        return value
+
+    def turn(self) -> None:
+        """Between batches: start a new generation if this one is full."""
+        if len(self) > self.limit:
+            self.old = dict(self)
+            self.clear()
+
     def of(self, words: set) -> Callable:
-        """A look-up function that knows all of ``words``."""
-        if len(self.young) + len(words) > self.limit:
-            self.old, self.young = self.young, {}
-        missing = [w for w in words if w not in self.young]
-        if missing:
-            young, old = self.young, self.old
-            new = []
-            for w in missing:
-                v = old.get(w)
-                if v is None:
-                    new.append(w)
-                else:
-                    young[w] = v
-            if new:
-                young.update(zip(new, self.fill(new), strict=True))
-        return self.young.__getitem__
+        """A look-up function that knows all of ``words``, filled in one call."""
+        self.turn()
+        old = self.old
+        new = []
+        for w in words.difference(self):
+            v = old.get(w)
+            if v is None:
+                new.append(w)
+            else:
+                self[w] = v
+        if new:
+            self.update(zip(new, self.fill(new), strict=True))
+        return self.__getitem__

@@ -8,9 +8,8 @@ Scale. Nothing but summaries reaches the driver. The hash's leading digits
 deal the groups into ``blocks`` blocks of equal expected size, so prefix sums
 need one native window per block plus one row per block. The capacity search
 runs on the driver over a set of *known* prefix sums: at first the block ends;
-then, round by round, the prefix sums inside the stretches where a cut can
-still fall, at ``per_cut`` values a stretch, until every prefix sum of those
-stretches is known. A hot group is one row after a map-side combined sum;
+then, round by round, those inside the stretches where a cut can still fall,
+summarised in ``per_cut`` cells a stretch, until the capacity is settled. A hot group is one row after a map-side combined sum;
 its documents are numbered in salted parts.
 """
 
@@ -76,36 +75,73 @@ def _even(ends: list[int], capacity: int, shards: int) -> list[int]:
     return cuts if at == ends[-1] and max(sizes) <= capacity else greedy
 
 
-def minimax_cuts(ends_of, block_ends: list[int], largest: int, shards: int, per_cut: int = 2048) -> tuple[int, list[int]]:
+def _reach(known: list[int], open_after: list[bool], at: int, capacity: int) -> int:
+    """No prefix sum that a shard from ``at`` can end on lies beyond this.
+
+    Between two known prefix sums there may be others only if the gap is open.
+    """
+    k = bisect_right(known, at + capacity) - 1
+    return min(at + capacity, known[-1]) if open_after[k] else known[k]
+
+
+def _hopeful(known: list[int], open_after: list[bool], capacity: int, shards: int) -> bool:
+    """Whether ``capacity`` may be feasible, as far as is known."""
+    at = 0
+    for _ in range(shards):
+        at = _reach(known, open_after, at, capacity)
+    return at >= known[-1]
+
+
+def minimax_cuts(inside, block_ends: list[int], largest: int, shards: int, per_cut: int = 2048) -> tuple[int, list[int]]:
     """The smallest capacity and its cuts (ends of the shards, as prefix sums).
 
     ``block_ends``: some true prefix sums, the last being the total.
-    ``ends_of(stretches, per_cut)`` returns, for the stretches ``(a, b]`` in
-    which a cut can fall, the largest prefix sum of each of ``per_cut`` equal
-    cells, and whether that was all of them.
+    ``inside(stretches, per_cut)`` divides each stretch ``(a, b)`` into
+    ``per_cut`` equal cells and returns, for each cell that holds prefix sums,
+    the smallest, the largest and how many. Each round the capacity is
+    bracketed from what is known: feasible over known cuts from above, hopeless
+    even with every open gap filled from below. The stretches that cuts can
+    still fall into shrink with the bracket until they hold no open gap.
     """
     total = block_ends[-1]
     if total == 0:
         return 0, []
     known = sorted({0, *block_ends})
+    open_after = [True] * (len(known) - 1) + [False]
     lo = max(largest, -(-total // shards))
     while True:
         hi = _smallest(known, lo, lo + total, shards)
+        low, high = lo, hi
+        while low < high:  # binary search for the smallest capacity that isn't hopeless
+            mid = (low + high) // 2
+            if _hopeful(known, open_after, mid, shards):
+                high = mid
+            else:
+                low = mid + 1
+        lo = low
         if hi == lo:
             return hi, _even(known, hi, shards)
-        stretches, at = [], 0
-        for i in range(1, shards):
+        gaps, at, far = set(), 0, 0
+        for _ in range(1, shards):  # where the cuts of any capacity in [lo, hi] lie
             at = known[bisect_right(known, at + lo) - 1]
-            a, b = max(at, total - (shards - i) * hi - 1), min(total, i * hi)
-            if stretches and a < stretches[-1][1]:
-                a = stretches[-1][1]
-            if a < b:
-                stretches.append((a, b))
-        found, complete = ends_of(stretches, per_cut)
-        known = sorted({*known, *found})
-        if complete:
-            capacity = _smallest(known, lo, hi, shards)
-            return capacity, _even(known, capacity, shards)
+            far = _reach(known, open_after, far, hi)
+            gaps.update(k for k in range(bisect_right(known, at) - 1, bisect_left(known, far)) if open_after[k])
+        stretches: list[tuple[int, int]] = []
+        for k in sorted(gaps):
+            if stretches and known[k] - stretches[-1][1] <= total // (64 * shards):
+                stretches[-1] = (stretches[-1][0], known[k + 1])
+            else:
+                stretches.append((known[k], known[k + 1]))
+        cells = sorted(inside(stretches, per_cut))
+        keep = [(v, o) for v, o in zip(known, open_after) if not any(a < v < b for a, b in stretches)]
+        starts = {a for a, _ in stretches}
+        merged = {v: (False if v in starts else o) for v, o in keep}
+        for first, last, n in cells:
+            merged.setdefault(first, False)
+            merged.setdefault(last, False)
+            if n > 2:
+                merged[first] = True
+        known, open_after = map(list, zip(*sorted(merged.items())))
 
 
 def shard_documents(docs: DataFrame, shards: int = 40, overhead: int = 16, blocks: int = 4096,
@@ -146,19 +182,17 @@ def shard_documents(docs: DataFrame, shards: int = 40, overhead: int = 16, block
     ends = [r[0] for r in placed.groupBy("block").agg(F.max("end_bytes")).select("max(end_bytes)").collect()]
     largest = placed.agg(F.max("g_bytes")).first()[0] or 0
 
-    def ends_of(stretches, per_cut):
-        found, complete = [], True
+    def inside(stretches, per_cut):
+        # at most per_cut rows for each stretch
         cell = F.lit(None).cast("long")
         for k, (a, b) in reversed(list(enumerate(stretches))):
-            cell = F.when((F.col("end_bytes") > a) & (F.col("end_bytes") <= b),
-                          F.lit(k * per_cut) + F.floor((F.col("end_bytes") - a - 1) * per_cut / (b - a))).otherwise(cell)
-        for r in placed.select("end_bytes", cell.alias("cell")).where("cell is not null") \
-                .groupBy("cell").agg(F.max("end_bytes").alias("end"), F.count("*").alias("n")).collect():
-            found.append(r["end"])
-            complete &= r["n"] == 1
-        return found, complete
-
-    _, cuts = minimax_cuts(ends_of, sorted(ends) or [0], largest, shards)
+            cell = F.when((F.col("end_bytes") > a) & (F.col("end_bytes") < b),
+                          F.lit(k * per_cut) + F.floor((F.col("end_bytes") - a - 1) * F.lit(per_cut) / F.lit(b - a))).otherwise(cell)
+        cells = placed.select("end_bytes", cell.alias("cell")).where("cell is not null").groupBy("cell") \
+            .agg(F.min("end_bytes").alias("first"), F.max("end_bytes").alias("last"), F.count("*").alias("n"))
+        return [(r["first"], r["last"], r["n"]) for r in cells.collect()]
+
+    _, cuts = minimax_cuts(inside, sorted(ends) or [0], largest, shards)
     start = F.col("end_bytes") - F.col("g_bytes")
     shard = sum([(start >= F.lit(c)).cast("int") for c in cuts[:-1]], F.lit(0)).alias("shard")
     placed = placed.select("grp", "g_rows", (F.col("end_rows") - F.col("g_rows")).alias("start_rows"), shard)
