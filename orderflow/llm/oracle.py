@@ -37,3 +37,23 @@ reach(doc_id, r) AS (
 SELECT g.doc_id, len(g.s)::BIGINT AS n_shingles, min(r)::BIGINT AS component_id
 FROM g JOIN reach USING (doc_id) GROUP BY g.doc_id, g.s
 """
+
+SEARCH = r"""
+WITH w AS (
+  SELECT doc_id, unnest(list_filter(string_split_regex(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS term
+  FROM documents),
+len AS (SELECT doc_id, count(*) AS dl FROM w GROUP BY 1),
+tot AS (SELECT (SELECT count(*) FROM documents)::DOUBLE AS n, sum(dl)::DOUBLE / (SELECT count(*) FROM documents) AS mean FROM len),
+tf AS (SELECT doc_id, term, count(*)::DOUBLE AS tf FROM w GROUP BY 1, 2),
+idf AS (SELECT term, round(ln(1 + (n - count(*) + 0.5) / (count(*) + 0.5)) * 4096)::BIGINT AS idf FROM tf, tot GROUP BY term, n),
+post AS (
+  SELECT doc_id, term, round(4096 * tf * 2.2 / (tf + 1.2 * (1 - 0.75 + 0.75 * dl / mean)))::BIGINT AS weight
+  FROM tf JOIN len USING (doc_id), tot),
+hits AS (
+  SELECT q.doc_id AS query_id, post.doc_id, sum(idf.idf * post.weight) AS units
+  FROM (SELECT DISTINCT doc_id, term FROM tf WHERE doc_id % 20 = 0) q JOIN idf USING (term) JOIN post USING (term)
+  GROUP BY 1, 2 HAVING sum(idf.idf * post.weight) > 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY units DESC, doc_id) AS rank FROM hits)
+SELECT query_id, rank::INT AS rank, doc_id, units::DOUBLE / 16777216 AS score FROM ranked WHERE rank <= 10
+"""

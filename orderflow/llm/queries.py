@@ -9,6 +9,7 @@ from orderflow.llm.near_dup import jaccard_components
 from orderflow.llm.packing import pack
 from orderflow.llm.quality_classifier import classify_quality
 from orderflow.llm.quality_rules import apply_rules
+from orderflow.llm.search import top_k
 from orderflow.llm.sharding import shard_documents
 from orderflow.llm.token_counts import count_tokens
 from orderflow.llm.toxicity import classify_toxicity
@@ -21,6 +22,13 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_search(spark, sf_dir):
+    """Best 10 documents by BM25 for every document whose id is divisible by 20, whole texts on both sides."""
+    docs = table(spark, sf_dir, "documents")
+    queries = docs.where("doc_id % 20 = 0").select(docs.doc_id.alias("query_id"), "text")
+    return top_k(docs, queries, k=10)
+
+
 def op2_ngram_jaccard(spark, sf_dir):
     """Components of all documents under 3-word shingle similarity of 0.9 or more."""
     return jaccard_components(table(spark, sf_dir, "documents"), 3, 90, 100)
@@ -67,5 +75,5 @@ def op9_token_counts(spark, sf_dir):
     return count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op2_ngram_jaccard, op3_quality_rules, op4_packing, op5_bpe, op6_quality, op7_toxicity, op8_sharding, op9_token_counts, op10_warc)}
-ORACLE = {"op2_ngram_jaccard": oracle.JACCARD, "op10_warc": oracle.WARC}
+QUERIES = {f.__name__: f for f in (op1_search, op2_ngram_jaccard, op3_quality_rules, op4_packing, op5_bpe, op6_quality, op7_toxicity, op8_sharding, op9_token_counts, op10_warc)}
+ORACLE = {"op1_search": oracle.SEARCH, "op2_ngram_jaccard": oracle.JACCARD, "op10_warc": oracle.WARC}
