@@ -3,29 +3,30 @@
 Documents link when the Jaccard similarity of their sets of hashed word
 n-grams reaches a threshold; the result is each document's connected component.
 
-1. Every whole text becomes a set of 64-bit n-gram hashes. Equal sets are one
-   class, so exact copies are one row from here on.
-2. Tokens are hashed into groups. Two sets of sizes a <= b that link differ in
-   at most D = (1 - t) / (1 + t) * (a + b) tokens, so of more than D groups some
-   hold exactly the same tokens in both. Every class sends one key for each of
-   its groups (band of sizes, group, sum of its hashed tokens); classes that
-   share a key are joined to the key's smallest class, and the components of
-   these few edges are the candidate clusters. No pair is formed here: a key
-   with m classes gives m - 1 edges.
-3. Inside a cluster the counts of tokens per group are points, packed into an
-   R-tree. The overlap of two sets is at most the sum of the smaller of their
-   coordinates, of a set and a box at most that with the box's upper corner;
-   subtrees and points that can't reach the needed overlap are passed over,
-   and so are pairs that are already connected. What is left is verified on
-   the sets themselves.
-4. Verified links give the components.
-
-Scale. A cluster whose sets exceed ``block_bytes`` is cut, in order of size,
-into blocks, and pairs of blocks with compatible sizes are tasks of their own,
-so no task holds more than two blocks. The named method alone, a tree over all
-documents, would compare nearly all sets of similar size, because sums of
-random groups are alike in unrelated texts; the keys of step 2 keep the tree to
-sets that agree on at least one group, and lose no link.
+1. Every whole text becomes a set of 64-bit n-gram hashes (tokens). Equal sets
+   are one class, so exact copies are one row from here on. Tokens are hashed
+   into groups; a class's counts per group are its point.
+2. Sets that link share one of their first tokens in any order that all sets
+   agree on: a set of n tokens needs only n - ceil(t * n) + 1 of them. The order
+   is by a fixed-size sketch of the frequencies of all tokens, rarest first, so
+   that passages which many documents share hardly ever serve as keys.
+3. Classes with a common key are a bucket. The overlap of two sets is at most
+   the sum of the smaller of their coordinates, of a set and a box at most that
+   with the box's upper corner: an R-tree over a bucket's points passes over
+   subtrees and points that can't reach the needed overlap. A bucket of m
+   classes returns at most m - 1 edges: a spanning forest of the pairs that are
+   left. The components of these edges are the candidate clusters.
+4. Inside a cluster the same search runs again, now with the sets at hand:
+   pairs not yet connected are verified, and verified links are joined. No list
+   of all pairs is ever made.
+5. Verified links give the components.
+
+Scale. Buckets and clusters beyond ``block_rows`` or ``block_bytes`` are cut, in
+order of size, into blocks, and pairs of blocks with compatible sizes are tasks
+of their own, so no task holds more than two blocks. The tree alone, over all
+documents, would compare nearly all sets of similar size (sums of random groups
+are alike in unrelated texts); the keys of step 2 keep it to sets that share a
+rare token, and lose no link.
 
 Classes are known by a 64-bit hash of their set: among n distinct sets, about
 n * n / 3.7e19 pairs are mistaken for equal.
@@ -33,8 +34,6 @@ n * n / 3.7e19 pairs are mistaken for equal.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -46,9 +45,9 @@ from orderflow.llm.graph import components
 from orderflow.session import ship_package
 
 _GROUPS = 64      # coordinates of the points
-_EMPTY = 2        # groups that may be empty without sending a key
-_WIDE = 3         # a band of sizes spans this many steps of the threshold
+_ROWS, _BINS = 4, 1 << 16   # the frequency sketch
 _LEAF = 16
+_SMALL = 48       # buckets up to here are compared without a tree
 _U = np.uint64
 
 
@@ -87,8 +86,6 @@ class Threshold:
 
     def __init__(self, num: int, den: int):
         self.num, self.den = num, den
-        self.floor = den * den // ((den - num) * num) if num < den else 1 << 60  # below it only equal sets can link
-
     def needed(self, sizes):
         """Smallest intersection of two sets of ``sizes`` tokens together."""
         return -(-self.num * sizes // (self.num + self.den))
@@ -100,69 +97,76 @@ class Threshold:
         """Size of the smallest set that a set of n tokens can link to."""
         return -(-self.num * n // self.den)
 
-    @lru_cache(maxsize=1 << 16)  # noqa: B019 - a few thresholds at most
-    def band(self, n: int) -> int:
-        edge, k = 1, 0
-        while self._edge(k + 1) <= n:
-            k += 1
-        return k if edge else 0
-
-    @lru_cache(maxsize=1 << 12)  # noqa: B019
-    def _edge(self, k: int) -> int:
-        """First size of band k."""
-        size = 1
-        for _ in range(k):
-            size = max(size + 1, -(-size * self.den ** _WIDE // self.num ** _WIDE))
-        return size
-
-    @lru_cache(maxsize=1 << 12)  # noqa: B019
-    def groups(self, k: int) -> int:
-        """Groups for pairs whose smaller set lies in band k: more than they can differ in, and spare ones."""
-        small = self._edge(k + 1) - 1
-        both = small + small * self.den // self.num
-        differ = both - 2 * self.needed(both)
-        return max(differ, (self.den - self.num) * both // (self.den + self.num)) + 1 + _EMPTY
-
-
-def keys_of(tokens: np.ndarray, limit: Threshold) -> np.ndarray:
-    """Group keys of one set: for its own band, and for the band below if a smaller partner can lie there."""
+    def largest(self, n: int) -> int:
+        return n * self.den // self.num
+
+
+def _bins(tokens: np.ndarray) -> list[np.ndarray]:
+    """Bins of the tokens in each row of the sketch."""
+    return [((tokens * _U(2 * r + 3)) >> _U(48)).astype(np.int64) + r * _BINS for r in range(_ROWS)]
+
+
+def prefix(tokens: np.ndarray, sketch: np.ndarray, limit: Threshold) -> np.ndarray:
+    """The keys of a set: its first tokens, rarest (by powers of two) first, then by hash."""
     n = len(tokens)
-    if not n:
-        return np.zeros(0, np.int64)
-    out = []
-    token = _mix(tokens + _U(0x5851F42D4C957F2D))
-    for k in {limit.band(n), limit.band(limit.smallest(n))}:
-        g = limit.groups(k)
-        if g <= 1 + _EMPTY:
-            continue  # only equal sets link
-        at = (token % _U(g)).astype(np.int64)
-        total = np.zeros(g, np.uint64)
-        with np.errstate(over="ignore"):
-            np.add.at(total, at, _mix(token))
-        held = np.bincount(at, minlength=g)
-        use = np.arange(g) if (held == 0).sum() > _EMPTY else np.flatnonzero(held)
-        with np.errstate(over="ignore"):
-            out.append(_mix(total[use] + _mix(use.astype(np.uint64) + _U(k << 32))))
-    return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
+    if not n or limit.smallest(n) == n == limit.largest(n):
+        return np.zeros(0, np.int64)  # links to equal sets only, and those are one class
+    with np.errstate(over="ignore"):
+        often = np.min([sketch[b] for b in _bins(tokens)], 0)
+    rank = np.frexp(often.astype(np.float64))[1]
+    first = np.lexsort((tokens, rank))[:n - limit.smallest(n) + 1]
+    return tokens[first].view(np.int64)
 
 
 def _node(tokens: np.ndarray) -> int | None:
     return int(np.array(xxhash.xxh64_intdigest(tokens.tobytes()), np.uint64).view(np.int64)) if len(tokens) else None
 
 
-def _describe(width: int, num: int, den: int):
+def _point(tokens: np.ndarray) -> np.ndarray:
+    return np.bincount((_mix(tokens) % _U(_GROUPS)).astype(np.int64), minlength=_GROUPS).astype("<i4")
+
+
+def _describe(width: int):
     def run(batches):
-        limit = Threshold(num, den)
+        sketch = np.zeros(_ROWS * _BINS, np.int64)
+        names = ["doc_id", "n", "node", "point", "sketch"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
         for batch in slices(batches, "text"):
-            n, node, keys = [], [], []
+            n, node, point, held = [], [], [], []
             for text in batch.column("text").to_pylist():
                 s = shingles(text or "", width)
                 n.append(len(s))
                 node.append(_node(s))
-                keys.append(keys_of(s, limit))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(node, pa.int64()),
-                 pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n", "node", "keys"])
+                point.append(_point(s).tobytes() if len(s) else None)
+                held.append(s)
+            with np.errstate(over="ignore"):
+                for b in _bins(np.concatenate(held)):
+                    sketch += np.bincount(b, minlength=len(sketch))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, (n, node, point, [None] * len(n)), kinds[1:])], names)
+        # the task's share of the sketch, as a row of its own
+        yield pa.RecordBatch.from_arrays([pa.array([None], k) for k in kinds[:4]] + [pa.array([sketch], kinds[4])], names)
+    return run
+
+
+def _keys(width: int, num: int, den: int, sent):
+    def run(batches):
+        limit, sketch, seen = Threshold(num, den), sent.value, set()
+        for batch in slices(batches, "text"):
+            keys, node, size = [], [], []
+            for text in batch.column("text").to_pylist():
+                s = shingles(text or "", width)
+                name = _node(s)
+                if name is None or name in seen:
+                    continue  # a copy in the same task sends the same keys
+                if len(seen) >= 1 << 20:
+                    seen.clear()
+                seen.add(name)
+                k = prefix(s, sketch, limit)
+                keys.append(k)
+                node.append(np.full(len(k), name))
+                size.append(np.full(len(k), len(s)))
+            if keys:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, node, size)], ["key", "node", "n"])
     return run
 
 
@@ -202,7 +206,7 @@ class CountTree:
         least, most = self.limit.smallest(size), size * self.limit.den // self.limit.num
         live = None
         for top, low, high in reversed(self.levels):
-            at = np.arange(len(top)) if live is None else live
+            at = np.arange(len(top)) if live is None else live[live < len(top)]
             at = at[(high[at] >= least) & (low[at] <= most)]
             bound = np.minimum(top[at], point).sum(1)
             at = at[bound >= self.limit.needed(size + np.maximum(low[at], least))]
@@ -214,49 +218,94 @@ class CountTree:
         return live[bound >= self.limit.needed(size + self.sizes[live])]
 
 
-def linked(sets: list[np.ndarray], limit: Threshold, side: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Links that connect what links connect: a spanning forest of the verified pairs.
+def forest(points: np.ndarray, sizes: np.ndarray, limit: Threshold, side: np.ndarray, holds=None) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs that pass the overlap bound and, if given, the test ``holds(k, j)``.
 
-    With ``side``, only pairs of different sides are looked at.
+    Rows come in order of size. With two sides, only pairs across are looked at.
     """
-    sizes = np.array([len(s) for s in sets], np.int64)
-    order = np.argsort(sizes, kind="stable")
-    points = np.array([np.bincount((_mix(sets[i]) % _U(_GROUPS)).astype(np.int64), minlength=_GROUPS) for i in order],
-                      np.int32).reshape(len(sets), _GROUPS)
-    tree = CountTree(points, sizes[order], limit)
-    label, out = np.arange(len(sets)), []
-    for k in range(len(order)):
-        near = tree.search(k)
+    m = len(sizes)
+    label, out = np.arange(m), []
+    across = side.min() != side.max()
+    near_of = None
+    if m <= _SMALL:
+        bound = np.minimum(points[:, None], points[None]).sum(2)
+        fits = (bound >= limit.needed(sizes[:, None] + sizes[None])) & (limit.smallest(sizes)[None] <= sizes[:, None])
+        near_of = np.triu(fits, 1)
+    tree = CountTree(points, sizes, limit) if near_of is None else None
+    for k in range(m - 1):
+        near = np.flatnonzero(near_of[k]) if tree is None else tree.search(k)
         near = near[label[near] != label[k]]
-        if side is not None:
-            near = near[side[order[near]] != side[order[k]]]
-        a = sets[order[k]]
+        if across:
+            near = near[side[near] != side[k]]
         for j in near:
-            if label[j] == label[k]:
-                continue
-            b = sets[order[j]]
-            at = np.searchsorted(b, a)
-            at[at == len(b)] = 0
-            if limit.links(int((b[at] == a).sum()), len(a), len(b)):
-                out.append((int(order[k]), int(order[j])))
+            if label[j] != label[k] and (holds is None or holds(k, j)):
+                out.append((k, int(j)))
                 label[label == label[j]] = label[k]
     return out
 
 
+def _overlap(a: np.ndarray, b: np.ndarray) -> int:
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    return int((b[at] == a).sum())
+
+
+def _buckets(num: int, den: int):
+    """Runs of rows with equal (bucket, tile), in order of size -> edges of their forest."""
+    def edges(rows, limit):
+        node, size, side, point = zip(*rows)
+        if len(set(node)) < 2:
+            return []
+        points = np.frombuffer(b"".join(point), "<i4").reshape(len(node), _GROUPS)
+        return [(node[i], node[j]) for i, j in forest(points, np.array(size), limit, np.array(side))]
+
+    def run(batches):
+        limit, name, rows, out = Threshold(num, den), None, [], []
+        for batch in batches:
+            cols = [batch.column(c).to_pylist() for c in ("bucket", "tile", "node", "n", "block", "point")]
+            for bucket, tile, *row in zip(*cols):
+                if (bucket, tile) != name:
+                    if len(rows) > 1:
+                        out += edges(rows, limit)
+                    name, rows = (bucket, tile), []
+                rows.append(row)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["a", "b"])
+                out = []
+        if len(rows) > 1 and (out := edges(rows, limit)):
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["a", "b"])
+    return run
+
+
 def _tile(num: int, den: int):
     def run(table: pa.Table) -> pa.Table:
         rows = {}
         for node, block, tokens in zip(table.column("node").to_pylist(), table.column("block").to_pylist(), table.column("tokens")):
             rows.setdefault(node, (block, np.frombuffer(tokens.as_buffer(), np.uint64)))
-        nodes, sides = sorted(rows), np.array([rows[x][0] for x in sorted(rows)])
-        pairs = linked([rows[x][1] for x in nodes], Threshold(num, den), sides if len(set(sides.tolist())) > 1 else None)
+        nodes = sorted(rows, key=lambda x: (len(rows[x][1]), x))
+        sets = [rows[x][1] for x in nodes]
+        limit, sizes = Threshold(num, den), np.array([len(s) for s in sets], np.int64)
+
+        def holds(k, j):
+            return limit.links(_overlap(sets[k], sets[j]), len(sets[k]), len(sets[j]))
+
+        pairs = forest(np.array([_point(s) for s in sets]), sizes, limit, np.array([rows[x][0] for x in nodes]), holds)
         return pa.table({"a": pa.array([nodes[i] for i, _ in pairs], pa.int64()),
                          "b": pa.array([nodes[j] for _, j in pairs], pa.int64())})
     return run
 
 
+def _tiles(rows: DataFrame, group: str, num: int, den: int) -> DataFrame:
+    """``group, block, tile``: the tiles that each block takes part in, one per pair of blocks whose sizes can link."""
+    blocks = rows.groupBy(group, "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    other = blocks.select(group, F.col("block").alias("with"), F.col("low").alias("low2"))
+    tiles = blocks.join(other, group).where((F.col("block") <= F.col("with")) & (F.col("high") * den >= F.col("low2") * num))
+    return tiles.select(group, F.explode(F.array_distinct(F.array("block", "with"))).alias("block"),
+                        F.concat_ws("-", "block", "with").alias("tile"))
+
+
 def jaccard_components(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100,
-                       block_bytes: int = 8 << 20) -> DataFrame:
+                       block_bytes: int = 8 << 20, block_rows: int = 4096) -> DataFrame:
     """Component of every document under links of Jaccard similarity at least ``num / den``.
 
     Returns ``doc_id, n_shingles, component_id``; component_id is the smallest
@@ -268,28 +317,42 @@ def jaccard_components(docs: DataFrame, width: int = 3, num: int = 90, den: int
     """
     ship_package(docs.sparkSession)
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    described = written(src.mapInArrow(_describe(width, num, den), "doc_id long, n long, node long, keys array<long>"), "sets")
+    described = written(src.mapInArrow(
+        _describe(width), "doc_id long, n long, node long, point binary, sketch array<long>"), "sets")
+    counts = described.where("sketch is not null").select(F.posexplode("sketch")).groupBy("pos").agg(F.sum("col").alias("n"))
+    sketch = np.zeros(_ROWS * _BINS, np.int64)
+    for row in counts.toArrow().to_pylist():  # as many rows as the sketch has bins
+        sketch[row["pos"]] = row["n"]
+    described = described.where("sketch is null").drop("sketch")
     classes = written(described.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n")), "classes")
+        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("point").alias("point")), "classes")
+
+    sent = src.sparkSession.sparkContext.broadcast(sketch)
     by_key = Window.partitionBy("key")
-    shared = described.where("size(keys) > 0").groupBy("node").agg(F.first("keys").alias("keys")) \
-        .select("node", F.explode("keys").alias("key")) \
-        .select("node", F.min("node").over(by_key).alias("first")).where("node <> first").distinct()
-    clusters = components(shared, "node", "first")
-    member = clusters.select("node", F.col("component").alias("cluster")).join(classes, "node")
+    shared = src.mapInArrow(_keys(width, num, den, sent), "key long, node long, n long") \
+        .select("node", "n", F.min("node").over(by_key).alias("low"), F.max("node").over(by_key).alias("high"),
+                F.bit_xor("node").over(by_key).alias("all"), F.count("*").over(by_key).alias("m")) \
+        .where("low <> high").select("node", "n", F.xxhash64("low", "high", "all", "m").alias("bucket")).distinct()
+    shared = written(shared, "shared")  # keys with the same classes are one bucket
+    in_bucket = Window.partitionBy("bucket").orderBy("n", "node")
+    shared = shared.withColumn("block", F.floor((F.row_number().over(in_bucket) - 1) / block_rows).cast("int"))
+    places = written(shared, "places")
+    edges = places.join(_tiles(places, "bucket", num, den), ["bucket", "block"]) \
+        .join(classes.select("node", "point"), "node") \
+        .repartition("bucket", "tile").sortWithinPartitions("bucket", "tile", "n", "node") \
+        .mapInArrow(_buckets(num, den), "a long, b long").distinct()
+    clusters = components(written(edges, "candidates"), "a", "b")
+
+    member = clusters.select("node", F.col("component").alias("cluster")).join(classes.drop("point"), "node")
     # in order of size, blocks of at most block_bytes of sets (one set at least)
     before = Window.partitionBy("cluster").orderBy("n", "node").rowsBetween(Window.unboundedPreceding, -1)
-    member = written(member.withColumn("block", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) * 8 / block_bytes).cast("int")), "members")
-    blocks = member.groupBy("cluster", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    other = blocks.select("cluster", F.col("block").alias("with"), F.col("low").alias("low2"))
-    tiles = blocks.join(other, "cluster").where((F.col("block") <= F.col("with")) & (F.col("high") * den >= F.col("low2") * num))
-    place = tiles.select("cluster", F.explode(F.array_distinct(F.array("block", "with"))).alias("block"),
-                         F.concat_ws("-", "block", "with").alias("tile"))
+    member = written(member.withColumn(
+        "block", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) * 8 / block_bytes).cast("int")), "members")
     sets = src.join(member.select(F.col("rep").alias("doc_id2"), "node", "cluster", "block"),
                     F.col("doc_id").eqNullSafe(F.col("doc_id2"))) \
         .select("cluster", "block", "node", "text") \
         .mapInArrow(_sets(width), "cluster long, block int, node long, n long, tokens binary")
-    links = sets.join(place, ["cluster", "block"]).groupBy("cluster", "tile") \
+    links = sets.join(_tiles(member, "cluster", num, den), ["cluster", "block"]).groupBy("cluster", "tile") \
         .applyInArrow(_tile(num, den), "a long, b long")
     found = components(written(links, "links"), "a", "b")
     named = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
