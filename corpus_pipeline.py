@@ -1,10 +1,70 @@
-"""The corpus pipeline: filters, one document of each near-duplicate group, packing."""
+"""The corpus pipeline: two classifiers, one document of each near-duplicate group, packing.
+
+Each stage takes ``(spark, docs, sf_dir)`` and works on all its predecessor
+kept; its result is written as Parquet and read again. All but the last return
+the columns of ``documents``. Rows whose text is null count as empty texts.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from orderflow.llm import quality_classifier, toxicity
+from orderflow.llm.common import table
+from orderflow.llm.near_dup import jaccard_components
+from orderflow.llm.packing import pack
+from orderflow.llm.queries import vocabulary
+from orderflow.session import scratch_path
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the string-kernel machine (operator 7) doesn't call toxic."""
+    machine = toxicity.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return toxicity.reject_toxic(docs.select(COLUMNS), machine, cut=0.5)
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the n-gram classifier (operator 6) calls good."""
+    weights = quality_classifier.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality_classifier.keep_good(docs.select(COLUMNS), weights, cut=0.3)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones (operator 2; five words, similarity 0.8): that with the smallest id.
+
+    Documents without words are in no group and stay; so do documents without
+    an id unless a document with an id is like them; rows that repeat one id
+    are one document.
+    """
+    docs = docs.select(COLUMNS)
+    found = jaccard_components(docs, width=5, num=80, den=100)
+    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("stays")).distinct()
+    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("stays")), "left_semi")
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of 2048 tokens, mixed by source (operator 4); one row per piece."""
+    return pack(docs, vocabulary("word_bpe_49k.json"), keep_ids=False)
+
+
+STAGES = [("toxicity", toxicity_filter), ("quality classifier", quality_filter),
+          ("n-gram Jaccard join", near_duplicates), ("packing", packing)]
+
+#: SQL can't express the classifiers.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; the last one's rows."""
+    docs = table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
+        out = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            path = scratch_path(spark, f"pipeline-{k}")
+            out.write.parquet(path)
+            out = spark.read.parquet(path)
+        docs = out
+    return docs

@@ -163,6 +163,24 @@ def score(docs: DataFrame, weights: np.ndarray, bits: int = 20, cut: float = 0.3
         .mapInArrow(_score(sent, bits, cut), "doc_id long, held_out boolean, score double, predicted int")
 
 
+def _keep(weights, bits: int, cut: float):
+    def run(batches):
+        w, codes = weights.value, _codes()
+        for batch in slices(batches, "text"):
+            tokens = [_TOKEN.findall(t or "") for t in batch.column("text").to_pylist()]
+            of = codes.of(set().union(*tokens))
+            total = np.array([w[i] @ v for i, v in (features(t, of, bits) for t in tokens)]) + w[-1]
+            yield batch.filter(pa.array(1 / (1 + np.exp(-np.clip(total, -35, 35))) >= cut))
+    return run
+
+
+def keep_good(docs: DataFrame, weights: np.ndarray, bits: int = 20, cut: float = 0.3) -> DataFrame:
+    """``docs``, all columns, without the rows that score less than ``cut``."""
+    spark = docs.sparkSession
+    ship_package(spark)
+    return docs.mapInArrow(_keep(spark.sparkContext.broadcast(weights), bits, cut), docs.schema)
+
+
 def classify_quality(docs: DataFrame, labels: DataFrame, cut: float = 0.3, sample_rows: int = 12_000) -> DataFrame:
     """Train on ``labels`` and score ``docs``; see :func:`train` and :func:`score`."""
     return score(docs, train(docs, labels, "quality", sample_rows), cut=cut)

@@ -20,6 +20,7 @@ and no shuffle, and words met lately are kept per Python worker.
 from __future__ import annotations
 
 import re
+import uuid
 from itertools import combinations
 
 import numpy as np
@@ -303,10 +304,7 @@ _WORDS: dict[int, RecentCache] = {}
 def _score(sent, cut: float):
     def run(batches):
         machine: Machine = sent.value
-        store = _WORDS.get(sent.id)
-        if store is None:
-            _WORDS.clear()
-            store = _WORDS[sent.id] = RecentCache(machine.words, limit=300_000)
+        store = _store(sent)
         for batch in slices(batches, "text"):
             parts = [sentences(t or "") for t in batch.column("text").to_pylist()]
             of = store.of({w for p in parts for s in p for w in s})
@@ -317,6 +315,14 @@ def _score(sent, cut: float):
     return run
 
 
+def _store(sent) -> RecentCache:
+    """Margins of words met lately under this machine; a worker keeps those of one machine."""
+    if sent.id not in _WORDS:
+        _WORDS.clear()
+        _WORDS[sent.id] = RecentCache(sent.value.words, limit=300_000)
+    return _WORDS[sent.id]
+
+
 class _Sent:
     """A broadcast machine with an id that a worker can key its store by."""
 
@@ -328,6 +334,10 @@ class _Sent:
         return self.broadcast.value
 
 
+def _sent(spark, machine: Machine) -> _Sent:
+    return _Sent(spark.sparkContext.broadcast(machine), uuid.uuid4().hex)  # bounded by the landmarks
+
+
 def score(docs: DataFrame, machine: Machine, cut: float = 0.5) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every whole text.
 
@@ -335,10 +345,9 @@ def score(docs: DataFrame, machine: Machine, cut: float = 0.5) -> DataFrame:
     out; repeated rows are rows like any other; a score equal to ``cut`` is
     predicted 1; an empty table gives no rows; extra columns are ignored.
     """
-    import uuid
     spark = docs.sparkSession
     ship_package(spark)
-    sent = _Sent(spark.sparkContext.broadcast(machine), uuid.uuid4().hex)  # bounded by the landmarks
+    sent = _sent(spark, machine)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out("doc_id").alias("held_out"),
                        F.col("text").cast("string").alias("text")) \
         .mapInArrow(_score(sent, cut), "doc_id long, held_out boolean, score double, predicted int")
@@ -347,3 +356,20 @@ def score(docs: DataFrame, machine: Machine, cut: float = 0.5) -> DataFrame:
 def classify_toxicity(docs: DataFrame, labels: DataFrame, cut: float = 0.5, per_label: int = 2500) -> DataFrame:
     """Train on ``labels`` and score ``docs``; see :func:`train` and :func:`score`."""
     return score(docs, train(docs, labels, "toxic", per_label), cut)
+
+
+def _keep(sent, cut: float):
+    def run(batches):
+        machine: Machine = sent.value
+        store = _store(sent)
+        for batch in slices(batches, "text"):
+            parts = [sentences(t or "") for t in batch.column("text").to_pylist()]
+            of = store.of({w for p in parts for s in p for w in s})
+            yield batch.filter(pa.array([machine.score(machine.margin(p, of)) < cut for p in parts], pa.bool_()))
+    return run
+
+
+def reject_toxic(docs: DataFrame, machine: Machine, cut: float = 0.5) -> DataFrame:
+    """``docs``, all columns, without the rows that score ``cut`` or more."""
+    ship_package(docs.sparkSession)
+    return docs.mapInArrow(_keep(_sent(docs.sparkSession, machine), cut), docs.schema)
