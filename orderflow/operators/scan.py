@@ -1,287 +1,105 @@
-"""Ordered scans inside groups that stay exact when one group is huge.
+"""Ordered scans inside groups, exact at any group size, in native plans only.
 
 A ``Window.partitionBy(shard)`` puts every row of a shard in one task; with
 four shards that is a quarter of the data per task, and one hot key can hold
-a third of everything. :func:`ordered_scan` gives the same results as
-``row_number`` / running ``sum`` / ``lag`` over such a window without that
-limit:
-
-1. range-partition on ``(keys, order)`` (the order must be total, so a hot
-   group is split across many partitions) and sort inside partitions;
-2. checkpoint in the shared folder, which fixes which rows sit in which
-   partition for both passes below (range bounds come from sampling);
-3. one Arrow pass computes local running sums / lags per partition;
-4. a per-partition summary (first key, last key, last group's running sums,
-   last row's values) has at most one row per partition - a proven size
-   bound - so it is broadcast, and carries are fixed up with one window over
-   those few rows;
-5. rows of a partition's first group add the carry of the partitions before.
-
-Everything but step 3 runs in the JVM; step 3 is vectorised pandas.
-
-:func:`ordered_scan` counts group sizes first and sends only groups above
-``orderflow.scan.maxGroupRows`` (default 2M rows) through that path; the
-rest use an ordinary window, which is cheaper when every group fits a task.
+a third of everything. :func:`ordered_scan` gives the results of running
+``sum`` / ``max`` / ``lag`` over such a window without that limit:
+
+1. range-partition on ``(keys, order)``, so a hot group is split across
+   partitions, sort, number the rows, and write them once to the shared
+   folder: the place fixes partition and order for everything that follows;
+2. plain windows over ``(keys, partition)`` give local results;
+3. groups that cross a partition border (at most one per border, so a proven
+   size bound for a broadcast) get one row per partition with its total, its
+   maximum and its last values, and a window over these few rows carries them
+   to the next partitions;
+4. one join adds the carry to the rows of those groups.
+
+Values keep their types: NULL sums stay NULL until the first value, BIGINT and
+DECIMAL are never taken through a floating-point type.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from orderflow.session import reliable_checkpoint, ship_package
+from orderflow.session import scratch_path
 
-_PID = "__scan_pid"
-_FIRST = "__scan_first"
-_LAST = "__scan_last"
+_PLACE, _PID = "__scan_place", "__scan_pid"
 
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def _same(a: pd.Series, b: pd.Series) -> np.ndarray:
-    eq = (a.to_numpy(dtype=object) == b.to_numpy(dtype=object))
-    both_null = a.isna().to_numpy() & b.isna().to_numpy()
-    return eq | both_null
-
-
-def _local_scan(keys, sums, maxes, lags, int_outs):
-    """Per-partition running sums / maxes / lags; rows arrive sorted by (keys, order)."""
-
-    def run(batches):
-        carry_key = None
-        carry_sum = {}
-        carry_max = {}
-        carry_lag = {}
-        first_done = False
-        held = None
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            pdf = pdf.reset_index(drop=True)
-            new = np.zeros(n, dtype=bool)
-            for k in keys:
-                s = pdf[k]
-                prev = s.shift(1)
-                new[1:] |= ~_same(s.iloc[1:], prev.iloc[1:])
-            if carry_key is None:
-                new[0] = True
-            else:
-                row0 = tuple(pdf[k].iloc[0] for k in keys)
-                new[0] = not all((a == b) or (pd.isna(a) and pd.isna(b))
-                                 for a, b in zip(row0, carry_key))
-            gid = np.cumsum(new)
-            cont = gid == 0
-            for out, src in sums.items():
-                v = pdf[src].fillna(0)
-                cs = v.groupby(gid).cumsum()
-                if cont.any():
-                    cs = cs.where(~cont, cs + carry_sum[out])
-                pdf[out] = cs
-            for out, src in maxes.items():
-                v = pdf[src].astype("float64")
-                cm = v.groupby(gid).cummax().groupby(gid).ffill()
-                if cont.any() and carry_max[out] is not None:
-                    cm = cm.where(~cont, np.fmax(cm, carry_max[out]))
-                pdf[out] = cm.round().astype("Int64") if out in int_outs else cm.astype("Float64")
-            for out, src in lags.items():
-                s = pdf[src]
-                vals = s.shift(1).astype("Float64") if out not in int_outs else s.shift(1).astype("Int64")
-                vals = vals.mask(pd.Series(new), pd.NA)
-                if cont[0]:
-                    vals.iloc[0] = carry_lag[out] if carry_lag[out] is not None else pd.NA
-                pdf[out] = vals
-            pdf[_FIRST] = False
-            if not first_done:
-                pdf.loc[0, _FIRST] = True
-                first_done = True
-            pdf[_LAST] = False
-            last = n - 1
-            carry_key = tuple(pdf[k].iloc[last] for k in keys)
-            for out in sums:
-                carry_sum[out] = pdf[out].iloc[last]
-            for out in maxes:
-                val = pdf[out].iloc[last]
-                carry_max[out] = None if pd.isna(val) else float(val)
-            for out, src in lags.items():
-                val = pdf[src].iloc[last]
-                carry_lag[out] = None if pd.isna(val) else val
-            if held is not None:
-                yield held
-            held = pdf
-        if held is not None:
-            held.loc[len(held) - 1, _LAST] = True
-            yield held
-
-    return run
-
-
-# Groups up to this many rows are small enough for one task to sort (plain
-# window); bigger ("hot") groups take the distributed scan. Session conf
-# ``orderflow.scan.maxGroupRows`` overrides it.
-DEFAULT_MAX_GROUP_ROWS = 2_000_000
-
-
-_INTS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-
-
-def _result_types(df: DataFrame, sums: dict, maxes: dict, lags: dict) -> dict:
-    probe = df.select(*[_c(e).alias(f"s_{n}") for n, e in sums.items()],
-                      *[_c(e).alias(f"m_{n}") for n, e in maxes.items()],
-                      *[_c(e).alias(f"l_{n}") for n, e in lags.items()]).schema
-    out = {}
-    for p, group in (("s", sums), ("m", maxes), ("l", lags)):
-        for n in group:
-            out[n] = "long" if isinstance(probe[f"{p}_{n}"].dataType, _INTS) else "double"
-    return out
-
-
 def window_scan(df: DataFrame, keys: list[str], order: list, sums: dict, lags: dict,
                 maxes: dict | None = None) -> DataFrame:
-    """The same results with plain window functions (for groups of bounded size)."""
-    maxes = maxes or {}
-    rt = _result_types(df, sums, maxes, lags)
+    """The same results with plain window functions: what :func:`ordered_scan` must equal."""
     w = Window.partitionBy(*keys).orderBy(*[_c(o) for o in order])
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.select("*", *[F.sum(_c(e)).over(run).cast(rt[n]).alias(n) for n, e in sums.items()],
-                     *[F.max(_c(e)).over(run).cast(rt[n]).alias(n) for n, e in maxes.items()],
-                     *[F.lag(_c(e)).over(w).cast(rt[n]).alias(n) for n, e in lags.items()])
+    return df.select("*", *[F.sum(_c(e)).over(run).alias(n) for n, e in sums.items()],
+                     *[F.max(_c(e)).over(run).alias(n) for n, e in (maxes or {}).items()],
+                     *[F.lag(_c(e)).over(w).alias(n) for n, e in lags.items()])
 
 
 def ordered_scan(df: DataFrame, keys: list[str], order: list, *,
                  sums: dict[str, Column] | None = None,
                  lags: dict[str, Column] | None = None,
                  maxes: dict[str, Column] | None = None,
-                 num_partitions: int | None = None,
-                 max_group_rows: int | None = None) -> DataFrame:
-    """Add inclusive running sums and previous-row values inside ``keys`` groups.
-
-    ``order`` columns (Column sort orders allowed, e.g. ``F.col('ts').desc()``)
-    must make the order total inside a group. ``sums`` maps an output name to
-    a numeric expression (``F.lit(1)`` gives ``row_number``); ``lags`` maps an
-    output name to a numeric / timestamp-as-long expression whose previous
-    row value is returned (NULL on a group's first row); ``maxes`` gives the
-    running maximum (NULLs skipped).
-
-    Group sizes are counted first (a map-side-combined aggregate). Rows of
-    groups with at most ``max_group_rows`` rows use a plain window; rows of
-    bigger groups use :func:`distributed_scan`. Both are exact, so the split
-    only decides who does the work. The hot-key list is at most
-    ``rows / max_group_rows`` long, so broadcasting it is bounded.
+                 num_partitions: int | None = None) -> DataFrame:
+    """Add inclusive running sums, running maxima and previous-row values inside ``keys`` groups.
+
+    ``order`` columns (sort orders allowed, e.g. ``F.col('ts').desc()``) must
+    make the order total inside a group. ``sums`` maps an output name to a
+    numeric expression (``F.lit(1)`` gives ``row_number``), ``maxes`` to an
+    orderable one (NULLs skipped), ``lags`` to one of any type whose
+    previous row's value is returned (NULL on a group's first row). The only
+    job before the caller's action is the write of step 1.
     """
-    sums = dict(sums or {})
-    lags = dict(lags or {})
-    maxes = dict(maxes or {})
-    spark = df.sparkSession
-    limit = max_group_rows or int(spark.conf.get("orderflow.scan.maxGroupRows", str(DEFAULT_MAX_GROUP_ROWS)))
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__gn"))
-    hot_sizes = sizes.filter(F.col("__gn") > limit)
-    hot_rows = hot_sizes.agg(F.sum("__gn")).first()[0]
-    if not hot_rows:
-        return window_scan(df, keys, order, sums, lags, maxes)
-    hot = reliable_checkpoint(hot_sizes.select(*[F.col(k).alias(f"__hk{i}") for i, k in enumerate(keys)],
-                                               F.lit(True).alias("__hot")))
-    if num_partitions is None:
-        per_part = int(spark.conf.get("orderflow.scan.rowsPerPartition", "1000000"))
-        num_partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                             -(-int(hot_rows) // per_part))
-    cond = None
-    for i, k in enumerate(keys):
-        c = F.col(k).eqNullSafe(F.col(f"__hk{i}"))
-        cond = c if cond is None else cond & c
-    tagged = df.join(F.broadcast(hot), cond, "left").select(*df.columns, "__hot")
-    cold_rows = tagged.filter(F.col("__hot").isNull()).drop("__hot")
-    hot_part = tagged.filter(F.col("__hot")).drop("__hot")
-    return (window_scan(cold_rows, keys, order, sums, lags, maxes)
-            .unionByName(distributed_scan(hot_part, keys, order, sums=sums, lags=lags, maxes=maxes,
-                                          num_partitions=num_partitions)))
-
-
-def distributed_scan(df: DataFrame, keys: list[str], order: list, *,
-                     sums: dict[str, Column] | None = None,
-                     lags: dict[str, Column] | None = None,
-                     maxes: dict[str, Column] | None = None,
-                     num_partitions: int | None = None) -> DataFrame:
-    """The range-partitioned scan of the module docstring (any group size)."""
-    sums = dict(sums or {})
-    lags = dict(lags or {})
-    maxes = dict(maxes or {})
-    rt = _result_types(df, sums, maxes, lags)
+    sums, lags, maxes = dict(sums or {}), dict(lags or {}), dict(maxes or {})
     spark = df.sparkSession
+    types = {f.name: f.dataType for f in window_scan(df, keys, order, sums, lags, maxes).schema.fields}
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    src_names = {}
-    extra = []
-    for out, expr in sums.items():
-        src_names[out] = f"__sum_src_{out}"
-        extra.append(_c(expr).alias(src_names[out]))
-    max_src = {}
-    for out, expr in maxes.items():
-        max_src[out] = f"__max_src_{out}"
-        extra.append(_c(expr).alias(max_src[out]))
-    lag_src = {}
-    for out, expr in lags.items():
-        lag_src[out] = f"__lag_src_{out}"
-        extra.append(_c(expr).alias(lag_src[out]))
-    work = df.select("*", *extra)
+    src = {n: f"__scan_src_{n}" for n in [*sums, *maxes, *lags]}
     sort_cols = [F.col(k) for k in keys] + [_c(o) for o in order]
-    staged = reliable_checkpoint(
-        work.repartitionByRange(parts, *sort_cols).sortWithinPartitions(*sort_cols))
-    staged = staged.withColumn(_PID, F.spark_partition_id())
-
-    schema = staged.schema
-    int_outs = {n for n, t in rt.items() if t == "long"}
-    fields = list(schema.fields)
-    for out in [*sums, *maxes, *lags]:
-        fields.append(T.StructField(out, T.LongType() if out in int_outs else T.DoubleType(), True))
-    fields += [T.StructField(_FIRST, T.BooleanType()), T.StructField(_LAST, T.BooleanType())]
-    out_schema = T.StructType(fields)
-    ship_package(spark)
-    local = staged.mapInPandas(
-        _local_scan(keys, src_names, max_src, lag_src, int_outs), schema=out_schema)
-
-    key_struct = F.struct(*[F.col(k) for k in keys])
-    last_vals = F.struct(
-        key_struct.alias("lk"),
-        *[F.col(o).alias(f"ls_{o}") for o in sums],
-        *[F.col(o).alias(f"lm_{o}") for o in maxes],
-        *[F.col(lag_src[o]).cast(rt[o]).alias(f"lv_{o}") for o in lags])
-    # One row per non-empty partition: bounded by the partition count.
-    summary = (local.filter(F.col(_FIRST) | F.col(_LAST))
-               .groupBy(_PID)
-               .agg(F.max_by(key_struct, F.col(_FIRST).cast("int")).alias("fk"),
-                    F.max_by(last_vals, F.col(_LAST).cast("int")).alias("lv"))
-               .select(_PID, "fk", "lv.*"))
-    w_all = Window.orderBy(_PID)
-    w_run = Window.partitionBy("lk").orderBy(_PID).rowsBetween(Window.unboundedPreceding, 0)
-    summary = summary.select(
-        "*", *[F.sum(f"ls_{o}").over(w_run).alias(f"cum_{o}") for o in sums],
-        *[F.max(f"lm_{o}").over(w_run).alias(f"cmax_{o}") for o in maxes])
-    prev_lk = F.lag("lk").over(w_all)
-    continues = F.coalesce(prev_lk.eqNullSafe(F.col("fk")), F.lit(False))
-    fix = summary.select(
-        F.col(_PID), F.col("fk"), continues.alias("__cont"),
-        *[F.lag(f"cum_{o}").over(w_all).alias(f"off_{o}") for o in sums],
-        *[F.lag(f"cmax_{o}").over(w_all).alias(f"moff_{o}") for o in maxes],
-        *[F.lag(f"lv_{o}").over(w_all).alias(f"pv_{o}") for o in lags])
-
-    joined = local.join(F.broadcast(fix), _PID, "left")
-    in_first_group = F.col("__cont") & key_struct.eqNullSafe(F.col("fk"))
-    outs = []
-    for o in sums:
-        outs.append((F.col(o) + F.when(in_first_group, F.col(f"off_{o}")).otherwise(0)).alias(o))
-    for o in maxes:
-        outs.append(F.when(in_first_group, F.greatest(F.col(o), F.col(f"moff_{o}")))
-                    .otherwise(F.col(o)).cast(rt[o]).alias(o))
-    for o in lags:
-        outs.append(F.when(F.col(_FIRST) & in_first_group, F.col(f"pv_{o}"))
-                    .otherwise(F.col(o)).alias(o))
-    keep = [c for c in df.columns]
-    return joined.select(*keep, *outs)
+    # the order columns may be derived: sort first, then number the rows and add the sources
+    placed = df.repartitionByRange(parts, *sort_cols).sortWithinPartitions(*sort_cols).select(
+        "*", *[_c(e).alias(src[n]) for n, e in {**sums, **maxes, **lags}.items()],
+        F.monotonically_increasing_id().alias(_PLACE))
+    path = scratch_path(spark, "scan")
+    placed.write.parquet(path)
+    staged = spark.read.schema(placed.schema).parquet(path) \
+        .withColumn(_PID, F.shiftright(_PLACE, 33).cast("int"))  # the upper bits are the partition
+
+    w = Window.partitionBy(*keys, _PID).orderBy(_PLACE)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = staged.select(
+        "*", *[F.sum(src[n]).over(run).alias(n) for n in sums], *[F.max(src[n]).over(run).alias(n) for n in maxes],
+        *[F.lag(src[n]).over(w).alias(n) for n in lags], F.row_number().over(w).alias("__scan_rn"))
+
+    # groups that cross partition borders: one row per (group, partition)
+    totals = staged.groupBy(*keys, _PID).agg(
+        *[F.sum(src[n]).alias(f"__t_{n}") for n in sums], *[F.max(src[n]).alias(f"__t_{n}") for n in maxes],
+        *[F.max_by(F.struct(src[n]), _PLACE).alias(f"__t_{n}") for n in lags], F.count(F.lit(1)).alias("__t_rows"))
+    group = Window.partitionBy(*keys)
+    earlier = group.orderBy(_PID)
+    before = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.withColumn("__t_parts", F.count(F.lit(1)).over(group)).where(F.col("__t_parts") > 1).select(
+        F.col(_PID).alias("__c_pid"), *[F.col(k).alias(f"__c_k{i}") for i, k in enumerate(keys)],
+        *[F.sum(f"__t_{n}").over(before).alias(f"__c_{n}") for n in sums],
+        *[F.max(f"__t_{n}").over(before).alias(f"__c_{n}") for n in maxes],
+        *[F.lag(f"__t_{n}").over(earlier)[src[n]].alias(f"__c_{n}") for n in lags])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__c_k{i}")) for i, k in enumerate(keys)],
+                  F.col(_PID) == F.col("__c_pid"))
+    joined = local.join(F.broadcast(carry), same, "left")
+    outs = [F.coalesce(F.col(n) + F.col(f"__c_{n}"), F.col(n), F.col(f"__c_{n}")) for n in sums]
+    outs += [F.greatest(F.col(n), F.col(f"__c_{n}")) for n in maxes]
+    outs += [F.when(F.col("__scan_rn") == 1, F.col(f"__c_{n}")).otherwise(F.col(n)) for n in lags]
+    names = [*sums, *maxes, *lags]
+    return joined.select(*df.columns, *[o.cast(types[n]).alias(n) for o, n in zip(outs, names)])
 
 
 def row_number_within(df: DataFrame, keys: list[str], order: list, name: str = "rn",

@@ -1,45 +1,55 @@
-"""The skew-safe ordered scan equals window functions, also with one hot key."""
+"""The ordered scan equals window functions for every type, also across partition borders."""
 
+import datetime as dt
 import random
+from decimal import Decimal
 
-from pyspark.sql import Window
+import pytest
 from pyspark.sql import functions as F
 
-from orderflow.operators.scan import ordered_scan
-
-
-def test_scan_matches_window_with_hot_key(spark):
-    random.seed(7)
-    rows = [(0 if random.random() < 0.5 else random.randint(1, 9), random.randint(0, 50), i,
-             float(random.random())) for i in range(3000)]
-    df = spark.createDataFrame(rows, "k int, v int, id long, x double")
-    got = ordered_scan(df, ["k"], ["v", "id"], sums={"rn": F.lit(1), "sx": F.col("x")},
-                       lags={"pv": F.col("v")}, num_partitions=6, max_group_rows=400,
-                       maxes={"mx": F.when(F.col("id") % 3 == 0, F.col("id"))})
-    w = Window.partitionBy("k").orderBy("v", "id")
-    ref = df.select("id", F.row_number().over(w).alias("rn_r"),
-                    F.sum("x").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("sx_r"),
-                    F.lag("v").over(w).alias("pv_r"),
-                    F.max(F.when(F.col("id") % 3 == 0, F.col("id"))).over(
-                        w.rowsBetween(Window.unboundedPreceding, 0)).alias("mx_r"))
-    j = got.join(ref, "id")
-    bad = j.filter((F.col("rn") != F.col("rn_r")) | (F.abs(F.col("sx") - F.col("sx_r")) > 1e-9) |
-                   ~F.col("pv").eqNullSafe(F.col("pv_r").cast("long")) |
-                   ~F.col("mx").eqNullSafe(F.col("mx_r")))
-    assert got.count() == 3000 and bad.count() == 0
-
-
-def test_scan_descending_order(spark):
-    df = spark.createDataFrame([(0, i) for i in range(100)], "k int, v int")
-    got = ordered_scan(df, ["k"], [F.col("v").desc()], sums={"age": F.lit(1)}, num_partitions=5,
-                       max_group_rows=10)
-    assert {(r.v, r.age) for r in got.collect()} == {(i, 100 - i) for i in range(100)}
-
-
-def test_distributed_scan_alone_matches_window(spark):
-    from orderflow.operators.scan import distributed_scan, window_scan
-    df = spark.createDataFrame([(i % 3, i // 7, i) for i in range(2000)], "k int, v int, id long")
-    a = distributed_scan(df, ["k"], ["v", "id"], sums={"rn": F.lit(1)}, lags={"p": F.col("id")},
-                         num_partitions=9)
-    b = window_scan(df, ["k"], ["v", "id"], {"rn": F.lit(1)}, {"p": F.col("id")})
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+from orderflow.operators.scan import ordered_scan, window_scan
+
+
+def _rows(seed, n):
+    r = random.Random(seed)
+    big = 2 ** 53
+    out = []
+    for i in range(n):
+        out.append((r.choice([None, 0, 0, 0, 0, 1, 2]), r.randint(0, n // 4), i,
+                    None if i < n // 3 or r.random() < 0.3 else big + r.randint(1, 999),
+                    None if r.random() < 0.4 else Decimal(r.randint(-10 ** 9, 10 ** 9)).scaleb(-2),
+                    None if r.random() < 0.3 else dt.datetime(2024, 1, 1) + dt.timedelta(microseconds=r.randint(0, 10 ** 12)),
+                    None if r.random() < 0.3 else f"s{r.randint(0, 99)}", [i] if i % 3 else None))
+    return out
+
+
+SCHEMA = "k int, v int, id long, big long, money decimal(12,2), ts timestamp, s string, arr array<int>"
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_scan_equals_plain_windows_for_all_types(spark, seed):
+    df = spark.createDataFrame(_rows(seed, 600), SCHEMA)
+    sums = {"rn": F.lit(1), "s_big": F.col("big"), "s_money": F.col("money")}
+    lags = {"p_big": F.col("big"), "p_ts": F.col("ts"), "p_s": F.col("s"), "p_money": F.col("money"), "p_arr": F.col("arr")}
+    maxes = {"m_big": F.col("big"), "m_ts": F.col("ts"), "m_s": F.col("s")}
+    order = [F.col("v").desc(), "id"]
+    got = ordered_scan(df, ["k"], order, sums=sums, lags=lags, maxes=maxes, num_partitions=7)
+    want = window_scan(df, ["k"], order, sums, lags, maxes)
+    assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in want.schema]
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_leading_nulls_and_unscanned_columns_stay(spark):
+    df = spark.createDataFrame([(0, 1, None, 2 ** 53 + 5), (0, 2, None, None), (0, 3, 4, 1), (0, 4, 5, 2)],
+                               "k int, id int, x int, other long")
+    got = ordered_scan(df, ["k"], ["id"], sums={"sx": F.col("x")}, num_partitions=4).orderBy("id").collect()
+    assert [r.sx for r in got] == [None, None, 4, 9]
+    assert [r.other for r in got] == [2 ** 53 + 5, None, 1, 2]
+
+
+def test_many_small_groups_and_empty(spark):
+    df = spark.createDataFrame([(i % 200, i) for i in range(1000)], "k int, id long")
+    got = ordered_scan(df, ["k"], ["id"], sums={"rn": F.lit(1)}, lags={"p": F.col("id")}, num_partitions=9)
+    want = window_scan(df, ["k"], ["id"], {"rn": F.lit(1)}, {"p": F.col("id")})
+    assert sorted(got.collect()) == sorted(want.collect())
+    assert ordered_scan(df.where("k < 0"), ["k"], ["id"], sums={"rn": F.lit(1)}).count() == 0
