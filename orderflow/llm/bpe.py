@@ -16,9 +16,11 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -28,7 +30,7 @@ from orderflow.llm.common import RecentCache, slices
 from orderflow.session import ship_package
 
 #: A blank that another white space follows: chunks can't simply be cut at each space then.
-_DOUBLE = regex.compile(r" (?=\s)")
+_DOUBLE = re.compile(r" \s")
 _RUN = regex.compile(r"\s*\S+|\s+")
 
 
@@ -81,6 +83,8 @@ class PrefixBPE:
             if len(raw) == 1 or i in self.made:
                 self.auto.add_word(raw.decode("latin-1"), (i, len(raw)))
         self.auto.make_automaton()
+        if len({self.bytes_of[i] for i in ids.values() if len(self.bytes_of[i]) == 1}) < 256:
+            raise ValueError("the vocabulary lacks a byte")
         self.fits = lru_cache(maxsize=1 << 18)(self._fits)
 
     def _fits(self, a: int, b: int) -> bool:
@@ -108,18 +112,15 @@ class PrefixBPE:
     def encode_piece(self, raw: bytes) -> list[int]:
         """Ids of one pre-token."""
         n, fits = len(raw), self.fits
-        last: list[int] = [-1] * (n + 1)   # last token of the encoding of each prefix
-        size: list[int] = [0] * (n + 1)
+        last: list = [None] * n   # last token of the encoding of each prefix, by its last byte
+        size = [0] * n
         for end, (tok, k) in self.auto.iter(raw.decode("latin-1")):
-            end += 1
-            if last[end] < 0:
+            if last[end] is None:
                 before = end - k
-                if not before or (last[before] >= 0 and fits(last[before], tok)):
+                if before < 0 or fits(last[before], tok):
                     last[end], size[end] = tok, k
-        out = []
-        while n:
-            if last[n] < 0:
-                raise ValueError("a byte is not in the vocabulary")
+        out, n = [], n - 1
+        while n >= 0:
             out.append(last[n])
             n -= size[n]
         return out[::-1]
@@ -128,16 +129,9 @@ class PrefixBPE:
         """Ids of a text without special tokens."""
         ids: list[int] = []
         for piece in self.pattern.findall(text):
-            ids += self.piece(piece)
+            ids += self.encode_piece(piece.encode())
         return ids
 
-    @property
-    def piece(self):
-        """Encoder of pre-tokens that keeps those met lately."""
-        if "_piece" not in self.__dict__:
-            self._piece = lru_cache(maxsize=1 << 17)(lambda p: self.encode_piece(p.encode()))
-        return self._piece
-
     def encode(self, text: str) -> list[int]:
         ids: list[int] = []
         for k, part in enumerate(self.parts(text)):
@@ -156,67 +150,79 @@ def chunks(text: str) -> list[str]:
     """Cut ``text`` where no pre-token crosses and no look-ahead matters.
 
     Either before a run of white space (a cut between a non-blank and a
-    blank), or before a single space that a non-blank follows.
+    blank), or before a single space that a non-blank follows. The first space
+    of every chunk but the first is left out; a chunk that doesn't begin with
+    a space begins with a tab, so that it can be told apart.
     """
-    if not text:
-        return []
-    if _DOUBLE.search(text) or text[-1] == " ":
-        return _RUN.findall(text)
+    if _DOUBLE.search(text) or text[-1:] == " ":
+        out = _RUN.findall(text)
+        return out[:1] + [x[1:] if x[0] == " " and x[1:2] != "\t" else "\t" + x for x in out[1:]]
     out = text.split(" ")
-    out[1:] = [" " + x for x in out[1:]]
-    return out if out[0] else out[1:]
-
-
-_MODELS: dict[str, tuple[PrefixBPE, RecentCache]] = {}
+    return out if "\t" not in text else out[:1] + [x if x[0] != "\t" else "\t " + x for x in out[1:]]
 
 
-def _model(path: str) -> tuple[PrefixBPE, RecentCache]:
-    """One model and one store of recent chunks per Python worker."""
-    if path not in _MODELS:
-        bpe = PrefixBPE(path)
+class _Worker:
+    """One model and its stores of recent chunks, kept per Python worker."""
 
-        def fill(new: list[str]):
-            out = []
-            for chunk in new:
-                ids = bpe.encode_plain(chunk)
-                out.append((len(ids), ",".join(map(str, ids)), b"".join(map(bpe.bytes_of.__getitem__, ids))))
-            return out
-
-        _MODELS[path] = bpe, RecentCache(fill)
-    return _MODELS[path]
+    def __init__(self, path: str):
+        self.bpe = bpe = PrefixBPE(path)
+        self.pieces = RecentCache(lambda new: [",".join(map(str, bpe.encode_piece(x.encode()))) for x in new], limit=200_000)
+        self.ids = RecentCache(lambda new: [self._ids(" " + x if x[:1] != "\t" else x[1:]) for x in new], limit=500_000)
+        n = max(bpe.bytes_of) + 1
+        self.flat = np.frombuffer(b"".join(bpe.bytes_of.get(i, b"") for i in range(n)), np.uint8)
+        self.length = np.array([len(bpe.bytes_of.get(i, b"")) for i in range(n)], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+
+    def _ids(self, chunk: str) -> str:
+        return ",".join(map(self.pieces.__getitem__, self.bpe.pattern.findall(chunk)))
+
+    def encode(self, text: str) -> list[str]:
+        """Ids of a text as decimal strings, one string for each chunk."""
+        out: list[str] = []
+        for k, part in enumerate(self.bpe.parts(text)):
+            if k % 2:
+                out.append(str(self.bpe.special[part]))
+            elif part:
+                cut = chunks(part)
+                if cut[0]:
+                    out.append(self._ids(cut[0]))
+                out += map(self.ids.__getitem__, cut[1:])
+        return out
+
+    def decode(self, joined: str) -> str:
+        """The text of decimal ids joined by commas."""
+        if not joined:
+            return ""
+        ids = np.fromstring(joined, np.int64, sep=",")
+        size = self.length[ids]
+        end = np.cumsum(size)
+        return self.flat[np.repeat(self.start[ids] - end + size, size) + np.arange(end[-1])].tobytes().decode("utf-8", "replace")
+
+
+_WORKERS: dict[str, _Worker] = {}
+
+
+def _worker(path: str) -> _Worker:
+    if path not in _WORKERS:
+        _WORKERS[path] = _Worker(path)
+    return _WORKERS[path]
 
 
 def _digest(path: str):
     def run(batches):
-        bpe, cache = _model(path)
+        worker = _worker(path)
         for batch in slices(batches, "text", 2 << 20):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            cut = [[p if k % 2 else chunks(p) for k, p in enumerate(bpe.parts(t))] for t in texts]
-            words: set = set()
-            for parts in cut:
-                for part in parts[::2]:
-                    words.update(part)
-            of = cache.of(words)
+            for store in (worker.pieces, worker.ids):
+                store.turn()
             n_tokens, ids_sha, text_sha = [], [], []
-            for parts in cut:
-                n, ids, raw = 0, [], []
-                for k, part in enumerate(parts):
-                    if k % 2:
-                        n += 1
-                        ids.append(str(bpe.special[part]))
-                        raw.append(bpe.bytes_of[bpe.special[part]])
-                    elif part:
-                        counts, texts_of, raws = zip(*map(of, part))
-                        n += sum(counts)
-                        ids += texts_of
-                        raw += raws
-                n_tokens.append(n)
-                ids_sha.append(hashlib.sha256(",".join(ids).encode()).hexdigest())
-                decoded = b"".join(raw).decode("utf-8", "replace")
-                text_sha.append(hashlib.sha256(decoded.encode()).hexdigest())
+            for text in batch.column("text").to_pylist():
+                joined = ",".join(worker.encode(text or ""))
+                n_tokens.append(joined.count(",") + 1 if joined else 0)
+                ids_sha.append(hashlib.sha256(joined.encode()).hexdigest())
+                text_sha.append(hashlib.sha256(worker.decode(joined).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n_tokens, pa.int64()), pa.array(ids_sha), pa.array(text_sha)],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                [batch.column("doc_id"), pa.array(n_tokens, pa.int64()), pa.array(ids_sha, pa.string()),
+                 pa.array(text_sha, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
     return run
 
 
@@ -235,7 +241,7 @@ def bpe_digests(docs: DataFrame, vocab_path: str) -> DataFrame:
 
 def _encode(path: str):
     def run(batches):
-        bpe, _ = _model(path)
+        bpe = _worker(path).bpe
         for batch in slices(batches, "text", 2 << 20):
             ids = [bpe.encode(t or "") for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
@@ -251,7 +257,7 @@ def encode(docs: DataFrame, vocab_path: str) -> DataFrame:
 
 def _decode(path: str):
     def run(batches):
-        bpe, _ = _model(path)
+        bpe = _worker(path).bpe
         for batch in batches:
             texts = [bpe.decode(x or []) for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
