@@ -30,10 +30,9 @@ def msg_id_millis(col) -> Column:
     return F.when(m != "", m.cast("long"))
 
 
-def format_msg_id(ts, seq) -> Column:
-    """Build ``'<epoch millis>-<seq>'`` from an event time and a sequence number."""
-    return F.concat(F.unix_millis(_col(ts).cast("timestamp")).cast("string"), F.lit("-"),
-                    _col(seq).cast("string"))
+def msg_id_seq(col) -> Column:
+    s = F.regexp_extract(_col(col), r"^(\d+)-(\d+)$", 2)
+    return F.when(s != "", s.cast("long"))
 
 
 def epoch_to_ts(col) -> Column:
@@ -78,11 +77,16 @@ def pct(part, total) -> Column:
 
 
 def log_fields(msg) -> Column:
-    """``'text k1=v1 k2=v2'`` -> map<string,string> of the ``k=v`` pairs."""
+    """``'text k1=v1 k2=v2'`` -> map<string,string> of the ``k=v`` pairs; of a repeated key the last one."""
     pairs = F.regexp_extract_all(_col(msg), F.lit(r"([A-Za-z_]+)=(\S+)"), 0)
-    keys = F.transform(pairs, lambda p: F.substring_index(p, "=", 1))
-    vals = F.transform(pairs, lambda p: F.regexp_extract(p, r"^[^=]+=(.*)$", 1))
-    return F.map_from_arrays(keys, vals)
+
+    def add(fields, p):
+        key = F.substring_index(p, "=", 1)
+        others = F.map_filter(fields, lambda k, _: k != key)
+        return F.map_concat(others, F.create_map(key, F.regexp_extract(p, r"^[^=]+=(.*)$", 1)))
+
+    empty = F.create_map().cast("map<string,string>")
+    return F.when(_col(msg).isNotNull(), F.aggregate(pairs, empty, add))
 
 
 def state_code(col) -> Column:

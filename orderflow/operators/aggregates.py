@@ -55,11 +55,17 @@ def ack_total(acks: DataFrame) -> DataFrame:
 
 
 def audit_by_shard(ledger: DataFrame) -> DataFrame:
-    """A-04 / O-01: rows and average amount per shard (NUMERIC(10,2)), ordered by shard."""
-    return (ledger.groupBy("shard")
-            .agg(F.count(F.lit(1)).alias("rows"),
-                 F.avg("amount").cast("decimal(10,2)").alias("avg_amount"))
-            .orderBy("shard"))
+    """A-04 / O-01: rows and average amount per shard (NUMERIC(10,2)), ordered by shard.
+
+    The average is rounded half-up once, from the exact sum of cents and the
+    count: a division with fewer digits first would round twice.
+    """
+    cents = (F.sum(F.col("amount").cast("decimal(12,2)")) * 100).cast("decimal(38,0)")
+    n = F.count("amount").cast("decimal(20,0)")
+    sums = ledger.groupBy("shard").agg(F.count(F.lit(1)).alias("rows"), cents.alias("cents"), n.alias("n"))
+    half_up = F.expr("CAST(sign(cents) * ((2 * abs(cents) + n) div (2 * n)) AS DECIMAL(20,0))")
+    return sums.select("shard", "rows", F.when(F.col("n") > 0, half_up / 100).cast("decimal(10,2)").alias("avg_amount")) \
+        .orderBy("shard")
 
 
 def published_total(outcomes: DataFrame) -> DataFrame:

@@ -103,35 +103,28 @@ def next_match(left: DataFrame, right: DataFrame, key: str, l_ts: str, r_ts: str
     """As-of join: for each left row, the first right row of the same key at or after it.
 
     T-10's batch twin ("poll until acked or timeout"). Both sides are merged
-    per key in descending time; a running count of right rows gives every
-    left row the rank of its nearest following right row, so the match is an
-    equi-join on ``(key, rank)`` - one candidate per row, no pairs within a
-    key, and a hot key is spread by the distributed ordered scan.
-    Adds ``match_ts``, ``match_id``, ``latency_s`` and ``matched`` (within
-    ``within_s`` when given).
+    per key in descending time; the running minimum of the right rows' (time,
+    id) is the nearest following one, so nothing is joined, no pairs are made
+    within a key, and a hot key is spread by the ordered scan. Adds
+    ``match_ts``, ``match_id``, ``latency_s`` and ``matched`` (within
+    ``within_s`` when given); a row with a NULL key matches nothing.
     """
     from orderflow.operators.scan import ordered_scan
-    lu, ru = ts_micros(left, l_ts), ts_micros(right, r_ts)
-    l = left.select(F.col(key).alias("__k"), lu.alias("__us"), F.lit(1).alias("__kind"),
-                    F.col(l_id).cast("string").alias("__id"))
-    r = right.select(F.col(key).alias("__k"), ru.alias("__us"), F.lit(0).alias("__kind"),
-                     F.col(r_id).cast("string").alias("__id"))
-    ranked = ordered_scan(l.unionByName(r), ["__k"],
-                          [F.col("__us").desc(), F.col("__kind").asc(), F.col("__id").desc()],
-                          sums={"__rank": (F.col("__kind") == 0).cast("int")})
-    rights = ranked.filter(F.col("__kind") == 0).select(
-        "__k", "__rank", F.col("__us").alias("__m_us"), F.col("__id").alias("match_id"))
-    lefts = ranked.filter(F.col("__kind") == 1).select("__k", "__rank", F.col("__id").alias("__lid"))
-    m = lefts.join(rights, ["__k", "__rank"], "left")
-    keyed = left.withColumn("__lid", F.col(l_id).cast("string")).withColumn("__lus", lu)
-    res = keyed.join(m.withColumnRenamed("__k", key), [key, "__lid"], "left")
-    lat = (F.col("__m_us") - F.col("__lus")) / 1e6
-    matched = F.col("__m_us").isNotNull()
+    from orderflow.sources.tables import ntz_from_micros
+    row = F.struct(*[F.col(c) for c in left.columns])
+    lefts = left.select(F.col(key).alias("__k"), ts_micros(left, l_ts).alias("__us"), F.lit(1).alias("__kind"),
+                        F.col(l_id).cast("string").alias("__id"), row.alias("__row"))
+    rights = right.select(F.col(key).alias("__k"), ts_micros(right, r_ts).alias("__us"), F.lit(0).alias("__kind"),
+                          F.col(r_id).cast("string").alias("__id"), F.lit(None).cast(lefts.schema["__row"].dataType).alias("__row"))
+    found = F.when((F.col("__kind") == 0) & F.col("__k").isNotNull(), F.struct("__us", "__id"))
+    scanned = ordered_scan(lefts.unionByName(rights), ["__k"],
+                           [F.col("__us").desc(), F.col("__kind").asc(), F.col("__id").desc()], mins={"__next": found})
+    res = scanned.filter(F.col("__kind") == 1)
+    lat = (F.col("__next.__us") - F.col("__us")) / 1e6
+    matched = F.col("__next").isNotNull()
     if within_s is not None:
         matched = matched & (lat <= within_s)
-    from orderflow.sources.tables import ntz_from_micros
-    return (res.withColumn("matched", matched)
-            .withColumn("match_ts", F.when(matched, ntz_from_micros("__m_us")))
-            .withColumn("match_id", F.when(matched, F.col("match_id")))
-            .withColumn("latency_s", F.when(matched, lat))
-            .drop("__lid", "__lus", "__m_us", "__rank"))
+    return res.select("__row.*", F.coalesce(matched, F.lit(False)).alias("matched"),
+                      F.when(matched, ntz_from_micros("__next.__us")).alias("match_ts"),
+                      F.when(matched, F.col("__next.__id")).alias("match_id"),
+                      F.when(matched, lat).alias("latency_s"))

@@ -36,12 +36,13 @@ def _c(x) -> Column:
 
 
 def window_scan(df: DataFrame, keys: list[str], order: list, sums: dict, lags: dict,
-                maxes: dict | None = None) -> DataFrame:
+                maxes: dict | None = None, mins: dict | None = None) -> DataFrame:
     """The same results with plain window functions: what :func:`ordered_scan` must equal."""
     w = Window.partitionBy(*keys).orderBy(*[_c(o) for o in order])
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return df.select("*", *[F.sum(_c(e)).over(run).alias(n) for n, e in sums.items()],
                      *[F.max(_c(e)).over(run).alias(n) for n, e in (maxes or {}).items()],
+                     *[F.min(_c(e)).over(run).alias(n) for n, e in (mins or {}).items()],
                      *[F.lag(_c(e)).over(w).alias(n) for n, e in lags.items()])
 
 
@@ -49,25 +50,26 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list, *,
                  sums: dict[str, Column] | None = None,
                  lags: dict[str, Column] | None = None,
                  maxes: dict[str, Column] | None = None,
+                 mins: dict[str, Column] | None = None,
                  num_partitions: int | None = None) -> DataFrame:
     """Add inclusive running sums, running maxima and previous-row values inside ``keys`` groups.
 
     ``order`` columns (sort orders allowed, e.g. ``F.col('ts').desc()``) must
     make the order total inside a group. ``sums`` maps an output name to a
-    numeric expression (``F.lit(1)`` gives ``row_number``), ``maxes`` to an
+    numeric expression (``F.lit(1)`` gives ``row_number``), ``maxes`` and ``mins`` to an
     orderable one (NULLs skipped), ``lags`` to one of any type whose
     previous row's value is returned (NULL on a group's first row). The only
     job before the caller's action is the write of step 1.
     """
-    sums, lags, maxes = dict(sums or {}), dict(lags or {}), dict(maxes or {})
+    sums, lags, maxes, mins = dict(sums or {}), dict(lags or {}), dict(maxes or {}), dict(mins or {})
     spark = df.sparkSession
-    types = {f.name: f.dataType for f in window_scan(df, keys, order, sums, lags, maxes).schema.fields}
+    types = {f.name: f.dataType for f in window_scan(df, keys, order, sums, lags, maxes, mins).schema.fields}
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    src = {n: f"__scan_src_{n}" for n in [*sums, *maxes, *lags]}
+    src = {n: f"__scan_src_{n}" for n in [*sums, *maxes, *mins, *lags]}
     sort_cols = [F.col(k) for k in keys] + [_c(o) for o in order]
     # the order columns may be derived: sort first, then number the rows and add the sources
     placed = df.repartitionByRange(parts, *sort_cols).sortWithinPartitions(*sort_cols).select(
-        "*", *[_c(e).alias(src[n]) for n, e in {**sums, **maxes, **lags}.items()],
+        "*", *[_c(e).alias(src[n]) for n, e in {**sums, **maxes, **mins, **lags}.items()],
         F.monotonically_increasing_id().alias(_PLACE))
     path = scratch_path(spark, "scan")
     placed.write.parquet(path)
@@ -78,11 +80,13 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list, *,
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = staged.select(
         "*", *[F.sum(src[n]).over(run).alias(n) for n in sums], *[F.max(src[n]).over(run).alias(n) for n in maxes],
+        *[F.min(src[n]).over(run).alias(n) for n in mins],
         *[F.lag(src[n]).over(w).alias(n) for n in lags], F.row_number().over(w).alias("__scan_rn"))
 
     # groups that cross partition borders: one row per (group, partition)
     totals = staged.groupBy(*keys, _PID).agg(
         *[F.sum(src[n]).alias(f"__t_{n}") for n in sums], *[F.max(src[n]).alias(f"__t_{n}") for n in maxes],
+        *[F.min(src[n]).alias(f"__t_{n}") for n in mins],
         *[F.max_by(F.struct(src[n]), _PLACE).alias(f"__t_{n}") for n in lags], F.count(F.lit(1)).alias("__t_rows"))
     group = Window.partitionBy(*keys)
     earlier = group.orderBy(_PID)
@@ -91,14 +95,16 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list, *,
         F.col(_PID).alias("__c_pid"), *[F.col(k).alias(f"__c_k{i}") for i, k in enumerate(keys)],
         *[F.sum(f"__t_{n}").over(before).alias(f"__c_{n}") for n in sums],
         *[F.max(f"__t_{n}").over(before).alias(f"__c_{n}") for n in maxes],
+        *[F.min(f"__t_{n}").over(before).alias(f"__c_{n}") for n in mins],
         *[F.lag(f"__t_{n}").over(earlier)[src[n]].alias(f"__c_{n}") for n in lags])
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__c_k{i}")) for i, k in enumerate(keys)],
                   F.col(_PID) == F.col("__c_pid"))
     joined = local.join(F.broadcast(carry), same, "left")
     outs = [F.coalesce(F.col(n) + F.col(f"__c_{n}"), F.col(n), F.col(f"__c_{n}")) for n in sums]
     outs += [F.greatest(F.col(n), F.col(f"__c_{n}")) for n in maxes]
+    outs += [F.least(F.col(n), F.col(f"__c_{n}")) for n in mins]
     outs += [F.when(F.col("__scan_rn") == 1, F.col(f"__c_{n}")).otherwise(F.col(n)) for n in lags]
-    names = [*sums, *maxes, *lags]
+    names = [*sums, *maxes, *mins, *lags]
     return joined.select(*df.columns, *[o.cast(types[n]).alias(n) for o, n in zip(outs, names)])
 
 

@@ -53,8 +53,11 @@ def _errors_from(v: Column, obj: Column, types: dict[str, Column]) -> Column:
     is_num = F.lit(False)
     for p in NUMBER_PREFIXES:
         is_num = is_num | t.startswith(p)
+    # An amount that money at rest can't hold is an error of the message: stored, it would be NULL.
+    money = to_money(F.try_variant_get(v, "$.amount", "double"))
     checks.append(F.when(ok_obj & _missing(t), F.lit("missing:amount"))
-                  .when(ok_obj & ~is_num, F.lit("type:amount")))
+                  .when(ok_obj & ~is_num, F.lit("type:amount"))
+                  .when(ok_obj & money.isNull(), F.lit("overflow:amount")))
     t = types["items"]
     checks.append(F.when(ok_obj & _missing(t), F.lit("missing:items"))
                   .when(ok_obj & ~t.isin(*ITEMS_TYPES), F.lit("type:items")))
@@ -65,7 +68,7 @@ def order_errors(data) -> Column:
     """Array of validation errors of an envelope ``data`` text (empty = valid).
 
     Codes: ``invalid_json``, ``not_object``, ``missing:<field>``,
-    ``type:<field>``. Empty ``items`` and a zero amount are valid. This is
+    ``type:<field>``, ``overflow:amount``. Empty ``items`` and a zero amount are valid. This is
     the single-expression form (for ``observe`` and the like); the DataFrame
     operators below parse once and type each field once.
     """
@@ -163,10 +166,10 @@ def contains_items(df: DataFrame, items: list[str], col: str = "items") -> DataF
 def parse_ids(df: DataFrame, text: str = "ids", max_ids: int = ACK_MAX_IDS) -> DataFrame:
     """P-10: comma list -> trimmed non-empty ids, with the request verdict.
 
-    Adds ``ids`` (array), ``n_ids`` (counted before dedup, as the services
+    White space of any kind around an id is dropped. Adds ``id_list`` (array), ``n_ids`` (counted before dedup, as the services
     do), ``status`` (200 / 400) and ``error``.
     """
-    ids = F.filter(F.transform(F.split(F.col(text), ","), lambda x: F.trim(x)), lambda x: x != "")
+    ids = F.filter(F.transform(F.split(F.col(text), ","), lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")), lambda x: x != "")
     n = F.size(ids)
     err = (F.when(n == 0, F.lit("ids param required"))
            .when(n > max_ids, F.lit(f"max {max_ids} ids per request")))
@@ -183,9 +186,21 @@ def requested_ids(parsed: DataFrame, request: str = "request_id") -> DataFrame:
 
 
 def classify_outcome(df: DataFrame, ok: str = "ok", reason: str = "reason") -> DataFrame:
-    """P-11: outcome -> HTTP-style status code (200 stored, 503 circuit open,
-    502 retries exhausted)."""
+    """P-11: outcome of a publish call -> HTTP-style status code (200 stored, 503
+    circuit open, 502 retries exhausted). Requests that never become a call are
+    classified by :func:`classify_requests`."""
     code = (F.when(F.col(ok), F.lit(200))
             .when(F.col(reason) == "circuit_open", F.lit(503))
             .otherwise(F.lit(502)))
     return df.withColumn("status_code", code)
+
+
+def classify_requests(df: DataFrame, data: str = "data", ids: str = "ids", max_ids: int = ACK_MAX_IDS) -> DataFrame:
+    """P-11: status of a request before any call: an order body (``data``) that
+    doesn't validate is 422, an id list (``ids``) that is empty or too long is
+    400, the rest is 200. A request has one of the two; the other is NULL."""
+    bodies = validate_orders(df, data).drop("valid")
+    listed = parse_ids(bodies, ids, max_ids)
+    code = (F.when(F.col(data).isNotNull(), F.when(F.size("errors") > 0, F.lit(422)).otherwise(F.lit(200)))
+            .otherwise(F.coalesce("status", F.lit(400))))
+    return listed.withColumn("status_code", code).drop("errors", "id_list", "n_ids", "error", "status")

@@ -57,16 +57,18 @@ def latest_ack(acks: DataFrame, key: str = "order_id", ts: str = "ack_ts",
                tiebreak: str | None = None) -> DataFrame:
     """W-03 / S-09 read side: last write wins per order, aggregated map-side.
 
-    The "latest" order is one fixed-width number (epoch micros, scaled and
-    plus a numeric tiebreak with |tiebreak| < 5e17), so each column is a ``max_by`` on primitive
-    buffers and Spark can use hash aggregation instead of sorting.
+    The "latest" order is one fixed-width number (epoch micros scaled by 2^64,
+    plus an integer tiebreak of any size), so each column is a ``max_by`` on
+    primitive buffers and Spark can use hash aggregation instead of sorting.
     """
     from orderflow.operators.util import ts_micros
     others = [c for c in acks.columns if c != key]
     numeric_tb = tiebreak is None or isinstance(acks.schema[tiebreak].dataType, T.IntegralType)
     if numeric_tb:
         us = ts_micros(acks, ts).cast("decimal(38,0)")
-        ordv = us if tiebreak is None else us * F.lit(10 ** 18).cast("decimal(38,0)") + F.col(tiebreak)
+        ordv = us if tiebreak is None else (us.cast("decimal(18,0)") * F.lit(str(2 ** 64)).cast("decimal(20,0)")).cast("decimal(38,0)") \
+            + F.col(tiebreak).cast("decimal(20,0)")
+        ordv = ordv.cast("decimal(38,0)")
         work = acks.withColumn("__ord", ordv)
         return (work.groupBy(key)
                 .agg(*[F.max_by(c, "__ord").alias(c) for c in others],
@@ -146,14 +148,18 @@ def counter_rate(samples: DataFrame, series: str, ts: str, value: str, tiebreak:
 
 
 def failure_streaks(outcomes: DataFrame, key: str = "name", ts: str = "ts",
-                    tiebreak: str = "event_id", ok: str = "ok", threshold: int = 3) -> DataFrame:
+                    tiebreak: str = "event_id", ok: str = "ok", threshold: int = 3,
+                    reason: str = "reason") -> DataFrame:
     """W-06: runs of consecutive failures per key (gaps and islands).
 
+    Calls that an open circuit rejected (reason ``circuit_open``) never reached
+    the dependency: they are neither failures nor successes and are left out.
     A success resets the count (the breaker's rule); the island id is the
     running number of successes, computed skew-safe. One row per run:
     ``key, streak_id, failures, started, ended, reaches_threshold``.
     """
-    scanned = ordered_scan(outcomes, [key], [ts, tiebreak],
+    reached = outcomes.filter(~F.col(reason).eqNullSafe("circuit_open"))
+    scanned = ordered_scan(reached, [key], [ts, tiebreak],
                            sums={"streak_id": F.col(ok).cast("int")})
     return (scanned.filter(~F.col(ok))
             .groupBy(key, "streak_id")
@@ -162,6 +168,28 @@ def failure_streaks(outcomes: DataFrame, key: str = "name", ts: str = "ts",
             .withColumn("reaches_threshold", F.col("failures") >= threshold))
 
 
+def trailing_states(outcomes: DataFrame, as_of: DataFrame, threshold: int = 3, recovery_s: int = 30,
+                    key: str = "name", ts: str = "ts", tiebreak: str = "event_id", ok: str = "ok",
+                    reason: str = "reason") -> DataFrame:
+    """A-13: state of each dependency from its recorded outcomes: ``key, failures, failed_at, state``.
+
+    ``failures`` counts the failures since the last success, calls rejected by
+    an open circuit left out. Below ``threshold`` the state is ``closed``; from
+    there on ``open``, or ``half_open`` once ``recovery_s`` have passed between
+    the last failure and ``as_of`` (a one-row table). Two map-side combined
+    aggregates; the second joins one row per dependency.
+    """
+    at = F.struct(F.col(ts), F.col(tiebreak))
+    reached = outcomes.filter(~F.col(reason).eqNullSafe("circuit_open"))
+    good = reached.filter(F.col(ok)).groupBy(F.col(key).alias("__key")).agg(F.max(at).alias("__good"))
+    later = ~F.col(ok) & (F.col("__good").isNull() | (at > F.col("__good")))
+    tail = reached.join(good, F.col(key).eqNullSafe(F.col("__key")), "left").groupBy(key).agg(
+        F.count_if(later).alias("failures"), F.max(F.when(~F.col(ok), F.col(ts))).alias("failed_at"))
+    recovered = F.col("failed_at") + F.make_dt_interval(secs=F.lit(recovery_s)) <= F.col("as_of")
+    state = F.when(F.col("failures") < threshold, F.lit("closed")).when(recovered, F.lit("half_open")).otherwise(F.lit("open"))
+    return with_scalars(tail, as_of).withColumn("state", state).drop("as_of")
+
+
 def order_violations(df: DataFrame, keys: list[str], arrival: list[str],
                      msg_ms: str = "msg_ms", msg_seq: str = "msg_seq") -> DataFrame:
     """W-07: rows whose message id is not above the previous one of the same key.

@@ -39,8 +39,10 @@ def _items_text(col="items"):
 
 # ---------------------------------------------------------------- A-04 / O-01
 @register("audit_by_shard", with_views(["ord"], """
-SELECT shard, count(*) AS rows, CAST(sum(amount) / count(*) AS DECIMAL(10,2)) AS avg_amount
-FROM ord GROUP BY shard ORDER BY shard"""))
+SELECT shard, rows, CAST(CAST(sign(cents) * ((2 * abs(cents) + n) // (2 * n)) AS DECIMAL(20,0)) / 100 AS DECIMAL(10,2)) AS avg_amount
+FROM (SELECT shard, count(*) AS rows, count(amount)::HUGEINT AS n, (sum(CAST(amount AS DECIMAL(12,2))) * 100)::HUGEINT AS cents
+      FROM ord GROUP BY shard)
+ORDER BY shard"""))
 def q_audit_by_shard(spark, sf):
     return agg.audit_by_shard(tb.orders_view(spark, sf, with_items=False))
 
@@ -148,9 +150,11 @@ def q_order_validation(spark, sf):
 
 # ---------------------------------------------------------------- P-05
 @register("created_messages", with_views(["msg"], """
-SELECT shard, count(*) AS messages FROM msg WHERE type = 'order_created' GROUP BY shard"""))
+SELECT shard, count(*) AS messages FROM msg WHERE o_orderkey % 7 <> 0 GROUP BY shard"""))
 def q_created_messages(spark, sf):
-    m = validate.of_type(tb.messages_view(spark, sf))
+    m = tb.messages_view(spark, sf)
+    m = m.withColumn("type", F.when(F.col("o_orderkey") % 7 == 0, F.lit("order_changed")).otherwise(F.col("type")))
+    m = validate.of_type(m)
     return m.groupBy("shard").agg(F.count(F.lit(1)).alias("messages"))
 
 
@@ -192,7 +196,7 @@ def q_contains_items(spark, sf):
 def _requests(spark, sf):
     o = tb.orders_view(spark, sf)
     ids = F.concat(F.array_join(F.transform("items", lambda i: F.replace(i, F.lit("PART-"), F.lit("ORD-"))),
-                                " , "), F.lit(" , ,"))
+                                " ,\t"), F.lit("\n , \t,"))
     return o.select(F.col("order_id").alias("request_id"), ids.alias("ids"))
 
 
@@ -211,7 +215,7 @@ def q_parsed_ids(spark, sf):
 
 # ---------------------------------------------------------------- J-01 / U-02
 def _status(spark, sf):
-    req = validate.requested_ids(_parsed(spark, sf))
+    req = validate.requested_ids(validate.parse_ids(_requests(spark, sf), "ids"))
     return joins.ack_status(req, tb.acks_view(spark, sf), N)
 
 
@@ -543,7 +547,7 @@ def q_counter_rate(spark, sf):
 SELECT name, streak_id, count(*) AS failures, min(ts) AS started, max(ts) AS ended,
        count(*) >= 3 AS reaches_threshold
 FROM (SELECT *, CAST(sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (PARTITION BY name ORDER BY ts, event_id) AS BIGINT) AS streak_id
-      FROM outcome)
+      FROM outcome WHERE reason IS DISTINCT FROM 'circuit_open')
 WHERE NOT ok GROUP BY name, streak_id"""))
 def q_failure_streaks(spark, sf):
     return windows.failure_streaks(tb.outcomes_view(spark, sf))
@@ -699,131 +703,46 @@ def q_ack_ttl_sessions(spark, sf):
     return s.select("shard", "session_no", "started", "last_write", "acks", "expires_at", "live")
 
 
-# ---------------------------------------------------------------- T-07
-_FLUSH_N, _FLUSH_I = 3, 3600
-
-
-@register("ack_flush_batches", with_views(["ack"], f"""
-, a AS (SELECT shard, epoch_us(ack_ts) AS us,
-               row_number() OVER (PARTITION BY shard ORDER BY epoch_us(ack_ts), order_id) AS rn FROM ack),
-r AS (
-  SELECT shard, CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS us,
-         FALSE AS tflush, CAST(NULL AS BIGINT) AS t_us, CAST(NULL AS BIGINT) AS t_size,
-         CAST(NULL AS BIGINT) AS t_first, CAST(NULL AS BIGINT) AS t_last,
-         FALSE AS rflush, CAST(NULL AS VARCHAR) AS rreason, CAST(NULL AS BIGINT) AS rsize,
-         CAST(NULL AS BIGINT) AS rfirst,
-         CAST(0 AS BIGINT) AS c, min(us) AS l, CAST(NULL AS BIGINT) AS bf, CAST(NULL AS BIGINT) AS bl
-  FROM a GROUP BY shard
-  UNION ALL
-  SELECT shard, rn, us, tflush, t_us, t_size, t_first, t_last,
-         rflush, rreason, rsize, rfirst,
-         CASE WHEN rflush THEN 0 ELSE c2 END, CASE WHEN rflush THEN us ELSE l1 END, bf1, us
-  FROM (SELECT *, (c2 >= {_FLUSH_N} OR us - l1 >= {_FLUSH_I * 1000000}) AS rflush,
-               CASE WHEN c2 >= {_FLUSH_N} THEN 'count' ELSE 'time' END AS rreason, c2 AS rsize, bf1 AS rfirst
-        FROM (SELECT a.shard, a.rn, a.us,
-                     (r.c > 0 AND a.us > r.l + {_FLUSH_I * 1000000}) AS tflush,
-                     r.l + {_FLUSH_I * 1000000} AS t_us, r.c AS t_size, r.bf AS t_first, r.bl AS t_last,
-                     CASE WHEN r.c > 0 AND a.us > r.l + {_FLUSH_I * 1000000} THEN 0 ELSE r.c END + 1 AS c2,
-                     CASE WHEN r.c > 0 AND a.us > r.l + {_FLUSH_I * 1000000} THEN r.l + {_FLUSH_I * 1000000} ELSE r.l END AS l1,
-                     CASE WHEN (r.c > 0 AND a.us > r.l + {_FLUSH_I * 1000000}) OR r.c = 0 THEN a.us ELSE r.bf END AS bf1
-              FROM r JOIN a ON a.shard = r.shard AND a.rn = r.rn + 1) s1) s2),
-fl AS (
-  SELECT shard, t_us AS flush_us, 'timer' AS reason, t_size AS size, t_first AS first_us, t_last AS last_us
-  FROM r WHERE tflush
-  UNION ALL SELECT shard, us, rreason, rsize, rfirst, us FROM r WHERE rflush
-  UNION ALL SELECT r.shard, r.l + {_FLUSH_I * 1000000}, 'timer', r.c, r.bf, r.bl
-  FROM r JOIN (SELECT shard, max(rn) AS mx FROM a GROUP BY shard) m ON r.shard = m.shard AND r.rn = m.mx
-  WHERE r.c > 0)
-SELECT shard, make_timestamp(flush_us) AS flush_ts, reason, size,
-       make_timestamp(first_us) AS first_ts, make_timestamp(last_us) AS last_ts
-FROM fl""").replace("WITH ", "WITH RECURSIVE ", 1).replace("\n, a AS", ",\na AS"))
-def q_ack_flush_batches(spark, sf):
-    from orderflow.operators.state import count_or_time_batches
-    return count_or_time_batches(tb.acks_view(spark, sf), "shard", "ack_ts", "order_id",
-                                 max_rows=_FLUSH_N, interval_s=_FLUSH_I)
-
-
-# ---------------------------------------------------------------- T-09 / F-10
-_BREAKER_SQL = """
-, o AS (SELECT name, event_id, ok, epoch_us(ts) AS us,
-               row_number() OVER (PARTITION BY name ORDER BY epoch_us(ts), event_id) AS rn FROM outcome),
-r AS (
-  SELECT name, CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS us, CAST(NULL AS BIGINT) AS event_id,
-         CAST(NULL AS BOOLEAN) AS ok, CAST(NULL AS VARCHAR) AS state_before, CAST(NULL AS BOOLEAN) AS allowed,
-         'closed' AS state_after, CAST(0 AS BIGINT) AS failures, CAST(NULL AS BIGINT) AS opened_us
-  FROM o GROUP BY name
-  UNION ALL
-  SELECT name, rn, us, event_id, ok, seen, seen <> 'open',
-         CASE WHEN seen = 'open' THEN 'open' WHEN ok THEN 'closed'
-              WHEN seen = 'half_open' OR f + 1 >= 3 THEN 'open' ELSE seen END,
-         CASE WHEN seen = 'open' THEN f WHEN ok THEN 0 ELSE f + 1 END,
-         CASE WHEN seen = 'open' THEN op WHEN ok THEN NULL
-              WHEN seen = 'half_open' OR f + 1 >= 3 THEN us ELSE op END
-  FROM (SELECT o.name, o.rn, o.us, o.event_id, o.ok, r.failures AS f, r.opened_us AS op,
-               CASE WHEN r.state_after = 'open' AND o.us - r.opened_us >= 30000000 THEN 'half_open'
-                    ELSE r.state_after END AS seen
-        FROM r JOIN o ON o.name = r.name AND o.rn = r.rn + 1) s)"""
-
-
-def _breaker_sql(body: str) -> str:
-    return with_views(["outcome"], _BREAKER_SQL + body).replace("WITH ", "WITH RECURSIVE ", 1) \
-        .replace("\n, o AS", ",\no AS")
-
-
-@register("breaker_timeline", _breaker_sql("""
-SELECT name, make_timestamp(us) AS ts, event_id, ok, state_before, allowed, state_after, failures,
-       make_timestamp(opened_us) AS opened_ts,
-       CASE state_after WHEN 'closed' THEN 0 WHEN 'half_open' THEN 1 WHEN 'open' THEN 2 ELSE 0 END AS state_code
-FROM r WHERE rn > 0"""))
-def q_breaker_timeline(spark, sf):
-    from orderflow.operators.state import breaker_timeline
-    tl = breaker_timeline(tb.outcomes_view(spark, sf), threshold=3, recovery_s=30)
-    return tl.withColumn("state_code", codec.state_code("state_after"))
-
-
-# ---------------------------------------------------------------- A-13
-@register("breaker_health", _breaker_sql("""
-, last AS (SELECT name, arg_max(state_after, (us, event_id)) AS st, arg_max(opened_us, (us, event_id)) AS op
-           FROM r WHERE rn > 0 GROUP BY name),
-eff AS (SELECT name, CASE WHEN st = 'open' AND op + 30000000 <= (SELECT max(epoch_us(ts)) FROM outcome)
-                          THEN 'half_open' ELSE st END AS state FROM last)
+# ---------------------------------------------------------------- A-13 / F-10
+@register("breaker_health", with_views(["outcome"], """
+, reached AS (SELECT *, (epoch_us(ts), event_id) AS pos FROM outcome WHERE reason IS DISTINCT FROM 'circuit_open'),
+good AS (SELECT name, max(pos) AS pos FROM reached WHERE ok GROUP BY name),
+tail AS (SELECT r.name, count(*) FILTER (WHERE NOT r.ok AND (g.pos IS NULL OR r.pos > g.pos)) AS failures, max(r.ts) FILTER (WHERE NOT r.ok) AS failed_at
+         FROM reached r LEFT JOIN good g ON r.name = g.name GROUP BY r.name),
+eff AS (SELECT name, CASE WHEN failures < 3 THEN 'closed'
+                          WHEN epoch_us(failed_at) + 30000000 <= (SELECT max(epoch_us(ts)) FROM outcome) THEN 'half_open'
+                          ELSE 'open' END AS state FROM tail)
 SELECT CASE WHEN bool_and(state <> 'open') THEN 'ok' ELSE 'degraded' END AS status,
-       string_agg(name || '=' || state, ',' ORDER BY name) AS breakers,
+       string_agg(name || '=' || state || ':' || CASE state WHEN 'closed' THEN 0 WHEN 'half_open' THEN 1 ELSE 2 END, ',' ORDER BY name) AS breakers,
        CAST(count(*) FILTER (WHERE state = 'open') AS INTEGER) AS n_open
-FROM eff""").replace("\n, last AS", ",\nlast AS"))
+FROM eff""").replace("\n, reached AS", ",\nreached AS"))
 def q_breaker_health(spark, sf):
-    from orderflow.operators.state import breaker_states, breaker_timeline
     o = tb.outcomes_view(spark, sf)
-    tl = breaker_timeline(o, threshold=3, recovery_s=30)
-    as_of = o.agg(F.max("ts").alias("as_of"))
-    states = breaker_states(tl, as_of, recovery_s=30)
-    h = agg.health(states)
+    states = windows.trailing_states(o, o.agg(F.max("ts").alias("as_of")), threshold=3, recovery_s=30)
+    coded = states.withColumn("state", F.concat("state", F.lit(":"), codec.state_code("state").cast("string")))
+    h = agg.health(states).select("status").crossJoin(agg.health(coded).select("circuit_breakers"))  # one row each
     pairs = F.array_sort(F.transform(F.map_entries("circuit_breakers"),
                                      lambda e: F.concat(e["key"], F.lit("="), e["value"])))
     return h.select("status", F.array_join(pairs, ",").alias("breakers"),
-                    F.size(F.filter(F.map_values("circuit_breakers"), lambda v: v == "open")).alias("n_open"))
+                    F.size(F.filter(F.map_values("circuit_breakers"), lambda v: v.startswith("open"))).alias("n_open"))
 
 
 # ---------------------------------------------------------------- T-10 (batch twin)
-@register("await_acks", """
-WITH p AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'),
-a AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'view'),
+@register("await_acks", with_views(["msg", "ack"], """,
 nxt AS (
-  SELECT p.event_id, min(a.ts) AS first_ts
-  FROM p JOIN a ON a.user_id = p.user_id AND a.ts >= p.ts GROUP BY p.event_id)
-SELECT p.event_id, p.user_id, p.ts,
-       CASE WHEN epoch_us(n.first_ts) - epoch_us(p.ts) <= 3600000000 THEN n.first_ts END AS match_ts,
-       CASE WHEN epoch_us(n.first_ts) - epoch_us(p.ts) <= 3600000000
-            THEN round((epoch_us(n.first_ts) - epoch_us(p.ts)) / 1e6, 6) END AS latency_s,
-       coalesce(epoch_us(n.first_ts) - epoch_us(p.ts) <= 3600000000, FALSE) AS matched
-FROM p LEFT JOIN nxt n ON p.event_id = n.event_id""")
+  SELECT m.msg_id, m.order_id, min(a.ack_ts) AS first_ts
+  FROM msg m JOIN ack a ON a.shard = m.shard AND a.order_id = m.order_id AND a.ack_ts >= m.ts GROUP BY 1, 2)
+SELECT m.msg_id, m.order_id, m.ts,
+       CASE WHEN epoch_us(n.first_ts) - epoch_us(m.ts) <= 864000000000000 THEN n.first_ts END AS match_ts,
+       CASE WHEN epoch_us(n.first_ts) - epoch_us(m.ts) <= 864000000000000
+            THEN round((epoch_us(n.first_ts) - epoch_us(m.ts)) / 1e6, 6) END AS latency_s,
+       coalesce(epoch_us(n.first_ts) - epoch_us(m.ts) <= 864000000000000, FALSE) AS matched
+FROM msg m LEFT JOIN nxt n ON m.msg_id = n.msg_id AND m.order_id = n.order_id"""))
 def q_await_acks(spark, sf):
-    e = tb.read_table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
-    p = e.filter(F.col("event_type") == "purchase").drop("event_type")
-    a = e.filter(F.col("event_type") == "view").drop("event_type")
-    m = joins.next_match(p, a, "user_id", "ts", "ts", "event_id", "event_id", within_s=3600)
-    return m.select("event_id", "user_id", "ts", "match_ts", F.round("latency_s", 6).alias("latency_s"),
-                    "matched")
+    m = tb.messages_view(spark, sf).select("order_id", "msg_id", "ts")
+    a = tb.acks_view(spark, sf).select(F.col("order_id"), "ack_ts", "shard")
+    j = joins.next_match(m, a, "order_id", "ts", "ack_ts", "msg_id", "shard", within_s=864_000_000)
+    return j.select("msg_id", "order_id", "ts", "match_ts", F.round("latency_s", 6).alias("latency_s"), "matched")
 
 
 # ---------------------------------------------------------------- S-01 / S-03 / U-01
@@ -870,6 +789,94 @@ def q_streaming_ingest(spark, sf):
     return led.select("order_id", "customer_id", "amount", _items_text().alias("items_text"), "msg_id", "shard")
 
 
+def _ingest_paths(spark, name):
+    from orderflow.session import scratch_path
+    from orderflow.streaming.ingest import IngestPaths
+    root = scratch_path(spark, name)
+    return IngestPaths(f"{root}/source", f"{root}/ledger", f"{root}/acks", f"{root}/quarantine", f"{root}/checkpoint")
+
+
+@register("ingest_overflow", with_views(["msg"], """
+SELECT place, reason, count(*) AS rows FROM (
+  SELECT CASE WHEN o_orderkey % 10 <= 4 THEN 'quarantine' ELSE 'ledger' END AS place,
+         CASE o_orderkey % 10 WHEN 0 THEN 'invalid_json' WHEN 1 THEN 'missing:items' WHEN 2 THEN 'type:amount'
+              WHEN 3 THEN 'missing:order_id' WHEN 4 THEN 'overflow:amount' ELSE '' END AS reason
+  FROM msg) GROUP BY place, reason"""))
+def q_ingest_overflow(spark, sf):
+    """T-01 / F-06: amounts that money can't hold go to quarantine, not to the ledger as NULL."""
+    from orderflow.sources.messages import write_messages
+    from orderflow.streaming.ingest import start_ingest
+    paths = _ingest_paths(spark, "overflow")
+    huge = F.to_json(F.struct("order_id", "customer_id", F.lit(99999999999.0).alias("amount"), "items"))
+    m = tb.messages_view(spark, sf).select("o_orderkey", huge.alias("huge"))
+    m = tb.malformed_messages_view(spark, sf).join(m, "o_orderkey") \
+        .withColumn("data", F.when(F.col("o_orderkey") % 10 == 4, F.col("huge")).otherwise(F.col("data"))).drop("huge")
+    write_messages(m, paths.source)
+    start_ingest(spark, paths).awaitTermination()
+    led = spark.read.parquet(paths.ledger).filter("amount IS NOT NULL").select(F.lit("ledger").alias("place"), F.lit("").alias("reason"))
+    out = led.unionByName(spark.read.parquet(paths.quarantine).select(F.lit("quarantine").alias("place"), "reason"))
+    return out.groupBy("place", "reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("ingest_replay", with_views(["decoded"], """
+SELECT 'received' AS what, 2 * (SELECT count(*) FROM msg) AS rows
+UNION ALL SELECT 'ledger', count(*) FROM good
+UNION ALL SELECT 'duplicates', count(*) FROM good
+UNION ALL SELECT 'quarantine', 2 * ((SELECT count(*) FROM msg) - (SELECT count(*) FROM good))
+UNION ALL SELECT 'distinct orders', count(DISTINCT order_id) FROM good"""))
+def q_ingest_replay(spark, sf):
+    """T-03 / T-04 / S-05: every message sent twice over several micro-batches, the re-sends of an
+    early shard last; each order is stored once and nothing is lost."""
+    from orderflow.sources.messages import write_messages
+    from orderflow.streaming.ingest import start_ingest
+    paths, counts = _ingest_paths(spark, "replay"), []
+    m = tb.malformed_messages_view(spark, sf)
+    for part in (m, m.filter(F.col("shard") != 0), m.filter(F.col("shard") == 0)):
+        write_messages(part, paths.source)
+    start_ingest(spark, paths, max_files_per_trigger=6, first_wins=True, on_batch=counts.append).awaitTermination()
+    total = {k: sum(c[k] for c in counts) for k in ("received", "duplicates")}  # one row per micro-batch
+    led, bad = spark.read.parquet(paths.ledger), spark.read.parquet(paths.quarantine)
+
+    def line(df, what, n=F.count(F.lit(1))):
+        return df.agg(n.cast("long").alias("rows")).select(F.lit(what).alias("what"), "rows")
+
+    out = spark.createDataFrame(list(total.items()), "what string, rows long")
+    for part in (line(led, "ledger"), line(bad, "quarantine"), line(led, "distinct orders", F.count_distinct("order_id"))):
+        out = out.unionByName(part)
+    return out
+
+
+@register("ingest_shard_groups", with_views(["decoded"], """
+SELECT shard, count(*) AS ledger_rows, count(*) AS acks FROM good GROUP BY shard"""))
+def q_ingest_shard_groups(spark, sf):
+    """T-12: two shard groups with own checkpoints write one ledger and one ack table."""
+    from dataclasses import replace
+
+    from orderflow.sources.messages import write_messages
+    from orderflow.streaming.ingest import start_ingest
+    paths = _ingest_paths(spark, "groups")
+    write_messages(tb.malformed_messages_view(spark, sf), paths.source)
+    running = [start_ingest(spark, replace(paths, checkpoint=f"{paths.checkpoint}-{i}"), shards=group)
+               for i, group in enumerate(([0, 1], [2, 3]))]
+    for q in running:
+        q.awaitTermination()
+    led = spark.read.parquet(paths.ledger).groupBy("shard").agg(F.count(F.lit(1)).alias("ledger_rows"))
+    acks = spark.read.parquet(paths.acks).groupBy("shard").agg(F.count(F.lit(1)).alias("acks"))
+    return led.join(acks, "shard")
+
+
+# ---------------------------------------------------------------- S-12
+@register("retention_loss", with_views(["msg", "ack"], """
+SELECT shard, count(*) AS removed, count(*) FILTER (WHERE NOT acked) AS removed_unacked FROM (
+  SELECT m.shard, row_number() OVER (PARTITION BY m.shard ORDER BY m.msg_ms DESC, m.msg_seq DESC) AS age,
+         EXISTS (SELECT 1 FROM ack a WHERE a.shard = m.shard AND a.order_id = m.order_id) AS acked
+  FROM msg m) WHERE age > 200 GROUP BY shard"""))
+def q_retention_loss(spark, sf):
+    from orderflow.sources.ledger import retention_loss
+    m = tb.messages_view(spark, sf).withColumn("msg_ms", codec.msg_id_millis("msg_id"))
+    return retention_loss(m.select("shard", "order_id", "msg_ms", "msg_seq"), tb.acks_view(spark, sf), 200)
+
+
 # ---------------------------------------------------------------- T-04
 @register("dedup_stream", with_views(["ord"], """
 SELECT DISTINCT order_id, shard, customer_id FROM ord"""))
@@ -883,7 +890,8 @@ def q_dedup_stream(spark, sf):
     resend = m.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 SECOND"))
     write_messages(resend, f"{root}/source")
     src = read_messages(spark, f"{root}/source", streaming=True).withColumn("ets", F.col("ts").cast("timestamp"))
-    d = dedup_stream(src, ["shard", "data"], "ets", "1 day")
+    src = src.withColumn("oid", F.get_json_object("data", "$.order_id"))
+    d = dedup_stream(src, ["shard", "oid"], "ets", "1 day")
     q = (d.select("shard", "data").writeStream.format("parquet").option("path", f"{root}/out")
          .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start())
     q.awaitTermination()
@@ -902,14 +910,27 @@ def q_outcome_status_codes(spark, sf):
     return c.groupBy("shard", "status_code").agg(F.count(F.lit(1)).alias("calls"))
 
 
+@register("request_status_codes", with_views(["decoded", "requests"], """
+SELECT 'order' AS kind, CASE WHEN errors = 0 THEN 200 ELSE 422 END AS status_code, count(*) AS requests
+FROM (SELECT CASE WHEN o_orderkey % 10 <= 3 THEN 1 ELSE 0 END AS errors FROM msg) GROUP BY ALL
+UNION ALL
+SELECT 'acks', CASE WHEN error IS NULL THEN 200 ELSE 400 END, count(*) FROM parsed GROUP BY ALL"""))
+def q_request_status_codes(spark, sf):
+    text = F.lit(None).cast("string")
+    bodies = tb.malformed_messages_view(spark, sf).select(F.lit("order").alias("kind"), "data", text.alias("ids"))
+    lists = _requests(spark, sf).select(F.lit("acks").alias("kind"), text.alias("data"), "ids")
+    c = validate.classify_requests(bodies.unionByName(lists), max_ids=5)
+    return c.groupBy("kind", "status_code").agg(F.count(F.lit(1)).alias("requests"))
+
+
 # ---------------------------------------------------------------- F-05
 @register("items_json", with_views(["ord"], """
-SELECT order_id, to_json(items) IS NOT NULL AS encoded,
+SELECT order_id, CAST(to_json(items) AS VARCHAR) AS encoded,
        CAST(len(items) AS INTEGER) AS n_items, array_to_string(items, '|') AS items_text
 FROM ord"""))
 def q_items_json(spark, sf):
     o = tb.orders_view(spark, sf)
     j = o.select("order_id", codec.items_to_json("items").alias("items_json"))
-    back = j.select("order_id", F.col("items_json").isNotNull().alias("encoded"),
+    back = j.select("order_id", F.col("items_json").alias("encoded"),
                     codec.items_from_json("items_json").alias("items"))
     return back.select("order_id", "encoded", F.size("items").alias("n_items"), _items_text().alias("items_text"))

@@ -108,17 +108,17 @@ good AS (
   FROM events WHERE event_type <> 'error')""",
     "requests": """requests AS (
   SELECT order_id AS request_id,
-         array_to_string(list_transform(items, lambda i: replace(i, 'PART-', 'ORD-')), ' , ') || ' , ,' AS ids
+         array_to_string(list_transform(items, lambda i: replace(i, 'PART-', 'ORD-')), ' ,	') || chr(10) || ' , ' || chr(9) || ',' AS ids
   FROM ord),
 parsed AS (
   SELECT request_id, id_list, CAST(len(id_list) AS INTEGER) AS n_ids,
          CASE WHEN len(id_list) = 0 THEN 'ids param required'
               WHEN len(id_list) > 5 THEN 'max 5 ids per request' END AS error
   FROM (SELECT request_id,
-               list_filter(list_transform(string_split(ids, ','), lambda x: trim(x)), lambda x: x <> '') AS id_list
+               list_filter(list_transform(string_split(ids, ','), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '') AS id_list
         FROM requests)),
 req_ids AS (
-  SELECT DISTINCT request_id, unnest(id_list) AS order_id FROM parsed WHERE error IS NULL),
+  SELECT DISTINCT request_id, unnest(id_list) AS order_id FROM parsed WHERE len(id_list) BETWEEN 1 AND 10000),
 status AS (
   SELECT r.request_id, r.order_id, r.shard,
          CASE WHEN a.hit THEN 'acked' ELSE 'pending' END AS status

@@ -31,27 +31,39 @@ def bulk_load(df: DataFrame, path: str, partition_by: str = "shard") -> None:
     df.select(*LEDGER_COLUMNS).write.mode("overwrite").partitionBy(partition_by).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table folder exists, in whatever store the path names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def stored_keys(spark: SparkSession, path: str, writer: str, batch_id: int, key: str = "order_id") -> DataFrame:
+    """``shard, key`` of everything stored but by this writer's own batch (a replay must not see itself)."""
+    empty = spark.createDataFrame([], f"shard int, {key} string")
+    if not path_exists(spark, path):
+        return empty
+    return spark.read.parquet(path).filter((F.col("writer") != writer) | (F.col("batch_id") != batch_id)) \
+        .select("shard", key)
+
+
 def sink_ledger_idempotent(df: DataFrame, batch_id: int, path: str, key: str = "order_id",
-                           first_wins: bool = False) -> None:
+                           first_wins: bool = False, writer: str = "main") -> None:
     """S-05: replaying a micro-batch leaves the ledger as after its first run.
 
-    Rows are stored under ``batch_id=<n>`` folders and written with dynamic
-    partition overwrite, so a replay replaces only its own batch. With
-    ``first_wins`` keys already stored by *other* batches are dropped (an
-    anti join that ignores this batch's own folder).
+    Rows are stored under ``shard=/writer=/batch_id=`` folders and written with
+    dynamic partition overwrite, so a replay replaces only its own batch. With
+    ``first_wins`` an order is stored once: the earliest message of the batch,
+    unless another batch stored the order already.
     """
-    spark = df.sparkSession
-    out = df.select(*LEDGER_COLUMNS).withColumn("batch_id", F.lit(batch_id).cast("long"))
+    from orderflow.functions.codec import msg_id_millis, msg_id_seq
+    from orderflow.operators.joins import insert_new
+    out = df.select(*LEDGER_COLUMNS)
     if first_wins:
-        try:
-            stored = (spark.read.parquet(path).filter(F.col("batch_id") != batch_id)
-                      .select("shard", key).distinct())
-            out = out.join(stored, ["shard", key], "left_anti").select(*LEDGER_COLUMNS, "batch_id")
-        except Exception as e:  # noqa: BLE001 - first batch: no table yet
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                raise
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id").parquet(path))
+        ordered = out.withColumn("msg_ms", msg_id_millis("msg_id")).withColumn("msg_seq", msg_id_seq("msg_id"))
+        out = insert_new(ordered, stored_keys(df.sparkSession, path, writer, batch_id, key), key).select(*LEDGER_COLUMNS)
+    (out.withColumn("writer", F.lit(writer)).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("shard", "writer", "batch_id").parquet(path))
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -78,12 +90,31 @@ def retain_latest(df: DataFrame, n: int = RETENTION, shard: str = "shard",
                   order: tuple[str, str] = ("msg_ms", "msg_seq")) -> DataFrame:
     """S-12: keep the newest ``n`` messages of each shard (exact, unlike ``MAXLEN ~``).
 
-    The newest-first position comes from a distributed ordered scan, so a
-    shard is never sorted in one task.
+    Only counts per (shard, millisecond) are ordered: they tell in which
+    millisecond the n-th newest message lies and how many of that millisecond
+    stay. Newer rows are kept by a filter; only the rows of the border
+    millisecond are ranked.
     """
-    desc = [F.col(c).desc() for c in order]
-    ranked = ordered_scan(df, [shard], desc, sums={"__age": F.lit(1)})
-    return ranked.filter(F.col("__age") <= n).drop("__age")
+    ms, seq = order
+    counts = df.groupBy(shard, ms).agg(F.count(F.lit(1)).alias("__n"))
+    newer = ordered_scan(counts, [shard], [F.col(ms).desc()], sums={"__upto": F.col("__n")})
+    border = newer.filter((F.col("__upto") >= n) & (F.col("__upto") - F.col("__n") < n)) \
+        .select(F.col(shard).alias("__shard"), F.col(ms).alias("__ms"), (n - F.col("__upto") + F.col("__n")).alias("__left"))
+    at = df.join(border, F.col(shard).eqNullSafe(F.col("__shard")), "left")  # one border row per shard
+    kept = at.filter(F.col("__ms").isNull() | (F.col(ms) > F.col("__ms"))).select(*df.columns)
+    edge = at.filter(F.col(ms) == F.col("__ms"))
+    edge = ordered_scan(edge, [shard], [F.col(seq).desc()], sums={"__age": F.lit(1)}).filter(F.col("__age") <= F.col("__left"))
+    return kept.unionByName(edge.select(*df.columns))
+
+
+def retention_loss(df: DataFrame, acks: DataFrame, n: int = RETENTION, shard: str = "shard",
+                   order: tuple[str, str] = ("msg_ms", "msg_seq")) -> DataFrame:
+    """S-12: per shard, the messages that retention removes and how many of them were never acked."""
+    kept = retain_latest(df, n, shard, order).select(shard, *order).withColumn("__kept", F.lit(True))
+    gone = df.join(kept, [shard, *order], "left_anti")
+    marks = acks.select("shard", "order_id").distinct().withColumn("__acked", F.lit(True))
+    return gone.join(marks, ["shard", "order_id"], "left").groupBy(shard).agg(
+        F.count(F.lit(1)).alias("removed"), F.count_if(F.col("__acked").isNull()).alias("removed_unacked"))
 
 
 def items_exploded(ledger: DataFrame) -> DataFrame:

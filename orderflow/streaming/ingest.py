@@ -4,24 +4,29 @@ source (shard logs) -> decode -> split good / malformed -> ledger write
 -> ack write -> offset commit. The offset commit after ``foreachBatch``
 returns is the acknowledgement to the log: a batch whose ledger write fails raises,
 so nothing of it is acked or committed and the whole batch is replayed on
-restart (at-least-once). Replays overwrite their own ``batch_id`` folder,
-so the ledger and ack tables end up as if each batch ran once.
+restart (at-least-once). Replays overwrite their own ``writer``/``batch_id``
+folders, so the ledger and ack tables end up as if each batch ran once.
 """
 
 from __future__ import annotations
 
+import hashlib
 import logging
 import time
+from collections import deque
 from datetime import datetime, timezone
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from orderflow.functions.codec import msg_id_millis, msg_id_seq
+from orderflow.operators.joins import insert_new
 from orderflow.operators.validate import decode_orders, to_ledger
 from orderflow.schemas import LEDGER_COLUMNS
+from orderflow.sources.ledger import stored_keys
 from orderflow.sources.messages import read_messages
 
 log = logging.getLogger("orderflow.ingest")
@@ -29,41 +34,46 @@ log = logging.getLogger("orderflow.ingest")
 
 @dataclass
 class IngestPaths:
+    """Folders of one ingest query. ``writer`` names the query in the tables it
+    shares with others; without it, it is derived from the checkpoint folder,
+    which no two queries share."""
     source: str
     ledger: str
     acks: str
     quarantine: str
     checkpoint: str
+    writer: str | None = None
 
+    def writer_id(self) -> str:
+        return self.writer or hashlib.md5(self.checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
-def _overwrite_batch(df: DataFrame, path: str, batch_id: int, partition_by: list[str]) -> None:
-    """Replace the ``batch_id=<n>`` folder of this batch (and nothing else).
 
-    The batch id is a constant of the micro-batch, so its folder is written
-    directly (an overwrite of one path) instead of through dynamic partition
-    overwrite; readers of ``path`` still see ``batch_id`` as a partition column.
+def _replace_batch(df: DataFrame, path: str, writer: str, batch_id: int, by_shard: bool) -> None:
+    """Write one micro-batch so that a replay replaces exactly its own files.
+
+    Files lie under ``[shard=]/writer=/batch_id=``; ``shard`` is on top, so a
+    reader of one shard lists that shard's folders only, and batches of two
+    queries that share a table never meet.
     """
-    rest = [c for c in partition_by if c != "batch_id"]
-    w = df.drop("batch_id").write.mode("overwrite")
-    if rest:
-        w = w.partitionBy(*rest)
-    w.parquet(f"{path.rstrip('/')}/batch_id={int(batch_id)}")
+    keys = (["shard"] if by_shard else []) + ["writer", "batch_id"]
+    (df.withColumn("writer", F.lit(writer)).withColumn("batch_id", F.lit(batch_id).cast("long"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path))
 
 
 def process_batch(batch: DataFrame, batch_id: int, paths: IngestPaths, first_wins: bool = False) -> dict:
     """One micro-batch: ledger first, then acks for exactly the rows it stored.
 
-    ``first_wins`` drops orders already stored by earlier batches (the
-    documented ``ON CONFLICT DO NOTHING``); it reads the stored keys, so on a
-    large ledger prefer deduplicating the stream itself with bounded state
-    (:func:`orderflow.streaming.stream_ops.dedup_stream`) before this sink.
-
-    Acks are written only after the ledger write returned, from the same
-    persisted rows. Returns counts (received, inserted, skipped). An empty
-    batch writes nothing.
+    Every received message ends up in the ledger, in quarantine with a reason
+    (malformed, or an amount that money can't hold), or - with ``first_wins``,
+    the documented ``ON CONFLICT DO NOTHING`` - is a duplicate: a later message
+    of an order in this batch, or of one that another batch stored. Returns
+    ``received = inserted + duplicates + skipped``, counted by the writes
+    themselves. Acks are written only after the ledger write returned, from
+    the same persisted rows. An empty batch writes nothing.
     """
     spark = batch.sparkSession
-    # Decode once per batch; the counts, ledger, acks and quarantine all read it.
+    writer = paths.writer_id()
+    # Decode once per batch; ledger, acks and quarantine all read it.
     # One stamp per micro-batch, fixed on the driver: a recomputed partition
     # (lost executor, evicted cache) gets the same created_at / ack_ts.
     stamp = F.lit(datetime.now(timezone.utc))
@@ -73,64 +83,60 @@ def process_batch(batch: DataFrame, batch_id: int, paths: IngestPaths, first_win
         "shard", "msg_id", "order_id", "customer_id", "amount", "items", "errors", "__created_at",
         F.when(F.size("errors") > 0, F.col("data")).alias("data"))
     decoded.persist(StorageLevel.MEMORY_AND_DISK)
+    ledger = None
     try:
-        valid = F.size("errors") == 0
-        counts = decoded.agg(F.count(F.lit(1)).alias("received"),
-                             F.count_if(valid).alias("inserted")).first()
-        res = {"batch_id": batch_id, "received": counts["received"], "inserted": counts["inserted"],
-               "skipped": counts["received"] - counts["inserted"]}
-        if counts["received"] == 0:
+        res = {"batch_id": batch_id, "received": 0, "inserted": 0, "duplicates": 0, "skipped": 0}
+        if decoded.isEmpty():
             return res
-        good = decoded.filter(valid)
-        bad = decoded.filter(~valid).withColumn("reason", F.array_join("errors", ";"))
-        ledger = to_ledger(good, F.col("__created_at")).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        valid = F.size("errors") == 0
+        good, seen = decoded.filter(valid), Observation()
+        good = good.observe(seen, F.count(F.lit(1)).alias("valid"))
         if first_wins:
-            try:
-                stored = (spark.read.parquet(paths.ledger).filter(F.col("batch_id") != batch_id)
-                          .select("shard", "order_id").distinct())
-                ledger = ledger.join(stored, ["shard", "order_id"], "left_anti")
-            except Exception as e:  # noqa: BLE001 - no ledger yet
-                if "PATH_NOT_FOUND" not in str(e):
-                    raise
-        ledger = ledger.select(*LEDGER_COLUMNS, "batch_id")
+            good = good.withColumn("msg_ms", msg_id_millis("msg_id")).withColumn("msg_seq", msg_id_seq("msg_id"))
+            good = insert_new(good, stored_keys(spark, paths.ledger, writer, batch_id))
+        ledger = to_ledger(good, F.col("__created_at")).select(*LEDGER_COLUMNS)
+        ledger.persist(StorageLevel.MEMORY_AND_DISK)
+        stored, rejected = Observation(), Observation()
         # Durable write first; an exception here leaves the batch un-acked.
-        _overwrite_batch(ledger, paths.ledger, batch_id, ["batch_id", "shard"])
-        acks = ledger.select("shard", "order_id", F.col("created_at").alias("ack_ts"), "batch_id")
-        _overwrite_batch(acks, paths.acks, batch_id, ["batch_id"])
-        quarantine = bad.select("shard", "msg_id", "data", "reason",
-                                F.lit(batch_id).cast("long").alias("batch_id"))
-        _overwrite_batch(quarantine, paths.quarantine, batch_id, ["batch_id"])
-        log.info("inserted batch=%d rows=%d skipped=%d", batch_id, res["inserted"], res["skipped"])
+        _replace_batch(ledger.observe(stored, F.count(F.lit(1)).alias("n")), paths.ledger, writer, batch_id, True)
+        acks = ledger.select("shard", "order_id", F.col("created_at").alias("ack_ts"))
+        _replace_batch(acks, paths.acks, writer, batch_id, True)
+        quarantine = decoded.filter(~valid).select("shard", "msg_id", "data", F.array_join("errors", ";").alias("reason")) \
+            .observe(rejected, F.count(F.lit(1)).alias("n"))
+        _replace_batch(quarantine, paths.quarantine, writer, batch_id, False)
+        res["inserted"], res["skipped"] = stored.get["n"], rejected.get["n"]
+        res["duplicates"] = seen.get["valid"] - res["inserted"]
+        res["received"] = seen.get["valid"] + res["skipped"]
+        log.info("inserted batch=%d rows=%d duplicates=%d skipped=%d", batch_id, res["inserted"], res["duplicates"], res["skipped"])
         return res
     finally:
+        if ledger is not None:
+            ledger.unpersist()
         decoded.unpersist()
 
 
 def start_ingest(spark: SparkSession, paths: IngestPaths, shards: list[int] | None = None,
                  trigger: dict | None = None, max_files_per_trigger: int | None = None,
-                 first_wins: bool = False, name: str | None = None,
-                 dedup_within: str | None = None) -> StreamingQuery:
+                 first_wins: bool = False, name: str | None = None, on_batch=None) -> StreamingQuery:
     """T-01: start the ingest stream. ``shards`` restricts it to some shards (T-12:
     one query and checkpoint per shard group, so one failing group leaves the
-    others running). ``trigger`` defaults to ``availableNow``; use
-    ``{"processingTime": "2 seconds"}`` for the reference's poll cadence.
-    ``dedup_within`` (e.g. ``"1 hour"``) drops re-sent orders in the stream."""
+    others running; the groups may share all tables). ``trigger`` defaults to
+    ``availableNow``; use ``{"processingTime": "2 seconds"}`` for a poll
+    cadence. ``first_wins`` stores each order once however late or often it is
+    sent: unlike a deduplication bounded by a watermark it loses no late order.
+    ``on_batch`` gets the counts of every batch."""
     src = read_messages(spark, paths.source, streaming=True, max_files_per_trigger=max_files_per_trigger)
     if shards is not None:
         src = src.filter(F.col("shard").isin(list(shards)))
-    if dedup_within:
-        # Re-sent orders (same shard and order id) within the delay are dropped
-        # with bounded state (T-04) before they reach the ledger.
-        from orderflow.streaming.stream_ops import dedup_stream
-        cols = src.columns
-        # Messages without a readable id are keyed by their message id instead.
-        oid = F.coalesce(F.get_json_object("data", "$.order_id"), F.concat(F.lit("msg:"), F.col("msg_id")))
-        src = (dedup_stream(src.withColumn("__oid", oid), ["shard", "__oid"], "ts", dedup_within)
-               .withColumn("ts", F.col("ts").cast("timestamp_ntz")).select(*cols))
     observed = src.observe("ingest", F.count(F.lit(1)).alias("received"),
                            F.min("ts").alias("min_ts"), F.max("ts").alias("max_ts"))
-    w = (observed.writeStream
-         .foreachBatch(lambda df, bid: process_batch(df, bid, paths, first_wins))
+
+    def each(df, batch_id):
+        counts = process_batch(df, batch_id, paths, first_wins)
+        if on_batch:
+            on_batch(counts)
+
+    w = (observed.writeStream.foreachBatch(each)
          .option("checkpointLocation", paths.checkpoint)
          .trigger(**(trigger or {"availableNow": True})))
     if name:
@@ -171,14 +177,17 @@ def progress_metrics(query: StreamingQuery) -> dict:
 
 @dataclass
 class ProgressCollector(StreamingQueryListener):
-    """T-11: keeps every progress event of every query in this session."""
-    events: list = field(default_factory=list)
+    """T-11: keeps the last ``limit`` progress events of the queries in this session."""
+    limit: int = 1000
+    events: deque = field(default_factory=deque)
 
     def onQueryStarted(self, event):  # noqa: N802 - Spark's names
         pass
 
     def onQueryProgress(self, event):  # noqa: N802
         self.events.append(event.progress)
+        while len(self.events) > self.limit:
+            self.events.popleft()
 
     def onQueryIdle(self, event):  # noqa: N802
         pass

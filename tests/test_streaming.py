@@ -1,18 +1,16 @@
 """Streaming ingest (T-01..T-03, T-06, T-11, T-12) and stream = batch for the
-stateful operators (T-04, T-07, T-09, T-10)."""
+stateful operators (T-04, T-10)."""
 
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
-from orderflow.operators.state import breaker_timeline, count_or_time_batches
 from orderflow.operators.validate import split_malformed
 from orderflow.sources import tables as tb
 from orderflow.sources.messages import read_messages, write_messages
 from orderflow.streaming.ingest import (IngestPaths, process_batch, progress_metrics, run_with_restart,
                                         start_ingest)
-from orderflow.streaming.stateful import breaker_stream, flush_stream
 from orderflow.streaming.stream_ops import await_acks
 
 SF = "/root/testdata/sf0.001"
@@ -92,16 +90,14 @@ def test_restart_resumes_from_checkpoint(spark, source, tmp):
 
 
 def test_shard_groups_run_independently(spark, source, tmp):
-    total = 0
-    for i, group in enumerate(([0, 1], [2, 3])):
-        p = paths_under(f"{tmp}/g{i}")
-        p.source = f"{source}/source"
+    for i, group in enumerate(([0, 1], [2, 3])):          # one ledger, a checkpoint each
+        p = paths_under(tmp)
+        p.source, p.checkpoint = f"{source}/source", f"{tmp}/ckpt{i}"
         start_ingest(spark, p, shards=group).awaitTermination()
-        led = spark.read.parquet(p.ledger)
-        assert {r.shard for r in led.select("shard").distinct().collect()} <= set(group)
-        total += led.count()
     good, _ = split_malformed(tb.malformed_messages_view(spark, SF))
-    assert total == good.count()
+    led = spark.read.parquet(p.ledger)
+    assert led.count() == good.count() == spark.read.parquet(p.acks).count()
+    assert {r.shard for r in led.select("shard").distinct().collect()} == {0, 1, 2, 3}
 
 
 def _stream_with_sentinel(spark, df, tmp, key, sentinel_keys, ts="ts"):
@@ -114,37 +110,6 @@ def _stream_with_sentinel(spark, df, tmp, key, sentinel_keys, ts="ts"):
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp}/in/part=*")
 
 
-def test_breaker_stream_equals_batch(spark, tmp):
-    o = tb.outcomes_view(spark, SF).select("name", "ts", "event_id", "ok")
-    names = [r.name for r in o.select("name").distinct().collect()]
-    src = _stream_with_sentinel(spark, o, tmp, "name", names)
-    q = (breaker_stream(src, "1 hour", 3, 30).writeStream.format("memory").queryName("breaker_out")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    got = spark.sql("select name, event_id, state_before, allowed, state_after from breaker_out")
-    want = breaker_timeline(o, 3, 30).select("name", "event_id", "state_before", "allowed", "state_after")
-    assert got.count() == want.count() == o.count()
-    assert got.exceptAll(want).count() == 0
-
-
-def test_flush_stream_equals_batch(spark, tmp):
-    a = tb.acks_view(spark, SF).select(F.col("shard").cast("string").alias("shard"), "order_id", "ack_ts")
-    shards = [r.shard for r in a.select("shard").distinct().collect()]
-    src = _stream_with_sentinel(spark, a, tmp, "shard", shards, ts="ack_ts")
-    q = (flush_stream(src, "1 day", "shard", "ack_ts", "order_id", max_rows=3, interval_s=3600)
-         .writeStream.format("memory").queryName("flush_out").trigger(availableNow=True).start())
-    q.awaitTermination()
-    last = a.agg(F.max("ack_ts")).first()[0]
-    got = (spark.sql("select * from flush_out")
-           .filter(F.col("first_us") <= F.unix_micros(F.lit(last).cast("timestamp")))
-           .select("shard", "reason", "size", "first_us"))
-    want = (count_or_time_batches(a, "shard", "ack_ts", "order_id", max_rows=3, interval_s=3600)
-            .select("shard", "reason", "size",
-                    F.unix_micros(F.col("first_ts").cast("timestamp")).alias("first_us")))
-    assert got.count() == want.count()
-    assert got.exceptAll(want).count() == 0
-
-
 def test_await_acks_stream_join_matches_batch(spark, tmp):
     e = tb.read_table(spark, SF, "events").select("event_id", "user_id", "ts", "event_type")
     e.write.parquet(f"{tmp}/ev")
@@ -227,8 +192,28 @@ def test_ingest_drops_resent_orders(spark, tmp):
     write_messages(m, f"{tmp}/source")
     write_messages(m, f"{tmp}/source")                   # every message sent twice
     p = paths_under(tmp)
-    start_ingest(spark, p, dedup_within="1 day").awaitTermination()
+    counts = []
+    start_ingest(spark, p, max_files_per_trigger=3, first_wins=True, on_batch=counts.append).awaitTermination()
     led = spark.read.parquet(p.ledger)
     good, bad = split_malformed(m)
     assert led.count() == good.count() == led.select("order_id").distinct().count()
-    assert spark.read.parquet(p.quarantine).count() == bad.count()
+    assert spark.read.parquet(p.quarantine).count() == 2 * bad.count()
+    assert len(counts) > 1
+    assert sum(c["received"] for c in counts) == 2 * m.count()
+    assert all(c["received"] == c["inserted"] + c["duplicates"] + c["skipped"] for c in counts)
+
+
+def test_first_wins_keeps_one_row_per_order_inside_a_batch(spark, tmp):
+    m = tb.malformed_messages_view(spark, SF).limit(200)
+    p = paths_under(tmp)
+    res = process_batch(m.unionByName(m), 0, p, first_wins=True)
+    led = spark.read.parquet(p.ledger)
+    assert led.count() == led.select("order_id").distinct().count() == res["inserted"] == res["duplicates"]
+
+
+def test_overflowing_amount_is_quarantined(spark, tmp):
+    p = paths_under(tmp)
+    data = '{"order_id": "big", "customer_id": "c9", "amount": 99999999999.0, "items": []}'
+    batch = spark.createDataFrame([(1, "5-0", data)], "shard int, msg_id string, data string")
+    assert process_batch(batch, 0, p)["skipped"] == 1
+    assert [r.reason for r in spark.read.parquet(p.quarantine).collect()] == ["overflow:amount"]
