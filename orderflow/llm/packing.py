@@ -24,6 +24,7 @@ runs in sequence and deficits carry over partitions by themselves:
 
 from __future__ import annotations
 
+import struct
 import zlib
 
 import numpy as np
@@ -50,14 +51,19 @@ def _store(path: str) -> RecentCache:
         tok.no_padding()
         kind = _width(tok.get_vocab_size())
 
+        code = "H" if kind == "<u2" else "I"
+        packers = [struct.Struct(f"<{n}{code}").pack for n in range(64)]
+
         def fill(new: list[bytes]) -> list[bytes]:
             out = []
             for k in range(0, len(new), 4096):
                 part = [w.decode("utf-8", "replace") for w in new[k:k + 4096]]
-                out += [np.array(e.ids, kind).tobytes() for e in tok.encode_batch_fast(part, add_special_tokens=False)]
+                for e in tok.encode_batch_fast(part, add_special_tokens=False):
+                    ids = e.ids
+                    out.append(packers[len(ids)](*ids) if len(ids) < 64 else np.array(ids, kind).tobytes())
             return out
 
-        _STORES[path] = RecentCache(fill)
+        _STORES[path] = RecentCache(fill, limit=500_000)
         _STORES[path].width = kind
     return _STORES[path]
 
@@ -73,7 +79,7 @@ def _tokenize(path: str, end_id: int):
         store = _store(path)
         end, row = np.array([end_id], store.width).tobytes(), 0
         unit = len(end)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 8 << 20):
             words = [(t or "").encode().split() for t in batch.column("text").to_pylist()]
             of = store.of(set().union(*words))
             ids = [b"".join(map(of, w)) + end for w in words]
