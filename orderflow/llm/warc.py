@@ -6,7 +6,7 @@ record they belong to in ``WARC-Concurrent-To``.
 
 Writing is native: each record is one string, and Spark's text writer ends it
 with the two line breaks that the format asks for, so the part files are
-plain WARC 1.0 files in whatever store Spark writes to. Reading takes whole
+compressed WARC 1.0 files in whatever store Spark writes to. Reading takes whole
 files (``binaryFile``) and frames records by their Content-Length in Arrow
 batches; ``records_per_file`` bounds a file. Assembly joins on record ids.
 
@@ -19,12 +19,15 @@ splits a hot payload by page.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from orderflow.llm.common import written
 from orderflow.session import scratch_path, ship_package
 
 #: RFC 4648 base-32 alphabet (fixed value).
@@ -74,16 +77,15 @@ def write_warc(pages: DataFrame, path: str, min_payload: int = 0, records_per_fi
     src = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                        body.alias("html"), sha1_base32(body.cast("binary")).alias("digest"),
                        F.octet_length(body.cast("binary")).cast("long").alias("size"))
-    narrow = src.select("page_id", "digest").distinct()
+    narrow = written(src.select("page_id", "digest").distinct(), "digests")
     # page ids order as (is there one, id): a null id is the lowest
     order = F.struct(F.col("page_id").isNotNull().alias("has"), F.col("page_id").alias("id"))
     best = narrow.groupBy("digest").agg(F.max(order).alias("best"))
-    chosen = narrow.join(best, "digest").select(
-        F.xxhash64("page_id").alias("pkey"), F.col("page_id").alias("pid"), "digest",
-        F.col("best.id").alias("original"))
-    nth = F.row_number().over(Window.partitionBy("pkey", "digest", "page_id").orderBy("url"))
-    rows = src.withColumn("pkey", F.xxhash64("page_id")).join(chosen, ["pkey", "digest"]) \
-        .where(F.col("page_id").eqNullSafe(F.col("pid"))).withColumn("nth", nth)
+    # null-safe key columns, the same for join and window: one shuffle of the pages serves both
+    key = [F.col("page_id").isNull().alias("no_id"), F.coalesce("page_id", F.lit(0)).alias("id")]
+    chosen = narrow.join(best, "digest").select(*key, "digest", F.col("best.id").alias("original"))
+    nth = F.row_number().over(Window.partitionBy("no_id", "id", "digest").orderBy("url"))
+    rows = src.select("*", *key).join(chosen, ["no_id", "id", "digest"]).withColumn("nth", nth)
     is_response = (F.col("size") < min_payload) | (F.col("page_id").eqNullSafe(F.col("original")) & (F.col("nth") == 1))
     rows = rows.withColumn("response", is_response)
 
@@ -112,17 +114,19 @@ def write_warc(pages: DataFrame, path: str, min_payload: int = 0, records_per_fi
                        F.concat(F.lit("page-id: "), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit("\r\n")))
     record = F.explode(F.array(request, F.when(F.col("response"), response).otherwise(revisit), metadata))
     rows.select(record.alias("value")).write.option("lineSep", _END) \
-        .option("maxRecordsPerFile", records_per_file).text(path)
+        .option("maxRecordsPerFile", records_per_file).option("compression", "gzip").text(path)
 
 
 RECORDS = ("warc_type string, record_id string, concurrent_to string, refers_to string, target_uri string, "
            "declared_digest string, payload_bytes long, payload_digest string, page_id long, payload binary")
 
 
-def _frames(content: memoryview):
-    """(headers, block) of each record, framed by Content-Length."""
-    at, data = 0, content
-    raw = bytes(data)
+def _frames(content) -> Iterator[tuple[dict, bytes]]:
+    """(headers, block) of each record of an archive, plain or compressed, framed by Content-Length."""
+    raw = bytes(content)
+    if raw.startswith(b"\x1f\x8b"):
+        raw = gzip.decompress(raw)
+    at = 0
     while at < len(raw):
         if raw.startswith(b"\r\n", at):
             at += 2
@@ -184,31 +188,43 @@ def assemble(records: DataFrame) -> DataFrame:
     """One nested row per capture: ``capture_id, response, request, metadata``.
 
     Requests and metadata find their capture through Concurrent-To, directly or
-    through one other record (a metadata record that names the request). A
-    revisit takes payload length and digest from the response it refers to. A
-    capture without request or metadata has null there, and of several the one
-    with the smallest record id; records that lead to no response or revisit
-    are left out; a null Concurrent-To leads nowhere.
+    through one other record (a metadata record that names the request).
+    ``original`` is left for :func:`resolve_revisits`. A capture without request
+    or metadata has null there, and of several the one with the smallest record
+    id; records that lead to no response or revisit are left out; a null
+    Concurrent-To leads nowhere. ``records`` is read several times: a written
+    table serves best.
     """
-    anchor = records.where(F.col("warc_type").isin("response", "revisit"))
-    other = records.where(~F.col("warc_type").isin("response", "revisit") & F.col("concurrent_to").isNotNull())
-    side = other.select("warc_type", "record_id", F.col("concurrent_to").alias("to"), "target_uri", "page_id")
-    hop = side.select(F.col("record_id").alias("via"), F.col("to").alias("via_to"))
-    side = side.join(hop, F.col("to") == F.col("via"), "left") \
-        .select("warc_type", "record_id", F.coalesce("via_to", "to").alias("capture_id"), "target_uri", "page_id")
-    fields = F.struct("record_id", "target_uri", "page_id")
-    side = side.groupBy("capture_id").agg(
-        F.min(F.when(F.col("warc_type") == "request", fields)).alias("request"),
-        F.min(F.when(F.col("warc_type") == "metadata", fields)).alias("metadata"))
-    original = anchor.where("warc_type = 'response'").select(
-        F.col("record_id").alias("o_id"), F.col("payload_bytes").alias("o_bytes"), F.col("payload_digest").alias("o_digest"))
-    full = anchor.join(original, F.coalesce("refers_to", "record_id") == F.col("o_id"), "left")
-    return full.select(
-        F.col("record_id").alias("capture_id"),
-        F.struct("warc_type", "record_id", "target_uri", "refers_to", "declared_digest",
-                 F.coalesce("payload_bytes", "o_bytes").alias("payload_bytes"),
-                 F.coalesce("payload_digest", "o_digest").alias("payload_digest"), "payload").alias("response")) \
-        .join(side, "capture_id", "left")
+    main = F.col("warc_type").isin("response", "revisit")
+    side = F.struct("record_id", "target_uri", "page_id")
+    response = F.struct("warc_type", "record_id", "target_uri", "refers_to", "declared_digest",
+                        "payload_bytes", "payload_digest", *(["payload"] if "payload" in records.columns else []))
+    groups = records.withColumn("capture_id", F.when(main, F.col("record_id")).otherwise(F.col("concurrent_to"))) \
+        .where("capture_id is not null").groupBy("capture_id").agg(
+            F.min(F.when(main, response)).alias("response"),
+            F.min(F.when(F.col("warc_type") == "request", side)).alias("request"),
+            F.min(F.when(F.col("warc_type") == "metadata", side)).alias("metadata"))
+    # metadata that names a request: one step further
+    links = records.where(~main & F.col("concurrent_to").isNotNull()) \
+        .select(F.col("record_id").alias("via"), F.col("concurrent_to").alias("capture_id"))
+    late = groups.where("response is null").select(F.col("capture_id").alias("via"), F.col("metadata").alias("late")) \
+        .join(links, "via").groupBy("capture_id").agg(F.min("late").alias("late"))
+    captures = groups.where("response is not null").join(late, "capture_id", "left") \
+        .withColumn("metadata", F.coalesce("metadata", "late")).drop("late")
+    return captures.withColumn("original", F.lit(None).cast(captures.schema["metadata"].dataType))
+
+
+def resolve_revisits(captures: DataFrame) -> DataFrame:
+    """Give revisits the payload length and digest, and as ``original`` the metadata, of their response."""
+    revisit = F.col("response.warc_type") == "revisit"
+    source = captures.where(~revisit).select(
+        F.col("capture_id").alias("o_id"), F.col("response.payload_bytes").alias("o_bytes"),
+        F.col("response.payload_digest").alias("o_digest"), F.col("metadata").alias("o_meta"))
+    found = captures.where(revisit).join(source, F.col("response.refers_to") == F.col("o_id"), "left") \
+        .withColumn("response", F.col("response").withField("payload_bytes", F.col("o_bytes"))
+                    .withField("payload_digest", F.col("o_digest"))) \
+        .withColumn("original", F.col("o_meta")).drop("o_id", "o_bytes", "o_digest", "o_meta")
+    return captures.where(~revisit).unionByName(found)
 
 
 def warc_round_trip(pages: DataFrame, min_payload: int = 0) -> DataFrame:
@@ -221,12 +237,10 @@ def warc_round_trip(pages: DataFrame, min_payload: int = 0) -> DataFrame:
     spark = pages.sparkSession
     path = scratch_path(spark, "llm-warc")
     write_warc(pages, path, min_payload)
-    captures = assemble(read_warc(spark, path, keep_payload=False))
-    flat = captures.select(
+    records = written(read_warc(spark, path, keep_payload=False).drop("payload"), "warc-records")
+    captures = resolve_revisits(written(assemble(records), "captures"))
+    return captures.select(
         F.col("metadata.page_id").alias("page_id"), F.col("response.payload_bytes").alias("payload_bytes"),
         F.col("response.payload_digest").alias("payload_digest"), F.col("response.warc_type").alias("record_type"),
-        F.col("response.refers_to").alias("to"), "capture_id",
+        F.col("original.page_id").alias("refers_to"),
         (F.col("response.payload_digest") == F.col("response.declared_digest")).alias("digest_ok"))
-    target = flat.where("record_type = 'response'").select(F.col("capture_id").alias("to"), F.col("page_id").alias("refers_to"))
-    return flat.join(target, "to", "left").select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "digest_ok")
