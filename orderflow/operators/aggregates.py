@@ -111,31 +111,28 @@ def histogram(df: DataFrame, value: str, buckets: list[float] = PRODUCER_BUCKETS
                           F.col("bucket_count").cast("long"), "hist_count", "hist_sum")
 
 
-def histogram_quantile(hist: DataFrame, q: float, by: list[str] | None = None) -> DataFrame:
-    """A-09: quantile from cumulative buckets, linear inside the bucket.
+def histogram_quantile(hist: DataFrame, qs, by: list[str] | None = None) -> DataFrame:
+    """A-09: quantiles (one ``q`` or a list) from cumulative buckets, linear inside the bucket.
 
     Picks the one bucket with ``count >= q*n`` and previous ``count < q*n``;
     a rank in the +Inf bucket returns the highest finite bound; an empty
-    histogram gives NULL. Windows run over bucket rows only (a few per group).
+    histogram gives NULL. One pass over the bucket rows (a few per group) for
+    all quantiles: one row per group and ``q``.
     """
     by = by or []
-    w = Window.partitionBy(*by).orderBy("bucket") if by else Window.orderBy("bucket")
+    group = Window.partitionBy(*by) if by else Window.partitionBy()
+    w = group.orderBy("bucket")
+    inf = F.col("le") == float("inf")
     h = (hist.withColumn("prev_le", F.coalesce(F.lag("le").over(w), F.lit(0.0)))
          .withColumn("prev_c", F.coalesce(F.lag("bucket_count").over(w), F.lit(0)))
-         .withColumn("max_finite", F.max(F.when(~F.isnan("le") & (F.col("le") != float("inf")), F.col("le")))
-                     .over(Window.partitionBy(*by) if by else Window.partitionBy()))
-         .withColumn("rank", F.col("hist_count") * F.lit(q)))
-    pick = h.filter((F.col("hist_count") > 0) & (F.col("bucket_count") >= F.col("rank")) &
-                    (F.col("prev_c") < F.col("rank")))
-    inf = F.col("le") == float("inf")
+         .withColumn("max_finite", F.max(F.when(~F.isnan("le") & ~inf, F.col("le"))).over(group))
+         .withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in (qs if isinstance(qs, (list, tuple)) else [qs])])))
+         .withColumn("rank", F.col("hist_count") * F.col("q")))
+    pick = (F.col("hist_count") > 0) & (F.col("bucket_count") >= F.col("rank")) & (F.col("prev_c") < F.col("rank"))
     val = F.when(inf, F.col("max_finite")).otherwise(
         F.col("prev_le") + (F.col("le") - F.col("prev_le")) *
         (F.col("rank") - F.col("prev_c")) / (F.col("bucket_count") - F.col("prev_c")))
-    groups = hist.select(*by).distinct() if by else None
-    res = pick.select(*by, val.alias("value"))
-    if by:
-        res = groups.join(res, by, "left")
-    return res.withColumn("q", F.lit(q))
+    return h.groupBy(*by, "q").agg(F.max(F.when(pick, val)).alias("value")).select(*by, "value", "q")
 
 
 def exact_quantiles(df: DataFrame, value: str, by: list[str], qs, tiebreak: str) -> DataFrame:

@@ -228,3 +228,20 @@ def live_acks(acks: DataFrame, as_of, ttl_s: int, shard: str = "shard", ts: str
     """T-08: sessions of :func:`ack_sessions` still alive at ``as_of``."""
     s = ack_sessions(acks, ttl_s, shard, ts, tiebreak)
     return s.withColumn("live", (F.col("started") <= as_of) & (F.col("expires_at") > as_of))
+
+
+def live_ack_rows(acks: DataFrame, as_of, ttl_s: int, shard: str = "shard", ts: str = "ack_ts",
+                  tiebreak: str = "order_id") -> DataFrame:
+    """T-08: the ack rows a reader sees at ``as_of``, for J-01 .. A-03.
+
+    A shard's acks expire together once ``ttl_s`` pass without a flush, so what
+    lives are the acks since the last such gap, if the last flush is not itself
+    too old. One ordered scan for the gaps, then one row per shard.
+    """
+    base = acks.filter(F.col(ts) <= as_of)
+    us = ts_micros(base, ts)
+    lagged = ordered_scan(base.withColumn("__us", us), [shard], ["__us", tiebreak], lags={"__prev": F.col("__us")})
+    fresh = F.col("__prev").isNull() | (F.col("__us") - F.col("__prev") >= ttl_s * 1_000_000)
+    last = lagged.groupBy(shard).agg(F.max(F.when(fresh, F.col("__us"))).alias("__began"), F.max(ts).alias("__last")) \
+        .filter(F.col("__last") + F.make_dt_interval(secs=F.lit(ttl_s)) > as_of)
+    return lagged.join(last, shard).filter(F.col("__us") >= F.col("__began")).select(*acks.columns)

@@ -16,6 +16,7 @@ from orderflow.functions import codec, routing
 from orderflow.operators import aggregates as agg
 from orderflow.operators import joins, ordering, validate, windows
 from orderflow.plans.oracle import duck_java_hash, duck_java_shard, duck_sha1_shard, with_views
+from orderflow.schemas import CONSUMER_BUCKETS, PRODUCER_BUCKETS
 from orderflow.sources import tables as tb
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -361,7 +362,7 @@ def q_consumer_totals(spark, sf):
 
 
 # ---------------------------------------------------------------- A-08 / A-09 / A-10
-_B = [0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5]
+_B = PRODUCER_BUCKETS
 _HIST_SQL = """hist AS (
   SELECT shard, bucket, le, bucket_count, hist_count, hist_sum FROM (
     SELECT o.shard, b.bucket, b.le,
@@ -397,13 +398,31 @@ FROM h2, qs
 WHERE hist_count > 0 AND bucket_count >= hist_count * q AND prev_c < hist_count * q"""))
 def q_latency_hist_quantile(spark, sf):
     h = agg.histogram(tb.outcomes_view(spark, sf), "latency_s", _B, ["shard"])
-    parts = [agg.histogram_quantile(h, q, ["shard"]) for q in _QS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    out = agg.histogram_quantile(h, _QS, ["shard"])
     return out.select("shard", "q", F.round("value", 9).alias("value"))
 
 
+@register("latency_p99_1m", with_views(["outcome"], """,
+o AS (SELECT date_trunc('minute', ts) AS minute, shard, latency_s,
+             CASE WHEN ok THEN 200 WHEN reason = 'circuit_open' THEN 503 ELSE 502 END AS status_code FROM outcome),
+h AS (SELECT minute, shard, status_code, bucket, le, count(*) FILTER (WHERE latency_s <= le) AS c, count(latency_s) AS n
+      FROM o, (SELECT bucket, le FROM (VALUES """ + ", ".join(f"({i}, {b}::DOUBLE)" for i, b in enumerate(CONSUMER_BUCKETS)) +
+          f""", ({len(CONSUMER_BUCKETS)}, 'inf'::DOUBLE)) t(bucket, le)) b GROUP BY ALL),""" + """
+g AS (SELECT *, coalesce(lag(le) OVER w, 0.0) AS prev_le, coalesce(lag(c) OVER w, 0) AS prev_c,
+             max(CASE WHEN le <> 'inf'::DOUBLE THEN le END) OVER (PARTITION BY minute, shard, status_code) AS top
+      FROM h WINDOW w AS (PARTITION BY minute, shard, status_code ORDER BY bucket))
+SELECT minute, shard, status_code,
+       round(max(CASE WHEN n > 0 AND c >= n * 0.99 AND prev_c < n * 0.99 THEN
+         CASE WHEN le = 'inf'::DOUBLE THEN top ELSE prev_le + (le - prev_le) * (n * 0.99::DOUBLE - prev_c) / (c - prev_c) END END), 9) AS p99
+FROM g GROUP BY minute, shard, status_code"""))
+def q_latency_p99_1m(spark, sf):
+    """A-08 / A-09 over one-minute windows, by shard and status code, with the consumer's bounds."""
+    o = validate.classify_outcome(tb.outcomes_view(spark, sf)).withColumn("minute", F.date_trunc("minute", "ts").cast("timestamp_ntz"))
+    by = ["minute", "shard", "status_code"]
+    out = agg.histogram_quantile(agg.histogram(o, "latency_s", CONSUMER_BUCKETS, by), 0.99, by)
+    return out.select(*by, F.round("value", 9).alias("p99"))
+
+
 @register("latency_quantiles", with_views(["outcome"], """
 SELECT shard, count(latency_s) AS n,
        round(quantile_cont(latency_s, 0.5), 9) AS p50,
@@ -703,6 +722,24 @@ def q_ack_ttl_sessions(spark, sf):
     return s.select("shard", "session_no", "started", "last_write", "acks", "expires_at", "live")
 
 
+@register("ack_status_ttl", with_views(["ord", "ack"], """,
+n AS (SELECT *, lag(ack_ts) OVER (PARTITION BY shard ORDER BY ack_ts, order_id) AS prev FROM ack WHERE ack_ts <= TIMESTAMP '2024-01-20 12:00:00'),
+s AS (SELECT shard, max(ack_ts) FILTER (WHERE prev IS NULL OR epoch_us(ack_ts) - epoch_us(prev) >= 1200000000) AS began, max(ack_ts) AS last
+      FROM n GROUP BY shard),
+live AS (SELECT DISTINCT n.shard, n.order_id FROM n JOIN s ON n.shard = s.shard AND n.ack_ts >= s.began
+         WHERE epoch_us(TIMESTAMP '2024-01-20 12:00:00') - epoch_us(s.last) < 1200000000)
+SELECT o.shard, count(*) AS total, count(l.order_id) AS acked, count(*) - count(l.order_id) AS pending
+FROM ord o LEFT JOIN live l ON o.shard = l.shard AND o.order_id = l.order_id GROUP BY o.shard"""))
+def q_ack_status_ttl(spark, sf):
+    """T-08 into J-01 / A-01: acks whose shard went without a flush for 20 minutes no longer count."""
+    as_of = F.lit("2024-01-20 12:00:00").cast("timestamp_ntz")
+    live = windows.live_ack_rows(tb.acks_view(spark, sf), as_of, 1200)
+    o = tb.orders_view(spark, sf, with_items=False).select(F.lit("all").alias("request_id"), "order_id")
+    st = joins.ack_status(o, live, N)
+    return st.groupBy("shard").agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("status") == "acked").alias("acked"),
+                                   F.count_if(F.col("status") == "pending").alias("pending"))
+
+
 # ---------------------------------------------------------------- A-13 / F-10
 @register("breaker_health", with_views(["outcome"], """
 , reached AS (SELECT *, (epoch_us(ts), event_id) AS pos FROM outcome WHERE reason IS DISTINCT FROM 'circuit_open'),

@@ -20,23 +20,9 @@ def _epoch_ntz() -> F.Column:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. Column pruning and filters still reach the Parquet scan."""
-    return balance_small_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
-
-
-def balance_small_scan(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores.
-
-    A file with one row group is one task, so the per-row work before the
-    first shuffle (hashing, JSON) would use one core. Only then is a
-    round-robin repartition added; a large table already has enough splits
-    and is left alone. Filters and column pruning are pushed below it.
-    """
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    """A driver table. Column pruning and filters reach the Parquet scan; how many
+    tasks read it is up to ``spark.sql.files.maxPartitionBytes`` and its row groups."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def ntz_millis(col) -> F.Column:

@@ -45,15 +45,19 @@ def dedup_stream(df: DataFrame, key: list[str], ts: str, delay: str) -> DataFram
 
 def await_acks(produced: DataFrame, acks: DataFrame, key: str, within_s: int,
                p_ts: str = "ts", a_ts: str = "ack_ts", watermark: str | None = None) -> DataFrame:
-    """T-10: each produced row with the acks that came within ``within_s`` after it
-    (left outer: unmatched rows kept with NULLs). Streams need ``watermark``.
+    """T-10: each produced row with the first ack that came within ``within_s`` after it
+    (unmatched rows kept with NULL), as :func:`orderflow.operators.joins.next_match`
+    gives it on tables. Streams need ``watermark``; rows that are equal in every
+    column are one.
     """
     p = _event_time(produced, p_ts).withWatermark(p_ts, watermark) if watermark else produced
     a = _event_time(acks, a_ts).withWatermark(a_ts, watermark) if watermark else acks
     a = a.withColumnRenamed(key, "__ack_key")
     cond = ((F.col(key) == F.col("__ack_key")) & (F.col(a_ts) >= F.col(p_ts)) &
             (F.col(a_ts) <= F.col(p_ts) + F.expr(f"INTERVAL {int(within_s)} SECONDS")))
-    return p.join(a, cond, "left_outer").drop("__ack_key")
+    joined = p.join(a.select("__ack_key", a_ts), cond, "left_outer")
+    # the event-time column is among the grouping columns, so the state ends with the watermark
+    return joined.groupBy(*[F.col(c) for c in produced.columns]).agg(F.min(a_ts).alias(a_ts))
 
 
 def ack_sessions_stream(acks: DataFrame, ttl_s: int, watermark: str, shard: str = "shard",
