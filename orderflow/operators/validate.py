@@ -170,7 +170,7 @@ def parse_ids(df: DataFrame, text: str = "ids", max_ids: int = ACK_MAX_IDS) -> D
     do), ``status`` (200 / 400) and ``error``.
     """
     ids = F.filter(F.transform(F.split(F.col(text), ","), lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")), lambda x: x != "")
-    n = F.size(ids)
+    n = F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size(ids))
     err = (F.when(n == 0, F.lit("ids param required"))
            .when(n > max_ids, F.lit(f"max {max_ids} ids per request")))
     return (df.withColumn("id_list", ids).withColumn("n_ids", n)

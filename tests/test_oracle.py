@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as E
+from orderflow.plans.catalog import QUERIES
 from tests.oracle_check import compare, duck
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -24,17 +25,3 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() == 4 and df.columns == ["shard", "rows", "avg_amount"]
 
-
-SCAN_QUERIES = ["msg_ids", "poll_batch_stats", "retained_latest", "failure_streaks", "ack_ttl_sessions",
-                "latency_quantiles", "ack_flush_batches", "breaker_timeline", "await_acks"]
-
-
-@pytest.mark.parametrize("name", SCAN_QUERIES)
-def test_query_matches_oracle_on_distributed_scan(spark, con, name):
-    """Every shard-sized group forced through the distributed scan path."""
-    spark.conf.set("orderflow.scan.maxGroupRows", "50")
-    try:
-        res = compare(spark, con, name, E.queries()[name], E.oracle_sql().get(name), SF)
-    finally:
-        spark.conf.unset("orderflow.scan.maxGroupRows")
-    assert res["ok"], res
