@@ -71,8 +71,8 @@ def _featurize(bits: int):
             of = codes.of(set().union(*tokens))
             rows = [features(t, of, bits) for t in tokens]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("label"), pa.array([r[0] for r in rows], pa.list_(pa.int64())),
-                 pa.array([r[1] for r in rows], pa.list_(pa.float64()))], ["label", "index", "value"])
+                [batch.column("label"), pa.array([r[0].astype(np.int32) for r in rows], pa.list_(pa.int32())),
+                 pa.array([r[1].astype(np.float32) for r in rows], pa.list_(pa.float32()))], ["label", "index", "value"])
     return run
 
 
@@ -116,7 +116,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_row
     sample = usable.distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample_rows)
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .join(F.broadcast(sample), "doc_id").select("text", "label") \
-        .dropDuplicates(["text"]).mapInArrow(_featurize(bits), "label int, index array<long>, value array<double>")
+        .dropDuplicates(["text"]).mapInArrow(_featurize(bits), "label int, index array<int>, value array<float>")
     got = chosen.toArrow()
     rows = sorted(((y, i, v) for b in got.to_batches() for y, i, v in zip(
         b.column("label").to_pylist(), _lists(b.column("index")), _lists(b.column("value")))),
