@@ -210,12 +210,13 @@ def health(states: DataFrame, name: str = "name", state: str = "state") -> DataF
         F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(name), F.col(state))))).alias("circuit_breakers"))
 
 
-def batch_stats(df: DataFrame, valid: Column) -> DataFrame:
-    """A-14: received / inserted / skipped per poll batch."""
+def batch_stats(df: DataFrame, valid: Column, msg_id: str = "msg_id", order: str = "poll_seq") -> DataFrame:
+    """A-14: received / inserted / skipped and the first and last message id per poll batch."""
     return (df.groupBy("shard", "batch_no")
             .agg(F.count(F.lit(1)).alias("received"),
                  F.count_if(valid).alias("inserted"),
-                 F.count_if(~valid).alias("skipped")))
+                 F.count_if(~valid).alias("skipped"),
+                 F.min_by(msg_id, order).alias("first_msg_id"), F.max_by(msg_id, order).alias("last_msg_id")))
 
 
 def ingest_report(outcomes: DataFrame, ts: str = "ts") -> DataFrame:

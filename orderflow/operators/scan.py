@@ -107,8 +107,3 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list, *,
     names = [*sums, *maxes, *mins, *lags]
     return joined.select(*df.columns, *[o.cast(types[n]).alias(n) for o, n in zip(outs, names)])
 
-
-def row_number_within(df: DataFrame, keys: list[str], order: list, name: str = "rn",
-                      num_partitions: int | None = None) -> DataFrame:
-    """``row_number() over (partition by keys order by order)``, skew-safe."""
-    return ordered_scan(df, keys, order, sums={name: F.lit(1)}, num_partitions=num_partitions)

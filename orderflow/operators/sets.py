@@ -1,4 +1,4 @@
-"""Set operators (U-01, U-02)."""
+"""Set operators (U-01); U-02 is :func:`orderflow.operators.validate.requested_ids`."""
 
 from __future__ import annotations
 
@@ -11,7 +11,3 @@ def union_shards(frames: list[DataFrame]) -> DataFrame:
     """U-01: N shard logs as one relation (by column name)."""
     return reduce(lambda a, b: a.unionByName(b), frames)
 
-
-def distinct_ids(df: DataFrame, cols: list[str]) -> DataFrame:
-    """U-02: distinct requested ids (partial aggregation before the shuffle)."""
-    return df.select(*cols).distinct()

@@ -64,22 +64,6 @@ def _errors_from(v: Column, obj: Column, types: dict[str, Column]) -> Column:
     return F.array_compact(F.array(*checks))
 
 
-def order_errors(data) -> Column:
-    """Array of validation errors of an envelope ``data`` text (empty = valid).
-
-    Codes: ``invalid_json``, ``not_object``, ``missing:<field>``,
-    ``type:<field>``, ``overflow:amount``. Empty ``items`` and a zero amount are valid. This is
-    the single-expression form (for ``observe`` and the like); the DataFrame
-    operators below parse once and type each field once.
-    """
-    return errors_of_variant(F.try_parse_json(_c(data)))
-
-
-def errors_of_variant(v: Column) -> Column:
-    """:func:`order_errors` on an already parsed VARIANT column."""
-    return _errors_from(v, _is_object(v), {f: _field_type(v, f) for f in FIELDS})
-
-
 def _parsed(df: DataFrame, data: str) -> DataFrame:
     # Parse once, type each field once, each in its own projection: the
     # optimizer keeps a costly expression that is read several times in its
@@ -107,7 +91,12 @@ def decode_orders(df: DataFrame, data: str = "data") -> DataFrame:
 
 
 def validate_orders(df: DataFrame, data: str = "data") -> DataFrame:
-    """P-04: keep every row, add ``errors`` and ``valid``."""
+    """P-04: keep every row, add ``errors`` and ``valid``.
+
+    Codes: ``invalid_json``, ``not_object``, ``missing:<field>``,
+    ``type:<field>``, ``overflow:amount``. Empty ``items`` and a zero amount
+    are valid.
+    """
     return _parsed(df, data).drop("__v").withColumn("valid", F.size("errors") == 0)
 
 

@@ -468,12 +468,9 @@ FROM (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY msg_ms, msg_seq)
 GROUP BY shard, batch_no"""))
 def q_poll_batch_stats(spark, sf):
     m = tb.malformed_messages_view(spark, sf)
-    b = windows.poll_batches(validate.validate_orders(m), 500)
-    return (b.groupBy("shard", "batch_no")
-            .agg(F.count(F.lit(1)).alias("received"), F.count_if("valid").alias("inserted"),
-                 F.count_if(~F.col("valid")).alias("skipped"),
-                 F.min_by("msg_id", "poll_seq").alias("first_msg_id"),
-                 F.max_by("msg_id", "poll_seq").alias("last_msg_id")))
+    # only what the batches need goes through the ordered scan
+    b = windows.poll_batches(validate.validate_orders(m).select("shard", "msg_id", "msg_seq", "valid"), 500)
+    return agg.batch_stats(b, F.col("valid"))
 
 
 # ---------------------------------------------------------------- A-15

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 # Settings every job here relies on: UTC event time, AQE with skew-join
-# splitting, Arrow transfer for the few grouped pandas operators.
+# splitting, Arrow transfer for operators that run Python in tasks.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -45,8 +47,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Taken from the session (``spark.checkpoint.dir`` or an already set
     checkpoint folder). Only a local-mode session without one gets a private
-    temporary folder, which is what tests use; a cluster session must name a
-    shared folder.
+    temporary folder, removed when the program ends; a cluster session must
+    name a shared folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -61,7 +63,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
     elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="orderflow-ckpt-"))
+        own = tempfile.mkdtemp(prefix="orderflow-ckpt-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        sc.setCheckpointDir(own)
     else:
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     return sc.getCheckpointDir()
@@ -72,22 +76,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def reliable_checkpoint(df):
-    """Materialise ``df`` in the shared checkpoint folder (never a local checkpoint)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 _SHIPPED: set = set()
 
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``orderflow`` importable in Python workers (as ``--py-files`` would).
 
-    Operators that run Python inside tasks (the ordered scan's Arrow pass, the
-    state machines) pickle functions of this package by reference, so the
-    executors need the package itself; it is zipped once per SparkContext and
-    distributed with ``addPyFile``.
+    Operators that run Python inside tasks pickle functions of this package by
+    reference, so the executors need the package itself; it is zipped once per
+    SparkContext and distributed with ``addPyFile``.
     """
     import os
     import zipfile
