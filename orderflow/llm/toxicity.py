@@ -147,20 +147,20 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -35, 35))))
 
 
-def _landmarks(docs: list[tuple[int, list[list[str]]]], most: int) -> tuple[list[str], int]:
+def _landmarks(sample: list[tuple[int, str]], most: int) -> tuple[list[str], int]:
     """Words far more frequent in toxic documents than in clean ones, then clean words like them and
     common clean words; how many the first are."""
     clean: dict[str, int] = {}
     toxic: dict[str, list[int]] = {}
-    for k, (y, parts) in enumerate(docs):
-        for w in {_LETTERS.sub("", x.lower()) for s in parts for x in s}:
+    for k, (y, text) in enumerate(sample):
+        for w in {_LETTERS.sub("", x.lower()) for s in sentences(text) for x in s}:
             if len(w) >= LENGTH:
                 if y:
                     toxic.setdefault(w, []).append(k)
                 else:
                     clean[w] = clean.get(w, 0) + 1
-    n_clean = max(1, sum(not y for y, _ in docs))
-    n_toxic = max(1, sum(y for y, _ in docs))
+    n_clean = max(1, sum(not y for y, _ in sample))
+    n_toxic = max(1, sum(y for y, _ in sample))
     rate = {w: len(v) / n_toxic - 4 * clean.get(w, 0) / n_clean for w, v in toxic.items() if len(v) > 1 or n_toxic < 20}
     order = sorted((w for w, r in rate.items() if r > 0), key=lambda w: (-rate[w], w))
     # words that reach documents not yet covered five times come first, so that copies don't crowd out the rest
@@ -187,18 +187,17 @@ def _landmarks(docs: list[tuple[int, list[list[str]]]], most: int) -> tuple[list
     return list(dict.fromkeys([*ranked, *alike, *common])), len(ranked)
 
 
-def fit(sample: list[tuple[int, str]], landmarks: int = 192, rounds: int = 5, ridge: float = 1e-3,
+def fit(sample: list[tuple[int, str]], landmarks: int = 160, rounds: int = 5, ridge: float = 1e-3,
         steps: int = 100, clean_rows: int = 20_000) -> Machine:
     """Train on (label, text) rows; without rows of both labels the score is the share of label 1.
 
     Each round trains on the worst sentence of every toxic document and on
     ``clean_rows`` sentences of clean documents: the hardest so far and others.
     """
-    docs = [(y, sentences(t)) for y, t in sample]
-    ones = sum(y for y, _ in docs)
-    if not 0 < ones < len(docs):
-        return Machine({}, 0.0, 0.0, 0.0 if not docs else (35.0 if ones else -35.0))
-    marks, n_toxic_marks = _landmarks(docs, landmarks)
+    ones = sum(y for y, _ in sample)
+    if not 0 < ones < len(sample):
+        return Machine({}, 0.0, 0.0, 0.0 if not sample else (35.0 if ones else -35.0))
+    marks, n_toxic_marks = _landmarks(sample, landmarks)
     m = len(marks)
     units = [_unit(subsequences(w)) for w in marks]
     index = {u: k for k, u in enumerate(dict.fromkeys(u for sub in units for u in sub))}
@@ -220,26 +219,38 @@ def fit(sample: list[tuple[int, str]], landmarks: int = 192, rounds: int = 5, ri
     own = np.array([none if (r := against(w)) is None else r for w in marks], float).reshape(m, m)
     values, vectors = np.linalg.eigh((own + own.T) / 2)
     whiten = vectors / np.sqrt(np.maximum(values, 0) + ridge) @ vectors.T
+    # kernel values of every sentence that has any, in half precision; first the sentence without any
     words: dict[str, np.ndarray | None] = {}
-    rows, owner = [none], [-1]  # the sentence without a common subsequence
-    for k, (_, parts) in enumerate(docs):
-        for s in parts:
+    rows, owner = [none[None].astype(np.float16)], [-1]
+    for k, (_, text) in enumerate(sample):
+        held = []
+        for s in sentences(text):
             total = None
             for w in s:
                 if w not in words:
+                    if len(words) >= 50_000:
+                        words.clear()
                     words[w] = against(w)
                 row = words[w]
                 if row is not None:
                     total = row if total is None else total + row
             if total is not None:
-                rows.append(total)
-                owner.append(k)
-    raw, owner = np.array(rows, np.float32), np.array(owner)
-    x = raw @ whiten.astype(np.float32)
-    label = np.array([y for y, _ in docs])
+                held.append(total)
+        if held:
+            rows.append(np.array(held).astype(np.float16))
+            owner += [k] * len(held)
+    raw, owner = np.concatenate(rows), np.array(owner)
+    del rows, words
+
+    def margins(weight: np.ndarray) -> np.ndarray:
+        """Kernel values times ``weight``, a block of sentences at a time."""
+        weight = weight.astype(np.float32)
+        return np.concatenate([raw[k:k + 8192].astype(np.float32) @ weight for k in range(0, len(raw), 8192)])
+
+    label = np.array([y for y, _ in sample])
     toxic_rows = np.flatnonzero((owner >= 0) & (label[owner] == 1))
     clean_all = np.flatnonzero((owner < 0) | (label[owner] == 0))
-    margin = raw[:, :n_toxic_marks].sum(1)  # first guess: the kernel sum against the toxic landmarks
+    margin = margins(np.arange(m) < n_toxic_marks)  # first guess: the kernel sum against the toxic landmarks
     order = np.random.default_rng(11).permutation(clean_all)
     wb = np.zeros(m + 1)
     for _ in range(rounds):
@@ -251,17 +262,17 @@ def fit(sample: list[tuple[int, str]], landmarks: int = 192, rounds: int = 5, ri
         y = np.r_[np.ones(len(positive)), -np.ones(len(negative))].astype(np.float32)
         # squared hinge, each side half of the loss; accelerated gradient steps
         cost = np.where(y > 0, 0.5 / max(1, len(positive)), 0.5 / len(negative)).astype(np.float32)
-        xs = np.c_[x[use], np.ones(len(use), np.float32)]
+        xs = np.c_[raw[use].astype(np.float32) @ whiten.astype(np.float32), np.ones(len(use), np.float32)]
         lam, prev = 1e-4, wb
         step = 1 / (2 * np.linalg.eigvalsh((xs * cost[:, None]).T @ xs)[-1] + lam)
         for t in range(steps):
             look = wb + t / (t + 3) * (wb - prev)
             gap = np.maximum(0, 1 - y * (xs @ look.astype(np.float32)))
             prev, wb = wb, look - step * (lam * np.r_[look[:-1], 0] - 2 * (cost * y * gap) @ xs)
-        margin = x @ wb[:-1].astype(np.float32) + np.float32(wb[-1])
+        margin = margins(whiten @ wb[:-1]) + np.float32(wb[-1])
     folded = table @ (whiten @ wb[:-1])
     machine = Machine({u: float(folded[k]) for u, k in index.items()}, float(wb[-1]), 1.0, 0.0)
-    worst = np.full(len(docs), float(wb[-1]))
+    worst = np.full(len(sample), float(wb[-1]))
     np.maximum.at(worst, owner[1:], margin[1:])
     machine.slope, machine.shift = _calibrate(worst, label)
     return machine
