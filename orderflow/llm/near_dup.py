@@ -9,7 +9,9 @@ n-grams reaches a threshold; the result is each document's connected component.
 2. Sets that link share one of their first tokens in any order that all sets
    agree on: a set of n tokens needs only n - ceil(t * n) + 1 of them. The order
    is by a fixed-size sketch of the frequencies of all tokens, rarest first, so
-   that passages which many documents share hardly ever serve as keys.
+   that passages which many documents share hardly ever serve as keys. A key
+   holds for one band of sizes; a set sends keys for its own band and, if a
+   smaller partner can lie there, for the one below.
 3. Classes with a common key are a bucket. The overlap of two sets is at most
    the sum of the smaller of their coordinates, of a set and a box at most that
    with the box's upper corner: an R-tree over a bucket's points passes over
@@ -34,6 +36,8 @@ n * n / 3.7e19 pairs are mistaken for equal.
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -44,7 +48,8 @@ from orderflow.llm.common import slices, written
 from orderflow.llm.graph import components
 from orderflow.session import ship_package
 
-_GROUPS = 64      # coordinates of the points
+_GROUPS, _FULL = 64, 16     # least number of coordinates of a point, most tokens that one stands for on average
+_WIDE = 3                   # a band of sizes spans this many steps of the threshold
 _ROWS, _BINS = 4, 1 << 16   # the frequency sketch
 _LEAF = 16
 _SMALL = 48       # buckets up to here are compared without a tree
@@ -86,6 +91,9 @@ class Threshold:
 
     def __init__(self, num: int, den: int):
         self.num, self.den = num, den
+        self.edges = [1]
+        while self.edges[-1] < 1 << 48:
+            self.edges.append(max(self.edges[-1] + 1, -(-self.edges[-1] * den ** _WIDE // num ** _WIDE)))
     def needed(self, sizes):
         """Smallest intersection of two sets of ``sizes`` tokens together."""
         return -(-self.num * sizes // (self.num + self.den))
@@ -100,6 +108,10 @@ class Threshold:
     def largest(self, n: int) -> int:
         return n * self.den // self.num
 
+    def bands(self, n: int) -> set[int]:
+        """Bands of sizes in which a set of n tokens meets its partners: the smaller set's band decides."""
+        return {bisect_right(self.edges, n), bisect_right(self.edges, self.smallest(n))}
+
 
 def _bins(tokens: np.ndarray) -> list[np.ndarray]:
     """Bins of the tokens in each row of the sketch."""
@@ -107,23 +119,45 @@ def _bins(tokens: np.ndarray) -> list[np.ndarray]:
 
 
 def prefix(tokens: np.ndarray, sketch: np.ndarray, limit: Threshold) -> np.ndarray:
-    """The keys of a set: its first tokens, rarest (by powers of two) first, then by hash."""
+    """The keys of a set: its first tokens, rarest (by powers of two) first, then by hash, for each of its bands."""
     n = len(tokens)
     if not n or limit.smallest(n) == n == limit.largest(n):
         return np.zeros(0, np.int64)  # links to equal sets only, and those are one class
     with np.errstate(over="ignore"):
         often = np.min([sketch[b] for b in _bins(tokens)], 0)
     rank = np.frexp(often.astype(np.float64))[1]
-    first = np.lexsort((tokens, rank))[:n - limit.smallest(n) + 1]
-    return tokens[first].view(np.int64)
+    first = tokens[np.lexsort((tokens, rank))[:n - limit.smallest(n) + 1]]
+    with np.errstate(over="ignore"):
+        return np.concatenate([_mix(first + _U(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) for k in sorted(limit.bands(n))]).view(np.int64)
 
 
 def _node(tokens: np.ndarray) -> int | None:
     return int(np.array(xxhash.xxh64_intdigest(tokens.tobytes()), np.uint64).view(np.int64)) if len(tokens) else None
 
 
-def _point(tokens: np.ndarray) -> np.ndarray:
-    return np.bincount((_mix(tokens) % _U(_GROUPS)).astype(np.int64), minlength=_GROUPS).astype("<i4")
+def _groups(n: int) -> int:
+    """Coordinates of the point of a set of n tokens: more for larger sets, whose sums differ less."""
+    g = _GROUPS
+    while g * _FULL < n:
+        g *= 2
+    return g
+
+
+def _point(tokens: np.ndarray, groups: int) -> np.ndarray:
+    return np.bincount((_mix(tokens) % _U(groups)).astype(np.int64), minlength=groups).astype(np.int32)
+
+
+def _packed(point: np.ndarray) -> bytes:
+    """A point as bytes, one for each coordinate if they fit; the first byte tells."""
+    kind = "<u1" if point.max() < 256 else "<u4"
+    return bytes([int(kind[-1])]) + point.astype(kind).tobytes()
+
+
+def _points(packed: list[bytes]) -> np.ndarray:
+    """Points in the fewest coordinates that one of them has; the others are folded."""
+    rows = [np.frombuffer(p, f"<u{p[0]}", offset=1) for p in packed]
+    least = min(map(len, rows))
+    return np.array([p.reshape(-1, least).sum(0, dtype=np.int32) for p in rows])
 
 
 def _describe(width: int):
@@ -137,7 +171,7 @@ def _describe(width: int):
                 s = shingles(text or "", width)
                 n.append(len(s))
                 node.append(_node(s))
-                point.append(_point(s).tobytes() if len(s) else None)
+                point.append(_packed(_point(s, _groups(len(s)))) if len(s) else None)
                 held.append(s)
             with np.errstate(over="ignore"):
                 for b in _bins(np.concatenate(held)):
@@ -256,8 +290,7 @@ def _buckets(num: int, den: int):
         node, size, side, point = zip(*rows)
         if len(set(node)) < 2:
             return []
-        points = np.frombuffer(b"".join(point), "<i4").reshape(len(node), _GROUPS)
-        return [(node[i], node[j]) for i, j in forest(points, np.array(size), limit, np.array(side))]
+        return [(node[i], node[j]) for i, j in forest(_points(point), np.array(size), limit, np.array(side))]
 
     def run(batches):
         limit, name, rows, out = Threshold(num, den), None, [], []
@@ -289,7 +322,8 @@ def _tile(num: int, den: int):
         def holds(k, j):
             return limit.links(_overlap(sets[k], sets[j]), len(sets[k]), len(sets[j]))
 
-        pairs = forest(np.array([_point(s) for s in sets]), sizes, limit, np.array([rows[x][0] for x in nodes]), holds)
+        groups = _groups(int(np.median(sizes)))
+        pairs = forest(np.array([_point(s, groups) for s in sets]), sizes, limit, np.array([rows[x][0] for x in nodes]), holds)
         return pa.table({"a": pa.array([nodes[i] for i, _ in pairs], pa.int64()),
                          "b": pa.array([nodes[j] for _, j in pairs], pa.int64())})
     return run
@@ -305,7 +339,7 @@ def _tiles(rows: DataFrame, group: str, num: int, den: int) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100,
-                       block_bytes: int = 8 << 20, block_rows: int = 4096) -> DataFrame:
+                       block_bytes: int = 24 << 20, block_rows: int = 4096) -> DataFrame:
     """Component of every document under links of Jaccard similarity at least ``num / den``.
 
     Returns ``doc_id, n_shingles, component_id``; component_id is the smallest

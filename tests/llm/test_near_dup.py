@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from orderflow.llm.graph import components
-from orderflow.llm.near_dup import CountTree, Threshold, _point, forest, jaccard_components, prefix, shingles
+from orderflow.llm.near_dup import CountTree, Threshold, _groups, _packed, _point, _points, forest, jaccard_components, prefix, shingles
 
 
 def _set(text, width):
@@ -70,7 +70,16 @@ def test_linking_sets_share_a_key_and_pass_the_bound():
         both = len(np.intersect1d(a, b))
         if limit.links(both, len(a), len(b)) and len(a) + len(b) > 2 * both:
             assert set(prefix(a, sketch, limit).tolist()) & set(prefix(b, sketch, limit).tolist())
-            assert np.minimum(_point(a), _point(b)).sum() >= limit.needed(len(a) + len(b))
+            assert np.minimum(*_points([_packed(_point(x, _groups(len(x)))) for x in (a, b)])).sum() >= limit.needed(len(a) + len(b))
+
+
+def test_points_fold_and_pack():
+    tokens = np.unique(np.random.default_rng(1).integers(0, 1 << 62, 5000).astype(np.uint64))
+    wide, small = _point(tokens, _groups(len(tokens))), _point(tokens[:900], 64)
+    assert len(wide) == 512 and wide.sum() == len(tokens)
+    both = _points([_packed(wide), _packed(small)])
+    assert (both[0] == _point(tokens, 64)).all() and (both[1] == small).all()
+    assert (_points([_packed(np.array([300, 2], np.int32))]) == [[300, 2]]).all()
 
 
 def test_tree_finds_what_a_scan_finds():
