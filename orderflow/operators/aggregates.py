@@ -144,7 +144,7 @@ def exact_quantiles(df: DataFrame, value: str, by: list[str], qs, tiebreak: str)
     """
     base = df.filter(F.col(value).isNotNull()).select(*by, value, tiebreak)
     ranked = ordered_scan(base, by, [value, tiebreak], sums={"__rn": F.lit(1)})
-    sizes = base.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
+    sizes = ranked.groupBy(*by).agg(F.max("__rn").alias("__n"))  # from the written scan: the input is not read again
     cols = []
     for i, q in enumerate(qs):
         pos = (F.col("__n") - 1) * F.lit(float(q))
