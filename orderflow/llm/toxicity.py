@@ -2,9 +2,12 @@
 
 The kernel of two words, each between marks of its ends, counts common
 subsequences of four letters or marks that span at most six, weighted by a decay for each letter spanned, and is scaled to 1
-for equal words; so an insult with characters put in between, or letters set
-apart by blanks or signs, still matches. The kernel of two sentences is the
-sum over their distinct words. Landmarks are words of the labelled sample; the Nyström
+for equal words; so an insult with characters put in between still matches, and
+one of two or three letters by its marks. The kernel of two sentences is the
+sum over their distinct words. Adjacent pieces of at most three letters, with any
+blanks or signs between, may be a word broken up: what each run of them spells
+is scored as a sentence of its own (:func:`spelled`); training goes by the
+sentences as written. Landmarks are words of the labelled sample; the Nyström
 map turns a sentence into kernel values against them, whitened by the
 landmarks' own kernel matrix, and a linear SVM is trained on the map.
 
@@ -35,6 +38,9 @@ LENGTH, SPAN, DECAY = 4, 6, 0.6
 _SENTENCE = re.compile(r"[.!?]+(?=\s|$)|\n")
 _SPACED = re.compile(r"(?<!\S)(?:[^\W\d_][ ]){3,}[^\W\d_](?!\w)")
 _LETTERS = re.compile(r"[\W\d_]+")
+LEAST = LENGTH - 2  # letters of a word that has a subsequence with its marks
+SPELLED = 16  # letters that a run of short pieces may spell
+_PIECES = re.compile(r"(?<![^\W\d_])[^\W\d_]{1,3}+(?:[\W\d_]++[^\W\d_]{1,3}+(?![^\W\d_]))+")
 #: Letter positions after the first, and the weight of that choice.
 _PICKS = [(c, DECAY ** (c[-1] + 1)) for c in combinations(range(1, SPAN), LENGTH - 1)]
 LONGEST = 40  # words; a longer sentence is scored in runs of this many
@@ -44,7 +50,7 @@ def subsequences(word: str) -> dict[str, float]:
     """Weighted gapped subsequences of the letters of ``word``."""
     letters = _LETTERS.sub("", word.lower())
     out: dict[str, float] = {}
-    if len(letters) < LENGTH:
+    if len(letters) < LEAST:
         return out
     letters = f"<{letters}>"
     n = len(letters)
@@ -63,7 +69,7 @@ def _unit(sub: dict[str, float]) -> dict[str, float]:
 
 
 def kernel(a: str, b: str) -> float:
-    """Subsequence kernel of two words, 1 for equal ones of at least four letters."""
+    """Subsequence kernel of two words, 1 for equal ones of at least two letters."""
     x, y = _unit(subsequences(a)), _unit(subsequences(b))
     return sum(v * y.get(u, 0.0) for u, v in x.items())
 
@@ -79,6 +85,29 @@ def sentences(text: str) -> list[list[str]]:
     return out
 
 
+def spelled(text: str) -> list[str]:
+    """Distinct words that two or more adjacent pieces of one to three letters spell, up to SPELLED letters.
+
+    Pieces are split by anything but letters, line and sentence ends included.
+    """
+    out: dict[str, None] = {}
+    for run in _PIECES.findall(text):
+        pieces = _LETTERS.split(run)
+        for i, word in enumerate(pieces):
+            for piece in pieces[i + 1:i + SPELLED]:
+                word += piece
+                if len(word) > SPELLED:
+                    break
+                out[word] = None
+    return list(out)
+
+
+def parts(text: str) -> list[list[str]]:
+    """What a document is scored by: its sentences, and each spelled word as one more."""
+    text = text.lower()
+    return sentences(text) + [[w] for w in spelled(text)]
+
+
 def _code(sub: str) -> int:
     """Four letters as one number, 16 bits each."""
     a, b, c, d = (ord(x) & 0xFFFF for x in sub)
@@ -110,7 +139,7 @@ class Machine:
         groups: dict[int, tuple[list[int], list[str]]] = {}
         for k, w in enumerate(words):
             letters = _LETTERS.sub("", w.lower())
-            if len(letters) >= LENGTH:
+            if len(letters) >= LEAST:
                 at, group = groups.setdefault(len(letters) + 2, ([], []))
                 at.append(k)
                 group.append(f"<{letters}>")
@@ -154,7 +183,7 @@ def _landmarks(sample: list[tuple[int, str]], most: int) -> tuple[list[str], int
     toxic: dict[str, list[int]] = {}
     for k, (y, text) in enumerate(sample):
         for w in {_LETTERS.sub("", x.lower()) for s in sentences(text) for x in s}:
-            if len(w) >= LENGTH:
+            if len(w) >= LEAST:
                 if y:
                     toxic.setdefault(w, []).append(k)
                 else:
@@ -175,7 +204,9 @@ def _landmarks(sample: list[tuple[int, str]], most: int) -> tuple[list[str], int
     ranked = first + rest
     eighth = most // 8
     ranked = ranked[:most - 3 * eighth]
-    common = sorted(clean, key=lambda w: (-clean[w], w))[:eighth]
+    # words of two or three letters would be nearly all of these
+    often = sorted(clean, key=lambda w: (-clean[w], w))
+    common = [w for w in often if len(w) >= LENGTH][:eighth]
     # clean words most like the toxic ones
     pull: dict[str, float] = {}
     for w in ranked:
@@ -317,9 +348,9 @@ def _score(sent, cut: float):
         machine: Machine = sent.value
         store = _store(sent)
         for batch in slices(batches, "text"):
-            parts = [sentences(t or "") for t in batch.column("text").to_pylist()]
-            of = store.of({w for p in parts for s in p for w in s})
-            scores = [machine.score(machine.margin(p, of)) for p in parts]
+            docs = [parts(t or "") for t in batch.column("text").to_pylist()]
+            of = store.of({w for p in docs for s in p for w in s})
+            scores = [machine.score(machine.margin(p, of)) for p in docs]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(scores, pa.float64()),
                  pa.array([int(x >= cut) for x in scores], pa.int32())], ["doc_id", "held_out", "score", "predicted"])
@@ -374,9 +405,9 @@ def _keep(sent, cut: float):
         machine: Machine = sent.value
         store = _store(sent)
         for batch in slices(batches, "text"):
-            parts = [sentences(t or "") for t in batch.column("text").to_pylist()]
-            of = store.of({w for p in parts for s in p for w in s})
-            yield batch.filter(pa.array([machine.score(machine.margin(p, of)) < cut for p in parts], pa.bool_()))
+            docs = [parts(t or "") for t in batch.column("text").to_pylist()]
+            of = store.of({w for p in docs for s in p for w in s})
+            yield batch.filter(pa.array([machine.score(machine.margin(p, of)) < cut for p in docs], pa.bool_()))
     return run
 
 

@@ -123,6 +123,27 @@ def test_toxicity(spark, odd, none, labels):
     assert {x.predicted for x in tx.score(df, tx.train(df, labels)).collect()} <= {0, 1}
 
 
+def test_short_and_broken_words_are_scored(spark):
+    df = _labelled(spark)
+    rows = [(r.doc_id, r.text.replace("snotbag", "oaf"), r.toxic) for r in df.collect()]
+    machine = tx.train(*[spark.createDataFrame(rows, "doc_id long, text string, toxic int")] * 2)
+    broken = ["oaf", "o a f", "o-a-f", "oa f", "zz plo nk er", "zzp lon ker", "gru bfa ce", "g  r  u  b  f  a  c  e", "g\tr\tu\tb\tf\ta\tc\te",
+              "g\nr\nu\nb\nf\na\nc\ne", "g - r - u - b - f - a - c - e", "g.r u.b f.a c.e", "G. R. U. B. F. A. C. E."]
+    texts = [f"marona solish {x} tenent." for x in broken] + ["marona solish tenent.", "marona an so it solish."]
+    got = tx.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), machine).orderBy("doc_id").collect()
+    assert [r.predicted for r in got] == [1] * len(broken) + [0, 0]
+    assert tx.reject_toxic(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), machine).count() == 2
+
+
+def test_spelled_words():
+    assert tx.spelled("stu pid") == ["stupid"]
+    assert tx.spelled("you st-up\n1 id") == ["youst", "youstup", "youstupid", "stup", "stupid", "upid"]
+    assert tx.spelled("four ab letters cd") == [] == tx.spelled("")
+    assert max(map(len, tx.spelled("a b c d e " * 2000))) == tx.SPELLED
+    assert tx.kernel("oaf", "o.a.f") == pytest.approx(1) == tx.kernel("ab", "ab")
+    assert not tx.subsequences("a")
+
+
 def test_kernel_counts_gapped_subsequences():
     assert tx.kernel("idiot", "idiot") == pytest.approx(1)
     assert tx.kernel("idiot", "i.d.i.o.t") == pytest.approx(1)
