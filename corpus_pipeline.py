@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.llm import quality_classifier, toxicity
-from orderflow.llm.common import table
+from orderflow.llm.common import table, written
 from orderflow.llm.near_dup import jaccard_components
 from orderflow.llm.packing import pack
 from orderflow.llm.queries import vocabulary
@@ -33,16 +33,18 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones (operator 2; five words, similarity 0.8): that with the smallest id.
+    """One row of each group of similar documents (operator 2; five words, similarity 0.8).
 
-    Documents without words are in no group and stay; so do documents without
-    an id unless a document with an id is like them; rows that repeat one id
-    are one document.
+    That with the smallest id stays, one without an id only if no row of its
+    group has one; rows that repeat an id go by the hash of their text, equal
+    ones by their place. Rows without words are in no group and stay.
     """
-    docs = docs.select(COLUMNS)
-    found = jaccard_components(docs, width=5, num=80, den=100)
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("stays")).distinct()
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("stays")), "left_semi")
+    rows = written(docs.select(COLUMNS).withColumn("row", F.monotonically_increasing_id()), "rows")
+    found = jaccard_components(rows.select(F.col("row").alias("doc_id"), "text"), width=5, num=80, den=100)
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("hash"), "row")
+    stay = found.select(F.col("doc_id").alias("row"), "component_id").join(rows.select("row", first.alias("first")), "row") \
+        .groupBy("component_id").agg(F.min("first").alias("first")).select("first.row")
+    return rows.join(stay, "row", "left_semi").select(COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -183,3 +183,17 @@ def test_pipeline_stages(spark, tmp):
     assert len(kept - want - {9000, 9001}) <= 0.05 * len(truth)
     pieces = cp.run(spark, tmp)
     assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == kept
+
+
+def test_near_duplicates_keep_one_row_of_each_group(spark, tmp):
+    import corpus_pipeline as cp
+    one, two, three = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(5, one), (5, one), (5, two), (7, one + " end"), (3, two + " end"), (None, three), (None, three + " end"), (None, one), (None, two),
+            (None, ""), (None, None), (8, ""), (8, " ")]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = cp.near_duplicates(spark, docs, tmp)
+    assert got.columns == cp.COLUMNS
+    kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=repr)
+    last = [x for x in kept if x[0] is None and (x[1] or "").startswith("c0")]
+    assert len(last) == 1 and last[0][1] in (three, three + " end")
+    assert sorted([x for x in kept if x not in last], key=repr) == sorted([(5, one), (3, two + " end"), (None, ""), (None, None), (8, ""), (8, " ")], key=repr)
