@@ -48,8 +48,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of 2048 tokens, mixed by source (operator 4); one row per piece."""
-    return pack(docs, vocabulary("word_bpe_49k.json"), keep_ids=False)
+    """Sequences of 2048 tokens, mixed by source (operator 4); one row per piece, with its token ids."""
+    return pack(docs, vocabulary("word_bpe_49k.json"), keep_ids=True)
 
 
 STAGES = [("toxicity", toxicity_filter), ("quality classifier", quality_filter),

@@ -197,3 +197,14 @@ def test_near_duplicates_keep_one_row_of_each_group(spark, tmp):
     last = [x for x in kept if x[0] is None and (x[1] or "").startswith("c0")]
     assert len(last) == 1 and last[0][1] in (three, three + " end")
     assert sorted([x for x in kept if x not in last], key=repr) == sorted([(5, one), (3, two + " end"), (None, ""), (None, None), (8, ""), (8, " ")], key=repr)
+
+
+def test_pipeline_packing_holds_the_token_ids(spark, tmp):
+    import zlib
+
+    import corpus_pipeline as cp
+    docs = spark.createDataFrame([(k, f"some words {k} " * 300 * k, "en", "s", 1) for k in range(6)] + [(9, None, None, None, None)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    rows = cp.packing(spark, docs, tmp).collect()
+    assert {r.doc_id for r in rows} == {0, 1, 2, 3, 4, 5, 9}
+    assert all(len(r.ids) == r.length and zlib.crc32(np.array(r.ids, "<i4").tobytes()) == r.ids_crc32 for r in rows)
