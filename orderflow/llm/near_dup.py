@@ -41,11 +41,12 @@ from bisect import bisect_right
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.llm.common import slices, written
 from orderflow.llm.graph import components
+from orderflow.operators.scan import ordered_scan
 from orderflow.session import ship_package
 
 _GROUPS, _FULL = 64, 16     # least number of coordinates of a point, most tokens that one stands for on average
@@ -338,6 +339,23 @@ def _tiles(rows: DataFrame, group: str, num: int, den: int) -> DataFrame:
                         F.concat_ws("-", "block", "with").alias("tile"))
 
 
+def _shared(keyed: DataFrame) -> DataFrame:
+    """``node, n, bucket`` of the keys with two classes at least; keys with the same classes are one bucket.
+
+    Summaries combine map-side; both sides of the join are tables, so that a hot key is split like any skewed join.
+    """
+    keys = written(keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"),
+                                            F.bit_xor("node").alias("all"), F.count("*").alias("m"))
+                   .where("low <> high").select("key", F.xxhash64("low", "high", "all", "m").alias("bucket")), "keys")
+    return keyed.join(keys, "key").select("node", "n", "bucket").distinct()
+
+
+def _in_blocks(rows: DataFrame, group: str, weight: Column, most: int) -> DataFrame:
+    """``rows`` with ``block``: runs of at most ``most`` weight (one row at least) in order of size; a hot group is in many tasks."""
+    scanned = ordered_scan(rows, [group], ["n", "node"], sums={"held": weight})
+    return scanned.withColumn("block", F.floor((F.col("held") - weight) / most).cast("int")).drop("held")
+
+
 def jaccard_components(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100,
                        block_bytes: int = 24 << 20, block_rows: int = 4096) -> DataFrame:
     """Component of every document under links of Jaccard similarity at least ``num / den``.
@@ -362,15 +380,9 @@ def jaccard_components(docs: DataFrame, width: int = 3, num: int = 90, den: int
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("point").alias("point")), "classes")
 
     sent = src.sparkSession.sparkContext.broadcast(sketch)
-    by_key = Window.partitionBy("key")
-    shared = src.mapInArrow(_keys(width, num, den, sent), "key long, node long, n long") \
-        .select("node", "n", F.min("node").over(by_key).alias("low"), F.max("node").over(by_key).alias("high"),
-                F.bit_xor("node").over(by_key).alias("all"), F.count("*").over(by_key).alias("m")) \
-        .where("low <> high").select("node", "n", F.xxhash64("low", "high", "all", "m").alias("bucket")).distinct()
-    shared = written(shared, "shared")  # keys with the same classes are one bucket
-    in_bucket = Window.partitionBy("bucket").orderBy("n", "node")
-    shared = shared.withColumn("block", F.floor((F.row_number().over(in_bucket) - 1) / block_rows).cast("int"))
-    places = written(shared, "places")
+    keyed = written(src.mapInArrow(_keys(width, num, den, sent), "key long, node long, n long"), "keyed")
+    shared = written(_shared(keyed), "shared")
+    places = written(_in_blocks(shared, "bucket", F.lit(1), block_rows), "places")
     edges = places.join(_tiles(places, "bucket", num, den), ["bucket", "block"]) \
         .join(classes.select("node", "point"), "node") \
         .repartition("bucket", "tile").sortWithinPartitions("bucket", "tile", "n", "node") \
@@ -378,10 +390,8 @@ def jaccard_components(docs: DataFrame, width: int = 3, num: int = 90, den: int
     clusters = components(written(edges, "candidates"), "a", "b")
 
     member = clusters.select("node", F.col("component").alias("cluster")).join(classes.drop("point"), "node")
-    # in order of size, blocks of at most block_bytes of sets (one set at least)
-    before = Window.partitionBy("cluster").orderBy("n", "node").rowsBetween(Window.unboundedPreceding, -1)
-    member = written(member.withColumn(
-        "block", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) * 8 / block_bytes).cast("int")), "members")
+    # blocks of at most block_bytes of sets
+    member = written(_in_blocks(member, "cluster", F.col("n") * 8, block_bytes), "members")
     sets = src.join(member.select(F.col("rep").alias("doc_id2"), "node", "cluster", "block"),
                     F.col("doc_id").eqNullSafe(F.col("doc_id2"))) \
         .select("cluster", "block", "node", "text") \

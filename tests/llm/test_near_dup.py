@@ -5,9 +5,10 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from orderflow.llm.graph import components
-from orderflow.llm.near_dup import CountTree, Threshold, _groups, _packed, _point, _points, forest, jaccard_components, prefix, shingles
+from orderflow.llm.near_dup import CountTree, Threshold, _groups, _in_blocks, _packed, _point, _points, _shared, forest, jaccard_components, prefix, shingles
 
 
 def _set(text, width):
@@ -107,3 +108,29 @@ def test_components_of_a_long_chain_and_a_star(spark):
     df = spark.createDataFrame(edges + [(None, 3)], "a long, b long")
     got = {r.node: r.component for r in components(df, "a", "b").collect()}
     assert got == {**{k: 100 for k in range(100, 181)}, **{k: 7 for k in range(7, 60)}, 5: 5}
+
+
+def test_a_hot_group_is_in_many_tasks(spark):
+    r = random.Random(8)
+    rows = [(0, r.randint(1, 50), k) for k in range(3000)] + [(g, r.randint(1, 50), 5000 + g) for g in range(1, 20)]
+    df = spark.createDataFrame(rows, "cluster long, n long, node long").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = _in_blocks(df, "cluster", F.col("n") * 8, 900).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    hot = sorted((x for x in got if x.cluster == 0), key=lambda x: (x.n, x.node))
+    tasks = [sum(x.task == t for x in hot) for t in {x.task for x in hot}]
+    assert len(got) == len(rows) and len(tasks) > 2 and max(tasks) < 0.6 * len(hot)
+    held = np.cumsum([x.n for x in hot])
+    assert [x.block for x in hot] == [int((h - x.n) * 8 // 900) for h, x in zip(held, hot)]
+    assert all(x.block == 0 for x in got if x.cluster)
+
+
+def test_keys_with_the_same_classes_are_one_bucket(spark):
+    rows = [(k, x, 5) for k in (1, 2) for x in (10, 11, 12)] + [(3, x, 5) for x in (10, 12)] + [(4, 10, 5), (4, 10, 5), (5, 13, 6)]
+    df = spark.createDataFrame(rows, "key long, node long, n long").repartition(3)
+    found = {}
+    for x in _shared(df).collect():
+        found.setdefault(x.bucket, []).append(x.node)
+    assert sorted(map(sorted, found.values())) == [[10, 11, 12], [10, 12]]
