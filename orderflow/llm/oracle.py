@@ -57,3 +57,88 @@ hits AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY units DESC, doc_id) AS rank FROM hits)
 SELECT query_id, rank::INT AS rank, doc_id, units::DOUBLE / 16777216 AS score FROM ranked WHERE rank <= 10
 """
+
+
+def _vector_codes(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Integer product quantization, one pair of steps (nearest entry, means) for each round."""
+    dist = "list_sum(list_transform(range(1, len(x.v) + 1), lambda i: (x.v[i] - b.v[i]) * (x.v[i] - b.v[i])))"
+    ctes = [f"""
+k AS MATERIALIZED (
+  SELECT vec_id, label, embedding, row_number() OVER () AS rid FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+x AS MATERIALIZED (
+  SELECT rid, vec_id, p::BIGINT AS p, list_transform(embedding[1 + p * (len(embedding) // {parts}) : (p + 1) * (len(embedding) // {parts})],
+           lambda v: floor(4096 * v::DOUBLE)::BIGINT) AS v
+  FROM k, range({parts}) AS r(p)),
+b0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, v FROM x
+  WHERE vec_id IN (SELECT vec_id FROM k ORDER BY vec_id LIMIT {entries}))"""]
+    near = "SELECT x.rid, x.p, any_value(x.v) AS v, min({d} * {n} + b.e) AS best FROM x JOIN b{r} b USING (p) GROUP BY x.rid, x.p"
+    for r in range(rounds):
+        ctes.append(f"a{r} AS MATERIALIZED ({near.format(d=dist, n=entries, r=r)})")
+        ctes.append(f"""
+s{r} AS (SELECT p, best % {entries} AS e, i, sum(v[i])::BIGINT AS s, count(*) AS n
+       FROM a{r}, range(1, (SELECT max(len(v)) FROM x) + 1) AS t(i) GROUP BY 1, 2, 3)""")
+        ctes.append(f"m{r} AS (SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM s{r} GROUP BY 1, 2)")
+        ctes.append(f"b{r + 1} AS MATERIALIZED (SELECT p, e, coalesce(m.v, b.v) AS v FROM b{r} b LEFT JOIN m{r} m USING (p, e))")
+    ctes.append(f"f AS MATERIALIZED ({near.format(d=dist, n=entries, r=rounds)})")
+    ctes.append(f"""
+g AS (SELECT rid, string_agg(printf('%02x', best % {entries}), '' ORDER BY p) AS code, sum(best // {entries})::BIGINT AS error FROM f GROUP BY rid)""")
+    ctes.append(f"h AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) AS h FROM b{rounds})")
+    return "WITH " + ",\n".join(ctes) + """
+SELECT k.vec_id, g.code, g.error, sum(g.error) OVER (PARTITION BY k.label)::BIGINT AS label_error, h.h AS codebooks_sha256
+FROM k JOIN g USING (rid), h
+"""
+
+
+VECTOR_CODES = _vector_codes()
+
+def _merkle() -> str:
+    field = "coalesce(octet_length(encode({c}::VARCHAR))::VARCHAR || ':' || {c}::VARCHAR, '-')"
+    head = " || ".join(field.format(c=c) for c in ("doc_id", "source", "lang", "n_chars"))
+    byte = "CASE WHEN t % 8 = 0 THEN xor(c, ord(substr(doc_id::VARCHAR, (t // 8 + 1)::BIGINT, 1))::BIGINT) ELSE c END"
+    level = """
+  SELECT {key}level + 1, idx // 3, (any_value(n) + 2) // 3, sha256(string_agg(h, '' ORDER BY idx))
+  FROM {t} WHERE n > 1 GROUP BY {key}level, idx // 3"""
+    return f"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id, source,
+    sha256({head} || {field.format(c='text')}) AS leaf,
+    CASE WHEN list_reduce(range(0, 8 * length(doc_id::VARCHAR)),
+                lambda c, t: CASE WHEN ({byte}) % 2 = 1 THEN xor(({byte}) >> 1, 3988292384::BIGINT) ELSE ({byte}) >> 1 END,
+                4294967295::BIGINT) % 2 = 1
+         THEN sha256({head} || {field.format(c="replace(text, chr(10), '')")}) END AS other
+  FROM documents),
+p AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY source) AS n FROM d),
+lv AS (
+  SELECT source, 0 AS level, pos AS idx, n, leaf AS h FROM p
+  UNION ALL{level.format(key='source, ', t='lv')}),
+sub AS MATERIALIZED (
+  SELECT source, h, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM lv WHERE n = 1),
+tp AS (
+  SELECT 0 AS level, pos AS idx, n, h FROM sub
+  UNION ALL{level.format(key='', t='tp')}),
+runs AS MATERIALIZED (
+  SELECT false AS top, source, level, idx // 3 AS run, list(h ORDER BY idx) AS hs FROM lv WHERE n > 1 GROUP BY source, level, idx // 3
+  UNION ALL
+  SELECT true, NULL, level, idx // 3, list(h ORDER BY idx) FROM tp WHERE n > 1 GROUP BY level, idx // 3),
+climb AS (
+  SELECT p.rid, false AS top, p.source, 0 AS level, p.pos AS idx, p.n, coalesce(p.other, p.leaf) AS cur, '' AS proof FROM p
+  UNION ALL (
+  SELECT c.rid, c.top, c.source, c.level + 1, c.idx // 3, (c.n + 2) // 3,
+         sha256(array_to_string(list_transform(r.hs, lambda h, i: CASE WHEN i = c.idx % 3 + 1 THEN c.cur ELSE h END), '')),
+         c.proof || array_to_string(list_filter(r.hs, lambda h, i: i <> c.idx % 3 + 1), '')
+  FROM climb c JOIN runs r ON r.top = c.top AND r.source IS NOT DISTINCT FROM c.source AND r.level = c.level AND r.run = c.idx // 3
+  WHERE c.n > 1
+  UNION ALL
+  SELECT c.rid, true, NULL, 0, s.pos, s.n, c.cur, c.proof
+  FROM climb c JOIN sub s ON s.source IS NOT DISTINCT FROM c.source WHERE c.n = 1 AND NOT c.top))
+SELECT d.doc_id, d.leaf, sub.h AS subroot, tp.h AS root, sha256(c.proof) AS proof_sha256, c.cur AS folded_root, c.cur = tp.h AS verified
+FROM d JOIN climb c ON c.rid = d.rid AND c.top AND c.n = 1
+JOIN sub ON sub.source IS NOT DISTINCT FROM d.source JOIN tp ON tp.n = 1
+"""
+
+
+MERKLE = _merkle()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from orderflow.llm import oracle
 from orderflow.llm.bpe import bpe_digests
 from orderflow.llm.common import table
+from orderflow.llm.merkle import tamper_check
 from orderflow.llm.near_dup import jaccard_components
 from orderflow.llm.packing import pack
 from orderflow.llm.quality_classifier import classify_quality
@@ -12,7 +13,9 @@ from orderflow.llm.quality_rules import apply_rules
 from orderflow.llm.search import top_k
 from orderflow.llm.sharding import shard_documents
 from orderflow.llm.token_counts import count_tokens
+from orderflow.llm.token_files import token_file_round_trip
 from orderflow.llm.toxicity import classify_toxicity
+from orderflow.llm.vector_codes import compress
 from orderflow.llm.warc import warc_round_trip
 
 
@@ -75,5 +78,24 @@ def op9_token_counts(spark, sf_dir):
     return count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_search, op2_ngram_jaccard, op3_quality_rules, op4_packing, op5_bpe, op6_quality, op7_toxicity, op8_sharding, op9_token_counts, op10_warc)}
-ORACLE = {"op1_search": oracle.SEARCH, "op2_ngram_jaccard": oracle.JACCARD, "op10_warc": oracle.WARC}
+def op11_token_files(spark, sf_dir):
+    """All documents written as ORC token files in doc_id order and read back."""
+    return token_file_round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+def op12_vector_codes(spark, sf_dir):
+    """Codes of all embeddings: 8 parts, 16 entries, 6 rounds."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return compress(vectors.select("vec_id", vectors.embedding.alias("vec"), "label"))
+
+
+def op13_merkle_manifest(spark, sf_dir):
+    """Merkle proofs of all documents by source, checked against rows without their line breaks."""
+    return tamper_check(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_search, op2_ngram_jaccard, op3_quality_rules, op4_packing, op5_bpe, op6_quality,
+                                   op7_toxicity, op8_sharding, op9_token_counts, op10_warc, op11_token_files,
+                                   op12_vector_codes, op13_merkle_manifest)}
+ORACLE = {"op1_search": oracle.SEARCH, "op2_ngram_jaccard": oracle.JACCARD, "op10_warc": oracle.WARC,
+          "op12_vector_codes": oracle.VECTOR_CODES, "op13_merkle_manifest": oracle.MERKLE}

@@ -16,4 +16,4 @@ def test_query_equals_oracle(spark, name):
 
 def test_one_query_per_operator_and_the_pipeline():
     names = [n for n in E.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in E.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in E.queries()
