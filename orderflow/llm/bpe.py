@@ -30,7 +30,7 @@ from orderflow.llm.common import RecentCache, slices
 from orderflow.session import ship_package
 
 #: A blank that another white space follows: chunks can't simply be cut at each space then.
-_DOUBLE = re.compile(r" \s")
+DOUBLE = re.compile(r" \s")
 _RUN = regex.compile(r"\s*\S+|\s+")
 
 
@@ -154,7 +154,7 @@ def chunks(text: str) -> list[str]:
     of every chunk but the first is left out; a chunk that doesn't begin with
     a space begins with a tab, so that it can be told apart.
     """
-    if _DOUBLE.search(text) or text[-1:] == " ":
+    if DOUBLE.search(text) or text[-1:] == " ":
         out = _RUN.findall(text)
         return out[:1] + [x[1:] if x[0] == " " and x[1:2] != "\t" else "\t" + x for x in out[1:]]
     out = text.split(" ")

@@ -18,30 +18,36 @@ document's position in the whole stream is its part's start plus its own.
 from __future__ import annotations
 
 import re
+import string
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderflow.llm.bpe import chunks
-from orderflow.llm.common import RecentCache, slices
+from orderflow.llm.bpe import DOUBLE, chunks
+from orderflow.llm.common import slices
 from orderflow.session import scratch_path, ship_package
 
+#: ASCII signs but the apostrophe, with which a pre-token may begin behind a letter.
+SIGNS = string.punctuation.replace("'", "")
+
 TOKENS = "part int, doc_id long, at long, n_tokens long, ids array<int>"
 
 
 class _Encoder:
-    """The tokenizers library's ids of whole texts; chunks met lately are looked up.
+    """The tokenizers library's ids of whole texts; words met lately are looked up.
 
-    A chunk runs from a space that a non-blank follows to the next one: no
-    pre-token of a byte-level tokenizer crosses such a cut. New chunks are
-    encoded many at a time, as one text, and told apart by the tokens that
-    begin with a space.
+    A text is cut at spaces that a non-blank follows, which no pre-token of a
+    byte-level tokenizer crosses, and behind a word's last letter or digit if
+    only ASCII signs follow. What is new is encoded many words at a time, as
+    one text, and told apart by the tokens that begin with a space. A piece
+    that doesn't follow a space is marked by a leading tab.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, limit: int = 600_000):
         from tokenizers import Tokenizer, pre_tokenizers
         self.lib = lib = Tokenizer.from_file(path)
         lib.no_truncation()
@@ -54,38 +60,92 @@ class _Encoder:
         self.opens[[i for t, i in vocab.items() if t[0] == "Ġ"]] = True
         added = sorted((t.content for t in lib.get_added_tokens_decoder().values()), key=len, reverse=True)
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
-        self.store = RecentCache(self._fill, limit=400_000)
-
-    def _alone(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _fill(self, new: list[str]) -> list[bytes]:
-        out: dict[int, bytes] = {}
-        plain = [k for k, x in enumerate(new) if x and not x[0].isspace() and " " not in x]
-        for k in range(0, len(plain), 512):
-            some = plain[k:k + 512]
-            ids = np.array(self.lib.encode("".join(" " + new[j] for j in some), add_special_tokens=False).ids, self.kind)
+        self.limit = limit
+        self._clear()
+
+    def _clear(self) -> None:
+        self.index: dict[str, int] = {}
+        self.flat, self.size, self.start = np.empty(1 << 20, self.kind), np.empty(1 << 18, np.int32), np.empty(1 << 18, np.int64)
+        self.used = 0
+
+    def _alone(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.kind) for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _add(self, words: list[str], ids: np.ndarray, size: np.ndarray) -> None:
+        n, new = len(self.index), len(words)
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
+        while n + new > len(self.size):
+            self.size, self.start = (np.concatenate([x, np.empty_like(x)]) for x in (self.size, self.start))
+        self.flat[self.used:self.used + len(ids)] = ids
+        self.size[n:n + new], self.start[n:n + new] = size, self.used + np.cumsum(size) - size
+        self.used += len(ids)
+        self.index.update(zip(words, range(n, n + new)))
+
+    def _learn(self, new: list[str]) -> None:
+        rest = []
+        plain = []
+        for w in new:
+            (plain if w and not w[0].isspace() and " " not in w else rest).append(w)
+        for k in range(0, len(plain), 1024):
+            some = plain[k:k + 1024]
+            ids = np.array(self.lib.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, self.kind)
             cuts = np.flatnonzero(self.opens[ids])
             if len(cuts) == len(some):
-                raw, unit = ids.tobytes(), ids.itemsize
-                ends = [*(cuts[1:] * unit).tolist(), len(raw)]
-                out.update(zip(some, map(raw.__getitem__, map(slice, (cuts * unit).tolist(), ends)), strict=True))
-        rest = [k for k in range(len(new)) if k not in out]
-        out.update(zip(rest, self._alone([new[k][1:] if new[k][:1] == "\t" else " " + new[k] for k in rest]), strict=True))
-        return [out[k] for k in range(len(new))]
-
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as packed integers of :attr:`kind`."""
-        cut = []
-        for t in texts:
-            if self.added and self.added.search(t):
-                cut.append(None)   # its special tokens are the library's to find
+                self._add(some, ids, np.diff(cuts, append=len(ids)))
             else:
+                rest += some
+        if rest:
+            ids = self._alone([w[1:] if w[:1] == "\t" else " " + w for w in rest])
+            self._add(rest, np.concatenate(ids), np.array([len(x) for x in ids]))
+
+    def _find(self, words: list[str]) -> np.ndarray:
+        """Numbers of stored words; new ones are encoded and stored."""
+        get = self.index.get
+        at = np.array([get(w, -1) for w in words], np.int64)
+        missing = np.flatnonzero(at < 0).tolist()
+        if missing:
+            self._learn(list(dict.fromkeys(words[k] for k in missing)))
+            get = self.index.__getitem__
+            at[missing] = [get(words[k]) for k in missing]
+        return at
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text: words are made distinct in Arrow, looked up once each, and their ids gathered by offsets."""
+        if len(self.index) > self.limit:
+            self._clear()
+        out: list = [None] * len(texts)
+        simple, blanks, lists = [], [], []
+        for k, t in enumerate(texts):
+            if self.added and self.added.search(t):
+                out[k] = self._alone([t])[0]  # its special tokens are the library's to find
+            elif DOUBLE.search(t) or t[-1:] == " ":
+                blanks.append(k)
                 c = chunks(t)
-                c[0] = "\t" + c[0]
-                cut.append(c)
-        of = self.store.of(set().union(*filter(None, cut)))
-        return [b"".join(map(of, c)) if c else self._alone([t])[0] for t, c in zip(texts, cut, strict=True)]
+                lists.append(["\t" + c[0], *c[1:]])
+            else:
+                simple.append(k)
+        cut = pc.split_pattern(pa.array(["\t" + texts[k] for k in simple], pa.string()), " ")
+        words = pa.concat_arrays([cut.flatten(), pa.array([w for c in lists for w in c], pa.string())]).dictionary_encode()
+        stems, tails = [], []
+        for w in words.dictionary.to_pylist():
+            stem = w.rstrip(SIGNS)
+            if len(stem) < len(w) and stem and stem[-1] < "\u0250" and stem[-1].isalnum():
+                stems.append(stem)
+                tails.append("\t" + w[len(stem):])
+            else:
+                stems.append(w)
+                tails.append("\t")
+        which = np.stack([self._find(stems), self._find(tails)], axis=1)[np.asarray(words.indices)].ravel()
+        size, start = self.size[which].astype(np.int64), self.start[which]
+        ends = np.cumsum(size)
+        flat = self.flat[np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
+        count = np.concatenate([np.diff(np.asarray(cut.offsets)), np.array([len(c) for c in lists], np.int64)])
+        borders = np.concatenate([[0], ends])[2 * np.cumsum(count)] if len(ends) else []
+        at = 0
+        for k, end in zip(simple + blanks, map(int, borders), strict=True):
+            out[k], at = flat[at:end], end
+        return out
 
 
 _ENCODERS: dict[str, _Encoder] = {}
@@ -101,7 +161,7 @@ def _encode_part(vocab_path: str, end_id: int):
             _ENCODERS[vocab_path] = _Encoder(vocab_path)
         enc, part, at = _ENCODERS[vocab_path], TaskContext.get().partitionId(), 0
         for batch in slices(batches, "text", 4 << 20):
-            rows = [np.frombuffer(x, enc.kind) for x in enc.encode_all([t or "" for t in batch.column("text").to_pylist()])]
+            rows = enc.encode_all([t or "" for t in batch.column("text").to_pylist()])
             n = np.array([len(x) + 1 for x in rows], np.int64)
             ends = np.cumsum(n)
             ids = np.full(int(ends[-1]) if len(n) else 0, end_id, np.int32)
