@@ -114,6 +114,75 @@ def q_from_position(spark, sf):
     return from_position(m, START_ID).select("order_id", "shard", "msg_id")
 
 
+# ---------------------------------------------------------------- W-01 / W-02 / S-02 / S-12 over a written log
+def _appended_log(spark, sf, replay=False):
+    """A message log written by three appends; the cuts lie inside a millisecond that both sides share."""
+    from orderflow.session import scratch_path
+    from orderflow.sources.message_log import append_messages
+    o = tb.orders_view(spark, sf, with_items=False).select("order_id", "shard", "ts", "o_orderkey")
+    us = tb.ntz_micros("ts")
+    cuts = o.agg(F.percentile_approx(us, [0.3, 0.7], 100000), F.percentile_approx("o_orderkey", 0.5)).first()
+    key = cuts[1]
+
+    def behind(at):
+        return (us > at) | ((us == at) & (F.col("o_orderkey") > key))
+
+    part = F.when(behind(cuts[0][1]), 2).when(behind(cuts[0][0]), 1).otherwise(0)
+    path = scratch_path(spark, "message-log")
+    for batch in (0, 1, 1, 2) if replay else (0, 1, 2):
+        append_messages(o.filter(part == batch), path, batch)
+    return path
+
+
+@register("msg_ids_appended", with_views(["msg"], """
+SELECT order_id, shard, msg_id, msg_ms, msg_seq,
+       row_number() OVER (PARTITION BY shard ORDER BY msg_ms, msg_seq) AS pos
+FROM msg"""))
+def q_msg_ids_appended(spark, sf):
+    """W-02: ids given at append, over three appends that share milliseconds, one of them replayed."""
+    from orderflow.sources.message_log import read_log
+    return read_log(spark, _appended_log(spark, sf, replay=True)).select("order_id", "shard", "msg_id", "msg_ms", "msg_seq", "pos")
+
+
+@register("poll_batches_appended", with_views(["msg"], """
+SELECT shard, batch_no, count(*) AS received, min(order_id) AS least_order,
+       arg_min(msg_id, poll_seq) AS first_msg_id, arg_max(msg_id, poll_seq) AS last_msg_id
+FROM (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY msg_ms, msg_seq) AS poll_seq,
+             (row_number() OVER (PARTITION BY shard ORDER BY msg_ms, msg_seq) - 1) // 500 AS batch_no
+      FROM msg)
+GROUP BY shard, batch_no"""))
+def q_poll_batches_appended(spark, sf):
+    """W-01 over the growing log: read batches by stored position, whatever append wrote them."""
+    from orderflow.sources.message_log import polls, read_log
+    return polls(read_log(spark, _appended_log(spark, sf)), 500).groupBy("shard", "batch_no").agg(
+        F.count(F.lit(1)).alias("received"), F.min("order_id").alias("least_order"),
+        F.min_by("msg_id", "poll_seq").alias("first_msg_id"), F.max_by("msg_id", "poll_seq").alias("last_msg_id"))
+
+
+@register("from_position_log", with_views(["msg"], """
+SELECT order_id, shard, msg_id FROM msg
+WHERE (shard = 0 AND (msg_ms > 883612800000 OR (msg_ms = 883612800000 AND msg_seq > 0))) OR shard = 1
+   OR (shard = 2 AND msg_ms > 800000000000)"""))
+def q_from_position_log(spark, sf):
+    """S-02 on a written log, each shard from its own position; shard 3 waits for new messages only."""
+    from orderflow.sources.message_log import log_from
+    start = {0: START_ID, 1: "0-0", 2: "800000000000-9", 3: "$"}
+    return log_from(spark, _appended_log(spark, sf), start).select("order_id", "shard", "msg_id")
+
+
+@register("retention_trim", with_views(["msg"], """
+SELECT order_id, shard, msg_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY shard ORDER BY msg_ms DESC, msg_seq DESC) AS rn FROM msg)
+WHERE rn <= 100"""))
+def q_retention_trim(spark, sf):
+    """S-12 on a written log: files below the border are deleted, the one it cuts is rewritten; trimmed twice."""
+    from orderflow.sources.message_log import read_log, trim_log
+    path = _appended_log(spark, sf)
+    trim_log(spark, path, 150)
+    trim_log(spark, path, 100)
+    return read_log(spark, path).select("order_id", "shard", "msg_id")
+
+
 # ---------------------------------------------------------------- P-01 / P-02 / F-05
 @register("decoded_orders", with_views(["decoded"], """
 SELECT msg_id, shard,
@@ -860,15 +929,19 @@ UNION ALL SELECT 'duplicates', count(*) FROM good
 UNION ALL SELECT 'quarantine', 2 * ((SELECT count(*) FROM msg) - (SELECT count(*) FROM good))
 UNION ALL SELECT 'distinct orders', count(DISTINCT order_id) FROM good"""))
 def q_ingest_replay(spark, sf):
-    """T-03 / T-04 / S-05: every message sent twice over several micro-batches, the re-sends of an
+    """T-03 / T-04 / S-05: every message sent twice over twenty micro-batches or more, the re-sends of an
     early shard last; each order is stored once and nothing is lost."""
+    from dataclasses import replace
+
     from orderflow.sources.messages import write_messages
     from orderflow.streaming.ingest import start_ingest
-    paths, counts = _ingest_paths(spark, "replay"), []
+    paths, counts = replace(_ingest_paths(spark, "replay"), key_buckets=4), []
     m = tb.malformed_messages_view(spark, sf)
     for part in (m, m.filter(F.col("shard") != 0), m.filter(F.col("shard") == 0)):
-        write_messages(part, paths.source)
-    start_ingest(spark, paths, max_files_per_trigger=6, first_wins=True, on_batch=counts.append).awaitTermination()
+        write_messages(part.repartition(5), paths.source)  # 5 files a shard
+    start_ingest(spark, paths, max_files_per_trigger=2, first_wins=True, on_batch=counts.append).awaitTermination()
+    if len(counts) < 20:
+        raise RuntimeError("the stream should have run at least twenty micro-batches")
     total = {k: sum(c[k] for c in counts) for k in ("received", "duplicates")}  # one row per micro-batch
     led, bad = spark.read.parquet(paths.ledger), spark.read.parquet(paths.quarantine)
 

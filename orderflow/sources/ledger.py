@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from orderflow.operators.scan import ordered_scan
 from orderflow.schemas import LEDGER, LEDGER_COLUMNS, RETENTION
+from orderflow.session import scratch_path
 
 LEDGER_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in LEDGER.fields)
 
@@ -31,21 +32,6 @@ def bulk_load(df: DataFrame, path: str, partition_by: str = "shard") -> None:
     df.select(*LEDGER_COLUMNS).write.mode("overwrite").partitionBy(partition_by).parquet(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table folder exists, in whatever store the path names."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
-def stored_keys(spark: SparkSession, path: str, writer: str, batch_id: int, key: str = "order_id") -> DataFrame:
-    """``shard, key`` of everything stored but by this writer's own batch (a replay must not see itself)."""
-    empty = spark.createDataFrame([], f"shard int, {key} string")
-    if not path_exists(spark, path):
-        return empty
-    return spark.read.parquet(path).filter((F.col("writer") != writer) | (F.col("batch_id") != batch_id)) \
-        .select("shard", key)
-
-
 def sink_ledger_idempotent(df: DataFrame, batch_id: int, path: str, key: str = "order_id",
                            first_wins: bool = False, writer: str = "main") -> None:
     """S-05: replaying a micro-batch leaves the ledger as after its first run.
@@ -53,14 +39,18 @@ def sink_ledger_idempotent(df: DataFrame, batch_id: int, path: str, key: str = "
     Rows are stored under ``shard=/writer=/batch_id=`` folders and written with
     dynamic partition overwrite, so a replay replaces only its own batch. With
     ``first_wins`` an order is stored once: the earliest message of the batch,
-    unless another batch stored the order already.
+    unless another batch stored the order already, as the key index beside the
+    ledger (``<path>-keys``) tells.
     """
     from orderflow.functions.codec import msg_id_millis, msg_id_seq
-    from orderflow.operators.joins import insert_new
+    from orderflow.sources.key_index import KeyIndex
     out = df.select(*LEDGER_COLUMNS)
     if first_wins:
         ordered = out.withColumn("msg_ms", msg_id_millis("msg_id")).withColumn("msg_seq", msg_id_seq("msg_id"))
-        out = insert_new(ordered, stored_keys(df.sparkSession, path, writer, batch_id, key), key).select(*LEDGER_COLUMNS)
+        index, staged = KeyIndex(df.sparkSession, f"{path}-keys", key), scratch_path(df.sparkSession, "first-wins")
+        index.unseen(ordered, writer, batch_id).select(*LEDGER_COLUMNS).write.parquet(staged)
+        out = df.sparkSession.read.parquet(staged)
+        index.claim(out, writer, batch_id)
     (out.withColumn("writer", F.lit(writer)).withColumn("batch_id", F.lit(batch_id).cast("long"))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("shard", "writer", "batch_id").parquet(path))

@@ -23,10 +23,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from orderflow.functions.codec import msg_id_millis, msg_id_seq
-from orderflow.operators.joins import insert_new
 from orderflow.operators.validate import decode_orders, to_ledger
 from orderflow.schemas import LEDGER_COLUMNS
-from orderflow.sources.ledger import stored_keys
+from orderflow.sources.key_index import BUCKETS, KeyIndex
 from orderflow.sources.messages import read_messages
 
 log = logging.getLogger("orderflow.ingest")
@@ -43,6 +42,8 @@ class IngestPaths:
     quarantine: str
     checkpoint: str
     writer: str | None = None
+    keys: str | None = None  # index of stored order ids (``first_wins``); ``<ledger>-keys`` if not given
+    key_buckets: int = BUCKETS  # buckets of that index
 
     def writer_id(self) -> str:
         return self.writer or hashlib.md5(self.checkpoint.rstrip("/").encode()).hexdigest()[:12]
@@ -93,9 +94,12 @@ def process_batch(batch: DataFrame, batch_id: int, paths: IngestPaths, first_win
         good = good.observe(seen, F.count(F.lit(1)).alias("valid"))
         if first_wins:
             good = good.withColumn("msg_ms", msg_id_millis("msg_id")).withColumn("msg_seq", msg_id_seq("msg_id"))
-            good = insert_new(good, stored_keys(spark, paths.ledger, writer, batch_id))
+            index = KeyIndex(spark, paths.keys or f"{paths.ledger}-keys", buckets=paths.key_buckets)
+            good = index.unseen(good, writer, batch_id)
         ledger = to_ledger(good, F.col("__created_at")).select(*LEDGER_COLUMNS)
         ledger.persist(StorageLevel.MEMORY_AND_DISK)
+        if first_wins:  # claimed before they are stored: a failed batch is replayed and finds its own claims
+            index.claim(ledger, writer, batch_id)
         stored, rejected = Observation(), Observation()
         # Durable write first; an exception here leaves the batch un-acked.
         _replace_batch(ledger.observe(stored, F.count(F.lit(1)).alias("n")), paths.ledger, writer, batch_id, True)
