@@ -55,6 +55,35 @@ def add_sha1_shard(df, id_col: str, n: int, out: str = "shard"):
             .withColumn(out, shard_of_sha1_hex("__sha1", n)).drop("__sha1"))
 
 
+def check_history(history: list[tuple]) -> list[tuple]:
+    """A routing history: ``(valid_from, shards)`` in ascending time, the first one valid from the beginning (None)."""
+    history = list(history)
+    starts = [h[0] for h in history[1:]]
+    if not history or history[0][0] is not None or None in starts or starts != sorted(set(starts)):
+        raise ValueError("a routing history starts with (None, shards); later entries ascend in time")
+    return history
+
+
+def add_shard_at(df, id_col: str, at: str, history: list[tuple], out: str = "shard"):
+    """``df`` plus the shard that ``id_col`` was routed to at time ``at``, under a shard count that changed.
+
+    ``history`` (see :func:`check_history`) is configuration, so routing stays a
+    projection. A null time goes by the newest entry.
+    """
+    hexed, expr = F.col("__sha1"), None
+    for start, n in check_history(history):
+        here = shard_of_sha1_hex(hexed, n)
+        expr = here if start is None else F.when(F.coalesce(F.col(at) >= F.lit(start), F.lit(True)), here).otherwise(expr)
+    return df.withColumn("__sha1", F.sha1(F.col(id_col).cast("binary"))).withColumn(out, expr).drop("__sha1")
+
+
+def add_all_shards(df, id_col: str, history: list[tuple], out: str = "shards"):
+    """``df`` plus the distinct shards that ``id_col`` was ever routed to, the newest first."""
+    every = [shard_of_sha1_hex(F.col("__sha1"), n) for _, n in reversed(check_history(history))]
+    return df.withColumn("__sha1", F.sha1(F.col(id_col).cast("binary"))) \
+        .withColumn(out, F.array_distinct(F.array(*every))).drop("__sha1")
+
+
 def java_string_hash(col) -> Column:
     """JVM ``String.hashCode`` (signed 32-bit) over UTF-16 code units."""
     units = F.regexp_extract_all(F.hex(F.encode(_col(col), "UTF-16BE")), F.lit("(.{4})"), 1)

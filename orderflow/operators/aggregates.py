@@ -79,14 +79,33 @@ def failed_total(outcomes: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("failed")))
 
 
-def consumer_totals(outcomes: DataFrame, rows: Column | None = None) -> DataFrame:
-    """A-07: inserted rows, failed batches by reason, in one conditional pass."""
-    r = rows if rows is not None else F.lit(1)
-    return (outcomes.groupBy("shard")
-            .agg(F.sum(F.when(F.col("ok"), r).otherwise(0)).cast("long").alias("rows_inserted"),
-                 F.count_if(F.col("ok")).alias("batches_ok"),
-                 F.count_if(F.col("reason") == "circuit_open").alias("failed_circuit_open"),
-                 F.count_if(F.col("reason") == "retries_exhausted").alias("failed_retries_exhausted")))
+def consumer_totals(outcomes: DataFrame, rows: Column | None = None, acks: DataFrame | None = None,
+                    xacks: DataFrame | None = None) -> DataFrame:
+    """A-07: per shard the consumer's counters, all inputs summed up in one aggregate.
+
+    ``outcomes`` has one row per batch write (``shard, ok, reason``), ``rows``
+    its inserted rows; ``acks`` one row per id written to the ack table
+    (``acks_flushed``); ``xacks`` one row per acknowledgement call to the log
+    (``shard, ok``), those that failed after all retries are ``xack_failed``
+    (their messages may come again). A shard that any input names has a row.
+    """
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    r = rows if rows is not None else one
+
+    def flag(cond: Column) -> Column:
+        return F.when(cond, one).otherwise(none)
+
+    parts = outcomes.select("shard", F.when(F.col("ok"), r).otherwise(0).cast("long").alias("rows_inserted"),
+                            flag(F.col("ok")).alias("batches_ok"),
+                            flag(F.col("reason") == "circuit_open").alias("failed_circuit_open"),
+                            flag(F.col("reason") == "retries_exhausted").alias("failed_retries_exhausted"),
+                            none.alias("acks_flushed"), none.alias("xack_failed"))
+    if acks is not None:
+        parts = parts.unionByName(acks.select("shard", one.alias("acks_flushed")), allowMissingColumns=True)
+    if xacks is not None:
+        parts = parts.unionByName(xacks.select("shard", flag(~F.col("ok")).alias("xack_failed")), allowMissingColumns=True)
+    counters = [c for c in parts.columns if c != "shard"]
+    return parts.groupBy("shard").agg(*[F.sum(F.coalesce(c, none)).alias(c) for c in counters])
 
 
 def histogram(df: DataFrame, value: str, buckets: list[float] = PRODUCER_BUCKETS,

@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.functions.routing import add_sha1_shard
+from orderflow.functions.routing import add_all_shards, add_sha1_shard, add_shard_at
 from orderflow.operators.aggregates import exact_quantiles
+from orderflow.operators.scan import ordered_scan
 from orderflow.operators.util import ts_micros
 
 KEY = ["shard", "order_id"]
@@ -32,6 +33,68 @@ def ack_status(requests: DataFrame, acks: DataFrame, n_shards: int) -> DataFrame
                     F.when(F.col("__hit"), F.lit("acked")).otherwise(F.lit("pending")).alias("status")))
 
 
+def ack_status_resharded(requests: DataFrame, acks: DataFrame, history: list[tuple], at: str | None = None) -> DataFrame:
+    """J-01 after the number of shards changed: an order is looked up where it was written.
+
+    ``history`` lists ``(valid_from, shards)``. With ``at`` (the request's column
+    that tells when the order was produced) its shard of that time is looked
+    up. Without it all shards that the id was ever routed to are (one per
+    history entry at most), and ``shard`` is the one that has the mark, the
+    newest routing's if none has. Marks written before a change stay where
+    they are; nothing is moved.
+    """
+    marks = _acked_keys(acks).withColumn("__hit", F.lit(True))
+    status = F.when(F.col("__hit"), F.lit("acked")).otherwise(F.lit("pending")).alias("status")
+    if at is not None:
+        req = add_shard_at(requests.select("request_id", "order_id", at).distinct(), "order_id", at, history)
+        return req.join(marks, KEY, "left").select("request_id", "order_id", at, "shard", status)
+    req = add_all_shards(requests.select("request_id", "order_id").distinct(), "order_id", history)
+    tried = req.select("request_id", "order_id", F.posexplode("shards").alias("__nth", "shard"))
+    found = tried.join(marks, KEY, "left")
+    # of the few shards of one id: one with a mark, else the newest
+    best = F.struct(F.col("__hit").isNull().alias("none"), F.col("__nth").alias("nth"), F.col("shard").alias("shard"))
+    return found.groupBy("request_id", "order_id").agg(F.min(best).alias("b"), F.max("__hit").alias("__hit")) \
+        .select("request_id", "order_id", F.col("b.shard").alias("shard"), status)
+
+
+def ack_status_as_of(requests: DataFrame, acks: DataFrame, n_shards: int, ttl_s: int, as_of: str = "as_of",
+                     ack_ts: str = "ack_ts", tiebreak: str = "order_id") -> DataFrame:
+    """T-08 with J-01: the status that each request saw at its own time ``as_of``.
+
+    A shard's acks expire together once ``ttl_s`` pass without a flush. The
+    lifetimes are intervals that don't overlap, so the one that holds a
+    request's time is the last that began before it: one ordered scan over the
+    beginnings and all requests, merged by time, finds it for every request. An
+    order is acked if its first ack in that lifetime is not after ``as_of``.
+    A request without a time, or before every ack, is pending.
+    """
+    us = ts_micros(acks, ack_ts)
+    rows = acks.select(*KEY, us.alias("__us")).filter(F.col("__us").isNotNull())
+    lagged = ordered_scan(rows, ["shard"], ["__us", tiebreak], lags={"__prev": F.col("__us")})
+    began = F.col("__prev").isNull() | (F.col("__us") - F.col("__prev") >= ttl_s * 1_000_000)
+    lived = ordered_scan(lagged, ["shard"], ["__us", tiebreak], maxes={"__began": F.when(began, F.col("__us"))})
+    firsts = lived.groupBy(*KEY, "__began").agg(F.min("__us").alias("__acked"))
+    lives = lived.groupBy("shard", "__began").agg((F.max("__us") + ttl_s * 1_000_000).alias("__ends"))
+    req = add_sha1_shard(requests.select("request_id", "order_id", as_of).distinct(), "order_id", n_shards)
+    req = req.withColumn("__at", ts_micros(req, as_of))
+    none = F.lit(None)
+    starts = lives.select("shard", none.cast("string").alias("request_id"), none.cast("string").alias("order_id"),
+                          none.cast(req.schema[as_of].dataType).alias(as_of), F.col("__began").alias("__at"),
+                          F.struct(F.col("__began").alias("began"), F.col("__ends").alias("ends")).alias("__life"))
+    asked = req.select("shard", F.col("request_id").cast("string"), "order_id", as_of, "__at",
+                       none.cast(starts.schema["__life"].dataType).alias("__life"))
+    merged = ordered_scan(starts.unionByName(asked), ["shard"],
+                          [F.col("__at").asc_nulls_first(), F.col("__life").isNull(), "request_id", "order_id"],
+                          maxes={"__in": F.col("__life")}).filter(F.col("__life").isNull())
+    live = F.when(F.col("__at") < F.col("__in.ends"), F.col("__in.began"))
+    j = merged.withColumn("__live", live).join(
+        firsts.select(F.col("shard").alias("__s"), F.col("order_id").alias("__o"), "__began", "__acked"),
+        (F.col("shard") == F.col("__s")) & (F.col("order_id") == F.col("__o")) & (F.col("__live") == F.col("__began")), "left")
+    hit = F.coalesce(F.col("__acked") <= F.col("__at"), F.lit(False))
+    return j.select(F.col("request_id").cast(requests.schema["request_id"].dataType), "order_id", as_of, "shard",
+                    F.when(hit, F.lit("acked")).otherwise(F.lit("pending")).alias("status"))
+
+
 def acked(orders: DataFrame, acks: DataFrame) -> DataFrame:
     """J-02: orders with an ack mark (left semi join)."""
     return orders.join(_acked_keys(acks), KEY, "left_semi")
@@ -109,7 +172,6 @@ def next_match(left: DataFrame, right: DataFrame, key: str, l_ts: str, r_ts: str
     ``match_ts``, ``match_id``, ``latency_s`` and ``matched`` (within
     ``within_s`` when given); a row with a NULL key matches nothing.
     """
-    from orderflow.operators.scan import ordered_scan
     from orderflow.sources.tables import ntz_from_micros
     row = F.struct(*[F.col(c) for c in left.columns])
     lefts = left.select(F.col(key).alias("__k"), ts_micros(left, l_ts).alias("__us"), F.lit(1).alias("__kind"),

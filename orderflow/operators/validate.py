@@ -152,14 +152,20 @@ def contains_items(df: DataFrame, items: list[str], col: str = "items") -> DataF
     return df.filter(F.forall(want, lambda x: F.array_contains(F.col(col), x)))
 
 
+#: White space at either end of a text: Unicode's white space and the separators U+001C to U+001F.
+BLANK_ENDS = r"(?U)^[\s\x1C-\x1F]+|[\s\x1C-\x1F]+$"
+
+
 def parse_ids(df: DataFrame, text: str = "ids", max_ids: int = ACK_MAX_IDS) -> DataFrame:
     """P-10: comma list -> trimmed non-empty ids, with the request verdict.
 
-    White space of any kind around an id is dropped. Adds ``id_list`` (array), ``n_ids`` (counted before dedup, as the services
+    White space of any kind around an id is dropped: Unicode's, and the four
+    ASCII separators. Adds ``id_list`` (array), ``n_ids`` (counted before dedup, as the services
     do), ``status`` (200 / 400) and ``error``.
     """
-    ids = F.filter(F.transform(F.split(F.col(text), ","), lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")), lambda x: x != "")
+    ids = F.filter(F.transform(F.split(F.col(text), ","), lambda x: F.regexp_replace(x, BLANK_ENDS, "")), lambda x: x != "")
     n = F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size(ids))
+    # The two replies' texts.
     err = (F.when(n == 0, F.lit("ids param required"))
            .when(n > max_ids, F.lit(f"max {max_ids} ids per request")))
     return (df.withColumn("id_list", ids).withColumn("n_ids", n)

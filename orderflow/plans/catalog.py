@@ -94,7 +94,7 @@ SELECT order_id, shard, msg_id,
        make_timestamp(CAST(split_part(msg_id, '-', 1) AS BIGINT) * 1000) AS msg_ts
 FROM msg"""))
 def q_msg_ids(spark, sf):
-    m = tb.messages_view(spark, sf)
+    m = tb.messages_view(spark, sf, with_items=False)
     ts, seq = codec.parse_msg_id("msg_id")
     return m.select("order_id", "shard", "msg_id", codec.msg_id_millis("msg_id").alias("msg_ms"),
                     seq.alias("msg_seq"),
@@ -266,7 +266,7 @@ def q_contains_items(spark, sf):
 def _requests(spark, sf):
     o = tb.orders_view(spark, sf)
     ids = F.concat(F.array_join(F.transform("items", lambda i: F.replace(i, F.lit("PART-"), F.lit("ORD-"))),
-                                " ,\t"), F.lit("\n , \t,"))
+                                " ,\t"), F.lit("\n\u00a0 , \t\u3000,\x1c"), F.col("order_id"), F.lit("\u2003,\x85"))
     return o.select(F.col("order_id").alias("request_id"), ids.alias("ids"))
 
 
@@ -284,8 +284,12 @@ def q_parsed_ids(spark, sf):
 
 
 # ---------------------------------------------------------------- J-01 / U-02
+def _parsed_all(spark, sf):
+    return validate.parse_ids(_requests(spark, sf), "ids")
+
+
 def _status(spark, sf):
-    req = validate.requested_ids(validate.parse_ids(_requests(spark, sf), "ids"))
+    req = validate.requested_ids(_parsed_all(spark, sf))
     return joins.ack_status(req, tb.acks_view(spark, sf), N)
 
 
@@ -420,15 +424,23 @@ def q_failed_total(spark, sf):
     return agg.failed_total(tb.outcomes_view(spark, sf))
 
 
-@register("consumer_totals", with_views(["outcome"], """
-SELECT shard, CAST(sum(CASE WHEN ok THEN CAST(floor(latency_s * 100) AS BIGINT) ELSE 0 END) AS BIGINT) AS rows_inserted,
-       count(*) FILTER (WHERE ok) AS batches_ok,
-       count(*) FILTER (WHERE reason = 'circuit_open') AS failed_circuit_open,
-       count(*) FILTER (WHERE reason = 'retries_exhausted') AS failed_retries_exhausted
-FROM outcome GROUP BY shard"""))
+@register("consumer_totals", with_views(["outcome", "attempt", "ack_log"], """
+SELECT shard, CAST(sum(rows_inserted) AS BIGINT) AS rows_inserted, CAST(sum(batches_ok) AS BIGINT) AS batches_ok,
+       CAST(sum(failed_circuit_open) AS BIGINT) AS failed_circuit_open,
+       CAST(sum(failed_retries_exhausted) AS BIGINT) AS failed_retries_exhausted,
+       CAST(sum(acks_flushed) AS BIGINT) AS acks_flushed, CAST(sum(xack_failed) AS BIGINT) AS xack_failed
+FROM (SELECT shard, CASE WHEN ok THEN CAST(floor(latency_s * 100) AS BIGINT) ELSE 0 END AS rows_inserted, ok::INT AS batches_ok,
+             coalesce(reason = 'circuit_open', FALSE)::INT AS failed_circuit_open,
+             coalesce(reason = 'retries_exhausted', FALSE)::INT AS failed_retries_exhausted, 0 AS acks_flushed, 0 AS xack_failed
+      FROM outcome
+      UNION ALL SELECT shard, 0, 0, 0, 0, 1, 0 FROM ack_log
+      UNION ALL SELECT CAST(op_id % 4 AS INTEGER), 0, 0, 0, 0, 0, 1 FROM attempt GROUP BY op_id HAVING NOT bool_or(ok))
+GROUP BY shard"""))
 def q_consumer_totals(spark, sf):
-    o = tb.outcomes_view(spark, sf)
-    return agg.consumer_totals(o, F.floor(F.col("latency_s") * 100).cast("long"))
+    """Batch writes, ids flushed to the ack table, and acknowledgement calls all of whose attempts failed."""
+    calls = tb.attempts_view(spark, sf).groupBy("op_id").agg(F.bool_or("ok").alias("ok"))
+    return agg.consumer_totals(tb.outcomes_view(spark, sf), F.floor(F.col("latency_s") * 100).cast("long"),
+                               tb.ack_log_view(spark, sf), calls.select((F.col("op_id") % 4).cast("int").alias("shard"), "ok"))
 
 
 # ---------------------------------------------------------------- A-08 / A-09 / A-10
@@ -757,7 +769,8 @@ SELECT order_id, shard, msg_id FROM (
 WHERE rn <= 1000"""))
 def q_retained_latest(spark, sf):
     from orderflow.sources.ledger import retain_latest
-    m = tb.messages_view(spark, sf).withColumn("msg_ms", codec.msg_id_millis("msg_id"))
+    m = tb.messages_view(spark, sf, with_items=False) \
+        .select("order_id", "shard", "msg_id", codec.msg_id_millis("msg_id").alias("msg_ms"), "msg_seq")
     return retain_latest(m, 1000).select("order_id", "shard", "msg_id")
 
 
@@ -807,6 +820,52 @@ def q_ack_status_ttl(spark, sf):
                                    F.count_if(F.col("status") == "pending").alias("pending"))
 
 
+# ---------------------------------------------------------------- J-01 with a changed shard count, T-08 at many times
+_RESHARD = "1995-06-17 00:00:00"
+
+
+def _routed(shard4, shard8):
+    return f"CASE WHEN ts < TIMESTAMP '{_RESHARD}' THEN {shard4} ELSE {shard8} END"
+
+
+@register("ack_status_resharded", with_views(["ord", "requests"], f"""
+, ids AS (SELECT DISTINCT order_id FROM req_ids),
+s AS (SELECT order_id, {duck_sha1_shard('order_id', 4)} AS s4, {duck_sha1_shard('order_id', 8)} AS s8 FROM ids),
+mark AS (SELECT DISTINCT o.order_id, {_routed(duck_sha1_shard('o.order_id', 4), duck_sha1_shard('o.order_id', 8))} AS shard
+         FROM ord o JOIN ack USING (order_id))
+SELECT r.request_id, r.order_id, coalesce(m.shard, s.s8) AS shard, CASE WHEN m.shard IS NULL THEN 'pending' ELSE 'acked' END AS status
+FROM req_ids r JOIN s USING (order_id) LEFT JOIN mark m USING (order_id)"""))
+def q_ack_status_resharded(spark, sf):
+    """Four shards, then eight: requests don't know when their orders were written, marks lie where they were."""
+    import datetime as dt
+    history = [(None, 4), (dt.datetime.fromisoformat(_RESHARD), 8)]
+    written = tb.orders_view(spark, sf, with_items=False).select("order_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+    marks = tb.acks_view(spark, sf).select("order_id", "ack_ts").join(written, "order_id")
+    marks = routing.add_shard_at(marks, "order_id", "ts", history).select("shard", "order_id", "ack_ts")
+    return joins.ack_status_resharded(validate.requested_ids(_parsed_all(spark, sf)), marks, history)
+
+
+@register("ack_status_as_of", with_views(["requests"], """,
+seq AS (SELECT *, epoch_us(ack_ts) AS us, lag(epoch_us(ack_ts)) OVER (PARTITION BY shard ORDER BY ack_ts, order_id) AS prev FROM ack),
+num AS (SELECT *, sum(CASE WHEN prev IS NULL OR us - prev >= 1200000000 THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY shard ORDER BY ack_ts, order_id ROWS UNBOUNDED PRECEDING) AS life FROM seq),
+lives AS (SELECT shard, life, min(us) AS began, max(us) + 1200000000 AS ends FROM num GROUP BY ALL),
+firsts AS (SELECT shard, order_id, life, min(us) AS acked FROM num GROUP BY ALL),
+asked AS (SELECT r.*, TIMESTAMP '2024-01-01 00:00:00' + to_minutes(o.o_orderkey * 7 % 44640) AS as_of, s.shard
+          FROM req_ids r JOIN ord o ON o.order_id = r.request_id JOIN status s ON s.request_id = r.request_id AND s.order_id = r.order_id)
+SELECT a.request_id, a.order_id, a.as_of, a.shard,
+       CASE WHEN f.acked <= epoch_us(a.as_of) THEN 'acked' ELSE 'pending' END AS status
+FROM asked a LEFT JOIN lives l ON l.shard = a.shard AND l.began <= epoch_us(a.as_of) AND epoch_us(a.as_of) < l.ends
+LEFT JOIN firsts f ON f.shard = a.shard AND f.order_id = a.order_id AND f.life = l.life"""))
+def q_ack_status_as_of(spark, sf):
+    """Every request asks at a time of its own; acks whose shard went without a flush for 20 minutes are gone by then."""
+    minutes = F.make_dt_interval(mins=F.col("o_orderkey") * 7 % 44640)
+    asked = tb.orders_view(spark, sf, with_items=False).select(
+        F.col("order_id").alias("request_id"), (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + minutes).alias("as_of"))
+    req = validate.requested_ids(_parsed_all(spark, sf)).join(asked, "request_id")
+    return joins.ack_status_as_of(req, tb.acks_view(spark, sf), N, 1200)
+
+
 # ---------------------------------------------------------------- A-13 / F-10
 @register("breaker_health", with_views(["outcome"], """
 , reached AS (SELECT *, (epoch_us(ts), event_id) AS pos FROM outcome WHERE reason IS DISTINCT FROM 'circuit_open'),
@@ -843,7 +902,7 @@ SELECT m.msg_id, m.order_id, m.ts,
        coalesce(epoch_us(n.first_ts) - epoch_us(m.ts) <= 864000000000000, FALSE) AS matched
 FROM msg m LEFT JOIN nxt n ON m.msg_id = n.msg_id AND m.order_id = n.order_id"""))
 def q_await_acks(spark, sf):
-    m = tb.messages_view(spark, sf).select("order_id", "msg_id", "ts")
+    m = tb.messages_view(spark, sf, with_items=False).select("order_id", "msg_id", "ts")
     a = tb.acks_view(spark, sf).select(F.col("order_id"), "ack_ts", "shard")
     j = joins.next_match(m, a, "order_id", "ts", "ack_ts", "msg_id", "shard", within_s=864_000_000)
     return j.select("msg_id", "order_id", "ts", "match_ts", F.round("latency_s", 6).alias("latency_s"), "matched")
@@ -1041,11 +1100,12 @@ def q_acks_written(spark, sf):
 SELECT shard, count(*) AS removed, count(*) FILTER (WHERE NOT acked) AS removed_unacked FROM (
   SELECT m.shard, row_number() OVER (PARTITION BY m.shard ORDER BY m.msg_ms DESC, m.msg_seq DESC) AS age,
          EXISTS (SELECT 1 FROM ack a WHERE a.shard = m.shard AND a.order_id = m.order_id) AS acked
-  FROM msg m) WHERE age > 200 GROUP BY shard"""))
+  FROM (SELECT * FROM msg UNION ALL SELECT * FROM msg) m) WHERE age > 200 GROUP BY shard"""))
 def q_retention_loss(spark, sf):
+    """Every message is in the log twice, as after a re-send under the same id."""
     from orderflow.sources.ledger import retention_loss
-    m = tb.messages_view(spark, sf).withColumn("msg_ms", codec.msg_id_millis("msg_id"))
-    return retention_loss(m.select("shard", "order_id", "msg_ms", "msg_seq"), tb.acks_view(spark, sf), 200)
+    m = tb.messages_view(spark, sf, with_items=False).select("shard", "order_id", codec.msg_id_millis("msg_id").alias("msg_ms"), "msg_seq")
+    return retention_loss(m.unionByName(m), tb.acks_view(spark, sf), 200)
 
 
 # ---------------------------------------------------------------- T-04

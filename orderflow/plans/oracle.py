@@ -30,6 +30,9 @@ def duck_java_shard(expr: str, n: int) -> str:
             f"ELSE abs({h}) % {n} END AS INTEGER)")
 
 
+#: Unicode white space and U+001C to U+001F, as a character class of RE2.
+BLANK = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+
 SHARD4 = duck_sha1_shard("'ORD-' || o.o_orderkey", 4)
 
 VIEWS: dict[str, str] = {
@@ -108,14 +111,14 @@ good AS (
   FROM events WHERE event_type <> 'error')""",
     "requests": """requests AS (
   SELECT order_id AS request_id,
-         array_to_string(list_transform(items, lambda i: replace(i, 'PART-', 'ORD-')), ' ,	') || chr(10) || ' , ' || chr(9) || ',' AS ids
+         array_to_string(list_transform(items, lambda i: replace(i, 'PART-', 'ORD-')), ' ,	') || chr(10) || chr(160) || ' , ' || chr(9) || chr(12288) || ',' || chr(28) || order_id || chr(8195) || ',' || chr(133) AS ids
   FROM ord),
 parsed AS (
   SELECT request_id, id_list, CAST(len(id_list) AS INTEGER) AS n_ids,
          CASE WHEN len(id_list) = 0 THEN 'ids param required'
               WHEN len(id_list) > 5 THEN 'max 5 ids per request' END AS error
   FROM (SELECT request_id,
-               list_filter(list_transform(string_split(ids, ','), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '') AS id_list
+               list_filter(list_transform(string_split(ids, ','), lambda x: regexp_replace(x, '^[{blank}]+|[{blank}]+$', '', 'g')), lambda x: x <> '') AS id_list
         FROM requests)),
 req_ids AS (
   SELECT DISTINCT request_id, unnest(id_list) AS order_id FROM parsed WHERE len(id_list) BETWEEN 1 AND 10000),
@@ -125,7 +128,7 @@ status AS (
   FROM (SELECT *, {shard} AS shard FROM req_ids) r
   LEFT JOIN (SELECT DISTINCT shard, order_id, TRUE AS hit FROM ack) a
     ON r.shard = a.shard AND r.order_id = a.order_id)""".replace(
-        "{shard}", duck_sha1_shard("order_id", 4)),
+        "{shard}", duck_sha1_shard("order_id", 4)).replace("{blank}", BLANK),
     "logrec": """logrec AS (
   SELECT ts, event_id, CASE WHEN ok THEN 'INFO' ELSE 'ERROR' END AS level, 'consumer' AS logger,
          CASE WHEN ok THEN 'inserted shard=' || shard || ' rows=' || CAST(floor(latency_s * 100) AS BIGINT)

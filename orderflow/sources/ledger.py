@@ -76,32 +76,46 @@ def read_ledger_jdbc(spark: SparkSession, url: str, **kw) -> DataFrame:
     return spark.read.format("jdbc").options(**jdbc_ledger_options(url, **kw)).load()
 
 
-def retain_latest(df: DataFrame, n: int = RETENTION, shard: str = "shard",
-                  order: tuple[str, str] = ("msg_ms", "msg_seq")) -> DataFrame:
-    """S-12: keep the newest ``n`` messages of each shard (exact, unlike ``MAXLEN ~``).
+def _split_retained(df: DataFrame, n: int, shard: str, order: tuple[str, str]) -> tuple[DataFrame, DataFrame]:
+    """The newest ``n`` rows of each shard, and the others, as two filters over one written table.
 
     Only counts per (shard, millisecond) are ordered: they tell in which
     millisecond the n-th newest message lies and how many of that millisecond
-    stay. Newer rows are kept by a filter; only the rows of the border
-    millisecond are ranked.
+    stay. Other rows are told by their millisecond; only the rows of the border
+    millisecond are ranked. Rows that repeat an id are rows like any other.
     """
     ms, seq = order
-    counts = df.groupBy(shard, ms).agg(F.count(F.lit(1)).alias("__n"))
+    path = scratch_path(df.sparkSession, "retention")
+    df.write.parquet(path)
+    rows = df.sparkSession.read.schema(df.schema).parquet(path)
+    counts = rows.groupBy(shard, ms).agg(F.count(F.lit(1)).alias("__n"))
     newer = ordered_scan(counts, [shard], [F.col(ms).desc()], sums={"__upto": F.col("__n")})
     border = newer.filter((F.col("__upto") >= n) & (F.col("__upto") - F.col("__n") < n)) \
         .select(F.col(shard).alias("__shard"), F.col(ms).alias("__ms"), (n - F.col("__upto") + F.col("__n")).alias("__left"))
-    at = df.join(border, F.col(shard).eqNullSafe(F.col("__shard")), "left")  # one border row per shard
-    kept = at.filter(F.col("__ms").isNull() | (F.col(ms) > F.col("__ms"))).select(*df.columns)
-    edge = at.filter(F.col(ms) == F.col("__ms"))
-    edge = ordered_scan(edge, [shard], [F.col(seq).desc()], sums={"__age": F.lit(1)}).filter(F.col("__age") <= F.col("__left"))
-    return kept.unionByName(edge.select(*df.columns))
+    at = rows.join(border, F.col(shard).eqNullSafe(F.col("__shard")), "left")  # one border row per shard
+    edge = ordered_scan(at.filter(F.col(ms).eqNullSafe(F.col("__ms")) & F.col("__left").isNotNull()), [shard], [F.col(seq).desc()],
+                        sums={"__age": F.lit(1)})
+    newer_than = F.col("__left").isNull() | (F.col("__ms").isNull() & F.col(ms).isNotNull()) | (F.col(ms) > F.col("__ms"))  # no border: the shard has fewer than n
+    kept = at.filter(newer_than).select(*df.columns).unionByName(edge.filter(F.col("__age") <= F.col("__left")).select(*df.columns))
+    gone = at.filter(F.col("__left").isNotNull() & (F.col(ms).isNull() | (F.col(ms) < F.col("__ms"))) & ~F.col(ms).eqNullSafe(F.col("__ms"))) \
+        .select(*df.columns).unionByName(edge.filter(F.col("__age") > F.col("__left")).select(*df.columns))
+    return kept, gone
+
+
+def retain_latest(df: DataFrame, n: int = RETENTION, shard: str = "shard",
+                  order: tuple[str, str] = ("msg_ms", "msg_seq")) -> DataFrame:
+    """S-12: keep the newest ``n`` messages of each shard (exact, unlike ``MAXLEN ~``).
+
+    A null millisecond is the oldest. On a written log :func:`orderflow.sources.message_log.trim_log`
+    drops the files themselves.
+    """
+    return _split_retained(df, n, shard, order)[0]
 
 
 def retention_loss(df: DataFrame, acks: DataFrame, n: int = RETENTION, shard: str = "shard",
                    order: tuple[str, str] = ("msg_ms", "msg_seq")) -> DataFrame:
     """S-12: per shard, the messages that retention removes and how many of them were never acked."""
-    kept = retain_latest(df, n, shard, order).select(shard, *order).withColumn("__kept", F.lit(True))
-    gone = df.join(kept, [shard, *order], "left_anti")
+    gone = _split_retained(df, n, shard, order)[1]
     marks = acks.select("shard", "order_id").distinct().withColumn("__acked", F.lit(True))
     return gone.join(marks, ["shard", "order_id"], "left").groupBy(shard).agg(
         F.count(F.lit(1)).alias("removed"), F.count_if(F.col("__acked").isNull()).alias("removed_unacked"))

@@ -83,10 +83,13 @@ def orders_view(spark: SparkSession, sf_dir: str, n_shards: int = NUM_SHARDS,
             .transform(lambda d: add_sha1_shard(d, "order_id", n_shards)))
 
 
-def messages_view(spark: SparkSession, sf_dir: str, n_shards: int = NUM_SHARDS) -> DataFrame:
-    """MESSAGE envelopes (``msg``): ids ``<millis>-<seq>`` numbered inside (shard, millis)."""
+def messages_view(spark: SparkSession, sf_dir: str, n_shards: int = NUM_SHARDS, with_items: bool = True) -> DataFrame:
+    """MESSAGE envelopes (``msg``): ids ``<millis>-<seq>`` numbered inside (shard, millis).
+
+    ``with_items=False`` leaves the item arrays out, for consumers of ids and times only.
+    """
     from orderflow.operators.windows import assign_msg_ids
-    o = orders_view(spark, sf_dir, n_shards)
+    o = orders_view(spark, sf_dir, n_shards, with_items)
     m = assign_msg_ids(o, ts="ts", tiebreak="o_orderkey")
     return m.select(
         "order_id", "customer_id", "amount", "items", "ts", "o_orderkey", "shard",
