@@ -9,10 +9,10 @@ a third of everything. :func:`ordered_scan` gives the results of running
    partitions, sort, number the rows, and write them once to the shared
    folder: the place fixes partition and order for everything that follows;
 2. plain windows over ``(keys, partition)`` give local results;
-3. groups that cross a partition border (at most one per border, so a proven
-   size bound for a broadcast) get one row per partition with its total, its
-   maximum and its last values, and a window over these few rows carries them
-   to the next partitions;
+3. groups at the head of a partition, which alone can cross its border (one per
+   partition, so a proven size bound for a broadcast), get one row per partition
+   with the total, the maximum and the last values, and a window over these few
+   rows carries them to the next partitions;
 4. one join adds the carry to the rows of those groups.
 
 Values keep their types: NULL sums stay NULL until the first value, BIGINT and
@@ -83,15 +83,19 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list, *,
         *[F.min(src[n]).over(run).alias(n) for n in mins],
         *[F.lag(src[n]).over(w).alias(n) for n in lags], F.row_number().over(w).alias("__scan_rn"))
 
-    # groups that cross partition borders: one row per (group, partition)
-    totals = staged.groupBy(*keys, _PID).agg(
+    # A group that crosses a border is the first one of the next partition: totals are made for the groups at the
+    # head of a partition only (one per partition, so a bounded broadcast), not for every group.
+    heads = staged.where(F.col(_PLACE).bitwiseAND(F.lit((1 << 33) - 1)) == 0) \
+        .select(*[F.col(k).alias(f"__x_k{i}") for i, k in enumerate(keys)])
+    crosses = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__x_k{i}")) for i, k in enumerate(keys)])
+    totals = staged.join(F.broadcast(heads), crosses, "left_semi").groupBy(*keys, _PID).agg(
         *[F.sum(src[n]).alias(f"__t_{n}") for n in sums], *[F.max(src[n]).alias(f"__t_{n}") for n in maxes],
         *[F.min(src[n]).alias(f"__t_{n}") for n in mins],
         *[F.max_by(F.struct(src[n]), _PLACE).alias(f"__t_{n}") for n in lags], F.count(F.lit(1)).alias("__t_rows"))
     group = Window.partitionBy(*keys)
     earlier = group.orderBy(_PID)
     before = earlier.rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.withColumn("__t_parts", F.count(F.lit(1)).over(group)).where(F.col("__t_parts") > 1).select(
+    carry = totals.select(
         F.col(_PID).alias("__c_pid"), *[F.col(k).alias(f"__c_k{i}") for i, k in enumerate(keys)],
         *[F.sum(f"__t_{n}").over(before).alias(f"__c_{n}") for n in sums],
         *[F.max(f"__t_{n}").over(before).alias(f"__c_{n}") for n in maxes],
