@@ -369,7 +369,7 @@ def q_insert_new(spark, sf):
 
 
 # ---------------------------------------------------------------- J-05
-@register("reconcile", with_views(["decoded", "ack"], """
+_RECONCILE_SQL = with_views(["decoded", "ack"], """
 SELECT state, count(*) AS keys, CAST(sum(submitted) AS BIGINT) AS submitted_rows,
        CAST(sum(stored) AS BIGINT) AS stored_rows FROM (
   SELECT coalesce(s.order_id, l.order_id) AS order_id, coalesce(s.n, 0) AS submitted, coalesce(l.n, 0) AS stored,
@@ -382,19 +382,39 @@ SELECT state, count(*) AS keys, CAST(sum(submitted) AS BIGINT) AS submitted_rows
       UNION ALL SELECT order_id FROM good WHERE year(ts) = 1996
       UNION ALL SELECT order_id FROM ack) GROUP BY order_id) l
   ON s.order_id = l.order_id)
-GROUP BY state"""))
-def q_reconcile(spark, sf):
+GROUP BY state""")
+
+
+def _reconciled(spark, sf, how):
     good, _ = validate.split_malformed(tb.malformed_messages_view(spark, sf))
     # orders of 1996 are stored twice: by an array, so that the payloads are decoded once
     twice = F.when(F.year("ts") == 1996, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     ledger = (good.select("order_id", F.explode(twice)).select("order_id")
               .unionByName(tb.acks_view(spark, sf).select("order_id")))
-    r = joins.reconcile(tb.orders_view(spark, sf, with_items=False).select("order_id"), ledger)
+    r = how(tb.orders_view(spark, sf, with_items=False).select("order_id"), ledger)
     return r.groupBy("state").agg(F.count(F.lit(1)).alias("keys"),
                                   F.sum("submitted").alias("submitted_rows"),
                                   F.sum("stored").alias("stored_rows"))
 
 
+@register("reconcile", _RECONCILE_SQL)
+def q_reconcile(spark, sf):
+    return _reconciled(spark, sf, joins.reconcile)
+
+
+@register("reconcile_digests", _RECONCILE_SQL)
+def q_reconcile_digests(spark, sf):
+    """J-05: digests per key bucket first; the ledger, decoded once, is a written table here."""
+    from orderflow.session import scratch_path
+
+    def how(submitted, ledger):
+        path = scratch_path(spark, "reconcile")
+        ledger.write.parquet(path)
+        return joins.reconcile_digests(submitted, spark.read.parquet(path), buckets=4096)
+
+    return _reconciled(spark, sf, how)
+
+
 # ---------------------------------------------------------------- A-02 / A-03
 @register("ack_summary", with_views(["ack"], """
 SELECT s.shard, coalesce(c.acked, 0) AS acked

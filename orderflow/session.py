@@ -82,6 +82,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def key_bloom(writer, key: str = "order_id"):
+    """A Parquet writer that adds a Bloom filter on ``key`` to each row group, sized by its keys (64 KB to 1 MB)."""
+    return writer.option(f"parquet.bloom.filter.enabled#{key}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
+
+
 _SHIPPED: set = set()
 
 

@@ -1,8 +1,8 @@
 """Stored keys of a ledger, for first-wins inserts whose cost follows the batch (S-05, J-04, T-03).
 
 A narrow table beside the ledger: one row per stored key, in folders
-``bucket=/writer=/batch_id=`` by the key's hash, sorted by key inside a file,
-with a Parquet Bloom filter on the key. A batch reads the folders of the
+``bucket=/writer=/batch_id=`` by the key's hash, sorted by key inside a file;
+merged files have a Parquet Bloom filter on the key. A batch reads the folders of the
 buckets that its own keys fall into and no others, and nothing of the ledger.
 """
 
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.operators.joins import first_wins
-from orderflow.session import path_exists, scratch_path
+from orderflow.session import key_bloom, path_exists, scratch_path
 
 BUCKETS = 32
 
@@ -57,21 +57,19 @@ class KeyIndex:
         Call it before the ledger write: if that fails, the keys stay claimed
         for the replay of the same batch, which no longer sees them.
         """
-        (rows.select(F.col(self.key).cast("string").alias(self.key), self.bucket().alias("bucket"))
-         .withColumn("writer", F.lit(writer)).withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .repartition("bucket").sortWithinPartitions("bucket", self.key)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .option(f"parquet.bloom.filter.enabled#{self.key}", "true")
-         .partitionBy("bucket", "writer", "batch_id").parquet(self.path))
+        self._write(rows.select(F.col(self.key).cast("string").alias(self.key), self.bucket().alias("bucket"),
+                                F.lit(writer).alias("writer"), F.lit(batch_id).cast("long").alias("batch_id")))
+
+    def _write(self, rows: DataFrame, bloom: bool = False) -> None:
+        w = rows.repartition("bucket").sortWithinPartitions("bucket", "writer", "batch_id", self.key).write
+        (key_bloom(w, self.key) if bloom else w).mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy("bucket", "writer", "batch_id").parquet(self.path)
 
     def rebuild(self, ledger: DataFrame) -> None:
-        """Make the index anew from a ledger that has ``writer`` and ``batch_id``."""
+        """Enter all keys of a ledger that has ``writer`` and ``batch_id``, as for one written without the index."""
         staged = scratch_path(self.spark, "keys")
         ledger.select(self.key, "writer", "batch_id").write.parquet(staged)
-        (self.spark.read.parquet(staged).withColumn("bucket", self.bucket())
-         .repartition("bucket").sortWithinPartitions("bucket", "writer", "batch_id", self.key)
-         .write.mode("overwrite").option(f"parquet.bloom.filter.enabled#{self.key}", "true")
-         .partitionBy("bucket", "writer", "batch_id").parquet(self.path))
+        self._write(self.spark.read.parquet(staged).withColumn("bucket", self.bucket()), bloom=True)
 
     def compact(self, writer: str, below: int) -> int:
         """Merge the keys of a writer's batches below ``below`` into one folder per bucket, ``batch_id=-1``.
@@ -91,11 +89,8 @@ class KeyIndex:
         staged = scratch_path(self.spark, "keys")
         touched = sorted({r["bucket"] for r in folders})
         old.filter(F.col("bucket").isin(touched)).select(self.key, "bucket").distinct().write.parquet(staged)
-        (self.spark.read.parquet(staged).withColumn("writer", F.lit(writer)).withColumn("batch_id", F.lit(-1).cast("long"))
-         .repartition("bucket").sortWithinPartitions("bucket", self.key)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .option(f"parquet.bloom.filter.enabled#{self.key}", "true")
-         .partitionBy("bucket", "writer", "batch_id").parquet(self.path))
+        self._write(self.spark.read.parquet(staged).withColumn("writer", F.lit(writer)).withColumn("batch_id", F.lit(-1).cast("long")),
+                    bloom=True)
         for r in folders:
             p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/bucket={r['bucket']}/writer={writer}/batch_id={r['batch_id']}")
             p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)

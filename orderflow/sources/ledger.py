@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from orderflow.operators.scan import ordered_scan
 from orderflow.schemas import LEDGER, LEDGER_COLUMNS, RETENTION
-from orderflow.session import scratch_path
+from orderflow.session import key_bloom, scratch_path
 
 LEDGER_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in LEDGER.fields)
 
@@ -21,7 +21,7 @@ def ensure_ledger(spark: SparkSession, name: str, path: str) -> None:
 
 def sink_ledger(df: DataFrame, path: str, partition_by: str | None = "shard") -> None:
     """S-04 / S-07: append one micro-batch in one write; ``shard`` folders allow pruning."""
-    w = df.select(*LEDGER_COLUMNS).write.mode("append")
+    w = key_bloom(df.select(*LEDGER_COLUMNS).write.mode("append"))
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)
@@ -29,7 +29,7 @@ def sink_ledger(df: DataFrame, path: str, partition_by: str | None = "shard") ->
 
 def bulk_load(df: DataFrame, path: str, partition_by: str = "shard") -> None:
     """S-08: one batch write of a whole ledger (replaces what is there)."""
-    df.select(*LEDGER_COLUMNS).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+    key_bloom(df.select(*LEDGER_COLUMNS).write.mode("overwrite")).partitionBy(partition_by).parquet(path)
 
 
 def sink_ledger_idempotent(df: DataFrame, batch_id: int, path: str, key: str = "order_id",
@@ -51,9 +51,9 @@ def sink_ledger_idempotent(df: DataFrame, batch_id: int, path: str, key: str = "
         index.unseen(ordered, writer, batch_id).select(*LEDGER_COLUMNS).write.parquet(staged)
         out = df.sparkSession.read.parquet(staged)
         index.claim(out, writer, batch_id)
-    (out.withColumn("writer", F.lit(writer)).withColumn("batch_id", F.lit(batch_id).cast("long"))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("shard", "writer", "batch_id").parquet(path))
+    out = out.withColumn("writer", F.lit(writer)).withColumn("batch_id", F.lit(batch_id).cast("long"))
+    key_bloom(out.write, key).mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("shard", "writer", "batch_id").parquet(path)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:

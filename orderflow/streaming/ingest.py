@@ -25,6 +25,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from orderflow.functions.codec import msg_id_millis, msg_id_seq
 from orderflow.operators.validate import decode_orders, to_ledger
 from orderflow.schemas import LEDGER_COLUMNS
+from orderflow.session import key_bloom
 from orderflow.sources.key_index import BUCKETS, KeyIndex
 from orderflow.sources.messages import read_messages
 
@@ -57,8 +58,9 @@ def _replace_batch(df: DataFrame, path: str, writer: str, batch_id: int, by_shar
     queries that share a table never meet.
     """
     keys = (["shard"] if by_shard else []) + ["writer", "batch_id"]
-    (df.withColumn("writer", F.lit(writer)).withColumn("batch_id", F.lit(batch_id).cast("long"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path))
+    out = df.withColumn("writer", F.lit(writer)).withColumn("batch_id", F.lit(batch_id).cast("long"))
+    w = key_bloom(out.write) if by_shard else out.write
+    (w.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path))
 
 
 def process_batch(batch: DataFrame, batch_id: int, paths: IngestPaths, first_wins: bool = False) -> dict:

@@ -69,10 +69,44 @@ def test_rebuild_and_compact_keep_the_answers(spark, tmp):
     assert fresh.unseen(batch(spark, ["o3"]), "v", 1).count() == 1         # the batch that stored it may store it again
 
 
-def test_a_file_skips_absent_keys_by_its_bloom_filter(spark, tmp):
+def test_a_merged_file_skips_absent_keys_by_its_bloom_filter(spark, tmp):
     index = KeyIndex(spark, f"{tmp}/keys", buckets=1)
     index.claim(batch(spark, [f"o{2 * k:04}" for k in range(500)]), "w", 0)
+    assert index.compact("w", 1) == 1
     read = spark.read.parquet(f"{tmp}/keys")
     assert scan_rows(read.filter(F.col("order_id") == "o0100")) > 0
     absent = [f"o{2 * k + 1:04}" for k in range(5, 400, 40)]     # between stored keys: minima and maxima can't tell
     assert sum(scan_rows(read.filter(F.col("order_id") == i)) > 0 for i in absent) <= 1
+
+
+def test_point_lookup_in_the_ledger_skips_row_groups(spark, tmp):
+    """P-07: a ledger file whose Bloom filter lacks the id hands out no row."""
+    from orderflow.operators.validate import find_order, split_malformed, to_ledger
+    from orderflow.sources import tables as tb
+    from orderflow.sources.ledger import bulk_load
+    good, _ = split_malformed(tb.malformed_messages_view(spark, "/root/testdata/sf0.001"))
+    bulk_load(to_ledger(good), f"{tmp}/l")
+    led = spark.read.parquet(f"{tmp}/l")
+    ids = [r.order_id for r in led.select("order_id").limit(3).collect()]
+    assert all(find_order(led, i, 4).count() == 1 and scan_rows(find_order(led, i, 4)) > 0 for i in ids)
+    low = min(ids)
+    assert sum(scan_rows(find_order(led, f"{low}{c}", 4)) > 0 for c in "abcdefgh") <= 1
+
+
+def test_reconcile_by_digests(spark):
+    from orderflow.operators import joins
+    r = random.Random(2)
+    sub = [f"o{k}" for k in range(300)] + ["o7", None]
+    led = [x for x in sub if x != "o13"] + ["o20", "x1", "x1"]
+    r.shuffle(led)
+    a, b = (spark.createDataFrame([(x,) for x in ids], "order_id string").repartition(3) for ids in (sub, led))
+    for buckets in (1, 64):
+        got = joins.reconcile_digests(a, b, buckets=buckets)
+        known = "order_id is not null"
+        assert sorted(map(str, got.filter(known).collect())) == sorted(map(str, joins.reconcile(a, b).filter(known).collect()))
+    equal = joins.reconcile_digests(a, a.repartition(5))
+    plan = equal._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and {x.state for x in equal.collect()} == {"ok", "duplicate"}
+    none = spark.createDataFrame([], "order_id string")
+    assert joins.reconcile_digests(none, none).count() == 0
+    assert {x.state for x in joins.reconcile_digests(none, a).filter("order_id is not null").collect()} == {"extra"}
