@@ -24,47 +24,56 @@ runs in sequence and deficits carry over partitions by themselves:
 
 from __future__ import annotations
 
-import struct
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import RecentCache, block_prefix, slices, written
+from orderflow.llm.common import block_prefix, slices, written
+from orderflow.llm.word_store import WordStore, gather, strings
 from orderflow.session import ship_package
 
-_STORES: dict[str, RecentCache] = {}
+_STORES: dict[str, WordStore] = {}
 
 
-def _store(path: str) -> RecentCache:
-    """Ids (as bytes) of blank-free chunks met lately, one store per Python worker.
+def _store(path: str) -> WordStore:
+    """Ids of blank-free chunks met lately, one store per Python worker.
 
     The tokenizer drops white space and never joins text across it, so the ids
-    of a text are those of its chunks in turn.
+    of a text are those of its chunks in turn. New chunks of letters are
+    encoded many at a time, as one text, and told apart by the tokens that end
+    a word; if a group holds a chunk of several words, its chunks go one by one.
     """
     if path not in _STORES:
         from tokenizers import Tokenizer
         tok = Tokenizer.from_file(path)
         tok.no_truncation()
         tok.no_padding()
-        kind = _width(tok.get_vocab_size())
-
-        code = "H" if kind == "<u2" else "I"
-        packers = [struct.Struct(f"<{n}{code}").pack for n in range(64)]
-
-        def fill(new: list[bytes]) -> list[bytes]:
-            out = []
-            for k in range(0, len(new), 4096):
-                part = [w.decode("utf-8", "replace") for w in new[k:k + 4096]]
-                for e in tok.encode_batch_fast(part, add_special_tokens=False):
-                    ids = e.ids
-                    out.append(packers[len(ids)](*ids) if len(ids) < 64 else np.array(ids, kind).tobytes())
-            return out
-
-        _STORES[path] = RecentCache(fill, limit=500_000)
-        _STORES[path].width = kind
+        vocab, kind = tok.get_vocab(), _width(tok.get_vocab_size())
+        closes = np.zeros(max(vocab.values()) + 1, bool)
+        closes[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+
+        def learn(new: list[str]):
+            letters, rest = [], []
+            for w in new:
+                (letters if w.isalpha() else rest).append(w)
+            for k in range(0, len(letters), 1024):
+                some = letters[k:k + 1024]
+                ids = np.array(tok.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, kind)
+                ends = np.flatnonzero(closes[ids]) + 1
+                if len(ends) == len(some) and ends[-1] == len(ids):
+                    yield some, ids, np.diff(ends, prepend=0)
+                else:
+                    rest += some
+            for k in range(0, len(rest), 4096):
+                some = rest[k:k + 4096]
+                ids = [np.array(e.ids, kind) for e in tok.encode_batch_fast(some, add_special_tokens=False)]
+                yield some, np.concatenate(ids), np.array([len(x) for x in ids])
+
+        _STORES[path] = WordStore(learn, kind)
     return _STORES[path]
 
 
@@ -76,18 +85,27 @@ def _tokenize(path: str, end_id: int):
     def run(batches):
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        store = _store(path)
-        end, row = np.array([end_id], store.width).tobytes(), 0
-        unit = len(end)
+        store, row = _store(path), 0
+        unit = np.dtype(store.kind).itemsize
         for batch in slices(batches, "text", 8 << 20):
-            words = [(t or "").encode().split() for t in batch.column("text").to_pylist()]
-            of = store.of(set().union(*words))
-            ids = [b"".join(map(of, w)) + end for w in words]
+            store.turn()
+            rows = batch.num_rows
+            cut = pc.ascii_split_whitespace(pc.fill_null(batch.column("text"), ""))
+            words = cut.flatten().dictionary_encode()
+            ids, ends = store.runs(store.find(strings(words.dictionary)))
+            size, which = np.diff(ends, prepend=0), np.asarray(words.indices)
+            ids, ends = gather(ids, (ends - size)[which], size[which])
+            n = np.diff(np.concatenate([[0], ends])[np.asarray(cut.offsets) - cut.offsets[0].as_py()]) + 1
+            last = np.cumsum(n)  # a document's ids and the end id, one document behind the other
+            flat, inside = np.full(len(ids) + rows, end_id, store.kind), np.ones(len(ids) + rows, bool)
+            inside[last - 1] = False
+            flat[inside] = ids
+            places = np.concatenate([[0], last * unit]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("queue"), pa.array(range(row, row + len(ids)), pa.int64()),
-                 pa.array([len(x) // unit for x in ids], pa.int64()), pa.array(ids, pa.binary())],
+                [batch.column("doc_id"), batch.column("queue"), pa.array(np.arange(row, row + rows)), pa.array(n),
+                 pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(places), pa.py_buffer(flat)])],
                 ["doc_id", "queue", "row", "n", "ids"])
-            row += len(ids)
+            row += rows
     return run
 
 

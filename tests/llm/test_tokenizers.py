@@ -135,3 +135,20 @@ def test_windows_hold_the_target_mixture(spark):
     for end in range(2000, total - 2000, 2000):
         small = sum(min(x.n, end - x.place) for x in rows if x.queue == "=small" and x.place < end)
         assert abs(small - share * end) <= 2 * 41 + 4
+
+
+def test_packing_tokens_equal_library(spark):
+    import random
+
+    import numpy as np
+    r = random.Random(2)
+    bits = ["\n", " ", "\r\n", "\x0b", "\x1c", "\x85", "　", "İ", "ﬁ", "é", "ABC", "stone.", "it's", "12", "漢字",
+            "<|startoftext|>", "<|", "Ⅷ", "ª", "ʰx", "ǅ", "ß", "\x00", "a"]
+    some = ["", None, "İİ", "word " * 3000] + ["".join(r.choice(bits) for _ in range(r.randint(0, 14))) for _ in range(1500)]
+    docs = spark.createDataFrame([(k, "s", t) for k, t in enumerate(some)], "doc_id long, source string, text string")
+    lib = Tokenizer.from_file(WORD)
+    rows = tokenize(docs, WORD, 1).collect()
+    assert len(rows) == len(some)
+    for row in rows:
+        want = [*lib.encode(some[row.doc_id] or "", add_special_tokens=False).ids, 1]
+        assert np.frombuffer(row.ids, "<u2").tolist() == want and row.n == len(want), repr(some[row.doc_id])
