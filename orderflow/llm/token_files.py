@@ -29,10 +29,13 @@ from pyspark.sql import functions as F
 
 from orderflow.llm.bpe import DOUBLE, chunks
 from orderflow.llm.common import slices
+from orderflow.llm.word_store import WordStore, gather, strings
 from orderflow.session import scratch_path, ship_package
 
 #: ASCII signs but the apostrophe, with which a pre-token may begin behind a letter.
 SIGNS = string.punctuation.replace("'", "")
+#: A line end that touches another white space: it is no pre-token of its own then.
+BLANK_LINE = re.compile(r"\n(?:(?=\s)|(?<=\s\n))")
 
 TOKENS = "part int, doc_id long, at long, n_tokens long, ids array<int>"
 
@@ -41,13 +44,14 @@ class _Encoder:
     """The tokenizers library's ids of whole texts; words met lately are looked up.
 
     A text is cut at spaces that a non-blank follows, which no pre-token of a
-    byte-level tokenizer crosses, and behind a word's last letter or digit if
-    only ASCII signs follow. What is new is encoded many words at a time, as
-    one text, and told apart by the tokens that begin with a space. A piece
-    that doesn't follow a space is marked by a leading tab.
+    byte-level tokenizer crosses, at line ends between non-blanks, which are
+    pre-tokens of their own, and behind a word's last letter or digit if only
+    ASCII signs follow. What is new is encoded many words at a time, as one
+    text, and told apart by the tokens that begin with a space. A piece that
+    doesn't follow a space is marked by a leading tab.
     """
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 1_000_000):
         from tokenizers import Tokenizer, pre_tokenizers
         self.lib = lib = Tokenizer.from_file(path)
         lib.no_truncation()
@@ -60,29 +64,12 @@ class _Encoder:
         self.opens[[i for t, i in vocab.items() if t[0] == "Ġ"]] = True
         added = sorted((t.content for t in lib.get_added_tokens_decoder().values()), key=len, reverse=True)
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
-        self.limit = limit
-        self._clear()
-
-    def _clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.flat, self.size, self.start = np.empty(1 << 20, self.kind), np.empty(1 << 18, np.int32), np.empty(1 << 18, np.int64)
-        self.used = 0
+        self.store = WordStore(self._learn, self.kind, limit)
 
     def _alone(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.kind) for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _add(self, words: list[str], ids: np.ndarray, size: np.ndarray) -> None:
-        n, new = len(self.index), len(words)
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-        while n + new > len(self.size):
-            self.size, self.start = (np.concatenate([x, np.empty_like(x)]) for x in (self.size, self.start))
-        self.flat[self.used:self.used + len(ids)] = ids
-        self.size[n:n + new], self.start[n:n + new] = size, self.used + np.cumsum(size) - size
-        self.used += len(ids)
-        self.index.update(zip(words, range(n, n + new)))
-
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: list[str]):
         rest = []
         plain = []
         for w in new:
@@ -92,30 +79,32 @@ class _Encoder:
             ids = np.array(self.lib.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, self.kind)
             cuts = np.flatnonzero(self.opens[ids])
             if len(cuts) == len(some):
-                self._add(some, ids, np.diff(cuts, append=len(ids)))
+                yield some, ids, np.diff(cuts, append=len(ids))
             else:
                 rest += some
         if rest:
             ids = self._alone([w[1:] if w[:1] == "\t" else " " + w for w in rest])
-            self._add(rest, np.concatenate(ids), np.array([len(x) for x in ids]))
-
-    def _find(self, words: list[str]) -> np.ndarray:
-        """Numbers of stored words; new ones are encoded and stored."""
-        get = self.index.get
-        at = np.array([get(w, -1) for w in words], np.int64)
-        missing = np.flatnonzero(at < 0).tolist()
-        if missing:
-            self._learn(list(dict.fromkeys(words[k] for k in missing)))
-            get = self.index.__getitem__
-            at[missing] = [get(words[k]) for k in missing]
-        return at
+            yield rest, np.concatenate(ids), np.array([len(x) for x in ids])
+
+    def _words(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct words' ids one behind the other, and where each word's end; signs at the end are words apart."""
+        trimmed = pc.utf8_rtrim(distinct, characters=SIGNS)
+        shorter = np.flatnonzero(np.asarray(pc.binary_length(trimmed)) < np.asarray(pc.binary_length(distinct)))
+        words, tails = strings(trimmed), ["\t"] * len(distinct)
+        for k, w in zip(shorter.tolist(), strings(distinct.take(pa.array(shorter))), strict=True):
+            stem = words[k]
+            if stem and stem[-1] < "\u0250" and stem[-1].isalnum():
+                tails[k] = "\t" + w[len(stem):]
+            else:
+                words[k] = w
+        flat, ends = self.store.runs(np.stack([self.store.find(words), self.store.find(tails)], axis=1).ravel())
+        return flat, ends[1::2]
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text: words are made distinct in Arrow, looked up once each, and their ids gathered by offsets."""
-        if len(self.index) > self.limit:
-            self._clear()
+        self.store.turn()
         out: list = [None] * len(texts)
-        simple, blanks, lists = [], [], []
+        lines, simple, blanks, lists = [], [], [], []
         for k, t in enumerate(texts):
             if self.added and self.added.search(t):
                 out[k] = self._alone([t])[0]  # its special tokens are the library's to find
@@ -123,27 +112,21 @@ class _Encoder:
                 blanks.append(k)
                 c = chunks(t)
                 lists.append(["\t" + c[0], *c[1:]])
-            else:
+            elif BLANK_LINE.search(t):
                 simple.append(k)
-        cut = pc.split_pattern(pa.array(["\t" + texts[k] for k in simple], pa.string()), " ")
-        words = pa.concat_arrays([cut.flatten(), pa.array([w for c in lists for w in c], pa.string())]).dictionary_encode()
-        stems, tails = [], []
-        for w in words.dictionary.to_pylist():
-            stem = w.rstrip(SIGNS)
-            if len(stem) < len(w) and stem and stem[-1] < "\u0250" and stem[-1].isalnum():
-                stems.append(stem)
-                tails.append("\t" + w[len(stem):])
             else:
-                stems.append(w)
-                tails.append("\t")
-        which = np.stack([self._find(stems), self._find(tails)], axis=1)[np.asarray(words.indices)].ravel()
-        size, start = self.size[which].astype(np.int64), self.start[which]
-        ends = np.cumsum(size)
-        flat = self.flat[np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
+                lines.append(k)
+        single = pc.replace_substring(pa.array(["\t" + texts[k] for k in lines], pa.string()), "\n", " \t\n \t")
+        cut = pc.split_pattern(pa.concat_arrays([single, pa.array(["\t" + texts[k] for k in simple], pa.string())]), " ")
+        words = pa.concat_arrays([cut.flatten(), pa.array([w for c in lists for w in c], pa.string())]).dictionary_encode()
+        flat, ends = self._words(words.dictionary)
+        which = np.asarray(words.indices)
+        size = np.diff(ends, prepend=0)
+        flat, ends = gather(flat, (ends - size)[which], size[which])
         count = np.concatenate([np.diff(np.asarray(cut.offsets)), np.array([len(c) for c in lists], np.int64)])
-        borders = np.concatenate([[0], ends])[2 * np.cumsum(count)] if len(ends) else []
+        borders = np.concatenate([[0], ends])[np.cumsum(count)] if len(ends) else []
         at = 0
-        for k, end in zip(simple + blanks, map(int, borders), strict=True):
+        for k, end in zip(lines + simple + blanks, map(int, borders), strict=True):
             out[k], at = flat[at:end], end
         return out
 
@@ -160,7 +143,7 @@ def _encode_part(vocab_path: str, end_id: int):
         if vocab_path not in _ENCODERS:
             _ENCODERS[vocab_path] = _Encoder(vocab_path)
         enc, part, at = _ENCODERS[vocab_path], TaskContext.get().partitionId(), 0
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 8 << 20):
             rows = enc.encode_all([t or "" for t in batch.column("text").to_pylist()])
             n = np.array([len(x) + 1 for x in rows], np.int64)
             ends = np.cumsum(n)

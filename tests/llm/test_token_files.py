@@ -128,3 +128,13 @@ def test_checksums_of_sliced_lists(spark):
     df = spark.createDataFrame([(1, 0, [1, 2]), (2, 2, [70000]), (3, 3, [])], "doc_id long, start long, ids array<int>")
     got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in token_checksums(df.where(F.col("doc_id") > 0)).collect()}
     assert got == {i: (len(v), zlib.crc32(np.array(v, "<u4").tobytes())) for i, v in ((1, [1, 2]), (2, [70000]), (3, []))}
+
+
+def test_line_ends_equal_library():
+    lib, enc = Tokenizer.from_file(BYTE), _Encoder(BYTE, limit=50)
+    r = random.Random(5)
+    bits = ["\n", "\n\n", "\r\n", "\n ", " ", "\t", "\x0b", "\x85", "　", "\x1c", "a", "Erth", "stone.", "it's", "'s", "12", "über", "...", "漢字", "́"]
+    some = ["\n", "a\n", "\na", "a\nb", "a.\n'sb", "a \nb"] + ["".join(r.choice(bits) for _ in range(r.randint(1, 12))) for _ in range(4000)]
+    for k in range(0, len(some), 500):
+        for x, raw in zip(some[k:k + 500], enc.encode_all(some[k:k + 500]), strict=True):
+            assert raw.tolist() == lib.encode(x, add_special_tokens=False).ids, repr(x)
