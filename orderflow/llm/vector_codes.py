@@ -248,7 +248,7 @@ def train_codebooks(staged: Staged, entries: int = 16, rounds: int = 6) -> Books
         sums = staged.rows.select("packed").mapInArrow(_sums(books), "part int, entry int, place int, total string, n long") \
             .groupBy("part", "entry", "place").agg(F.sum(F.col("total").cast("decimal(38,0)")).alias("total"), F.sum("n").alias("n"))
         found: dict[tuple[int, int], dict] = {}
-        for r in sums.toLocalIterator():  # parts x entries x m rows
+        for r in sums.toArrow().to_pylist():  # parts x entries x m rows, in one job
             found.setdefault((r["part"], r["entry"]), {"n": r["n"]})[r["place"]] = int(r["total"])
         for (p, e), got in found.items():
             whole = restore_sums(np.array([got[i] for i in range(m)], object), staged.length)
