@@ -48,10 +48,11 @@ class _Encoder:
     pre-tokens of their own, and behind a word's last letter or digit if only
     ASCII signs follow. What is new is encoded many words at a time, as one
     text, and told apart by the tokens that begin with a space. A piece that
-    doesn't follow a space is marked by a leading tab.
+    doesn't follow a space is marked by a leading tab; such pieces are told
+    apart by line ends.
     """
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer, pre_tokenizers
         self.lib = lib = Tokenizer.from_file(path)
         lib.no_truncation()
@@ -62,6 +63,7 @@ class _Encoder:
         self.kind = "<u2" if max(vocab.values()) < 1 << 16 else "<u4"
         self.opens = np.zeros(max(vocab.values()) + 1, bool)
         self.opens[[i for t, i in vocab.items() if t[0] == "Ġ"]] = True
+        self.line_end = vocab.get("Ċ", -1)
         added = sorted((t.content for t in lib.get_added_tokens_decoder().values()), key=len, reverse=True)
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.store = WordStore(self._learn, self.kind, limit)
@@ -70,18 +72,31 @@ class _Encoder:
         return [np.array(e.ids, self.kind) for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, new: list[str]):
-        rest = []
-        plain = []
+        plain, heads, rest = [], [], []
         for w in new:
-            (plain if w and not w[0].isspace() and " " not in w else rest).append(w)
+            blank_free = len(w.split()) == 1
+            if blank_free and not w[0].isspace() and not w[-1].isspace():
+                plain.append(w)
+            elif blank_free and w[0] == "\t" and not w[1].isspace() and not w[-1].isspace():
+                heads.append(w)
+            else:
+                rest.append(w)
         for k in range(0, len(plain), 1024):
             some = plain[k:k + 1024]
-            ids = np.array(self.lib.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, self.kind)
+            ids = self._alone([" " + " ".join(some)])[0]
             cuts = np.flatnonzero(self.opens[ids])
             if len(cuts) == len(some):
                 yield some, ids, np.diff(cuts, append=len(ids))
             else:
                 rest += some
+        for k in range(0, len(heads), 1024):
+            some = heads[k:k + 1024]
+            ids = self._alone(["\n".join([w[1:] for w in some])])[0]
+            seams = np.flatnonzero(ids == self.line_end)
+            if len(seams) == len(some) - 1:
+                yield some, np.delete(ids, seams), np.diff(seams, prepend=-1, append=len(ids)) - 1
+            else:
+                rest += some
         if rest:
             ids = self._alone([w[1:] if w[:1] == "\t" else " " + w for w in rest])
             yield rest, np.concatenate(ids), np.array([len(x) for x in ids])
@@ -143,7 +158,7 @@ def _encode_part(vocab_path: str, end_id: int):
         if vocab_path not in _ENCODERS:
             _ENCODERS[vocab_path] = _Encoder(vocab_path)
         enc, part, at = _ENCODERS[vocab_path], TaskContext.get().partitionId(), 0
-        for batch in slices(batches, "text", 8 << 20):
+        for batch in slices(batches, "text", 4 << 20):
             rows = enc.encode_all([t or "" for t in batch.column("text").to_pylist()])
             n = np.array([len(x) + 1 for x in rows], np.int64)
             ends = np.cumsum(n)
@@ -178,7 +193,7 @@ def write_tokens(docs: DataFrame, path: str, vocab_path: str, end_id: int = 2, f
     rows = ranges.sortWithinPartitions(*key).select("doc_id", "text").mapInArrow(_encode_part(vocab_path, end_id), TOKENS)
     rows.write.option("orc.stripe.size", stripe_bytes).option("orc.row.index.stride", stride) \
         .option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", fpp) \
-        .option("compression", "zstd").orc(f"{path}/tokens")
+        .option("compression", "lz4").orc(f"{path}/tokens")
     parts = spark.read.schema(TOKENS).orc(f"{path}/tokens").groupBy("part").agg(
         F.count(F.lit(1)).alias("documents"), F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"),
         F.sum("n_tokens").alias("tokens"))
