@@ -26,7 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderflow.session import scratch_path
+from orderflow.session import scratch_path, write_scratch
 
 _PLACE, _PID = "__scan_place", "__scan_pid"
 
@@ -71,9 +71,7 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list, *,
     placed = df.repartitionByRange(parts, *sort_cols).sortWithinPartitions(*sort_cols).select(
         "*", *[_c(e).alias(src[n]) for n, e in {**sums, **maxes, **mins, **lags}.items()],
         F.monotonically_increasing_id().alias(_PLACE))
-    path = scratch_path(spark, "scan")
-    placed.write.parquet(path)
-    staged = spark.read.schema(placed.schema).parquet(path) \
+    staged = write_scratch(placed, scratch_path(spark, "scan"), "snappy") \
         .withColumn(_PID, F.shiftright(_PLACE, 33).cast("int"))  # the upper bits are the partition
 
     w = Window.partitionBy(*keys, _PID).orderBy(_PLACE)

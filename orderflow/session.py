@@ -6,8 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here relies on: UTC event time, AQE with skew-join
 # splitting, Arrow transfer for operators that run Python in tasks.
@@ -71,9 +72,51 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+#: Open scopes, innermost last: the paths handed out in each.
+_SCOPES: list[list[str]] = []
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a written table."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+def write_scratch(df: DataFrame, path: str, compression: str = "zstd") -> DataFrame:
+    """Write ``df`` to ``path`` and read it back; the job's shuffle files go as soon as the table is there."""
+    spark = df.sparkSession
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", compression).parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def scoped(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """``build()`` as a written table; tables that it wrote on the way are removed once this one is there.
+
+    If it fails they stay, and go with the scope around it.
+    """
+    own: list[str] = []
+    _SCOPES.append(own)
+    try:
+        df = build()
+    except BaseException:
+        _SCOPES.pop()
+        if _SCOPES:
+            _SCOPES[-1].extend(own)
+        raise
+    _SCOPES.pop()
+    out = write_scratch(df, scratch_path(spark, name))
+    for path in own:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return out
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -53,3 +53,33 @@ def test_many_small_groups_and_empty(spark):
     want = window_scan(df, ["k"], ["id"], {"rn": F.lit(1)}, {"p": F.col("id")})
     assert sorted(got.collect()) == sorted(want.collect())
     assert ordered_scan(df.where("k < 0"), ["k"], ["id"], sums={"rn": F.lit(1)}).count() == 0
+
+
+def test_scoped_tables_go_once_their_consumer_is_written(spark, tmp_path):
+    import os
+
+    from orderflow.session import checkpoint_dir, scoped, scratch_path, write_scratch
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+
+    def left():
+        return sorted(x.split("-")[0] for x in set(os.listdir(folder)) - before)
+
+    def build():
+        part = write_scratch(spark.range(50), scratch_path(spark, "part"))
+        inner = scoped(spark, "inner", lambda: ordered_scan(part, [], ["id"], sums={"n": F.lit(1)}))
+        assert left() == ["inner", "part"]
+        return inner.groupBy().agg(F.sum("n").alias("s"))
+
+    got = scoped(spark, "outer", build)
+    assert left() == ["outer"] and got.first().s == 1275
+
+    def fails():
+        build()
+        raise ValueError("no")
+
+    try:
+        scoped(spark, "never", fails)
+    except ValueError:
+        pass
+    assert left() == ["inner", "outer", "part"]
