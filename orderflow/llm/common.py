@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -9,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderflow.session import scratch_path
+from orderflow.session import scratch_path, ship_package, write_scratch
 
 #: A word: code points other than the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -22,9 +23,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: cuts lineage, survives lost executors."""
-    path = scratch_path(df.sparkSession, f"llm-{name}")
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return write_scratch(df, scratch_path(df.sparkSession, f"llm-{name}"))
+
+
+def fitted(sample: DataFrame, fit: Callable[[pa.Table], object]):
+    """``fit(table)`` of a bounded sample, run in one task, which alone holds it; the driver gets the model.
+
+    ``fit`` must not depend on the order of the rows.
+    """
+    def run(batches):
+        held = list(batches)
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(pa.Table.from_batches(held)))], pa.binary())], ["model"])
+
+    ship_package(sample.sparkSession)
+    got = sample.repartition(1).mapInArrow(run, "model binary").collect()  # one row; none if there are no rows
+    return pickle.loads(got[0].model) if got else fit(sample.limit(0).toArrow())
 
 
 def held_out(doc_id) -> Column:

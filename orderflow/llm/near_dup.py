@@ -47,12 +47,13 @@ from pyspark.sql import functions as F
 from orderflow.llm.common import slices, written
 from orderflow.llm.graph import components
 from orderflow.operators.scan import ordered_scan
-from orderflow.session import ship_package
+from orderflow.session import scoped, ship_package
 
 _GROUPS, _FULL = 64, 16     # least number of coordinates of a point, most tokens that one stands for on average
 _WIDE = 3                   # a band of sizes spans this many steps of the threshold
 _ROWS, _BINS = 4, 1 << 16   # the frequency sketch
 _LEAF = 16
+_RUN = 1 << 20    # rows of one key that a task holds at once
 _SMALL = 48       # buckets up to here are compared without a tree
 _U = np.uint64
 
@@ -121,15 +122,22 @@ def _bins(tokens: np.ndarray) -> list[np.ndarray]:
 
 def prefix(tokens: np.ndarray, sketch: np.ndarray, limit: Threshold) -> np.ndarray:
     """The keys of a set: its first tokens, rarest (by powers of two) first, then by hash, for each of its bands."""
+    return _prefix(tokens, sketch, limit)[0]
+
+
+def _prefix(tokens: np.ndarray, sketch: np.ndarray, limit: Threshold) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`prefix`, and for each key the most sets that can send it."""
     n = len(tokens)
     if not n or limit.smallest(n) == n == limit.largest(n):
-        return np.zeros(0, np.int64)  # links to equal sets only, and those are one class
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)  # links to equal sets only, and those are one class
     with np.errstate(over="ignore"):
         often = np.min([sketch[b] for b in _bins(tokens)], 0)
     rank = np.frexp(often.astype(np.float64))[1]
-    first = tokens[np.lexsort((tokens, rank))[:n - limit.smallest(n) + 1]]
+    at = np.lexsort((tokens, rank))[:n - limit.smallest(n) + 1]
+    bands = sorted(limit.bands(n))
     with np.errstate(over="ignore"):
-        return np.concatenate([_mix(first + _U(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) for k in sorted(limit.bands(n))]).view(np.int64)
+        keys = np.concatenate([_mix(tokens[at] + _U(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) for k in bands])
+    return keys.view(np.int64), np.tile(often[at], len(bands))
 
 
 def _node(tokens: np.ndarray) -> int | None:
@@ -164,8 +172,8 @@ def _points(packed: list[bytes]) -> np.ndarray:
 def _describe(width: int):
     def run(batches):
         sketch = np.zeros(_ROWS * _BINS, np.int64)
-        names = ["doc_id", "n", "node", "point", "sketch"]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+        names = ["doc_id", "n", "node", "point", "bins", "counts"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64())]
         for batch in slices(batches, "text"):
             n, node, point, held = [], [], [], []
             for text in batch.column("text").to_pylist():
@@ -177,15 +185,24 @@ def _describe(width: int):
             with np.errstate(over="ignore"):
                 for b in _bins(np.concatenate(held)):
                     sketch += np.bincount(b, minlength=len(sketch))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, (n, node, point, [None] * len(n)), kinds[1:])], names)
-        # the task's share of the sketch, as a row of its own
-        yield pa.RecordBatch.from_arrays([pa.array([None], k) for k in kinds[:4]] + [pa.array([sketch], kinds[4])], names)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, (n, node, point, *[[None] * len(n)] * 2), kinds[1:])], names)
+        # the task's share of the sketch, as a row of its own: the bins that it met
+        met = np.flatnonzero(sketch)
+        yield pa.RecordBatch.from_arrays([pa.array([None], k) for k in kinds[:4]]
+                                         + [pa.array([met.astype(np.int32)], kinds[4]), pa.array([sketch[met]], kinds[5])], names)
     return run
 
 
+def _hot(sketch: np.ndarray) -> int:
+    """Sets that a key may have before its rows are dealt by set: a small part of what a task holds anyway."""
+    return max(_RUN, 2 * int(sketch.sum()) // len(sketch))
+
+
 def _keys(width: int, num: int, den: int, sent):
+    """``key, node, n`` of each set's keys; n is negative if so many sets can have the key that it is hot."""
     def run(batches):
         limit, sketch, seen = Threshold(num, den), sent.value, set()
+        most = _hot(sketch)
         for batch in slices(batches, "text"):
             keys, node, size = [], [], []
             for text in batch.column("text").to_pylist():
@@ -196,15 +213,56 @@ def _keys(width: int, num: int, den: int, sent):
                 if len(seen) >= 1 << 20:
                     seen.clear()
                 seen.add(name)
-                k = prefix(s, sketch, limit)
+                k, often = _prefix(s, sketch, limit)
                 keys.append(k)
                 node.append(np.full(len(k), name))
-                size.append(np.full(len(k), len(s)))
+                size.append(np.where(often > most, -len(s), len(s)))
             if keys:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, node, size)], ["key", "node", "n"])
     return run
 
 
+def _meet(batches):
+    """Rows in order of (key, node) -> ``node, n, bucket`` of the keys with two classes at least.
+
+    A key's bucket is named by its classes. Hot keys and those with more than
+    _RUN rows here are named by the key; all rows of a hot key are kept, as the
+    others of that key may be elsewhere.
+    """
+    def named(key, node, n, own):
+        """Whole runs of keys; ``own``: rows whose bucket is named by the key."""
+        with np.errstate(over="ignore"):
+            bucket = _mix(key.view(_U) + _U(0x5851F42D4C957F2D))
+        keep = own.copy()
+        at = np.flatnonzero(~own)
+        if len(at):
+            k, v = key[at], node[at]
+            fresh = np.r_[True, (k[1:] != k[:-1]) | (v[1:] != v[:-1])]
+            at, k, v = at[fresh], k[fresh], v[fresh].view(_U)
+            first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+            m = np.diff(np.r_[first, len(k)])
+            with np.errstate(over="ignore"):
+                name = _mix(v[first] + _U(3) * _mix(v[first + m - 1]) + _U(5) * _mix(np.bitwise_xor.reduceat(v, first)) + m.astype(_U))
+            bucket[at] = np.repeat(name, m)
+            keep[at] = np.repeat(m > 1, m)
+        return pa.RecordBatch.from_arrays([pa.array(node[keep]), pa.array(np.abs(n[keep])), pa.array(bucket[keep].view(np.int64))],
+                                          ["node", "n", "bucket"])
+
+    held, long = [np.zeros(0, np.int64)] * 3, None
+    for batch in batches:
+        key, node, n = (np.concatenate([h, batch.column(c).to_numpy()]) for h, c in zip(held, ("key", "node", "n")))
+        if not len(key):
+            continue
+        last = int(np.searchsorted(key, key[-1]))  # the last run may go on
+        if key[-1] == long or len(key) - last > _RUN:
+            long, last = key[-1], len(key)
+        if last:
+            yield named(key[:last], node[:last], n[:last], (n[:last] < 0) | (key[:last] == long if long is not None else False))
+        held = [key[last:], node[last:], n[last:]]
+    if len(held[0]):
+        yield named(*held, held[2] < 0)
+
+
 def _sets(width: int):
     def run(batches):
         for batch in slices(batches, "text"):
@@ -342,12 +400,12 @@ def _tiles(rows: DataFrame, group: str, num: int, den: int) -> DataFrame:
 def _shared(keyed: DataFrame) -> DataFrame:
     """``node, n, bucket`` of the keys with two classes at least; keys with the same classes are one bucket.
 
-    Summaries combine map-side; both sides of the join are tables, so that a hot key is split like any skewed join.
+    One exchange of the keys, from which single ones don't return. The rows of
+    a hot key (negative n) are dealt by class, so they are in many tasks.
     """
-    keys = written(keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"),
-                                            F.bit_xor("node").alias("all"), F.count("*").alias("m"))
-                   .where("low <> high").select("key", F.xxhash64("low", "high", "all", "m").alias("bucket")), "keys")
-    return keyed.join(keys, "key").select("node", "n", "bucket").distinct()
+    place = F.when(F.col("n") < 0, F.col("node")).otherwise(F.col("key"))
+    return keyed.repartition(place).sortWithinPartitions("key", "node") \
+        .mapInArrow(_meet, "node long, n long, bucket long").distinct()
 
 
 def _in_blocks(rows: DataFrame, group: str, weight: Column, most: int) -> DataFrame:
@@ -367,38 +425,44 @@ def jaccard_components(docs: DataFrame, width: int = 3, num: int = 90, den: int
     has an id; repeated rows and ties of similarity (exactly the threshold)
     link; an empty table gives no rows; extra columns are ignored.
     """
-    ship_package(docs.sparkSession)
+    spark = docs.sparkSession
+    ship_package(spark)
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     described = written(src.mapInArrow(
-        _describe(width), "doc_id long, n long, node long, point binary, sketch array<long>"), "sets")
-    counts = described.where("sketch is not null").select(F.posexplode("sketch")).groupBy("pos").agg(F.sum("col").alias("n"))
+        _describe(width), "doc_id long, n long, node long, point binary, bins array<int>, counts array<long>"), "sets")
+    counts = described.where("bins is not null").select(F.inline(F.arrays_zip("bins", "counts"))) \
+        .groupBy("bins").agg(F.sum("counts").alias("n")).toArrow()  # as many rows as the sketch has bins at most
     sketch = np.zeros(_ROWS * _BINS, np.int64)
-    for row in counts.toArrow().to_pylist():  # as many rows as the sketch has bins
-        sketch[row["pos"]] = row["n"]
-    described = described.where("sketch is null").drop("sketch")
+    sketch[counts.column("bins").to_numpy()] = counts.column("n").to_numpy()
+    described = described.where("bins is null").drop("bins", "counts")
     classes = written(described.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("point").alias("point")), "classes")
 
-    sent = src.sparkSession.sparkContext.broadcast(sketch)
-    keyed = written(src.mapInArrow(_keys(width, num, den, sent), "key long, node long, n long"), "keyed")
-    shared = written(_shared(keyed), "shared")
-    places = written(_in_blocks(shared, "bucket", F.lit(1), block_rows), "places")
-    edges = places.join(_tiles(places, "bucket", num, den), ["bucket", "block"]) \
-        .join(classes.select("node", "point"), "node") \
-        .repartition("bucket", "tile").sortWithinPartitions("bucket", "tile", "n", "node") \
-        .mapInArrow(_buckets(num, den), "a long, b long").distinct()
-    clusters = components(written(edges, "candidates"), "a", "b")
-
-    member = clusters.select("node", F.col("component").alias("cluster")).join(classes.drop("point"), "node")
-    # blocks of at most block_bytes of sets
-    member = written(_in_blocks(member, "cluster", F.col("n") * 8, block_bytes), "members")
-    sets = src.join(member.select(F.col("rep").alias("doc_id2"), "node", "cluster", "block"),
-                    F.col("doc_id").eqNullSafe(F.col("doc_id2"))) \
-        .select("cluster", "block", "node", "text") \
-        .mapInArrow(_sets(width), "cluster long, block int, node long, n long, tokens binary")
-    links = sets.join(_tiles(member, "cluster", num, den), ["cluster", "block"]).groupBy("cluster", "tile") \
-        .applyInArrow(_tile(num, den), "a long, b long")
-    found = components(written(links, "links"), "a", "b")
+    sent = spark.sparkContext.broadcast(sketch)
+
+    def candidates() -> DataFrame:
+        keyed = src.mapInArrow(_keys(width, num, den, sent), "key long, node long, n long")
+        places = scoped(spark, "places", lambda: _in_blocks(written(_shared(keyed), "shared"), "bucket", F.lit(1), block_rows))
+        edges = places.join(_tiles(places, "bucket", num, den), ["bucket", "block"]) \
+            .join(classes.select("node", "point"), "node") \
+            .repartition("bucket", "tile").sortWithinPartitions("bucket", "tile", "n", "node") \
+            .mapInArrow(_buckets(num, den), "a long, b long").distinct()
+        return components(scoped(spark, "candidates", lambda: edges), "a", "b")
+
+    def links() -> DataFrame:
+        clusters = scoped(spark, "clusters", candidates)
+        member = clusters.select("node", F.col("component").alias("cluster")).join(classes.drop("point"), "node")
+        # blocks of at most block_bytes of sets
+        member = scoped(spark, "members", lambda: _in_blocks(member, "cluster", F.col("n") * 8, block_bytes))
+        sets = src.join(member.select(F.col("rep").alias("doc_id2"), "node", "cluster", "block"),
+                        F.col("doc_id").eqNullSafe(F.col("doc_id2"))) \
+            .select("cluster", "block", "node", "text") \
+            .mapInArrow(_sets(width), "cluster long, block int, node long, n long, tokens binary")
+        found = sets.join(_tiles(member, "cluster", num, den), ["cluster", "block"]).groupBy("cluster", "tile") \
+            .applyInArrow(_tile(num, den), "a long, b long")
+        return components(written(found, "links"), "a", "b")
+
+    found = scoped(spark, "found", links)
     named = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = named.join(named.groupBy("component").agg(F.min("rep").alias("component_id")), "component").select("node", "component_id")
     return described.select("doc_id", "n", "node").join(named, "node", "left").select(

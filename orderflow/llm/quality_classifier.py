@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import RecentCache, held_out, slices
+from orderflow.llm.common import RecentCache, fitted, held_out, slices
 from orderflow.session import ship_package
 
 _TOKEN = re.compile(r"[^\W_]+|[^\w\s]+|_+")
@@ -106,9 +106,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_row
 
     ``sample_rows`` bounds the sample (labels in the order of their id's hash);
     its texts alone meet the documents, by a broadcast of that many ids, and
-    only their features come to the driver. Rows with null label are ignored.
-    Without labels of both kinds the weights give a constant score: the share
-    of label 1, or one half without labels.
+    one task fits their features; the driver gets the weights. The rows are
+    ordered by all they hold, so the weights don't depend on partitions or
+    retries. Equal texts count once for each label they bear. Rows with null
+    label are ignored. Without labels of both kinds the weights give a constant
+    score: the share of label 1, or one half without labels.
     """
     ship_package(docs.sparkSession)
     usable = labels.where(F.col(label).isin(0, 1) & ~held_out("doc_id")).select(
@@ -116,11 +118,14 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_row
     sample = usable.distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample_rows)
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .join(F.broadcast(sample), "doc_id").select("text", "label") \
-        .dropDuplicates(["text"]).mapInArrow(_featurize(bits), "label int, index array<int>, value array<float>")
-    got = chosen.toArrow()
+        .distinct().mapInArrow(_featurize(bits), "label int, index array<int>, value array<float>")
+    return fitted(chosen, lambda got: _fit(got, bits))
+
+
+def _fit(got: pa.Table, bits: int) -> np.ndarray:
     rows = sorted(((y, i, v) for b in got.to_batches() for y, i, v in zip(
         b.column("label").to_pylist(), _lists(b.column("index")), _lists(b.column("value")))),
-        key=lambda r: (len(r[1]), r[0], r[1][:8].tolist()))
+        key=lambda r: (len(r[1]), r[0], r[1].tobytes(), r[2].tobytes()))
     ones = sum(r[0] for r in rows)
     if not 0 < ones < len(rows):
         w = np.zeros((1 << bits) + 1)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import RecentCache, held_out, slices
+from orderflow.llm.common import RecentCache, fitted, held_out, slices
 from orderflow.session import ship_package
 
 LENGTH, SPAN, DECAY = 4, 6, 0.6
@@ -43,7 +43,7 @@ SPELLED = 16  # letters that a run of short pieces may spell
 _PIECES = re.compile(r"(?<![^\W\d_])[^\W\d_]{1,3}+(?:[\W\d_]++[^\W\d_]{1,3}+(?![^\W\d_]))+")
 #: Letter positions after the first, and the weight of that choice.
 _PICKS = [(c, DECAY ** (c[-1] + 1)) for c in combinations(range(1, SPAN), LENGTH - 1)]
-LONGEST = 40  # words; a longer sentence is scored in runs of this many
+LONGEST = 40  # words; a longer sentence is scored in windows of this many, each half over the one before
 
 
 def subsequences(word: str) -> dict[str, float]:
@@ -75,12 +75,16 @@ def kernel(a: str, b: str) -> float:
 
 
 def sentences(text: str) -> list[list[str]]:
-    """Distinct words of each sentence; single letters set apart by blanks are one word."""
+    """Distinct words of each sentence; single letters set apart by blanks are one word.
+
+    A sentence of more than LONGEST words is as many windows of that length,
+    each overlapping the next by half: any LONGEST // 2 + 1 neighbours are in one.
+    """
     text = _SPACED.sub(lambda m: m[0].replace(" ", ""), text)
     out = []
     for s in _SENTENCE.split(text):
         words = s.split()
-        for k in range(0, len(words), LONGEST):
+        for k in range(0, max(len(words) - LONGEST // 2, 1), LONGEST // 2):
             out.append(list(dict.fromkeys(words[k:k + LONGEST])))
     return out
 
@@ -109,8 +113,8 @@ def parts(text: str) -> list[list[str]]:
 
 
 def _code(sub: str) -> int:
-    """Four letters as one number, 16 bits each."""
-    a, b, c, d = (ord(x) & 0xFFFF for x in sub)
+    """Four letters up to U+FFFF as one number."""
+    a, b, c, d = map(ord, sub)
     return a << 48 | b << 32 | c << 16 | d
 
 
@@ -128,18 +132,20 @@ class Machine:
         return hit / sum(v * v for v in sub.values()) ** 0.5 if hit else 0.0
 
     def words(self, words: list[str]) -> list[float]:
-        """:meth:`word` of many words at once, in arrays of words of equal length."""
+        """:meth:`word` of many words at once, in arrays of words of equal length; words with letters above U+FFFF go one by one."""
         if not self.weights:
             return [0.0] * len(words)
         if self._keys is None:
-            self._keys = np.array(sorted(_code(u) for u in self.weights), np.uint64)
-            by_code = {_code(u): v for u, v in self.weights.items()}
+            by_code = {_code(u): v for u, v in self.weights.items() if max(u) <= "\uffff"}
+            self._keys = np.array(sorted(by_code), np.uint64)
             self._values = np.array([by_code[int(k)] for k in self._keys])
         out = np.zeros(len(words))
         groups: dict[int, tuple[list[int], list[str]]] = {}
         for k, w in enumerate(words):
             letters = _LETTERS.sub("", w.lower())
-            if len(letters) >= LEAST:
+            if len(letters) >= LEAST and (max(letters) > "\uffff" or not len(self._keys)):
+                out[k] = self.word(w)
+            elif len(letters) >= LEAST:
                 at, group = groups.setdefault(len(letters) + 2, ([], []))
                 at.append(k)
                 group.append(f"<{letters}>")
@@ -150,7 +156,7 @@ class Machine:
         return out.tolist()
 
     def _parts(self, group: list[str], n: int) -> np.ndarray:
-        x = np.frombuffer("".join(group).encode("utf-32-le"), np.uint32).reshape(len(group), n).astype(np.uint64) & np.uint64(0xFFFF)
+        x = np.frombuffer("".join(group).encode("utf-32-le"), np.uint32).reshape(len(group), n).astype(np.uint64)
         codes, weights = [], []
         for (a, b, c), weight in _PICKS:
             if c < n:
@@ -328,16 +334,17 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_label: i
     """Fit on labelled rows outside the held-out fold.
 
     ``per_label`` bounds the rows of either label (in the order of their id's
-    hash); equal texts count once. Only that sample meets the documents (a
-    broadcast of so many ids) and comes to the driver. Null labels are ignored.
+    hash); equal texts count once for each label they bear. Only that sample
+    meets the documents (a broadcast of so many ids); one task fits it, and the
+    driver gets the machine. Null labels are ignored.
     """
     usable = labels.where(F.col(label).isin(0, 1) & ~held_out("doc_id")).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).distinct()
     one, zero = (usable.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label) for y in (1, 0))
     got = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .join(F.broadcast(one.unionByName(zero)), "doc_id").select("label", F.coalesce("text", F.lit("")).alias("text")) \
-        .distinct().toArrow()
-    return fit(sorted(zip(got.column("label").to_pylist(), got.column("text").to_pylist())))
+        .distinct()
+    return fitted(got, lambda rows: fit(sorted(zip(rows.column("label").to_pylist(), rows.column("text").to_pylist()))))
 
 
 _WORDS: dict[int, RecentCache] = {}

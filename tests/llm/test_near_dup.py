@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderflow.llm.graph import components
-from orderflow.llm.near_dup import CountTree, Threshold, _groups, _in_blocks, _packed, _point, _points, _shared, forest, jaccard_components, prefix, shingles
+from orderflow.llm import near_dup
+from orderflow.llm.near_dup import CountTree, Threshold, _groups, _in_blocks, _meet, _packed, _point, _points, _shared, forest, jaccard_components, prefix, shingles
 
 
 def _set(text, width):
@@ -134,3 +135,54 @@ def test_keys_with_the_same_classes_are_one_bucket(spark):
     for x in _shared(df).collect():
         found.setdefault(x.bucket, []).append(x.node)
     assert sorted(map(sorted, found.values())) == [[10, 11, 12], [10, 12]]
+
+
+@pytest.mark.parametrize("run", [1 << 20, 2])
+def test_keys_meet_in_batches_of_any_size(run, monkeypatch):
+    """Long and hot keys are buckets of their own; others are named by their classes, however batches are cut."""
+    import pyarrow as pa
+    monkeypatch.setattr(near_dup, "_RUN", run)
+    rows = [(-5, 1, 9), (1, 10, 5), (1, 12, 5), (2, 10, 5), (2, 12, 5), (3, 7, 4), (4, 1, 2), (4, 1, 2), (5, 8, -6), (6, 8, -6), (6, 9, -6)]
+    rows += [(7, x, 3) for x in range(20, 29)] + [(8, 10, 5), (8, 12, 5)]
+    for size in (1, 2, 5, 100):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[k:k + size])], ["key", "node", "n"])
+                   for k in range(0, len(rows), size)]
+        found = {}
+        for b in _meet(batches):
+            for node, n, bucket in zip(*(b.column(c).to_pylist() for c in ("node", "n", "bucket"))):
+                assert n > 0
+                found.setdefault(bucket, set()).add(node)
+        # a pair that several keys share is one bucket; hot keys keep single rows
+        assert sorted(map(sorted, found.values())) == [[8], [8, 9], [10, 12], list(range(20, 29))]
+
+
+def test_hot_keys_lose_no_link(spark, monkeypatch):
+    """Every key hot: rows are dealt by class and buckets named by key."""
+    keys = near_dup._keys
+
+    def hot(*args):
+        run = keys(*args)
+
+        def negative(batches):
+            import pyarrow as pa
+            for b in run(batches):
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([-x for x in b.column(2).to_pylist()], pa.int64())], b.schema.names)
+        return negative
+
+    monkeypatch.setattr(near_dup, "_keys", hot)
+    rows = family(3)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(df, 5, 80, 100).collect()), key=repr)
+    assert got == brute(rows, 5, 80, 100)
+
+
+def test_tables_on_the_way_are_removed(spark):
+    import os
+
+    from orderflow.session import checkpoint_dir
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    df = spark.createDataFrame(family(2), "doc_id long, text string").repartition(3)
+    rows = jaccard_components(df, 5, 80, 100)
+    left = sorted(x.rsplit("-", 1)[0] for x in set(os.listdir(folder)) - before)
+    assert left == ["found", "llm-classes", "llm-sets"] and rows.count() == 60

@@ -135,6 +135,63 @@ def test_short_and_broken_words_are_scored(spark):
     assert tx.reject_toxic(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), machine).count() == 2
 
 
+def test_letters_above_the_first_plane_are_told_apart():
+    bold = "".join(chr(0x1D41A + ord(c) - 97) for c in "idiot")
+    machine = tx.Machine({u: 1.0 for u in tx.subsequences(bold)} | {u: 0.5 for u in tx.subsequences("idiot")}, 0.0, 1.0, 0.0)
+    low = "".join(chr(ord(c) & 0xFFFF) for c in bold)  # equal in the lower 16 bits
+    words = [bold, low, "idiot", "marvel"]
+    assert np.allclose(machine.words(words), [machine.word(w) for w in words])
+    assert machine.word(bold) > 1 and machine.word(low) == 0
+
+
+def test_neighbours_in_a_long_sentence_share_a_window():
+    words = [f"w{k}" for k in range(200)]
+    got = tx.sentences(" ".join(words))
+    assert max(map(len, got)) <= tx.LONGEST and {w for s in got for w in s} == set(words)
+    near = tx.LONGEST // 2 + 1
+    assert all(any(set(words[k:k + near]) <= set(s) for s in got) for k in range(len(words) - near + 1))
+    assert tx.sentences(" ".join(words[:40])) == [words[:40]] and len(tx.sentences(" ".join(words[:41]))) == 2
+    machine = tx.Machine({u: 1.0 for u in tx.subsequences("snotbag")}, 0.0, 1.0, 0.0)
+    at = [machine.margin(tx.parts(" ".join(words[:n] + ["snotbag", "snotbags"])), machine.word) for n in (38, 39, 58, 150)]
+    assert np.allclose(at, at[0])
+
+
+def test_quality_weights_do_not_depend_on_partitions(spark):
+    df = _labelled(spark, 120)
+    twist = df.where("doc_id < 30").withColumn("doc_id", F.col("doc_id") + 5000).withColumn("quality", 1 - F.col("quality"))
+    both = df.unionByName(twist)  # equal texts under both labels
+    first = qc.train(both.repartition(1), both)
+    for n in (3, 7):
+        assert (qc.train(both.repartition(n, "text"), both.repartition(n)) == first).all()
+
+
+def test_ftrl_equals_the_plain_rule():
+    r = np.random.default_rng(2)
+    rows = []
+    for k in range(60):
+        index = np.unique(r.integers(0, 1 << 6, 8))
+        rows.append((k % 2, index, r.random(len(index))))
+    got = qc.ftrl(rows, 6, epochs=3)
+    size = (1 << 6) + 1
+    z, n = [0.0] * size, [0.0] * size
+
+    def weight(i):
+        return 0.0 if abs(z[i]) <= 0.02 else -(z[i] - (0.02 if z[i] > 0 else -0.02)) / ((1.0 + n[i] ** 0.5) / 0.5 + 1.0)
+
+    order = np.random.default_rng(7)
+    for _ in range(3):
+        for k in order.permutation(60):
+            y, index, value = rows[k]
+            x = [*zip(index.tolist(), value.tolist()), (size - 1, 1.0)]
+            w = {i: weight(i) for i, _ in x}
+            p = 1 / (1 + np.exp(-sum(w[i] * v for i, v in x)))
+            for i, v in x:
+                g = (p - y) * v
+                z[i] += g - ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / 0.5 * w[i]
+                n[i] += g * g
+    assert np.allclose(got, [weight(i) for i in range(size)])
+
+
 def test_spelled_words():
     assert tx.spelled("stu pid") == ["stupid"]
     assert tx.spelled("you st-up\n1 id") == ["youst", "youstup", "youstupid", "stup", "stupid", "upid"]
