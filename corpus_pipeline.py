@@ -2,11 +2,16 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and works on all its predecessor
 kept; its result is written as Parquet and read again. All but the last return
-the columns of ``documents``. Rows whose text is null count as empty texts.
+the columns of ``documents`` (extra ones are dropped). Rows whose text is null
+count as empty texts, which the filters score like any other; repeated rows are
+judged one by one; a score at the cut is toxic, or good; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +20,7 @@ from orderflow.llm.common import table, written
 from orderflow.llm.near_dup import jaccard_components
 from orderflow.llm.packing import pack
 from orderflow.llm.queries import vocabulary
-from orderflow.session import scratch_path
+from orderflow.session import scoped
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -60,13 +65,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; the last one's rows."""
+    """All stages over ``documents``; the last one's rows. What a stage writes on its way is removed once its result is written."""
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            path = scratch_path(spark, f"pipeline-{k}")
-            out.write.parquet(path)
-            out = spark.read.parquet(path)
-        docs = out
+        step = partial(stage, spark, docs, sf_dir)
+        docs = scoped(spark, f"pipeline-{k}", step) if k < len(STAGES) - 1 else step()
     return docs
