@@ -68,7 +68,7 @@ def test_scoped_tables_go_once_their_consumer_is_written(spark, tmp_path):
     def build():
         part = write_scratch(spark.range(50), scratch_path(spark, "part"))
         inner = scoped(spark, "inner", lambda: ordered_scan(part.withColumn("k", F.lit(1)), ["k"], ["id"], sums={"n": F.lit(1)}))
-        assert left() == ["inner", "part"]
+        assert [x for x in left() if x != "outer"] == ["inner", "part"]
         return inner.groupBy().agg(F.sum("n").alias("s"))
 
     got = scoped(spark, "outer", build)
