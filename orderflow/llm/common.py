@@ -34,7 +34,10 @@ def fitted(sample: DataFrame, fit: Callable[[pa.Table], object]):
     def run(batches):
         held = list(batches)
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(pa.Table.from_batches(held)))], pa.binary())], ["model"])
+            model = pickle.dumps(fit(pa.Table.from_batches(held)))
+            held.clear()
+            pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
+            yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
 
     ship_package(sample.sparkSession)
     got = sample.repartition(1).mapInArrow(run, "model binary").collect()  # one row; none if there are no rows
@@ -74,6 +77,20 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 <<
             yield batch.slice(start)
 
 
+_KEPT: list[dict] = []
+
+
+def only(stores: dict) -> dict:
+    """``stores`` of this Python worker; what other operators left in it is emptied, so a job's stages don't add up."""
+    for other in _KEPT:
+        if other is not stores and other:
+            other.clear()
+            pa.default_memory_pool().release_unused()
+    if not any(other is stores for other in _KEPT):
+        _KEPT.append(stores)
+    return stores
+
+
 class RecentCache(dict):
     """word -> value for the words met lately, in bounded memory.
 

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import block_prefix, slices, written
+from orderflow.llm.common import block_prefix, only, slices, written
 from orderflow.llm.word_store import WordStore, gather, strings
 from orderflow.session import ship_package
 
@@ -47,7 +47,7 @@ def _store(path: str) -> WordStore:
     encoded many at a time, as one text, and told apart by the tokens that end
     a word; if a group holds a chunk of several words, its chunks go one by one.
     """
-    if path not in _STORES:
+    if path not in only(_STORES):
         from tokenizers import Tokenizer
         tok = Tokenizer.from_file(path)
         tok.no_truncation()

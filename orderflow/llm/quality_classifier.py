@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import RecentCache, fitted, held_out, slices
+from orderflow.llm.common import RecentCache, fitted, held_out, only, slices
 from orderflow.session import ship_package
 
 _TOKEN = re.compile(r"[^\W_]+|[^\w\s]+|_+")
@@ -39,7 +39,7 @@ def _shape(token: str) -> int:
 
 def _codes() -> RecentCache:
     """token -> hash and shape in one integer, one store per Python worker."""
-    if "codes" not in _CACHE:
+    if "codes" not in only(_CACHE):
         _CACHE["codes"] = RecentCache(lambda new: [crc32(t.encode("utf-8", "replace")) << 3 | _shape(t) for t in new], limit=300_000)
     return _CACHE["codes"]
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import RecentCache, fitted, held_out, slices
+from orderflow.llm.common import RecentCache, fitted, held_out, only, slices
 from orderflow.session import ship_package
 
 LENGTH, SPAN, DECAY = 4, 6, 0.6
@@ -366,7 +366,7 @@ def _score(sent, cut: float):
 
 def _store(sent) -> RecentCache:
     """Margins of words met lately under this machine; a worker keeps those of one machine."""
-    if sent.id not in _WORDS:
+    if sent.id not in only(_WORDS):
         _WORDS.clear()
         _WORDS[sent.id] = RecentCache(sent.value.words, limit=300_000)
     return _WORDS[sent.id]

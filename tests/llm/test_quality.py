@@ -165,6 +165,14 @@ def test_quality_weights_do_not_depend_on_partitions(spark):
         assert (qc.train(both.repartition(n, "text"), both.repartition(n)) == first).all()
 
 
+def test_a_worker_keeps_the_stores_of_one_operator():
+    from orderflow.llm.common import only
+    a, b = {"x": 1}, {"y": 2}
+    assert only(a) is a and only(b) is b and a == {} and b == {"y": 2}
+    a["z"] = 3
+    assert only(a) == {"z": 3} and b == {}
+
+
 def test_ftrl_equals_the_plain_rule():
     r = np.random.default_rng(2)
     rows = []
