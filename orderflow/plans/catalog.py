@@ -537,6 +537,36 @@ def q_latency_quantiles(spark, sf):
     return q.select("shard", "n", *[F.round(c, 9).alias(c) for c in ("p50", "p90", "p99")])
 
 
+@register("latency_sketch_range", with_views(["outcome"], """
+SELECT shard, date_trunc('week', ts)::TIMESTAMP AS week, count(*) AS n, count(latency_s) AS n_values,
+       true AS p50_within, true AS p90_within, true AS p99_within, true AS users_within
+FROM outcome GROUP BY ALL"""))
+def q_latency_sketch_range(spark, sf):
+    """A-10 / A-12: sketches stored per minute in two batches, merged per week without reading the events;
+    the exact ranks and counts beside them tell whether the sketches kept their stated errors."""
+    from orderflow.operators import sketches as sk
+    from orderflow.session import scratch_path
+    path = scratch_path(spark, "sketches")
+    o = tb.read_table(spark, sf, "events").select((F.col("user_id") % N).cast("int").alias("shard"), "ts", "event_id", "user_id",
+                                                  (F.col("value") / 100).alias("latency_s"))
+    for batch_id in (0, 1, 1):  # minutes are cut in two by id; the second batch is replayed
+        part = o.filter(F.pmod("event_id", F.lit(2)) == batch_id)
+        sk.sink_sketches(sk.minute_sketches(part, "latency_s", "user_id", ["shard"]), path, batch_id)
+    week = F.date_trunc("week", "minute").cast("timestamp_ntz").alias("week")
+    merged = sk.merge_sketches(sk.read_sketches(spark, path).withColumn("week", week), ["shard", "week"], _QS)
+    names = ["p50", "p90", "p99"]
+    at = o.select("shard", F.date_trunc("week", "ts").cast("timestamp_ntz").alias("week"), "latency_s", "user_id").join(
+        merged.select("shard", "week", *names), ["shard", "week"])
+    ranks = [a for p in names for a in (F.count_if(F.col("latency_s") < F.col(p)).alias(f"{p}_below"),
+                                        F.count_if(F.col("latency_s") <= F.col(p)).alias(f"{p}_upto"))]
+    exact = at.groupBy("shard", "week").agg(*ranks, F.count_distinct("user_id").alias("users"))
+    slack, share = F.col("n_values") * sk.kll_rank_error(), sk.hll_relative_error()
+    within = [((F.col(f"{p}_below") <= F.col("n_values") * q + slack) & (F.col(f"{p}_upto") >= F.col("n_values") * q - slack)).alias(f"{p}_within")
+              for p, q in zip(names, _QS)]
+    return merged.join(exact, ["shard", "week"]).select("shard", "week", "n", "n_values", *within,
+                                                        (F.abs(F.col("keys") - F.col("users")) <= F.col("users") * share).alias("users_within"))
+
+
 # ---------------------------------------------------------------- A-11 / A-12
 @register("shard_balance", with_views(["ord"], """
 SELECT shard, rows, total, round(rows / total, 6) AS share,
@@ -1033,6 +1063,28 @@ def q_ingest_replay(spark, sf):
     return out
 
 
+@register("ledger_compacted", with_views(["decoded"], """
+SELECT shard, count(*) AS rows, count(DISTINCT order_id) AS orders, true AS files_bounded FROM good GROUP BY shard"""))
+def q_ledger_compacted(spark, sf):
+    """S-04 / S-07: six micro-batches or more compacted in two runs, an old batch replayed afterwards."""
+    from orderflow.sources import compaction
+    from orderflow.sources.messages import read_messages, write_messages
+    from orderflow.streaming.ingest import process_batch, start_ingest
+    paths = _ingest_paths(spark, "compact")
+    m = tb.malformed_messages_view(spark, sf)
+    write_messages(m.repartition(3), paths.source)  # 3 files a shard
+    start_ingest(spark, paths, max_files_per_trigger=2).awaitTermination()
+    last, target = compaction.committed_upto(spark, paths.checkpoint), 4 << 20
+    for upto in (last // 2, last):
+        compaction.compact_ledger(spark, paths.ledger, {paths.writer_id(): upto}, target)
+    process_batch(read_messages(spark, paths.source), 1, paths)
+    led = compaction.read_compacted(spark, paths.ledger, files=True).withColumn("day", F.to_date("created_at"))
+    files = led.groupBy("shard", "file_path").agg(F.max("file_size").alias("bytes"), F.max("day").alias("day")) \
+        .groupBy("shard").agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.count_distinct("day").alias("days"))
+    got = led.groupBy("shard").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("order_id").alias("orders"))
+    return got.join(files, "shard").select("shard", "rows", "orders", (F.col("files") <= 2 * (F.col("days") + F.col("bytes") / target)).alias("files_bounded"))
+
+
 @register("ingest_shard_groups", with_views(["decoded"], """
 SELECT shard, count(*) AS ledger_rows, count(*) AS acks FROM good GROUP BY shard"""))
 def q_ingest_shard_groups(spark, sf):

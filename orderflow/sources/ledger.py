@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from orderflow.operators.scan import ordered_scan
 from orderflow.schemas import LEDGER, LEDGER_COLUMNS, RETENTION
-from orderflow.session import key_bloom, scratch_path
+from orderflow.session import key_bloom, path_exists, scratch_path
 
 LEDGER_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in LEDGER.fields)
 
@@ -43,7 +43,10 @@ def sink_ledger_idempotent(df: DataFrame, batch_id: int, path: str, key: str = "
     ledger (``<path>-keys``) tells.
     """
     from orderflow.functions.codec import msg_id_millis, msg_id_seq
+    from orderflow.sources.compaction import closed_upto
     from orderflow.sources.key_index import KeyIndex
+    if batch_id <= closed_upto(df.sparkSession, path, writer):
+        return  # stored for good: a closed batch is never written again
     out = df.select(*LEDGER_COLUMNS)
     if first_wins:
         ordered = out.withColumn("msg_ms", msg_id_millis("msg_id")).withColumn("msg_seq", msg_id_seq("msg_id"))
@@ -57,7 +60,9 @@ def sink_ledger_idempotent(df: DataFrame, batch_id: int, path: str, key: str = "
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """All rows of a ledger, compacted (:mod:`orderflow.sources.compaction`) or not."""
+    from orderflow.sources.compaction import read_compacted
+    return read_compacted(spark, path) if path_exists(spark, f"{path}-compact/commits") else spark.read.parquet(path)
 
 
 def jdbc_ledger_options(url: str, table: str = "orders", num_partitions: int = 4,

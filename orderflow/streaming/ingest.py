@@ -26,6 +26,7 @@ from orderflow.functions.codec import msg_id_millis, msg_id_seq
 from orderflow.operators.validate import decode_orders, to_ledger
 from orderflow.schemas import LEDGER_COLUMNS
 from orderflow.session import key_bloom
+from orderflow.sources.compaction import closed_upto
 from orderflow.sources.key_index import BUCKETS, KeyIndex
 from orderflow.sources.messages import read_messages
 
@@ -72,10 +73,13 @@ def process_batch(batch: DataFrame, batch_id: int, paths: IngestPaths, first_win
     of an order in this batch, or of one that another batch stored. Returns
     ``received = inserted + duplicates + skipped``, counted by the writes
     themselves. Acks are written only after the ledger write returned, from
-    the same persisted rows. An empty batch writes nothing.
+    the same persisted rows. An empty batch writes nothing, and neither does a
+    batch that compaction closed: it is stored already (all its counts are 0).
     """
     spark = batch.sparkSession
     writer = paths.writer_id()
+    if batch_id <= closed_upto(spark, paths.ledger, writer):
+        return {"batch_id": batch_id, "received": 0, "inserted": 0, "duplicates": 0, "skipped": 0}
     # Decode once per batch; ledger, acks and quarantine all read it.
     # One stamp per micro-batch, fixed on the driver: a recomputed partition
     # (lost executor, evicted cache) gets the same created_at / ack_ts.
