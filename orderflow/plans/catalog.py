@@ -1085,6 +1085,30 @@ def q_ledger_compacted(spark, sf):
     return got.join(files, "shard").select("shard", "rows", "orders", (F.col("files") <= 2 * (F.col("days") + F.col("bytes") / target)).alias("files_bounded"))
 
 
+@register("live_totals", with_views(["decoded"], """
+SELECT (SELECT count(*) FROM msg) AS received, (SELECT count(*) FROM good) AS inserted, 0::BIGINT AS duplicates,
+       (SELECT count(*) FROM msg) - (SELECT count(*) FROM good) AS skipped"""))
+def q_live_totals(spark, sf):
+    """T-11: counts stored beside the ledger; the stream fails once after a written micro-batch, which is then replayed."""
+    from dataclasses import replace
+
+    from orderflow.sources.messages import write_messages
+    from orderflow.streaming.ingest import live_totals, run_with_restart, start_ingest
+    paths, seen = _ingest_paths(spark, "totals"), []
+    paths = replace(paths, counters=f"{paths.ledger}-counters")
+    write_messages(tb.malformed_messages_view(spark, sf), paths.source)
+
+    def fail_once(counts):
+        seen.append(counts["batch_id"])
+        if len(seen) == 2:
+            raise RuntimeError("lost after the writes, before the commit")
+
+    run_with_restart(lambda: start_ingest(spark, paths, max_files_per_trigger=1, on_batch=fail_once), pause_s=0.1)
+    if len(set(seen)) == len(seen):
+        raise RuntimeError("no micro-batch was replayed")
+    return live_totals(spark, paths.counters).select("received", "inserted", "duplicates", "skipped")
+
+
 @register("ingest_shard_groups", with_views(["decoded"], """
 SELECT shard, count(*) AS ledger_rows, count(*) AS acks FROM good GROUP BY shard"""))
 def q_ingest_shard_groups(spark, sf):

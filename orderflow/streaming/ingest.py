@@ -32,6 +32,8 @@ from orderflow.sources.messages import read_messages
 
 log = logging.getLogger("orderflow.ingest")
 
+COUNTERS = ("received", "inserted", "duplicates", "skipped")
+
 
 @dataclass
 class IngestPaths:
@@ -46,6 +48,7 @@ class IngestPaths:
     writer: str | None = None
     keys: str | None = None  # index of stored order ids (``first_wins``); ``<ledger>-keys`` if not given
     key_buckets: int = BUCKETS  # buckets of that index
+    counters: str | None = None  # one row of counts per micro-batch (:func:`live_totals`), if given
 
     def writer_id(self) -> str:
         return self.writer or hashlib.md5(self.checkpoint.rstrip("/").encode()).hexdigest()[:12]
@@ -64,6 +67,20 @@ def _replace_batch(df: DataFrame, path: str, writer: str, batch_id: int, by_shar
     (w.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path))
 
 
+def sink_counts(spark: SparkSession, counts: dict, path: str, writer: str) -> None:
+    """T-11: store the counts of one micro-batch; a replay replaces the row of that batch and writer."""
+    row = spark.createDataFrame([(int(counts["batch_id"]), writer, *[int(counts[c]) for c in COUNTERS])],
+                                "batch_id bigint, writer string, " + ", ".join(f"{c} bigint" for c in COUNTERS))
+    row.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("writer", "batch_id").parquet(path)
+
+
+def live_totals(spark: SparkSession, path: str) -> DataFrame:
+    """T-11 / A-05 .. A-07: running counts per writer, from one row per micro-batch, whatever was replayed or restarted."""
+    schema = ", ".join(f"{c} bigint" for c in COUNTERS) + ", writer string, batch_id bigint"
+    return spark.read.schema(schema).parquet(path).groupBy("writer").agg(
+        F.count(F.lit(1)).alias("batches"), *[F.sum(c).alias(c) for c in COUNTERS])
+
+
 def process_batch(batch: DataFrame, batch_id: int, paths: IngestPaths, first_wins: bool = False) -> dict:
     """One micro-batch: ledger first, then acks for exactly the rows it stored.
 
@@ -117,6 +134,8 @@ def process_batch(batch: DataFrame, batch_id: int, paths: IngestPaths, first_win
         res["inserted"], res["skipped"] = stored.get["n"], rejected.get["n"]
         res["duplicates"] = seen.get["valid"] - res["inserted"]
         res["received"] = seen.get["valid"] + res["skipped"]
+        if paths.counters:
+            sink_counts(spark, res, paths.counters, writer)
         log.info("inserted batch=%d rows=%d duplicates=%d skipped=%d", batch_id, res["inserted"], res["duplicates"], res["skipped"])
         return res
     finally:
