@@ -110,7 +110,7 @@ def process_batch(batch: DataFrame, batch_id: int, paths: IngestPaths, first_win
     ledger = None
     try:
         res = {"batch_id": batch_id, "received": 0, "inserted": 0, "duplicates": 0, "skipped": 0}
-        if decoded.isEmpty():
+        if not decoded.count():  # one job that decodes all splits at once; a look at the first row would decode the first split alone
             return res
         valid = F.size("errors") == 0
         good, seen = decoded.filter(valid), Observation()
@@ -120,8 +120,8 @@ def process_batch(batch: DataFrame, batch_id: int, paths: IngestPaths, first_win
             index = KeyIndex(spark, paths.keys or f"{paths.ledger}-keys", buckets=paths.key_buckets)
             good = index.unseen(good, writer, batch_id)
         ledger = to_ledger(good, F.col("__created_at")).select(*LEDGER_COLUMNS)
-        ledger.persist(StorageLevel.MEMORY_AND_DISK)
         if first_wins:  # claimed before they are stored: a failed batch is replayed and finds its own claims
+            ledger.persist(StorageLevel.MEMORY_AND_DISK)
             index.claim(ledger, writer, batch_id)
         stored, rejected = Observation(), Observation()
         # Durable write first; an exception here leaves the batch un-acked.
@@ -139,7 +139,7 @@ def process_batch(batch: DataFrame, batch_id: int, paths: IngestPaths, first_win
         log.info("inserted batch=%d rows=%d duplicates=%d skipped=%d", batch_id, res["inserted"], res["duplicates"], res["skipped"])
         return res
     finally:
-        if ledger is not None:
+        if first_wins and ledger is not None:
             ledger.unpersist()
         decoded.unpersist()
 
