@@ -31,6 +31,13 @@ def test_micro_batches_do_not_grow_with_the_tasks_that_wrote_the_log(spark, tmp)
     assert (got["batches"], got["received"]) == (4, m.count())
 
 
+def test_many_tasks_read_one_file(spark, tmp):
+    msgs.write_messages(long_messages(spark, 120_000), f"{tmp}/log")
+    assert len(files_of(f"{tmp}/log")) == 1
+    rows = msgs.read_messages(spark, f"{tmp}/log").groupBy(F.spark_partition_id()).count().collect()
+    assert len(rows) > 2 and sum(r["count"] for r in rows) == 120_000
+
+
 def test_a_large_shard_gets_several_files(spark, tmp, monkeypatch):
     monkeypatch.setattr(msgs, "FILE_BYTES", 1 << 20)
     before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
