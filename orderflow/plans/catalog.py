@@ -1042,12 +1042,13 @@ def q_ingest_replay(spark, sf):
     early shard last; each order is stored once and nothing is lost."""
     from dataclasses import replace
 
-    from orderflow.sources.messages import write_messages
+    from orderflow.sources.messages import read_messages, write_messages
     from orderflow.streaming.ingest import start_ingest
     paths, counts = replace(_ingest_paths(spark, "replay"), key_buckets=4), []
-    m = tb.malformed_messages_view(spark, sf)
-    for part in (m, m.filter(F.col("shard") != 0), m.filter(F.col("shard") == 0)):
-        write_messages(part.repartition(5), paths.source)  # 5 files a shard
+    write_messages(tb.malformed_messages_view(spark, sf), paths.source, files=5)  # 5 files a shard
+    sent = read_messages(spark, paths.source)  # the files of the first sending
+    for part in (sent.filter(F.col("shard") != 0), sent.filter(F.col("shard") == 0)):
+        write_messages(part, paths.source, files=5)
     start_ingest(spark, paths, max_files_per_trigger=2, first_wins=True, on_batch=counts.append).awaitTermination()
     if len(counts) < 20:
         raise RuntimeError("the stream should have run at least twenty micro-batches")

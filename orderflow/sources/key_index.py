@@ -49,7 +49,8 @@ class KeyIndex:
         touched = sorted(r[0] for r in batch.select(self.bucket().alias("b")).distinct().toLocalIterator())
         stored = self.stored(touched, writer, batch_id).select(F.col(self.key).alias("__stored"), F.col("bucket").alias("__in"))
         same = (F.col("__bucket") == F.col("__in")) & F.col(self.key).eqNullSafe(F.col("__stored"))
-        return once.join(stored, same, "left_anti").select(*batch.columns)
+        # Sorted keys are small in their files and large in memory: they are never broadcast.
+        return once.join(stored.hint("merge"), same, "left_anti").select(*batch.columns)
 
     def claim(self, rows: DataFrame, writer: str, batch_id: int) -> None:
         """Enter the keys of ``rows`` for this batch; a replay replaces its own.

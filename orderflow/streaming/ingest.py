@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from orderflow.functions.codec import msg_id_millis, msg_id_seq
 from orderflow.operators.validate import decode_orders, to_ledger
 from orderflow.schemas import LEDGER_COLUMNS
-from orderflow.session import key_bloom
+from orderflow.session import drop_path, key_bloom, scratch_path, write_scratch
 from orderflow.sources.compaction import closed_upto
 from orderflow.sources.key_index import BUCKETS, KeyIndex
 from orderflow.sources.messages import read_messages
@@ -90,7 +90,7 @@ def process_batch(batch: DataFrame, batch_id: int, paths: IngestPaths, first_win
     of an order in this batch, or of one that another batch stored. Returns
     ``received = inserted + duplicates + skipped``, counted by the writes
     themselves. Acks are written only after the ledger write returned, from
-    the same persisted rows. An empty batch writes nothing, and neither does a
+    the same rows, decoded once. An empty batch writes nothing, and neither does a
     batch that compaction closed: it is stored already (all its counts are 0).
     """
     spark = batch.sparkSession
@@ -107,7 +107,7 @@ def process_batch(batch: DataFrame, batch_id: int, paths: IngestPaths, first_win
         "shard", "msg_id", "order_id", "customer_id", "amount", "items", "errors", "__created_at",
         F.when(F.size("errors") > 0, F.col("data")).alias("data"))
     decoded.persist(StorageLevel.MEMORY_AND_DISK)
-    ledger = None
+    staged = None
     try:
         res = {"batch_id": batch_id, "received": 0, "inserted": 0, "duplicates": 0, "skipped": 0}
         if not decoded.count():  # one job that decodes all splits at once; a look at the first row would decode the first split alone
@@ -120,8 +120,12 @@ def process_batch(batch: DataFrame, batch_id: int, paths: IngestPaths, first_win
             index = KeyIndex(spark, paths.keys or f"{paths.ledger}-keys", buckets=paths.key_buckets)
             good = index.unseen(good, writer, batch_id)
         ledger = to_ledger(good, F.col("__created_at")).select(*LEDGER_COLUMNS)
-        if first_wins:  # claimed before they are stored: a failed batch is replayed and finds its own claims
-            ledger.persist(StorageLevel.MEMORY_AND_DISK)
+        if first_wins:
+            # Written once, not cached: Spark drops a cached plan that reads the index as soon as the
+            # claims are written there, and would look up all stored keys a second time.
+            staged = scratch_path(spark, "first-wins")
+            ledger = write_scratch(ledger, staged)
+            # claimed before they are stored: a failed batch is replayed and finds its own claims
             index.claim(ledger, writer, batch_id)
         stored, rejected = Observation(), Observation()
         # Durable write first; an exception here leaves the batch un-acked.
@@ -139,8 +143,8 @@ def process_batch(batch: DataFrame, batch_id: int, paths: IngestPaths, first_win
         log.info("inserted batch=%d rows=%d duplicates=%d skipped=%d", batch_id, res["inserted"], res["duplicates"], res["skipped"])
         return res
     finally:
-        if first_wins and ledger is not None:
-            ledger.unpersist()
+        if staged is not None:
+            drop_path(spark, staged)
         decoded.unpersist()
 
 

@@ -110,3 +110,29 @@ def test_reconcile_by_digests(spark):
     none = spark.createDataFrame([], "order_id string")
     assert joins.reconcile_digests(none, none).count() == 0
     assert {x.state for x in joins.reconcile_digests(none, a).filter("order_id is not null").collect()} == {"extra"}
+
+
+def test_stored_keys_are_looked_up_once_a_batch_and_not_broadcast(spark, tmp, monkeypatch):
+    from orderflow.sources import tables as tb
+    from orderflow.streaming import ingest
+    paths = ingest.IngestPaths(f"{tmp}/source", f"{tmp}/ledger", f"{tmp}/acks", f"{tmp}/quarantine", f"{tmp}/ckpt", key_buckets=2)
+    m = tb.malformed_messages_view(spark, "/root/testdata/sf0.001").filter("o_orderkey < 200")
+    ingest.process_batch(m.filter("o_orderkey < 100"), 0, paths, first_wins=True)
+    rows, plans, unseen = spark.sparkContext.accumulator(0), [], KeyIndex.unseen
+
+    def counted(self, *args):
+        found = unseen(self, *args)
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+
+        def count(batches, rows=rows):
+            for b in batches:
+                rows.add(b.num_rows)
+                yield b
+
+        return found.mapInArrow(count, found.schema)
+
+    monkeypatch.setattr(KeyIndex, "unseen", counted)
+    res = ingest.process_batch(m, 1, paths, first_wins=True)
+    assert (res["inserted"], res["duplicates"], res["skipped"]) == (60, 60, 80)
+    assert rows.value == 60
+    assert [line.split("[")[0].split()[-1] for line in plans[0].splitlines() if "Join" in line and "__in#" in line] == ["SortMergeJoin"]
