@@ -1072,8 +1072,7 @@ def q_ledger_compacted(spark, sf):
     from orderflow.sources.messages import read_messages, write_messages
     from orderflow.streaming.ingest import process_batch, start_ingest
     paths = _ingest_paths(spark, "compact")
-    m = tb.malformed_messages_view(spark, sf)
-    write_messages(m.repartition(3), paths.source)  # 3 files a shard
+    write_messages(tb.malformed_messages_view(spark, sf), paths.source, files=3)  # 3 files a shard
     start_ingest(spark, paths, max_files_per_trigger=2).awaitTermination()
     last, target = compaction.committed_upto(spark, paths.checkpoint), 4 << 20
     for upto in (last // 2, last):
