@@ -51,8 +51,9 @@ def test_a_large_shard_gets_several_files(spark, tmp, monkeypatch):
 
 def test_a_shard_gets_the_files_asked_for_from_many_tasks(spark, tmp):
     m = tb.malformed_messages_view(spark, SF)
-    msgs.write_messages(m, f"{tmp}/log", files=3)
-    assert all(len(glob.glob(f"{tmp}/log/shard={s}/*.parquet")) == 3 for s in range(4))
-    tasks = {f.rsplit("/part-", 1)[1].split("-")[0] for f in files_of(f"{tmp}/log")}
-    assert len(tasks) > 6  # three tasks wrote all of them with repartition(3)
-    assert msgs.read_messages(spark, f"{tmp}/log").count() == m.count()
+    for n in (3, 5):
+        msgs.write_messages(m, f"{tmp}/log{n}", files=n)
+        assert [len(glob.glob(f"{tmp}/log{n}/shard={s}/*.parquet")) for s in range(4)] == [n] * 4
+    tasks = {f.rsplit("/part-", 1)[1].split("-")[0] for f in files_of(f"{tmp}/log3")}
+    assert len(tasks) == 12  # three tasks wrote all of them with repartition(3)
+    assert msgs.read_messages(spark, f"{tmp}/log3").count() == m.count()
