@@ -50,13 +50,12 @@ def ntz_from_micros(col) -> F.Column:
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct part ids per order, sorted: ``(l_orderkey, items)``.
 
-    ``collect_set`` aggregates map-side first, so a hot order is reduced to
-    its distinct parts before the shuffle.
+    Rows are dealt by order first, as two numbers: an order has few lines, so combining arrays before the
+    shuffle shrinks nothing and costs a sort in every task. An order's set is one row in any case.
     """
-    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
-    return (li.groupBy("l_orderkey")
-            .agg(F.array_sort(F.collect_set(F.concat(F.lit("PART-"), F.col("l_partkey").cast("string"))))
-                 .alias("items")))
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey").repartition("l_orderkey")
+    names = F.transform(F.collect_set("l_partkey"), lambda p: F.concat(F.lit("PART-"), p.cast("string")))
+    return li.groupBy("l_orderkey").agg(F.sort_array(names).alias("items"))
 
 
 def orders_view(spark: SparkSession, sf_dir: str, n_shards: int = NUM_SHARDS,
@@ -86,11 +85,16 @@ def orders_view(spark: SparkSession, sf_dir: str, n_shards: int = NUM_SHARDS,
 def messages_view(spark: SparkSession, sf_dir: str, n_shards: int = NUM_SHARDS, with_items: bool = True) -> DataFrame:
     """MESSAGE envelopes (``msg``): ids ``<millis>-<seq>`` numbered inside (shard, millis).
 
-    ``with_items=False`` leaves the item arrays out, for consumers of ids and times only.
+    Ids are given to rows without their items, which join afterwards: the scan that numbers the rows
+    neither sorts nor stores the arrays. ``with_items=False`` leaves them out, for consumers of ids and
+    times only.
     """
     from orderflow.operators.windows import assign_msg_ids
-    o = orders_view(spark, sf_dir, n_shards, with_items)
-    m = assign_msg_ids(o, ts="ts", tiebreak="o_orderkey")
+    m = assign_msg_ids(orders_view(spark, sf_dir, n_shards, with_items=False), ts="ts", tiebreak="o_orderkey")
+    if with_items:
+        items = order_items(spark, sf_dir)
+        m = m.withColumnRenamed("items", "none").join(items, m.o_orderkey == items.l_orderkey, "left") \
+            .withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
     return m.select(
         "order_id", "customer_id", "amount", "items", "ts", "o_orderkey", "shard",
         "msg_seq", "msg_id",
