@@ -35,9 +35,12 @@ from orderflow.llm.common import RecentCache, fitted, held_out, only, slices
 from orderflow.session import ship_package
 
 LENGTH, SPAN, DECAY = 4, 6, 0.6
-_SENTENCE = re.compile(r"[.!?]+(?=\s|$)|\n")
-_SPACED = re.compile(r"(?<!\S)(?:[^\W\d_][ ]){3,}[^\W\d_](?!\w)")
+# Both begin with the character to look for, so that a search skips to it: [.!?]+ before a blank or the end, or a
+# line end; and what follows the first of four letters or more set apart by single blanks.
+_SENTENCE = re.compile(r"[.!?\n](?:(?<=\n)|[.!?]*(?=\s|$))")
+_SPACED = re.compile(r" (?<=[^\W\d_] )(?<!\S..)(?:[^\W\d_][ ]){2,}[^\W\d_](?!\w)")
 _LETTERS = re.compile(r"[\W\d_]+")
+_NO_LETTERS = re.compile(r"(?:[^\w\n]|[\d_])+")  # the same, line ends kept
 LEAST = LENGTH - 2  # letters of a word that has a subsequence with its marks
 SPELLED = 16  # letters that a run of short pieces may spell
 _PIECES = re.compile(r"(?<![^\W\d_])[^\W\d_]{1,3}+(?:[\W\d_]++[^\W\d_]{1,3}+(?![^\W\d_]))+")
@@ -46,9 +49,15 @@ _PICKS = [(c, DECAY ** (c[-1] + 1)) for c in combinations(range(1, SPAN), LENGTH
 LONGEST = 40  # words; a longer sentence is scored in windows of this many, each half over the one before
 
 
+def _letters(word: str) -> str:
+    """The letters of ``word``, all that its value depends on."""
+    word = word.lower()
+    return word if word.isalpha() else _LETTERS.sub("", word)
+
+
 def subsequences(word: str) -> dict[str, float]:
     """Weighted gapped subsequences of the letters of ``word``."""
-    letters = _LETTERS.sub("", word.lower())
+    letters = _letters(word)
     out: dict[str, float] = {}
     if len(letters) < LEAST:
         return out
@@ -84,7 +93,10 @@ def sentences(text: str) -> list[list[str]]:
     out = []
     for s in _SENTENCE.split(text):
         words = s.split()
-        for k in range(0, max(len(words) - LONGEST // 2, 1), LONGEST // 2):
+        if len(words) <= LONGEST:
+            out.append(list(dict.fromkeys(words)))
+            continue
+        for k in range(0, len(words) - LONGEST // 2, LONGEST // 2):
             out.append(list(dict.fromkeys(words[k:k + LONGEST])))
     return out
 
@@ -139,24 +151,34 @@ class Machine:
             by_code = {_code(u): v for u, v in self.weights.items() if max(u) <= "\uffff"}
             self._keys = np.array(sorted(by_code), np.uint64)
             self._values = np.array([by_code[int(k)] for k in self._keys])
-        out = np.zeros(len(words))
-        groups: dict[int, tuple[list[int], list[str]]] = {}
-        for k, w in enumerate(words):
-            letters = _LETTERS.sub("", w.lower())
-            if len(letters) >= LEAST and (max(letters) > "\uffff" or not len(self._keys)):
-                out[k] = self.word(w)
-            elif len(letters) >= LEAST:
-                at, group = groups.setdefault(len(letters) + 2, ([], []))
-                at.append(k)
-                group.append(f"<{letters}>")
-        for n, (at, group) in groups.items():
+        lines = _NO_LETTERS.sub("", "\n".join(words).lower()).split("\n")  # the letters of all words in one pass
+        if len(lines) != len(words):  # a word with a line end in it
+            lines = [_letters(w) for w in words]
+        place = {w: k for k, w in enumerate(dict.fromkeys(lines))}  # words of the same letters are valued once
+        of = [place[w] for w in lines]
+        known, out = list(place), np.zeros(len(place))
+        size = np.fromiter(map(len, known), np.int64, len(known))
+        one = np.zeros(len(known), bool)
+        if not len(self._keys):
+            one = size >= LEAST
+        elif max(map(max, filter(None, known)), default="") > "\uffff":
+            one = np.array([len(w) >= LEAST and max(w) > "\uffff" for w in known])
+        for k in np.flatnonzero(one):
+            out[k] = self.word(known[k])
+        size[one] = 0
+        order = np.argsort(size, kind="stable")
+        order = order[np.searchsorted(size[order], LEAST):]
+        for at in np.split(order, np.flatnonzero(np.diff(size[order])) + 1):
+            n = int(size[at[0]]) + 2 if len(at) else 1
             rows = max(1, 300_000 // (n * len(_PICKS)))
             for k in range(0, len(at), rows):
-                out[at[k:k + rows]] = self._parts(group[k:k + rows], n)
-        return out.tolist()
+                out[at[k:k + rows]] = self._parts([known[i] for i in at[k:k + rows]], n)
+        return out[of].tolist()
 
     def _parts(self, group: list[str], n: int) -> np.ndarray:
-        x = np.frombuffer("".join(group).encode("utf-32-le"), np.uint32).reshape(len(group), n).astype(np.uint64)
+        x = np.empty((len(group), n), np.uint64)  # words between their marks
+        x[:, 0], x[:, -1] = ord("<"), ord(">")
+        x[:, 1:-1] = np.frombuffer("".join(group).encode("utf-32-le"), np.uint32).reshape(len(group), n - 2)
         codes, weights = [], []
         for (a, b, c), weight in _PICKS:
             if c < n:
@@ -176,7 +198,7 @@ class Machine:
         return np.add.reduceat(hit, row) / np.sqrt(np.add.reduceat(value * value, row))
 
     def margin(self, parts: list[list[str]], of) -> float:
-        return self.bias + max([sum(map(of, words)) for words in parts], default=0.0)
+        return self.bias + max([sum(map(of, words)) if len(words) != 1 else of(words[0]) for words in parts], default=0.0)
 
     def score(self, margin: float) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -35, 35))))
@@ -188,7 +210,7 @@ def _landmarks(sample: list[tuple[int, str]], most: int) -> tuple[list[str], int
     clean: dict[str, int] = {}
     toxic: dict[str, list[int]] = {}
     for k, (y, text) in enumerate(sample):
-        for w in {_LETTERS.sub("", x.lower()) for s in sentences(text) for x in s}:
+        for w in {_letters(x) for s in sentences(text) for x in s}:
             if len(w) >= LEAST:
                 if y:
                     toxic.setdefault(w, []).append(k)
@@ -257,17 +279,20 @@ def fit(sample: list[tuple[int, str]], landmarks: int = 160, rounds: int = 5, ri
     values, vectors = np.linalg.eigh((own + own.T) / 2)
     whiten = vectors / np.sqrt(np.maximum(values, 0) + ridge) @ vectors.T
     # kernel values of every sentence that has any, in half precision; first the sentence without any
+    # values of the words met lately, by their letters: words as written are many more
     words: dict[str, np.ndarray | None] = {}
+    known = RecentCache(lambda new: [against(w) for w in new], limit=40_000)
     rows, owner = [none[None].astype(np.float16)], [-1]
     for k, (_, text) in enumerate(sample):
         held = []
+        known.turn()
         for s in sentences(text):
             total = None
             for w in s:
                 if w not in words:
                     if len(words) >= 50_000:
                         words.clear()
-                    words[w] = against(w)
+                    words[w] = known[_letters(w)]
                 row = words[w]
                 if row is not None:
                     total = row if total is None else total + row
@@ -356,7 +381,7 @@ def _score(sent, cut: float):
         store = _store(sent)
         for batch in slices(batches, "text"):
             docs = [parts(t or "") for t in batch.column("text").to_pylist()]
-            of = store.of({w for p in docs for s in p for w in s})
+            of = store.of(set().union(*(s for p in docs for s in p)))
             scores = [machine.score(machine.margin(p, of)) for p in docs]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(scores, pa.float64()),
@@ -413,7 +438,7 @@ def _keep(sent, cut: float):
         store = _store(sent)
         for batch in slices(batches, "text"):
             docs = [parts(t or "") for t in batch.column("text").to_pylist()]
-            of = store.of({w for p in docs for s in p for w in s})
+            of = store.of(set().union(*(s for p in docs for s in p)))
             yield batch.filter(pa.array([machine.score(machine.margin(p, of)) < cut for p in docs], pa.bool_()))
     return run
 

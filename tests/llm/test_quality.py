@@ -273,3 +273,30 @@ def test_pipeline_packing_holds_the_token_ids(spark, tmp):
     rows = cp.packing(spark, docs, tmp).collect()
     assert {r.doc_id for r in rows} == {0, 1, 2, 3, 4, 5, 9}
     assert all(len(r.ids) == r.length and zlib.crc32(np.array(r.ids, "<i4").tobytes()) == r.ids_crc32 for r in rows)
+
+
+def test_words_of_the_same_letters_are_valued_once(monkeypatch):
+    """A word's value goes by its letters, however it is written."""
+    machine = tx.Machine({u: 1.0 for u in tx.subsequences("idiot")}, 0.0, 1.0, 0.0)
+    valued, parts = [], machine._parts
+    monkeypatch.setattr(machine, "_parts", lambda group, n: valued.extend(group) or parts(group, n))
+    words = ["idiot", "Idiot!", "i-d-i-o-t", "x", "", "id\niot", "fool,", "fool", "\u0391\u03a3."]
+    assert machine.words(words) == pytest.approx([machine.word(w) for w in words])
+    assert len(valued) == len(set(valued)) == 3
+
+
+def test_a_fit_values_words_by_their_letters(monkeypatch):
+    calls, real = [], tx.subsequences
+    monkeypatch.setattr(tx, "subsequences", lambda w: calls.append(w) or real(w))
+    sample = [(k % 2, f"word{k}, idiot" if k % 2 else f"(word{k}) fine") for k in range(200)]
+    tx.fit(sample, landmarks=8)
+    assert calls.count("word") <= 3 and not any(c.startswith("(") for c in calls)
+
+
+def test_searches_split_as_written():
+    sentence, spaced = re.compile(r"[.!?]+(?=\s|$)|\n"), re.compile(r"(?<!\S)(?:[^\W\d_][ ]){3,}[^\W\d_](?!\w)")
+    rnd = random.Random(3)
+    for _ in range(20_000):
+        x = "".join(rnd.choice("ab  \u00e9\n.!?1_-\tZ") for _ in range(rnd.randint(0, 24)))
+        assert tx._SENTENCE.split(x) == sentence.split(x)
+        assert tx._SPACED.sub(lambda m: m[0].replace(" ", ""), x) == spaced.sub(lambda m: m[0].replace(" ", ""), x)
