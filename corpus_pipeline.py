@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.llm import quality_classifier, toxicity
-from orderflow.llm.common import table, written
+from orderflow.llm.common import sieve, table, written
 from orderflow.llm.near_dup import jaccard_components
 from orderflow.llm.packing import pack
 from orderflow.llm.queries import vocabulary
@@ -45,11 +45,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     ones by their place. Rows without words are in no group and stay.
     """
     rows = written(docs.select(COLUMNS).withColumn("row", F.monotonically_increasing_id()), "rows")
-    found = jaccard_components(rows.select(F.col("row").alias("doc_id"), "text"), width=5, num=80, den=100)
+    found = written(jaccard_components(rows.select(F.col("row").alias("doc_id"), "text"), width=5, num=80, den=100), "groups")
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("hash"), "row")
     stay = found.select(F.col("doc_id").alias("row"), "component_id").join(rows.select("row", first.alias("first")), "row") \
         .groupBy("component_id").agg(F.min("first").alias("first")).select("first.row")
-    return rows.join(stay, "row", "left_semi").select(COLUMNS)
+    drop = written(found.select(F.col("doc_id").alias("row")).join(stay, "row", "left_anti"), "drop")
+    # texts are shuffled for the rows that may have to go only
+    may_go = sieve(drop, "row")("row")
+    return rows.where(~may_go).unionByName(rows.where(may_go).join(drop, "row", "left_anti")).select(COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import slices, written
+from orderflow.llm.common import sieve, slices, written
 from orderflow.llm.graph import components
 from orderflow.operators.scan import ordered_scan
 from orderflow.session import scoped, ship_package
@@ -454,7 +454,8 @@ def jaccard_components(docs: DataFrame, width: int = 3, num: int = 90, den: int
         member = clusters.select("node", F.col("component").alias("cluster")).join(classes.drop("point"), "node")
         # blocks of at most block_bytes of sets
         member = scoped(spark, "members", lambda: _in_blocks(member, "cluster", F.col("n") * 8, block_bytes))
-        sets = src.join(member.select(F.col("rep").alias("doc_id2"), "node", "cluster", "block"),
+        # only the texts of members, and few others, are shuffled
+        sets = src.where(sieve(member, "rep")("doc_id")).join(member.select(F.col("rep").alias("doc_id2"), "node", "cluster", "block"),
                         F.col("doc_id").eqNullSafe(F.col("doc_id2"))) \
             .select("cluster", "block", "node", "text") \
             .mapInArrow(_sets(width), "cluster long, block int, node long, n long, tokens binary")

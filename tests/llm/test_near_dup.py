@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from orderflow.llm.graph import components
 from orderflow.llm import near_dup
+from orderflow.llm.common import sieve
 from orderflow.llm.near_dup import CountTree, Threshold, _groups, _in_blocks, _meet, _packed, _point, _points, _shared, forest, jaccard_components, prefix, shingles
 
 
@@ -176,6 +177,54 @@ def test_hot_keys_lose_no_link(spark, monkeypatch):
     assert got == brute(rows, 5, 80, 100)
 
 
+def shuffled(df):
+    """Bytes of rows that the exchanges of ``df``'s run took."""
+    df.collect()
+
+    def walk(plan):
+        for name in ("executedPlan", "plan"):  # adaptive plans and their stages
+            if name in dir(plan):
+                return walk(getattr(plan, name)())
+        own = plan.metrics().apply("dataSize").value() if plan.nodeName() == "Exchange" else 0
+        kids = plan.children()
+        return own + sum(walk(kids.apply(k)) for k in range(kids.size()))
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_texts_that_link_with_nothing_are_not_shuffled(spark, monkeypatch):
+    """Neither to get the sets of the candidates nor to leave out the copies."""
+    import corpus_pipeline as cp
+    r = random.Random(6)
+    rows = [(k, " ".join(str(r.getrandbits(60)) for _ in range(200)), "en", "a", 1) for k in range(300)]
+    rows += [(1000 + k, rows[k][1] + f" end{k}", "en", "a", 1) for k in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    text, seen, keep = sum(len(x[1]) for x in rows), {}, near_dup.written
+
+    def spy(df, name):
+        if name == "links":
+            seen[name] = shuffled(df)
+        return keep(df, name)
+
+    monkeypatch.setattr(near_dup, "written", spy)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = cp.near_duplicates(spark, df, "")
+        assert shuffled(got) < 0.2 * text and seen["links"] < 0.2 * text
+        assert sorted(map(tuple, got.collect())) == sorted(x for x in rows if x[0] < 1000)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("most", [1 << 26, 1 << 10])
+def test_a_sieve_passes_every_key(spark, most):
+    keys = [None, 0, -1, 1 << 62, *range(-3000, 3000, 7)]
+    passes = sieve(spark.createDataFrame([(k,) for k in keys], "a long"), "a", most)
+    other = spark.range(1 << 40, (1 << 40) + 5000).toDF("b")
+    assert spark.createDataFrame([(k,) for k in keys], "b long").where(passes("b")).count() == len(keys)
+    assert most < 1 << 26 or other.where(passes("b")).count() < 250
+    assert other.where(sieve(other.limit(0), "b")("b")).count() == 0
+
+
 def test_tables_on_the_way_are_removed(spark):
     import os
 
