@@ -454,9 +454,10 @@ def jaccard_components(docs: DataFrame, width: int = 3, num: int = 90, den: int
         member = clusters.select("node", F.col("component").alias("cluster")).join(classes.drop("point"), "node")
         # blocks of at most block_bytes of sets
         member = scoped(spark, "members", lambda: _in_blocks(member, "cluster", F.col("n") * 8, block_bytes))
-        # only the texts of members, and few others, are shuffled
-        sets = src.where(sieve(member, "rep")("doc_id")).join(member.select(F.col("rep").alias("doc_id2"), "node", "cluster", "block"),
-                        F.col("doc_id").eqNullSafe(F.col("doc_id2"))) \
+        # only the texts of members, and few others, are shuffled; always, as the sieve and _sets in one task would be two workers
+        sets = src.where(sieve(member, "rep")("doc_id")).join(
+            member.select(F.col("rep").alias("doc_id2"), "node", "cluster", "block").hint("merge"),
+            F.col("doc_id").eqNullSafe(F.col("doc_id2"))) \
             .select("cluster", "block", "node", "text") \
             .mapInArrow(_sets(width), "cluster long, block int, node long, n long, tokens binary")
         found = sets.join(_tiles(member, "cluster", num, den), ["cluster", "block"]).groupBy("cluster", "tile") \
