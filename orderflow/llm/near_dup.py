@@ -275,8 +275,8 @@ def _sets(width: int):
                     sets.append(s.tobytes())
             got = batch.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [got.column("cluster"), got.column("block"), got.column("node"), pa.array(n, pa.int64()),
-                 pa.array(sets, pa.binary())], ["cluster", "block", "node", "n", "tokens"])
+                [*map(got.column, ("cluster", "block", "tiles", "node")), pa.array(n, pa.int64()),
+                 pa.array(sets, pa.binary())], ["cluster", "block", "tiles", "node", "n", "tokens"])
     return run
 
 
@@ -454,13 +454,15 @@ def jaccard_components(docs: DataFrame, width: int = 3, num: int = 90, den: int
         member = clusters.select("node", F.col("component").alias("cluster")).join(classes.drop("point"), "node")
         # blocks of at most block_bytes of sets
         member = scoped(spark, "members", lambda: _in_blocks(member, "cluster", F.col("n") * 8, block_bytes))
+        # tiles are known before the sets are made, so sets are shuffled once
+        tiles = _tiles(member, "cluster", num, den).groupBy("cluster", "block").agg(F.collect_list("tile").alias("tiles"))
         # only the texts of members, and few others, are shuffled; always, as the sieve and _sets in one task would be two workers
         sets = src.where(sieve(member, "rep")("doc_id")).join(
-            member.select(F.col("rep").alias("doc_id2"), "node", "cluster", "block").hint("merge"),
+            member.join(tiles, ["cluster", "block"]).select(F.col("rep").alias("doc_id2"), "node", "cluster", "block", "tiles").hint("merge"),
             F.col("doc_id").eqNullSafe(F.col("doc_id2"))) \
-            .select("cluster", "block", "node", "text") \
-            .mapInArrow(_sets(width), "cluster long, block int, node long, n long, tokens binary")
-        found = sets.join(_tiles(member, "cluster", num, den), ["cluster", "block"]).groupBy("cluster", "tile") \
+            .select("cluster", "block", "tiles", "node", "text") \
+            .mapInArrow(_sets(width), "cluster long, block int, tiles array<string>, node long, n long, tokens binary")
+        found = sets.withColumn("tile", F.explode("tiles")).drop("tiles").groupBy("cluster", "tile") \
             .applyInArrow(_tile(num, den), "a long, b long")
         return components(written(found, "links"), "a", "b")
 
