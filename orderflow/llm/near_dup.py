@@ -15,7 +15,9 @@ n-grams reaches a threshold; the result is each document's connected component.
 3. Classes with a common key are a bucket. The overlap of two sets is at most
    the sum of the smaller of their coordinates, of a set and a box at most that
    with the box's upper corner: an R-tree over a bucket's points passes over
-   subtrees and points that can't reach the needed overlap. A bucket of m
+   subtrees and points that can't reach the needed overlap. A coordinate stands
+   for a few tokens only, or else sets that share a passage would pass the bound
+   and chain unrelated ones into clusters that grow with the corpus. A bucket of m
    classes returns at most m - 1 edges: a spanning forest of the pairs that are
    left. The components of these edges are the candidate clusters.
 4. Inside a cluster the same search runs again, now with the sets at hand:
@@ -23,7 +25,7 @@ n-grams reaches a threshold; the result is each document's connected component.
    of all pairs is ever made.
 5. Verified links give the components.
 
-Scale. Buckets and clusters beyond ``block_rows`` or ``block_bytes`` are cut, in
+Scale. Buckets and clusters beyond ``block_rows`` (fewer of long sets) or ``block_bytes`` are cut, in
 order of size, into blocks, and pairs of blocks with compatible sizes are tasks
 of their own, so no task holds more than two blocks. The tree alone, over all
 documents, would compare nearly all sets of similar size (sums of random groups
@@ -50,10 +52,12 @@ from orderflow.operators.scan import ordered_scan
 from orderflow.session import scoped, ship_package
 
 _GROUPS, _FULL = 64, 16     # least number of coordinates of a point, most tokens that one stands for on average
+_FINE = 4                   # the latter while the sets aren't at hand, where each pair that passes costs two sets
 _WIDE = 3                   # a band of sizes spans this many steps of the threshold
 _ROWS, _BINS = 4, 1 << 16   # the frequency sketch
 _LEAF = 16
 _RUN = 1 << 20    # rows of one key that a task holds at once
+_SHORT = 2048     # tokens up to which a set counts as one row of a bucket's block; points grow with the sets
 _SMALL = 48       # buckets up to here are compared without a tree
 _U = np.uint64
 
@@ -144,10 +148,10 @@ def _node(tokens: np.ndarray) -> int | None:
     return int(np.array(xxhash.xxh64_intdigest(tokens.tobytes()), np.uint64).view(np.int64)) if len(tokens) else None
 
 
-def _groups(n: int) -> int:
+def _groups(n: int, full: int = _FULL) -> int:
     """Coordinates of the point of a set of n tokens: more for larger sets, whose sums differ less."""
     g = _GROUPS
-    while g * _FULL < n:
+    while g * full < n:
         g *= 2
     return g
 
@@ -157,16 +161,26 @@ def _point(tokens: np.ndarray, groups: int) -> np.ndarray:
 
 
 def _packed(point: np.ndarray) -> bytes:
-    """A point as bytes, one for each coordinate if they fit; the first byte tells."""
+    """A point as bytes, half a one or one for each coordinate if they fit; the first byte tells."""
+    if point.max() < 16 and not len(point) % 2:
+        return bytes([0]) + (point[::2] | point[1::2] << 4).astype("<u1").tobytes()
     kind = "<u1" if point.max() < 256 else "<u4"
     return bytes([int(kind[-1])]) + point.astype(kind).tobytes()
 
 
+def _unpacked(packed: bytes) -> np.ndarray:
+    if packed[0]:
+        return np.frombuffer(packed, f"<u{packed[0]}", offset=1)
+    both = np.frombuffer(packed, "<u1", offset=1)
+    return np.stack([both & 15, both >> 4], 1).ravel()
+
+
 def _points(packed: list[bytes]) -> np.ndarray:
     """Points in the fewest coordinates that one of them has; the others are folded."""
-    rows = [np.frombuffer(p, f"<u{p[0]}", offset=1) for p in packed]
+    rows = [_unpacked(p) for p in packed]
     least = min(map(len, rows))
-    return np.array([p.reshape(-1, least).sum(0, dtype=np.int32) for p in rows])
+    rows = [p.reshape(-1, least).sum(0, dtype=np.int32) if len(p) > least else p for p in rows]
+    return np.array(rows, np.uint8 if max(p.max() for p in rows) < 256 else np.int32)
 
 
 def _describe(width: int):
@@ -180,7 +194,7 @@ def _describe(width: int):
                 s = shingles(text or "", width)
                 n.append(len(s))
                 node.append(_node(s))
-                point.append(_packed(_point(s, _groups(len(s)))) if len(s) else None)
+                point.append(_packed(_point(s, _groups(len(s), _FINE))) if len(s) else None)
                 held.append(s)
             with np.errstate(over="ignore"):
                 for b in _bins(np.concatenate(held)):
@@ -442,7 +456,8 @@ def jaccard_components(docs: DataFrame, width: int = 3, num: int = 90, den: int
 
     def candidates() -> DataFrame:
         keyed = src.mapInArrow(_keys(width, num, den, sent), "key long, node long, n long")
-        places = scoped(spark, "places", lambda: _in_blocks(written(_shared(keyed), "shared"), "bucket", F.lit(1), block_rows))
+        places = scoped(spark, "places", lambda: _in_blocks(
+            written(_shared(keyed), "shared"), "bucket", F.greatest("n", F.lit(_SHORT)), _SHORT * block_rows))
         edges = places.join(_tiles(places, "bucket", num, den), ["bucket", "block"]) \
             .join(classes.select("node", "point"), "node") \
             .repartition("bucket", "tile").sortWithinPartitions("bucket", "tile", "n", "node") \

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from orderflow.llm.graph import components
 from orderflow.llm import near_dup
 from orderflow.llm.common import sieve
-from orderflow.llm.near_dup import CountTree, Threshold, _groups, _in_blocks, _meet, _packed, _point, _points, _shared, forest, jaccard_components, prefix, shingles
+from orderflow.llm.near_dup import _FINE, CountTree, Threshold, _groups, _in_blocks, _meet, _packed, _point, _points, _shared, forest, jaccard_components, prefix, shingles
 
 
 def _set(text, width):
@@ -85,6 +85,25 @@ def test_points_fold_and_pack():
     assert (_points([_packed(np.array([300, 2], np.int32))]) == [[300, 2]]).all()
 
 
+@pytest.mark.parametrize("top", [15, 16, 255, 256])
+def test_points_pack_in_half_a_byte_or_more(top):
+    points = np.array([[0, top, 3, 1], [1, 2, 0, 9]], np.int32)
+    assert (_points([_packed(p) for p in points]) == points).all()
+    assert len(_packed(np.full(64, top, np.int32))) == 1 + 64 * {15: 1, 16: 2, 255: 2, 256: 8}[top] // 2
+
+
+@pytest.mark.parametrize("n", [300, 1000, 4000])
+def test_sets_that_share_half_of_their_tokens_are_no_candidates(n):
+    """They are far from a link; candidates among them would chain texts with a common passage into one cluster."""
+    rng = np.random.default_rng(n)
+    shared = rng.integers(0, 1 << 63, n // 2).astype(np.uint64)
+    sets = [np.concatenate([shared, rng.integers(0, 1 << 63, n - n // 2).astype(np.uint64)]) for _ in range(60)]
+    sets.append(np.r_[sets[0][:-n // 50], rng.integers(0, 1 << 63, n // 50).astype(np.uint64)])  # a near copy
+    points = _points([_packed(_point(s, _groups(n, _FINE))) for s in sets])
+    sizes = np.array([len(s) for s in sets])
+    assert forest(points, sizes, Threshold(80, 100), np.zeros(len(sets))) == [(0, 60)]
+
+
 def test_tree_finds_what_a_scan_finds():
     rng = np.random.default_rng(3)
     points = rng.poisson(6, (900, 64)).astype(np.int32)
